@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from ..functions.core import letters_only
 from ..functions.timefn import TIME_OF_DAY, TIME_TO_POST, WEEKDAYS
 from .features import COMMENT_POSITION
+from ..session import materialize
 from .indexing import bucketed_row_number
 
 RECS, ID = "recommendations", "commentID"
@@ -121,7 +122,7 @@ def g03_density(trn: DataFrame, grid: int = 100, xlim=(-100.0, 3000.0),
         F.col("avg_recs").cast("double").alias("y"))
     # the point table (one row per article and group) is read five times below:
     # write it once to the checkpoint folder instead of re-deriving it from raw data
-    pts = pts.checkpoint(eager=True)
+    pts = materialize(pts, "g03pts")
     bw = ns_join(_nrd(pts, "g", "x"), _nrd(pts, "g", "y").drop("__n"), ["g"])
     data = ns_join(pts, F.broadcast(bw), ["g"])  # one row per group: bounded
     gx = np.linspace(xlim[0], xlim[1], grid)
@@ -218,7 +219,7 @@ def g15(trn, id_is_key=True):
 
 def g16(trn, id_is_key=True):
     """A16 + A19: box statistics of avg_recs per comment-position category."""
-    t = summary(trn, ["com_pos_cat", "articleID"], id_is_key).checkpoint(eager=True)
+    t = materialize(summary(trn, ["com_pos_cat", "articleID"], id_is_key), "g16")
     box = boxplot_stats(t, ["com_pos_cat"], "avg_recs")
     return box.withColumn("pos_ord", fixed_order("com_pos_cat", COMMENT_POSITION, "pos_ord"))
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.core import clamp0, rint0
+from ..sources.tables import spread
 from .indexing import sample_hash
 
 # ---- fixed values: model order and the two hand-set weight vectors of the reference --
@@ -94,8 +95,8 @@ def search_weights(preds: DataFrame, weights: DataFrame, label: str,
     trials = wpd["trial"].to_numpy(dtype=np.int64)
     W = wpd[[f"w{j}" for j in range(1, len(models) + 1)]].to_numpy(dtype=np.float64)  # T×7
     tot = W.sum(axis=1)
-    x = preds.select(*[(clamp0(m) if m in clamp else F.col(m)).cast("double").alias(m) for m in models],
-                     F.col(label).cast("double").alias("__y"))
+    x = spread(preds.select(*[(clamp0(m) if m in clamp else F.col(m)).cast("double").alias(m)
+                              for m in models], F.col(label).cast("double").alias("__y")))
     schema = T.StructType([T.StructField("trial", T.LongType()), T.StructField("sae", T.DoubleType()),
                            T.StructField("n", T.LongType())])
 

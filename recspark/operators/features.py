@@ -7,7 +7,8 @@ Plan shape at scale
 * comments ⟕ article features: ONE join on (articleID, type) — it also carries
   ``pubDate_dt`` for time-to-post, so J7 and J10 share a shuffle (D7: both keys).
   A hot article is handled by AQE's skew-join split.
-* text features: row-local projections.
+* text features: row-local projections on the table that holds the text (spread over
+  the cluster when the scan has too few partitions); only keys + scores are joined.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from ..functions.core import ladder
 from ..functions.timefn import (hour_of, time_of_day, time_to_post, time_to_post_category,
                                 weekday_name, weekend_flag)
 from ..sources import adapters
+from ..sources.tables import spread
 from .indexing import bucketed_row_number, exact_split
 from .keywords import article_keyword_features, rank_keywords
 from .textops import add_length, add_readability, add_sentiment
@@ -62,21 +64,36 @@ def distinct_posters(com: DataFrame, group: str = "articleID", user: str = "user
     return com.groupBy(group).agg(F.count_distinct(user).alias("num_posts"))
 
 
-def article_features(art: DataFrame, pairs: DataFrame, sentiment_kwargs: dict | None = None) -> DataFrame:
+def text_scores(texts: DataFrame, keys: list[str], text_col: str, sent_col: str, cat_col: str,
+                readability: bool = False, sentiment_kwargs: dict | None = None) -> DataFrame:
+    """T3-T7 on the table that holds the text; only keys + scores are joined back
+    (J6, J8, J9 — the reference joins them on a row surrogate, here on the key)."""
+    t = spread(texts)
+    t = add_sentiment(t, text_col, sent_col, cat_col, **(sentiment_kwargs or {}))
+    out = [*keys, sent_col, cat_col]
+    if readability:
+        t = add_length(add_readability(t, text_col), text_col)
+        out += ["comment_length", "readFR", "readCL"]
+    return t.select(*out)
+
+
+def article_features(art: DataFrame, pairs: DataFrame, snippets: DataFrame,
+                     sentiment_kwargs: dict | None = None) -> DataFrame:
     """Article table + time + keyword features + snippet sentiment."""
     kw = article_keyword_features(rank_keywords(pairs))
+    snip = text_scores(snippets, ["articleID"], "snippet", "snip_sent", "snip_cat",
+                       sentiment_kwargs=sentiment_kwargs)
     a = time_features(art)
-    a = add_sentiment(a, "snippet", "snip_sent", "snip_cat", **(sentiment_kwargs or {}))
-    return a.join(kw, on="articleID", how="left")
+    return a.join(snip, on="articleID", how="left").join(kw, on="articleID", how="left")
 
 
-def comment_features(com: DataFrame, art_feat: DataFrame, no_article_label: bool = False,
-                     sentiment_kwargs: dict | None = None) -> DataFrame:
+def comment_features(com: DataFrame, art_feat: DataFrame, bodies: DataFrame,
+                     no_article_label: bool = False, sentiment_kwargs: dict | None = None) -> DataFrame:
     """Comment features joined with the reduced article features (D-13)."""
+    body = text_scores(bodies, ["articleID", "commentSequence"], "commentBody", "com_sent", "com_cat",
+                       readability=True, sentiment_kwargs=sentiment_kwargs)
     c = comment_order(com)
-    c = add_sentiment(c, "commentBody", "com_sent", "com_cat", **(sentiment_kwargs or {}))
-    c = add_length(c, "commentBody")
-    c = add_readability(c, "commentBody")
+    c = c.join(body, on=["articleID", "commentSequence"], how="left")
     red = art_feat.select(*ARTICLE_FEATURES)
     c = c.join(red, on=["articleID", "type"], how="left")
     c = c.withColumn("time_to_post", time_to_post("approveDate_ts", "pubDate_dt"))
@@ -91,16 +108,18 @@ class FeatureTables:
 
 
 def build_features(spark: SparkSession, sf_dir: str, no_article_label: bool = False) -> FeatureTables:
-    art = article_features(adapters.articles(spark, sf_dir), adapters.keyword_pairs(spark, sf_dir))
-    com = comment_features(adapters.comments(spark, sf_dir), art, no_article_label)
+    art = article_features(adapters.articles(spark, sf_dir), adapters.keyword_pairs(spark, sf_dir),
+                           adapters.article_snippets(spark, sf_dir))
+    com = comment_features(adapters.comments(spark, sf_dir), art, adapters.comment_bodies(spark, sf_dir),
+                           no_article_label)
     return FeatureTables(art, com)
 
 
 def train_split(com_final: DataFrame, fraction: float = 0.70, seed: int = 19790324,
-                key: str = "commentID") -> tuple[DataFrame, DataFrame]:
+                key: str = "commentID", materialize_input: bool = True) -> tuple[DataFrame, DataFrame]:
     """P3 + X1 + X2: training comments split exactly into (trn, tst) by a seeded hash."""
     trn_all = com_final.filter(F.col("type") == "trn")
-    flagged = exact_split(trn_all, key, fraction, seed, flag="__s")
+    flagged = exact_split(trn_all, key, fraction, seed, flag="__s", materialize_input=materialize_input)
     return (flagged.filter(F.col("__s")).drop("__s"),
             flagged.filter(~F.col("__s")).drop("__s"))
 

@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -61,7 +63,8 @@ def sample_hash(key: str | Column, seed: int) -> Column:
 
 
 def exact_split(df: DataFrame, key: str, fraction: float = 0.70, seed: int = 19790324,
-                flag: str = "in_sample", bucket_bits: int = 16) -> DataFrame:
+                flag: str = "in_sample", bucket_bits: int = 16,
+                materialize_input: bool = True) -> DataFrame:
     """X1 + X2: mark exactly ``round(fraction·n)`` rows (half-even, like R) as sampled.
 
     Rows are ordered by (hash(seed,key), key); the first k are the sample.  The hash
@@ -69,12 +72,17 @@ def exact_split(df: DataFrame, key: str, fraction: float = 0.70, seed: int = 197
     counts (≤ 2**bucket_bits rows: a proven bound) locate the one bucket that the
     cut falls into; rows of lower buckets are in, higher buckets out, and only the
     cut bucket (~n / 2**bucket_bits rows) is sorted.  No full shuffle or sort.
+    The input is read three times (counts, rows off the cut, rows at the cut); it is
+    written once to the checkpoint folder unless ``materialize_input=False`` (use
+    that when ``df`` is already a plain table scan).
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
     shift = 52 - bucket_bits
     x = df.withColumn("__h", sample_hash(key, seed)) \
           .withColumn("__bk", F.shiftrightunsigned(F.col("__h"), shift))
+    if materialize_input:
+        x = materialize(x, "split")
     counts = x.groupBy("__bk").agg(F.count(F.lit(1)).alias("n")).collect()  # ≤ 2**bucket_bits rows
     n = sum(r["n"] for r in counts)
     k = int(round(fraction * n))  # Python round is half-even, as R's round

@@ -2,6 +2,9 @@
 J1, W1, W2, U4, D-1 … D-5).
 
 Scale notes
+* The distinct (article, keyword) pairs are written once to the checkpoint folder:
+  they feed the frequency table and the join back, and Spark re-derived the
+  pair join for each branch otherwise.
 * The keyword frequency ``N`` is a partial/final aggregation (one small shuffle).
 * The global ``dense_rank`` over (N desc, keyword) must not be a window without
   ``partitionBy`` (that is a single-partition exchange).  It is computed on the
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import col, trimws
 from ..functions.topics import topic_of
+from ..session import materialize
 from .indexing import bucketed_row_number
 
 
@@ -62,12 +66,15 @@ def rank_keywords(pairs: DataFrame, id_col: str = "articleID", kw_col: str = "ne
 
     N = number of articles carrying the keyword (A2, J1); keyword_rank = dense rank
     by (N desc, keyword asc) (W1); topic = T8 rule of the keyword."""
-    distinct_pairs = pairs.select(id_col, kw_col).filter(F.col(kw_col).isNotNull()).distinct()
+    distinct_pairs = materialize(
+        pairs.select(id_col, kw_col).filter(F.col(kw_col).isNotNull()).distinct(), "kwpairs")
     freq = distinct_pairs.groupBy(kw_col).agg(F.count(F.lit(1)).alias("N"))
     ranked = bucketed_row_number(
         freq, [], [F.col("N").desc(), F.col(kw_col).asc()],
         [(-F.col("N")), F.substring(F.col(kw_col), 1, prefix_chars)], out="keyword_rank")
     ranked = ranked.withColumn("topic", topic_of(kw_col))
+    # the ranked keyword table is small (one row per keyword); re-deriving the pair
+    # table from the written distinct pairs for each per-article output is cheap
     return distinct_pairs.join(ranked, on=kw_col, how="inner") \
                          .select(id_col, kw_col, "N", "keyword_rank", "topic")
 

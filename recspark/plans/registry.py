@@ -23,7 +23,7 @@ from ..operators.indexing import bucketed_row_number, exact_split, modulo_folds
 from ..operators.text_to_columns import text_to_columns
 from ..operators.textops import add_length, add_readability, add_sentiment
 from ..sources import adapters
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 from . import oracle_sql as O
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -183,7 +183,7 @@ def q_specific_topic(spark, sf):
 @register("topic_rules_documents",
           f"SELECT doc_id, {topic_sql('text')} AS topic FROM documents", "T8 F3")
 def q_topic_rules_documents(spark, sf):
-    return read_table(spark, sf, "documents").select("doc_id", topic_of("text").alias("topic"))
+    return spread(read_table(spark, sf, "documents")).select("doc_id", topic_of("text").alias("topic"))
 
 
 # ============================================================== time (D-6, D-7, D-10, D-11)
@@ -274,7 +274,7 @@ def q_distinct_posters(spark, sf):
           f"(SELECT doc_id, {O.sentiment('text')} AS s FROM documents)",
           "T3 T4 T5 A5")
 def q_sentiment_documents(spark, sf):
-    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    d = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
     return add_sentiment(d, "text", "sent", "sent_cat", digits=6).select("doc_id", "sent", "sent_cat")
 
 
@@ -283,7 +283,7 @@ def q_sentiment_documents(spark, sf):
           f"(SELECT conv_id, turn, {O.sentiment('text')} AS s FROM conversations)",
           "T3 T4 T5")
 def q_sentiment_conversations(spark, sf):
-    c = read_table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    c = spread(read_table(spark, sf, "conversations").select("conv_id", "turn", "text"))
     return add_sentiment(c, "text", "sent", "sent_cat", digits=6).select("conv_id", "turn", "sent", "sent_cat")
 
 
@@ -295,11 +295,11 @@ def _read_sql(table: str, keys: str) -> str:
 
 @register("readability_documents", _read_sql("documents", "doc_id"), "T6 T7 F8 F13")
 def q_readability_documents(spark, sf):
-    d = add_length(add_readability(read_table(spark, sf, "documents"), "text"), "text")
+    d = add_length(add_readability(spread(read_table(spark, sf, "documents")), "text"), "text")
     return d.select("doc_id", "readFR", "readCL", "comment_length")
 
 
 @register("readability_conversations", _read_sql("conversations", "conv_id, turn"), "T6 T7")
 def q_readability_conversations(spark, sf):
-    d = add_length(add_readability(read_table(spark, sf, "conversations"), "text"), "text")
+    d = add_length(add_readability(spread(read_table(spark, sf, "conversations")), "text"), "text")
     return d.select("conv_id", "turn", "readFR", "readCL", "comment_length")

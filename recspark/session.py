@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,3 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="recspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def materialize(df: DataFrame, name: str = "tmp") -> DataFrame:
+    """Write an intermediate that is read more than once as Parquet into the shared
+    checkpoint folder and read it back.  It is computed once (Spark does not always
+    reuse an exchange across different branches), later reads prune columns, and the
+    lineage is cut, so a lost executor does not re-run the upstream plan."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/recspark-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

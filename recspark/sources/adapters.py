@@ -34,20 +34,31 @@ def comment_id(prefix: str = "l_") -> F.Column:
                               for c in ("orderkey", "partkey", "suppkey", "linenumber")])
 
 
-def articles(spark: SparkSession, sf_dir: str, with_snippet: bool = True) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, with_snippet: bool = False) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     art = o.select(F.col("o_orderkey").alias("articleID"),
                    F.col("o_orderdate").cast("timestamp").alias("pubDate_dt"),
                    F.col("o_orderpriority").alias("byline"),
                    split_tag("o_orderkey").alias("type"))
     if with_snippet:
-        d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("articleID"),
-                                                          F.col("text").alias("snippet"))
-        art = art.join(d, on="articleID", how="left")
+        art = art.join(article_snippets(spark, sf_dir), on="articleID", how="left")
     return art
 
 
-def comments(spark: SparkSession, sf_dir: str, with_body: bool = True) -> DataFrame:
+def article_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(articleID, snippet): the text of an article lives in ``documents``."""
+    return read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("articleID"),
+                                                         F.col("text").alias("snippet"))
+
+
+def comment_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(articleID, commentSequence, commentBody) from ``conversations``."""
+    return read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("articleID"), F.col("turn").alias("commentSequence"),
+        F.col("text").alias("commentBody"))
+
+
+def comments(spark: SparkSession, sf_dir: str, with_body: bool = False) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     com = li.select(comment_id().alias("commentID"),
                     F.col("l_orderkey").alias("articleID"),
@@ -58,10 +69,7 @@ def comments(spark: SparkSession, sf_dir: str, with_body: bool = True) -> DataFr
                     F.col("l_quantity").cast("long").alias("recommendations"),
                     split_tag("l_orderkey").alias("type"))
     if with_body:
-        cv = read_table(spark, sf_dir, "conversations").select(
-            F.col("conv_id").alias("articleID"), F.col("turn").alias("commentSequence"),
-            F.col("text").alias("commentBody"))
-        com = com.join(cv, on=["articleID", "commentSequence"], how="left")
+        com = com.join(comment_bodies(spark, sf_dir), on=["articleID", "commentSequence"], how="left")
     return com
 
 

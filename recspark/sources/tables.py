@@ -64,6 +64,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row-local work (text measures) at least ``min_partitions``
+    tasks (default: the cluster's default parallelism).  A scan of one large
+    row group is a single task; on a real layout with many files/row groups the
+    scan already has enough partitions and this is a no-op (no shuffle)."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
                    tag: str | None = None) -> DataFrame:
     """S1 + S2: header CSV with quoted multi-line fields, explicit schema, optional
