@@ -18,13 +18,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.core import ladder
-from ..functions.timefn import (hour_of, time_of_day, time_to_post, time_to_post_category,
-                                weekday_name, weekend_flag)
+from ..functions.core import ladder, r_bool
+from ..functions.timefn import (epoch_seconds_ts, hour_of, parse_iso, time_of_day, time_to_post,
+                                time_to_post_category, weekday_name, weekend_flag)
 from ..sources import adapters
 from ..sources.tables import spread
 from .indexing import bucketed_row_number, exact_split
-from .keywords import article_keyword_features, rank_keywords
+from .keywords import article_keyword_features, explode_keywords, rank_keywords
 from .textops import add_length, add_readability, add_sentiment
 
 # ---- fixed values: comment-position buckets -----------------------------------------
@@ -88,12 +88,13 @@ def article_features(art: DataFrame, pairs: DataFrame, snippets: DataFrame,
 
 
 def comment_features(com: DataFrame, art_feat: DataFrame, bodies: DataFrame,
-                     no_article_label: bool = False, sentiment_kwargs: dict | None = None) -> DataFrame:
+                     no_article_label: bool = False, sentiment_kwargs: dict | None = None,
+                     body_keys: tuple[str, ...] = ("articleID", "commentSequence")) -> DataFrame:
     """Comment features joined with the reduced article features (D-13)."""
-    body = text_scores(bodies, ["articleID", "commentSequence"], "commentBody", "com_sent", "com_cat",
+    body = text_scores(bodies, list(body_keys), "commentBody", "com_sent", "com_cat",
                        readability=True, sentiment_kwargs=sentiment_kwargs)
     c = comment_order(com)
-    c = c.join(body, on=["articleID", "commentSequence"], how="left")
+    c = c.join(body, on=list(body_keys), how="left")
     red = art_feat.select(*ARTICLE_FEATURES)
     c = c.join(red, on=["articleID", "type"], how="left")
     c = c.withColumn("time_to_post", time_to_post("approveDate_ts", "pubDate_dt"))
@@ -115,6 +116,26 @@ def build_features(spark: SparkSession, sf_dir: str, no_article_label: bool = Fa
     return FeatureTables(art, com)
 
 
+def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame,
+                                   no_article_label: bool = False) -> FeatureTables:
+    """The same feature build from inputs in the reference's own shape (S1/S2 output):
+    articles (articleID, keywords text, pubDate ISO text, snippet, byline, type) and
+    comments (commentID, articleID, userID, commentSequence, approveDate epoch seconds,
+    commentBody, editorsSelection text, recommendations, type).  D30: the
+    editor-selection text is normalised for both sources."""
+    art = art_raw.select("articleID", parse_iso("pubDate").alias("pubDate_dt"), "byline", "type")
+    pairs = explode_keywords(art_raw, "articleID", "keywords")
+    snippets = art_raw.select("articleID", "snippet")
+    com = com_raw.select("commentID", "articleID", "commentSequence", "userID",
+                         epoch_seconds_ts("approveDate").alias("approveDate_ts"),
+                         r_bool("editorsSelection").alias("editorsSelection"),
+                         "recommendations", "type")
+    bodies = com_raw.select("commentID", "commentBody")
+    art_feat = article_features(art, pairs, snippets)
+    return FeatureTables(art_feat, comment_features(com, art_feat, bodies, no_article_label,
+                                                    body_keys=("commentID",)))
+
+
 def train_split(com_final: DataFrame, fraction: float = 0.70, seed: int = 19790324,
                 key: str = "commentID", materialize_input: bool = True) -> tuple[DataFrame, DataFrame]:
     """P3 + X1 + X2: training comments split exactly into (trn, tst) by a seeded hash."""

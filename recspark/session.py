@@ -1,9 +1,10 @@
 """Spark session helpers.
 
-The library never creates machine-local scratch space on a cluster: lineage is cut
-with ``DataFrame.checkpoint()`` into the shared folder named by
-``spark.checkpoint.dir`` (read from the session).  Only tests / local runs set one
-when it is missing.
+The library never creates machine-local scratch space on a cluster: reused
+intermediates are written (``materialize``) into the shared folder named by
+``spark.checkpoint.dir`` (read from the session), which also cuts their lineage.
+Only local runs (tests, the local bench) create one when it is missing; on a cluster
+a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -48,6 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                           "distributed file system); a machine-local folder is not safe here")
     local = tempfile.mkdtemp(prefix="recspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
