@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import round_half_even
 from ..functions.timefn import TIME_OF_DAY, TIME_TO_POST, WEEKDAYS
+from ..ml.prep import modelling_rows
 from ..operators import eda, features
 from ..operators.features import COMMENT_POSITION
 from ..operators.indexing import exact_split
@@ -238,3 +239,12 @@ def q_audit_counts(spark, sf):
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("articleID").alias("n_articles"),
         F.count(F.when(matched, 1)).alias("n_rows_matched"),
         F.count_distinct(F.when(matched, F.col("articleID"))).alias("n_articles_matched"))
+
+
+@register("model_rows", FEAT + f"""
+SELECT commentID, recommendations, {_r6("ln(CASE WHEN recommendations = 0 THEN 1 ELSE recommendations END)")} AS log_rec
+FROM trn WHERE byline IS NOT NULL
+""", "P2 F14 M15 P10")
+def q_model_rows(spark, sf):
+    rows = modelling_rows(_trn(spark, sf))
+    return rows.select("commentID", "recommendations", R6("log_rec").alias("log_rec"))
