@@ -35,9 +35,13 @@ def tokens(c: str | Column) -> Column:
     return F.filter(F.split(F.lower(col(c)), TOKEN_RX, -1), lambda t: t != F.lit(""))
 
 
+LETTER_RX = r"\p{L}"
+
+
 def sentences(c: str | Column) -> Column:
-    """Sentence pieces that contain at least one token."""
-    return F.filter(F.split(col(c), SENTENCE_RX, -1), lambda s: F.size(tokens(s)) > 0)
+    """Sentence pieces that contain at least one token (= at least one letter;
+    one regex find instead of tokenizing the piece)."""
+    return F.filter(F.split(col(c), SENTENCE_RX, -1), lambda s: s.rlike(LETTER_RX))
 
 
 def clause_tokens(sentence: Column) -> Column:
@@ -51,9 +55,10 @@ def char_length(c: str | Column) -> Column:
 
 
 # ---------------------------------------------------------------- readability
-def readability_counts(c: str | Column) -> Column:
-    """struct(words, sentences, letters, syllables) of a text."""
-    toks = tokens(c)
+def readability_counts(c: str | Column, toks: Column | None = None) -> Column:
+    """struct(words, sentences, letters, syllables) of a text.  Pass ``toks`` (the
+    column holding ``tokens(c)``) to tokenize only once."""
+    toks = tokens(c) if toks is None else toks
     syl = F.aggregate(
         F.transform(toks, lambda t: F.greatest(F.lit(1), F.regexp_count(t, F.lit(VOWEL_GROUP_RX)))),
         F.lit(0).cast("long"), lambda a, b: a + b)
@@ -109,6 +114,12 @@ def _polarity(t: Column, lexicon: Mapping[str, float]) -> Column:
     return expr.otherwise(F.lit(0.0)) if expr is not None else F.lit(0.0)
 
 
+def _in_lexicon(t: Column, lexicon: Mapping[str, float]) -> Column:
+    """One membership test over the whole lexicon gates the per-value CASE: most
+    tokens carry no polarity and pay a single hash lookup."""
+    return t.isin(*sorted(lexicon))
+
+
 def _count_in(arr: Column, words: Sequence[str]) -> Column:
     if not words:
         return F.lit(0)
@@ -140,7 +151,7 @@ def clause_score(toks: Column, lexicon: Mapping[str, float], negators: Sequence[
         deamp = _count_in(win, deamplifiers) - _is_in(t, deamplifiers)
         sign = F.when(F.pmod(neg, F.lit(2)) == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
         p = _polarity(t, lexicon)
-        return F.when(p == 0.0, F.lit(0.0)).otherwise(
+        return F.when(~_in_lexicon(t, lexicon), F.lit(0.0)).when(p == 0.0, F.lit(0.0)).otherwise(
             p * sign * F.greatest(F.lit(0.0), F.lit(1.0) + F.lit(amp_weight) * (amp * sign - deamp)))
 
     return F.aggregate(F.transform(toks, contrib), F.lit(0.0), lambda a, b: a + b)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.core import col, trimws
-from ..functions.topics import topic_of
+from ..functions.topics import DEFAULT_TOPIC, TOPIC_RULES, topic_of
 from ..session import materialize
 from .indexing import bucketed_row_number
 
@@ -89,20 +89,38 @@ def keyword_ordinals(ranked: DataFrame, id_col: str = "articleID",
 
 def article_keyword_features(ranked: DataFrame, id_col: str = "articleID",
                              kw_col: str = "new", top: int = 3) -> DataFrame:
-    """D-2 … D-5 in one pass per article:
-    kw1..kwK, kwr1..kwrK (U4), topic = least topic label (A3), kwr = ΣN,
-    minkwr = min rank (A4), specific = keyword of the best rank (D-5)."""
+    """D-2 … D-5 per article: kw1..kwK, kwr1..kwrK (U4), topic = least topic label
+    (A3), kwr = ΣN, minkwr = min rank (A4), specific = keyword of the best rank (D-5).
+
+    Plan: every aggregate has a fixed-width buffer so Spark uses hash aggregation
+    (string min/max/min_by would force a sort-based aggregate over all pairs):
+    the topic label is aggregated as its order-preserving code among the fixed labels;
+    the top-K keywords come from the ``rn <= K`` window (partial WindowGroupLimit) and
+    are gathered with a list of at most K entries per article; the keyword of the best
+    rank is kw1."""
+    labels = topic_labels()
+    code = F.lit(None).cast("int")
+    for i, lab in enumerate(labels):
+        code = F.when(F.col("topic") == lab, F.lit(i)).otherwise(code)
+    decode = None
+    for i, lab in enumerate(labels):
+        decode = F.when(F.col("__tc") == i, F.lit(lab)) if decode is None else \
+            decode.when(F.col("__tc") == i, F.lit(lab))
+    per_article = ranked.groupBy(id_col).agg(
+        F.min(code).alias("__tc"), F.sum("N").alias("kwr"), F.min("keyword_rank").alias("minkwr")) \
+        .withColumn("topic", decode).drop("__tc")
     w = Window.partitionBy(id_col).orderBy("keyword_rank")
     top_rows = ranked.select(id_col, kw_col, "keyword_rank") \
                      .withColumn("__ord", F.row_number().over(w)) \
                      .filter(F.col("__ord") <= top)
-    wide = top_rows.groupBy(id_col).agg(
-        *[F.max(F.when(F.col("__ord") == i, F.col(kw_col))).alias(f"kw{i}") for i in range(1, top + 1)],
-        *[F.max(F.when(F.col("__ord") == i, F.col("keyword_rank"))).alias(f"kwr{i}")
-          for i in range(1, top + 1)])
-    per_article = ranked.groupBy(id_col).agg(
-        F.min("topic").alias("topic"),
-        F.sum("N").alias("kwr"),
-        F.min("keyword_rank").alias("minkwr"),
-        F.min_by(kw_col, "keyword_rank").alias("specific"))
+    lists = top_rows.groupBy(id_col).agg(
+        F.array_sort(F.collect_list(F.struct("__ord", "keyword_rank", kw_col))).alias("__top"))
+    pick = [F.get(F.col("__top"), i)[kw_col].alias(f"kw{i + 1}") for i in range(top)] + \
+           [F.get(F.col("__top"), i)["keyword_rank"].alias(f"kwr{i + 1}") for i in range(top)]
+    wide = lists.select(id_col, *pick).withColumn("specific", F.col("kw1"))
     return per_article.join(wide, on=id_col, how="inner")
+
+
+def topic_labels() -> list[str]:
+    """All topic labels (rules + default) in string order, for code/decode."""
+    return sorted({lab for lab, _ in TOPIC_RULES} | {DEFAULT_TOPIC})

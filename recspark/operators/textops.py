@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import rint0
 from ..functions.text import (char_length, coleman_liau, flesch_kincaid, readability_counts,
-                              sentiment_bucket, text_sentiment)
+                              sentiment_bucket, text_sentiment, tokens)
 
 # ---- fixed values: a small TEST lexicon drawn from frequent words of the driver's
 # documents (the reference's lexicon belongs to a third-party package and is not
@@ -60,11 +60,11 @@ def add_readability(df: DataFrame, text_col: str, fk_col: str = "readFR",
                     cl_col: str = "readCL") -> DataFrame:
     """Flesch–Kincaid and Coleman–Liau grades, rounded half-even (D12: the
     reference stores Flesch–Kincaid under the name ``readFR``; kept)."""
-    cnt = readability_counts(text_col)
-    return (df.withColumn("__rc", cnt)
+    return (df.withColumn("__toks", tokens(text_col))
+              .withColumn("__rc", readability_counts(text_col, F.col("__toks")))
               .withColumn(fk_col, rint0(flesch_kincaid(F.col("__rc"))))
               .withColumn(cl_col, rint0(coleman_liau(F.col("__rc"))))
-              .drop("__rc"))
+              .drop("__rc", "__toks"))
 
 
 def add_length(df: DataFrame, text_col: str, out: str = "comment_length") -> DataFrame:

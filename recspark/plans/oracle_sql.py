@@ -10,7 +10,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping, Sequence
 
-from ..functions.text import NONLETTER_RX, SENTENCE_RX, TOKEN_RX, VOWEL_GROUP_RX
+from ..functions.text import LETTER_RX, NONLETTER_RX, SENTENCE_RX, TOKEN_RX, VOWEL_GROUP_RX
 from ..functions.timefn import TIME_TO_POST
 from ..functions.topics import topic_sql
 from ..operators.features import COMMENT_POSITION
@@ -44,7 +44,7 @@ def tokens(x: str) -> str:
 
 def sentences(x: str) -> str:
     s = _v("s")
-    return f"list_filter(string_split_regex({x}, {q(SENTENCE_RX)}), lambda {s}: len({tokens(s)}) > 0)"
+    return f"list_filter(string_split_regex({x}, {q(SENTENCE_RX)}), lambda {s}: regexp_matches({s}, {q(LETTER_RX)}))"
 
 
 def readability(x: str) -> dict[str, str]:

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # small local inputs: keep several post-shuffle tasks for CPU-heavy stages
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
 
