@@ -184,3 +184,22 @@ def test_readability_counts(spark):
     cl = 5.88 * (14 / 5) - 29.6 * (2 / 5) - 15.8
     assert r[1].readFR == round(fk) + 0.0 and r[1].readCL == round(cl) + 0.0
     assert r[2].readFR is None and r[3].readCL is None
+
+
+def test_hot_key_is_split_across_buckets(spark):
+    """One article holds a third of all comments: numbering stays exact and the hot
+    article is spread over many (article, bucket) groups instead of one task."""
+    from recspark.operators.features import comment_order
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("articleID"),
+        (F.col("id") * 7 % n).alias("commentSequence"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("commentID"))
+    got = comment_order(df, bucket_width=512)
+    ref = df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("articleID").orderBy("commentSequence", "commentID")))
+    j = got.join(ref, ["articleID", "commentSequence", "commentID"])
+    assert j.count() == n and j.filter("com_ord != rn").count() == 0
+    hot_groups = df.filter("articleID = 0").select(F.floor(F.col("commentSequence") / 512)).distinct().count()
+    assert hot_groups > 50                       # ~10,000 hot rows in > 50 window groups
+    assert got.filter("articleID = 0").agg(F.max("com_ord")).collect()[0][0] == n // 3
