@@ -14,12 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.core import rint0, round_half_even
-from ..functions.timefn import (as_timestamp, hour_of, minutes_between, time_of_day,
-                                time_to_post_category, weekday_name, weekend_flag)
+from ..functions.timefn import as_timestamp, time_to_post_category
 from ..functions.topics import topic_of, topic_sql
-from ..operators import eda, features, keywords
-from ..operators.indexing import bucketed_row_number, exact_split, modulo_folds
+from ..operators import features, keywords
+from ..operators.indexing import bucketed_row_number
 from ..operators.text_to_columns import text_to_columns
 from ..operators.textops import add_length, add_readability, add_sentiment
 from ..sources import adapters
@@ -50,9 +48,6 @@ def _trn(spark: SparkSession, sf: str) -> DataFrame:
     return features.training_comments(spark, sf)
 
 
-R6 = lambda c: round_half_even(c, 6)
-
-
 def _r6(x: str) -> str:
     return f"(round_even({x}, 6) + 0.0)"
 

@@ -69,8 +69,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     tasks (default: the cluster's default parallelism).  A scan of one large
     row group is a single task; on a real layout with many files/row groups the
     scan already has enough partitions and this is a no-op (no shuffle)."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(n) if have < n else df
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
