@@ -173,16 +173,20 @@ def q_g16(spark, sf):
 
 # ------------------------------------------------------------------ feature table, split, audit
 _FEATURE_COLS = ["commentID", "articleID", "type", "com_ord", "com_pos_cat", "com_cat", "readFR", "readCL",
-                 "comment_length", "byline", "kw1", "kw2", "kw3", "kwr1", "kwr2", "kwr3", "timeofday", "wkdy",
-                 "dow", "topic", "specific", "kwr", "minkwr", "snip_cat", "time_to_post", "time_to_post_cat"]
+                 "byline", "kw1", "kw2", "kw3", "timeofday", "wkdy", "dow", "topic", "specific", "snip_cat",
+                 "time_to_post", "time_to_post_cat"]
+# nullable integer features are reported as R numerics (double) in both engines
+_NUMERIC_COLS = ["comment_length", "kwr1", "kwr2", "kwr3", "kwr", "minkwr"]
 
 
-@register("feature_join", FEAT + "SELECT " + ", ".join(_FEATURE_COLS)
+@register("feature_join", FEAT + "SELECT " + ", ".join(_FEATURE_COLS) + ", "
+          + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMERIC_COLS)
           + f", {_r6('com_sent')} AS com_sent, {_r6('snip_sent')} AS snip_sent FROM com_final2",
           "D-13 J2 J3 J4 J5 J6 J7 J8 J9 J10 P9 D-6..D-11 T4-T7")
 def q_feature_join(spark, sf):
     c = features.build_features(spark, sf).com_final
-    return c.select(*_FEATURE_COLS, R6("com_sent").alias("com_sent"), R6("snip_sent").alias("snip_sent"))
+    return c.select(*_FEATURE_COLS, *[F.col(x).cast("double").alias(x) for x in _NUMERIC_COLS],
+                    R6("com_sent").alias("com_sent"), R6("snip_sent").alias("snip_sent"))
 
 
 _SPLIT_SQL = f"""

@@ -154,10 +154,13 @@ def _kwf(spark, sf):
     return keywords.article_keyword_features(keywords.rank_keywords(adapters.keyword_pairs(spark, sf)))
 
 
-@register("keyword_top3", _kw_sql("SELECT articleID, kw1, kw2, kw3, kwr1, kwr2, kwr3 FROM wide"),
+@register("keyword_top3", _kw_sql("SELECT articleID, kw1, kw2, kw3, CAST(kwr1 AS DOUBLE) AS kwr1, "
+                                  "CAST(kwr2 AS DOUBLE) AS kwr2, CAST(kwr3 AS DOUBLE) AS kwr3 FROM wide"),
           "D-2 U4 W2")
 def q_keyword_top3(spark, sf):
-    return _kwf(spark, sf).select("articleID", "kw1", "kw2", "kw3", "kwr1", "kwr2", "kwr3")
+    # ranks of absent 2nd/3rd keywords are null: reported as R numerics (double)
+    return _kwf(spark, sf).select("articleID", "kw1", "kw2", "kw3",
+                                  *[F.col(f"kwr{i}").cast("double").alias(f"kwr{i}") for i in (1, 2, 3)])
 
 
 @register("keyword_topic", _kw_sql("SELECT articleID, topic FROM per"), "D-3 T8 A3")
