@@ -132,6 +132,15 @@ def position_category(x: str) -> str:
             f"WHEN {x} > 200 THEN {q(c[4])} END")
 
 
+def comment_id(a: str = "") -> str:
+    """SQL twin of ``adapters.comment_id`` (``a`` = table alias with dot)."""
+    parts = [f"{a}l_orderkey", f"{a}l_partkey", f"{a}l_suppkey", f"{a}l_linenumber",
+             f"CAST({a}l_quantity AS BIGINT)", f"CAST(round({a}l_extendedprice * 100) AS BIGINT)",
+             f"CAST(round({a}l_discount * 100) AS BIGINT)", f"CAST(round({a}l_tax * 100) AS BIGINT)",
+             f"{a}l_returnflag", f"{a}l_linestatus", f"strftime({a}l_shipdate, '%Y%m%d')"]
+    return "concat_ws('-', " + ", ".join(parts) + ")"
+
+
 def tag(k: str) -> str:
     return f"CASE WHEN {k} % 10 < 7 THEN 'trn' ELSE 'tst' END"
 
@@ -192,7 +201,7 @@ artf AS (SELECT a.articleID, a.type, a.byline, a.pubDate_dt, a.dow,
                 a.snip_sent, {sentiment_bucket('a.snip_sent')} AS snip_cat,
                 k.kw1, k.kw2, k.kw3, k.kwr1, k.kwr2, k.kwr3, k.topic, k.specific, k.kwr, k.minkwr
          FROM art2 a LEFT JOIN kwf k ON a.articleID = k.articleID),
-com0 AS (SELECT concat_ws('-', l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber) AS commentID,
+com0 AS (SELECT {comment_id('l.')} AS commentID,
                 l.l_orderkey AS articleID, CAST(l.l_linenumber AS BIGINT) AS commentSequence,
                 l.l_suppkey AS userID, CAST(l.l_shipdate AS TIMESTAMP) AS approveDate_ts,
                 (l.l_returnflag = 'R') AS editorsSelection, CAST(l.l_quantity AS BIGINT) AS recommendations,

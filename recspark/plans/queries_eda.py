@@ -190,7 +190,7 @@ def q_feature_join(spark, sf):
 
 
 _SPLIT_SQL = f"""
-WITH c AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS commentID
+WITH c AS (SELECT {O.comment_id()} AS commentID
            FROM lineitem WHERE l_orderkey % 10 < 7),
 r AS (SELECT commentID, row_number() OVER (ORDER BY {O.sample_hash('commentID', 19790324)}, commentID) AS rn,
              count(*) OVER () AS n FROM c)

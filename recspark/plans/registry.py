@@ -207,7 +207,7 @@ def q_time_features_articles(spark, sf):
 
 
 @register("time_to_post", f"""
-SELECT concat_ws('-', l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber) AS commentID, ttp AS time_to_post,
+SELECT {O.comment_id('l.')} AS commentID, ttp AS time_to_post,
        {O.ttp_category('ttp')} AS time_to_post_cat
 FROM (SELECT l.*, CASE WHEN m < 0 THEN 0.0 ELSE m + 0.0 END AS ttp FROM (
    SELECT l.*, round_even({O.minutes_between('CAST(l.l_shipdate AS TIMESTAMP)', 'CAST(o.o_orderdate AS TIMESTAMP)')}, 0) AS m
@@ -237,9 +237,8 @@ def q_time_to_post_events(spark, sf):
 # ============================================================== comment order, posters
 @register("comment_order", f"""
 SELECT commentID, articleID, com_ord, {O.position_category('com_ord')} AS com_pos_cat FROM (
-  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS commentID, l_orderkey AS articleID,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber,
-                            concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS com_ord
+  SELECT {O.comment_id()} AS commentID, l_orderkey AS articleID,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, {O.comment_id()}) AS com_ord
   FROM lineitem)
 """, "D-9 W3 W7 O1")
 def q_comment_order(spark, sf):

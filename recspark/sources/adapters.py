@@ -4,7 +4,7 @@ article  <- orders     articleID=o_orderkey, pubDate=o_orderdate, byline=o_order
                        snippet = documents.text with doc_id = o_orderkey (left)
 comment  <- lineitem   articleID=l_orderkey, commentSequence=l_linenumber, userID=l_suppkey,
                        approveDate=l_shipdate, editorsSelection=(l_returnflag='R'),
-                       recommendations=l_quantity, commentID = key of all key columns,
+                       recommendations=l_quantity, commentID = key of all columns,
                        commentBody = conversations.text with (conv_id, turn) =
                        (l_orderkey, l_linenumber) (left)
 keyword  <- (order, p_name) pairs through lineitem.l_partkey
@@ -28,10 +28,16 @@ def split_tag(key: str) -> F.Column:
 
 
 def comment_id(prefix: str = "l_") -> F.Column:
-    """(l_orderkey, l_partkey, l_suppkey, l_linenumber) is unique; its text form is
-    the comment key (never passed through double, D26)."""
-    return F.concat_ws("-", *[F.col(f"{prefix}{c}").cast("string")
-                              for c in ("orderkey", "partkey", "suppkey", "linenumber")])
+    """The comment key is built from ALL line-item columns (the four key columns are
+    not unique at every scale).  Numbers are written as integers (quantity, cents,
+    percent) and the date as yyyyMMdd, so any engine can rebuild the same text; it is
+    never passed through double (D26)."""
+    c = lambda n: F.col(f"{prefix}{n}")
+    parts = [c("orderkey"), c("partkey"), c("suppkey"), c("linenumber"),
+             c("quantity").cast("long"), F.round(c("extendedprice") * 100).cast("long"),
+             F.round(c("discount") * 100).cast("long"), F.round(c("tax") * 100).cast("long"),
+             c("returnflag"), c("linestatus"), F.date_format(c("shipdate"), "yyyyMMdd")]
+    return F.concat_ws("-", *[x.cast("string") for x in parts])
 
 
 def articles(spark: SparkSession, sf_dir: str, with_snippet: bool = False) -> DataFrame:

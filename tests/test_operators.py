@@ -203,3 +203,30 @@ def test_hot_key_is_split_across_buckets(spark):
     hot_groups = df.filter("articleID = 0").select(F.floor(F.col("commentSequence") / 512)).distinct().count()
     assert hot_groups > 50                       # ~10,000 hot rows in > 50 window groups
     assert got.filter("articleID = 0").agg(F.max("com_ord")).collect()[0][0] == n // 3
+
+
+def test_article_topic_is_least_label(spark):
+    """D8: 'Facebook' (Science) and 'Music' (Entertainment) in one article -> the least
+    label, '5. Entertainment'; an article without rule hits -> '9. Other'."""
+    pairs = spark.createDataFrame([(1, "Facebook"), (1, "Music"), (2, "Weather")], "articleID int, new string")
+    f = {r.articleID: r.topic for r in keywords.article_keyword_features(keywords.rank_keywords(pairs)).collect()}
+    assert f == {1: "5. Entertainment", 2: "9. Other"}
+
+
+def test_reference_invariants_on_driver_tables(spark):
+    """The joins keep the comment row count; the split shares are .70/.30 to two
+    digits; the comment id is a unique key (behind ``id_is_key``)."""
+    from recspark.operators import features
+    from recspark.operators.indexing import check_invariants
+    from recspark.sources import adapters
+    from .conftest import SF_SMALL
+    com = adapters.comments(spark, SF_SMALL)
+    eda.assert_unique_key(com)
+    n_raw = com.count()
+    ft = features.build_features(spark, SF_SMALL)
+    check_invariants({"rows_kept": F.count(F.lit(1)) == n_raw}, ft.com_final)
+    trn, tst = features.train_split(ft.com_final)
+    a, b = trn.count(), tst.count()
+    assert round(a / (a + b), 2) == 0.70 and round(b / (a + b), 2) == 0.30
+    with pytest.raises(AssertionError):
+        check_invariants({"impossible": F.count(F.lit(1)) < 0}, ft.com_final)
