@@ -7,8 +7,8 @@ Scale notes
 * ``num_com`` is ``n_distinct(commentID)``.  When the id is the table key
   (``id_is_key=True``, checked by ``assert_unique_key``) it equals the row count,
   and Spark avoids the extra full-data exchange that a distinct aggregate needs.
-* z-scores (W5) use a 1-row aggregate joined back (broadcast of one row), not a
-  window without partitionBy.
+* z-scores (W5) run on summary tables bounded by the fixed category lists, so a
+  whole-table window over a few dozen rows is the simplest exact plan.
 * quantiles (A19) are exact (type 7) and computed from ranks: values are bucketed by
   approximate per-group quantile bounds (order preserving), ranked with the
   bucketed row number, and only the ≤2 rows around each target rank are kept.  No
@@ -54,10 +54,11 @@ def summary(df: DataFrame, by: Sequence[str], id_is_key: bool = True,
 
 
 def zscore(df: DataFrame, c: str, out: str = "rescale") -> DataFrame:
-    """R ``scale(x)`` with the sample standard deviation, over the whole table."""
-    stats = df.agg(F.avg(c).alias("__m"), F.stddev_samp(c).alias("__s"))
-    return df.crossJoin(F.broadcast(stats)) \
-             .withColumn(out, (F.col(c) - F.col("__m")) / F.col("__s")).drop("__m", "__s")
+    """R ``scale(x)`` with the sample standard deviation, over the whole table.
+    Applied to summary tables whose size is bounded by fixed category lists (at most
+    4×7, 4×8 or 16×5 rows), so the whole-table window is a few dozen rows."""
+    w = Window.partitionBy()
+    return df.withColumn(out, (F.col(c) - F.avg(c).over(w)) / F.stddev_samp(c).over(w))
 
 
 def fixed_order(c: str, levels: Sequence[str], out: str) -> F.Column:
@@ -230,8 +231,10 @@ def ns_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     groups are real groups in R's ``by=``)."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
+    if not keys:
+        raise ValueError("ns_join needs at least one key")
     cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
-    j = left.join(r, on=cond, how=how) if cond else left.crossJoin(r)
+    j = left.join(r, on=cond, how=how)
     return j if how in ("left_semi", "left_anti") else j.drop(*[f"__r_{k}" for k in keys])
 
 
@@ -244,9 +247,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     ranked by :func:`bucketed_row_number`, and only the rows at ranks
     floor/ceil((n−1)p+1) are kept and interpolated.  Output: group cols, p, q.
     Nulls and NaN are dropped (``na.rm``)."""
-    g = list(group_cols)
-    x = df.select(*g, F.col(value_col).cast("double").alias("__v")) \
-          .filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    g = list(group_cols) or ["__all"]   # ungrouped: one constant group, same keyed plan
+    src = df if group_cols else df.withColumn("__all", F.lit(0))
+    x = src.select(*g, F.col(value_col).cast("double").alias("__v")) \
+           .filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = x.groupBy(*g).agg(F.percentile_approx("__v", qs, 10_000).alias("__bounds"),
                                F.count(F.lit(1)).alias("__n"))
@@ -264,7 +268,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     hi = picked.select(*g, F.col("__rn").alias("__hi"), F.col("__v").alias("__vhi"))
     j = ns_join(ns_join(tg, lo, [*g, "__lo"]), hi, [*g, "__hi"])
     q = F.col("__vlo") + (F.col("__h") - F.col("__lo")) * (F.col("__vhi") - F.col("__vlo"))
-    return j.select(*g, "p", q.alias("q"))
+    return j.select(*list(group_cols), "p", q.alias("q"))
 
 
 def boxplot_stats(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:

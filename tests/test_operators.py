@@ -134,6 +134,8 @@ def test_exact_quantiles_type7(spark):
     for p in (0.25, 0.5, 0.75):
         assert abs(q[("g", p)] - np.quantile(vals, p)) < 1e-12   # numpy default = type 7
         assert q[("h", p)] == 7.0
+    allq = {r.p: r.q for r in eda.exact_quantiles(df, [], "v", [0.5, 1.0]).collect()}
+    assert allq == {0.5: float(np.quantile(vals + [7.0], 0.5)), 1.0: 9.0}   # ungrouped
     box = eda.boxplot_stats(df, ["grp"], "v").filter("grp = 'g'").collect()[0]
     # IQR = 2.5 -> upper fence 8.75: 9 is the one outlier, the whisker ends at 6
     assert box.n == len(vals) and box.ymin == 1.0 and box.ymax == 6.0 and box.n_outliers == 1
