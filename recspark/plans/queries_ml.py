@@ -53,7 +53,7 @@ def _nf(prep):
 def q_ml_glm_search(spark, sf):
     prep, trn, _, _ = _data(spark, sf)
     board, _ = S.grid_search(spark, S.with_folds(trn, KEY), S.ALGOS["glm"], S.GLM_GRID, _nf(prep), KEY,
-                             max_models=3, seed=1, fixed={"lambda": 1e-3})
+                             max_models=2, seed=1, fixed={"lambda_search": True, "lambda_path": (1.0, 0.01)})
     return board
 
 
