@@ -78,7 +78,7 @@ def g01(trn: DataFrame) -> DataFrame:
               .otherwise(F.col("editorsSelection").cast("int"))
     return bucketed_row_number(
         t, [], [F.col("editorsSelection").asc_nulls_last(), F.col("recs").desc(), F.col(ID).asc()],
-        [es_key, -F.col("recs"), F.substring(ID, 1, 3)], out="plot_order")
+        [es_key, -F.col("recs"), F.substring(ID, 1, 4)], out="plot_order")
 
 
 def g02(trn: DataFrame, id_is_key: bool = True) -> DataFrame:
@@ -239,20 +239,28 @@ def ns_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], n_buckets: int = 256) -> DataFrame:
+                    probs: Sequence[float], n_buckets: int | None = None,
+                    rows_per_bucket: int = 2_000_000) -> DataFrame:
     """R ``quantile(x, p, type=7)`` per group, exact and distributed.
 
     Values are bucketed by approximate per-group bounds (``percentile_approx``; they
     only balance the work — any order-preserving bucket gives the same answer),
     ranked by :func:`bucketed_row_number`, and only the rows at ranks
     floor/ceil((n−1)p+1) are kept and interpolated.  Output: group cols, p, q.
-    Nulls and NaN are dropped (``na.rm``)."""
+    Nulls and NaN are dropped (``na.rm``).  Unless given, the number of buckets follows
+    the largest group (≥256, ≤65,536, about ``rows_per_bucket`` rows each) and the
+    sketch accuracy follows the bucket count, so one window task stays bounded even
+    when a group holds a third of the rows."""
     g = list(group_cols) or ["__all"]   # ungrouped: one constant group, same keyed plan
     src = df if group_cols else df.withColumn("__all", F.lit(0))
     x = src.select(*g, F.col(value_col).cast("double").alias("__v")) \
            .filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    if n_buckets is None:
+        largest = x.groupBy(*g).count().agg(F.max("count")).collect()[0][0] or 0
+        n_buckets = int(min(65_536, max(256, -(-largest // rows_per_bucket))))
+    accuracy = max(10_000, 4 * n_buckets)
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = x.groupBy(*g).agg(F.percentile_approx("__v", qs, 10_000).alias("__bounds"),
+    bounds = x.groupBy(*g).agg(F.percentile_approx("__v", qs, accuracy).alias("__bounds"),
                                F.count(F.lit(1)).alias("__n"))
     xb = ns_join(x, bounds.drop("__n"), g) \
         .withColumn("__bk", F.size(F.filter("__bounds", lambda b: b < F.col("__v")))) \
