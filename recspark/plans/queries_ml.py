@@ -171,3 +171,20 @@ def q_ml_ensemble_models(spark, sf):
     names = list(models)
     w = E.weight_trials(spark, 200, n_models=len(names), seed=3)
     return E.best_trials(E.search_weights(preds, w, "recommendations", models=names, clamp=["pred_glm2"]))
+
+
+@register("ml_stack", None, "M11 M13")
+def q_ml_stack(spark, sf):
+    """Stacked ensemble: out-of-fold predictions of three learners (joined by key) feed
+    a linear metalearner; returns its coefficients and cross-validated MAE."""
+    prep, trn, _, _ = _data(spark, sf)
+    mb = max_bins_for(prep)
+    d = S.with_folds(trn, KEY)
+    base = {"rf": ("rf", {"ntrees": 10, "max_depth": 6, "max_bins": mb}),
+            "gbm": ("gbm", {"ntrees": 5, "max_depth": 3, "learn_rate": 0.3, "max_bins": mb}),
+            "glm": ("glm", {"alpha": 0.5})}
+    oofs = {n: S.cross_validate(d, S.ALGOS[a], p, _nf(prep), KEY, refit=False).oof for n, (a, p) in base.items()}
+    meta, cv_mae, _ = S.stack(oofs, KEY)
+    rows = [(n, float(c), float(cv_mae)) for n, c in zip(oofs, meta.coefficients.toArray())]
+    rows.append(("intercept", float(meta.intercept), float(cv_mae)))
+    return spark.createDataFrame(rows, "input string, coefficient double, cv_mae double")
