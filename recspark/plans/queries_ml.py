@@ -175,13 +175,14 @@ def q_ml_ensemble_models(spark, sf):
 
 @register("ml_stack", None, "M11 M13")
 def q_ml_stack(spark, sf):
-    """Stacked ensemble: out-of-fold predictions of three learners (joined by key) feed
-    a linear metalearner; returns its coefficients and cross-validated MAE."""
+    """Stacked ensemble: out-of-fold predictions of base learners (joined by key) feed
+    a linear metalearner; returns its coefficients and cross-validated MAE.  (The
+    boosted learner joins the stacks inside ``ml_automl``.)"""
     prep, trn, _, _ = _data(spark, sf)
     mb = max_bins_for(prep)
     d = S.with_folds(trn, KEY)
     base = {"rf": ("rf", {"ntrees": 10, "max_depth": 6, "max_bins": mb}),
-            "gbm": ("gbm", {"ntrees": 5, "max_depth": 3, "learn_rate": 0.3, "max_bins": mb}),
+            "rf_deep": ("rf", {"ntrees": 10, "max_depth": 12, "mtries": 1, "max_bins": mb}),
             "glm": ("glm", {"alpha": 0.5})}
     oofs = {n: S.cross_validate(d, S.ALGOS[a], p, _nf(prep), KEY, refit=False).oof for n, (a, p) in base.items()}
     meta, cv_mae, _ = S.stack(oofs, KEY)
