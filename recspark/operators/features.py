@@ -23,7 +23,7 @@ from ..functions.timefn import (epoch_seconds_ts, hour_of, parse_iso, time_of_da
                                 time_to_post_category, weekday_name, weekend_flag)
 from ..sources import adapters
 from ..sources.tables import spread
-from .indexing import bucketed_row_number, exact_split
+from .indexing import bucketed_row_number, exact_split, range_row_number
 from .keywords import article_keyword_features, explode_keywords, rank_keywords
 from .textops import add_length, add_readability, add_sentiment
 
@@ -52,10 +52,17 @@ def comment_position(c: str = "com_ord") -> F.Column:
 
 
 def comment_order(com: DataFrame, group: str = "articleID", seq: str = "commentSequence",
-                  tiebreak: str = "commentID", bucket_width: int = 4096) -> DataFrame:
-    """D-9: com_ord = row number by (sequence, id) inside the article + its bucket."""
-    out = bucketed_row_number(com, [group], [seq, tiebreak],
-                              [F.floor(F.col(seq) / bucket_width)], out="com_ord")
+                  tiebreak: str = "commentID", bucket_width: int = 4096,
+                  strategy: str = "bucket") -> DataFrame:
+    """D-9: com_ord = row number by (sequence, id) inside the article + its bucket.
+    ``strategy="bucket"`` splits hot articles by sequence bucket (one hash shuffle);
+    ``"range"`` splits any hot article, even one whose sequence never changes (range
+    shuffle + one write)."""
+    if strategy == "range":
+        out = range_row_number(com, [group], [seq, tiebreak], out="com_ord")
+    else:
+        out = bucketed_row_number(com, [group], [seq, tiebreak],
+                                  [F.floor(F.col(seq) / bucket_width)], out="com_ord")
     return out.withColumn("com_pos_cat", comment_position("com_ord"))
 
 

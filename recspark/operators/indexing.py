@@ -52,6 +52,36 @@ def bucketed_row_number(df: DataFrame, partition_cols: Sequence[str],
                   .drop("__off", *bnames))
 
 
+def range_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
+                     out: str = "rn", n_partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by P order by O)`` that splits ANY hot key.
+
+    ``order_cols`` (ascending) must make (P, O) a total order — end it with a unique
+    key.  A range shuffle on (P, O) cuts the global order into contiguous ranges, so
+    a key holding a third of the rows spans many partitions whatever its order values
+    are; inside a partition rows are sorted and numbered with consecutive ids.  The
+    table is written once (ids are then fixed), and only per (key, partition) counts
+    and first ids — a small table — are windowed to get each key's running offset:
+    rn = offset + id − first id + 1.  Costs one range shuffle + sort (like a window)
+    plus one write of the input."""
+    keys = [*partition_cols, *order_cols]
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+           .withColumn("__pid", F.spark_partition_id())
+           .withColumn("__id", F.monotonically_increasing_id()))
+    x = materialize(x, "rangerank")
+    grp = [*partition_cols, "__pid"]
+    firsts = x.groupBy(*grp).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
+    w = (Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()) \
+        .orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = firsts.select(*[F.col(k).alias(f"__o_{k}") for k in grp], "__first",
+                         F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
+    cond = [x[k].eqNullSafe(offs[f"__o_{k}"]) for k in grp]
+    j = x.join(offs, on=cond, how="inner")
+    return (j.withColumn(out, (F.col("__off") + F.col("__id") - F.col("__first") + 1).cast("long"))
+             .drop("__pid", "__id", "__first", "__off", *[f"__o_{k}" for k in grp]))
+
+
 def sample_hash(key: str | Column, seed: int) -> Column:
     """52-bit non-negative hash of ``seed:key`` from MD5 (hex digits 1-13).
 

@@ -265,3 +265,27 @@ def test_density_matches_brute_force(spark):
         for i, a in enumerate(gx):
             for j, b in enumerate(gy):
                 assert abs(mine[(round(a, 6), round(b, 6))] - brute[i, j]) <= 1e-12 + 1e-9 * brute[i, j]
+
+
+
+def test_range_row_number_splits_constant_hot_key(spark):
+    """A hot article whose sequence number never changes (the case an order-preserving
+    bucket cannot split): range numbering is exact and spreads it over partitions."""
+    from recspark.operators.features import comment_order
+    from recspark.operators.indexing import range_row_number
+    n = 20_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 501 + 1).alias("articleID"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 13).alias("commentSequence"),
+        F.format_string("c%06d", F.col("id")).alias("commentID"))
+    got = comment_order(df, strategy="range")
+    ref = df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("articleID").orderBy("commentSequence", "commentID")))
+    j = got.join(ref, ["articleID", "commentSequence", "commentID"])
+    assert j.count() == n and j.filter("com_ord != rn").count() == 0
+    direct = range_row_number(df, ["articleID"], ["commentSequence", "commentID"], n_partitions=8)
+    cmp = direct.join(ref.withColumnRenamed("rn", "rn_ref"), ["articleID", "commentSequence", "commentID"])
+    assert cmp.filter("rn != rn_ref").count() == 0
+    parts = (df.repartitionByRange(8, "articleID", "commentSequence", "commentID")
+               .filter("articleID = 0").select(F.spark_partition_id()).distinct().count())
+    assert parts > 1                       # the hot article spans several range partitions
