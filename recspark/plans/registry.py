@@ -246,6 +246,12 @@ def q_comment_order(spark, sf):
     return features.comment_order(c).select("commentID", "articleID", "com_ord", "com_pos_cat")
 
 
+@register("comment_order_range", REGISTRY["comment_order"].sql, "D-9 W3 W8 (range numbering)")
+def q_comment_order_range(spark, sf):
+    c = adapters.comments(spark, sf, with_body=False)
+    return features.comment_order(c, strategy="range").select("commentID", "articleID", "com_ord", "com_pos_cat")
+
+
 @register("comment_order_events", f"""
 SELECT event_id, user_id, com_ord, {O.position_category('com_ord')} AS com_pos_cat FROM (
   SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS com_ord FROM events)
