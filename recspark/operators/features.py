@@ -13,6 +13,7 @@ Plan shape at scale
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.core import ladder, r_bool
 from ..functions.timefn import (epoch_seconds_ts, hour_of, parse_iso, time_of_day, time_to_post,
                                 time_to_post_category, weekday_name, weekend_flag)
+from ..session import ensure_checkpoint_dir
 from ..sources import adapters
 from ..sources.tables import spread
 from .indexing import bucketed_row_number, exact_split, range_row_number
@@ -152,8 +154,30 @@ def train_split(com_final: DataFrame, fraction: float = 0.70, seed: int = 197903
             flagged.filter(~F.col("__s")).drop("__s"))
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Build a derived table once per application and source folder, write it to the
+    checkpoint folder and read it back afterwards (the reference saves its feature
+    tables the same way and every later step reads them)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        df = build()
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recspark-{name}-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``com_final`` of the driver tables, written once."""
+    return written_table(spark, sf_dir, "com_final", lambda: build_features(spark, sf_dir).com_final)
+
+
 def training_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exploration input: the 70 % training split with a matched article."""
-    feats = build_features(spark, sf_dir)
-    trn, _ = train_split(feats.com_final)
-    return trn.filter(F.col("pubDate_dt").isNotNull())
+    def split():
+        trn, _ = train_split(feature_table(spark, sf_dir), materialize_input=False)
+        return trn
+    return written_table(spark, sf_dir, "trn", split).filter(F.col("pubDate_dt").isNotNull())

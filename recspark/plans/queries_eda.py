@@ -184,7 +184,7 @@ _NUMERIC_COLS = ["comment_length", "kwr1", "kwr2", "kwr3", "kwr", "minkwr"]
           + f", {_r6('com_sent')} AS com_sent, {_r6('snip_sent')} AS snip_sent FROM com_final2",
           "D-13 J2 J3 J4 J5 J6 J7 J8 J9 J10 P9 D-6..D-11 T4-T7")
 def q_feature_join(spark, sf):
-    c = features.build_features(spark, sf).com_final
+    c = features.feature_table(spark, sf)
     return c.select(*_FEATURE_COLS, *[F.col(x).cast("double").alias(x) for x in _NUMERIC_COLS],
                     R6("com_sent").alias("com_sent"), R6("snip_sent").alias("snip_sent"))
 
@@ -235,8 +235,8 @@ SELECT split, count(*) AS n_rows, count(DISTINCT articleID) AS n_articles,
 FROM fl GROUP BY split
 """, "A17 P1 X3")
 def q_audit_counts(spark, sf):
-    c = features.build_features(spark, sf).com_final.filter(F.col("type") == "trn")
-    s = exact_split(c, "commentID", 0.70, 19790324, flag="__s")
+    c = features.feature_table(spark, sf).filter(F.col("type") == "trn")
+    s = exact_split(c, "commentID", 0.70, 19790324, flag="__s", materialize_input=False)
     s = s.withColumn("split", F.when(F.col("__s"), "trn").otherwise("tst"))
     matched = F.col("pubDate_dt").isNotNull()
     return s.groupBy("split").agg(
