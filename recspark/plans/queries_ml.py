@@ -19,7 +19,7 @@ from ..ml import search as S
 from ..ml.prep import feature_columns, fit_prep, max_bins_for
 from ..operators import ensemble as E
 from ..operators.indexing import exact_split
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir
 from ..sources import adapters
 from ..sources.tables import write_scored
 from .registry import register
@@ -29,9 +29,20 @@ RF_QUERY_GRID = {"ntrees": [10, 20], "max_depth": [5, 8], "min_rows": [5, 10], "
                  "nbins": [10, 20], "mtries": [-1, 2]}
 
 
+_PREPARED: dict = {}
+
+
 def _data(spark, sf):
-    """(prep, train, holdout, submission) — prepared once and written to the
-    checkpoint folder (every learner reads them many times)."""
+    """(prep, train, holdout, submission) — prepared once per session and source
+    folder and written to the checkpoint folder (every learner reads them many times)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PREPARED:
+        _PREPARED[key] = _prepare(spark, sf)
+    prep, paths = _PREPARED[key]
+    return (prep, *[spark.read.parquet(p) for p in paths])
+
+
+def _prepare(spark, sf):
     lf = adapters.learning_frame(spark, sf)
     labelled = lf.filter(F.pmod(F.col(KEY), F.lit(10)) < 7)
     sub = lf.filter(F.pmod(F.col(KEY), F.lit(10)) >= 7).drop("recommendations")
@@ -39,10 +50,13 @@ def _data(spark, sf):
     feats = feature_columns(lf)
     prep = fit_prep(s.filter("__s"), feats, max_levels=64)
     cols = [KEY, "recommendations", "features"]
-    trn = materialize(prep.transform(s.filter("__s")).select(*cols), "ml_trn")
-    tst = materialize(prep.transform(s.filter(~F.col("__s"))).select(*cols), "ml_tst")
-    subp = materialize(prep.transform(sub).select(KEY, "features"), "ml_sub")
-    return prep, trn, tst, subp
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recspark-ml-{uuid.uuid4().hex}"
+    parts = {"trn": prep.transform(s.filter("__s")).select(*cols),
+             "tst": prep.transform(s.filter(~F.col("__s"))).select(*cols),
+             "sub": prep.transform(sub).select(KEY, "features")}
+    for name, df in parts.items():
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+    return prep, [f"{base}/{n}" for n in parts]
 
 
 def _nf(prep):
