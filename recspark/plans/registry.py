@@ -306,3 +306,17 @@ def q_readability_documents(spark, sf):
 def q_readability_conversations(spark, sf):
     d = add_length(add_readability(spread(read_table(spark, sf, "conversations")), "text"), "text")
     return d.select("conv_id", "turn", "readFR", "readCL", "comment_length")
+
+
+@register("text_scores_labelled", "SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS quality, "
+          "CAST(l.toxic AS DOUBLE) AS toxic, "
+          f"{_r6(O.sentiment('d.text'))} AS sent, {O.readability('d.text')['readCL']} AS readCL "
+          "FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id",
+          "J6 J8 J9 (text scores ⟕ labels: unlabeled documents keep null labels)")
+def q_text_scores_labelled(spark, sf):
+    d = spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+    d = add_readability(add_sentiment(d, "text", "sent", "__c", digits=6), "text").select("doc_id", "sent", "readCL")
+    # labels are null for unlabeled documents: reported as doubles in both engines
+    lab = read_table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"),
+                                                 F.col("toxic").cast("double").alias("toxic"))
+    return d.join(lab, "doc_id", "left").select("doc_id", "quality", "toxic", "sent", "readCL")
