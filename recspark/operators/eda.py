@@ -240,7 +240,7 @@ def ns_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], n_buckets: int | None = None,
-                    rows_per_bucket: int = 2_000_000) -> DataFrame:
+                    rows_per_bucket: int = 2_000_000, in_memory_rows: int = 1_000_000) -> DataFrame:
     """R ``quantile(x, p, type=7)`` per group, exact and distributed.
 
     Values are bucketed by approximate per-group bounds (``percentile_approx``; they
@@ -250,13 +250,22 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     Nulls and NaN are dropped (``na.rm``).  Unless given, the number of buckets follows
     the largest group (≥256, ≤65,536, about ``rows_per_bucket`` rows each) and the
     sketch accuracy follows the bucket count, so one window task stays bounded even
-    when a group holds a third of the rows."""
+    when a group holds a third of the rows.  When every group has at most
+    ``in_memory_rows`` values (and ``n_buckets`` is not forced), Spark's exact
+    ``percentile`` aggregate (same interpolation) does it in one pass; its per-group
+    buffer is then bounded by that limit."""
     g = list(group_cols) or ["__all"]   # ungrouped: one constant group, same keyed plan
     src = df if group_cols else df.withColumn("__all", F.lit(0))
     x = src.select(*g, F.col(value_col).cast("double").alias("__v")) \
            .filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
     if n_buckets is None:
         largest = x.groupBy(*g).count().agg(F.max("count")).collect()[0][0] or 0
+        if largest <= in_memory_rows:
+            pa = F.array(*[F.lit(float(p)) for p in probs])
+            qv = x.groupBy(*g).agg(F.percentile("__v", pa).alias("__q"))
+            out = qv.select(*g, F.posexplode("__q").alias("__i", "q")) \
+                    .withColumn("p", F.element_at(pa, F.col("__i") + 1))
+            return out.select(*list(group_cols), "p", "q")
         n_buckets = int(min(65_536, max(256, -(-largest // rows_per_bucket))))
     accuracy = max(10_000, 4 * n_buckets)
     qs = [i / n_buckets for i in range(1, n_buckets)]
