@@ -44,10 +44,6 @@ def register(name: str, sql: str | None, ops: str):
     return deco
 
 
-def _trn(spark: SparkSession, sf: str) -> DataFrame:
-    return features.training_comments(spark, sf)
-
-
 def _r6(x: str) -> str:
     return f"(round_even({x}, 6) + 0.0)"
 
