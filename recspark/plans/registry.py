@@ -138,16 +138,21 @@ SELECT articleID, new, N, keyword_rank, topic,
        row_number() OVER (PARTITION BY articleID ORDER BY keyword_rank) AS ord2 FROM ranked
 """, "D-1 A2 J1 W1 W2 W6 W7 O1 T8")
 def q_keyword_rank(spark, sf):
-    r = keywords.rank_keywords(adapters.keyword_pairs(spark, sf))
-    return keywords.keyword_ordinals(r)
+    return keywords.keyword_ordinals(_ranked(spark, sf))
 
 
 def _kw_sql(select: str) -> str:
     return "WITH " + O.ranked_keywords_cte().strip() + ",\n" + O.article_kw_cte().strip() + "\n" + select
 
 
+def _ranked(spark, sf):
+    """The ranked (article, keyword) table — the reference's out3 — written once per session."""
+    return features.written_table(spark, sf, "kwranked",
+                                  lambda: keywords.rank_keywords(adapters.keyword_pairs(spark, sf)))
+
+
 def _kwf(spark, sf):
-    return keywords.article_keyword_features(keywords.rank_keywords(adapters.keyword_pairs(spark, sf)))
+    return keywords.article_keyword_features(_ranked(spark, sf))
 
 
 @register("keyword_top3", _kw_sql("SELECT articleID, kw1, kw2, kw3, CAST(kwr1 AS DOUBLE) AS kwr1, "
