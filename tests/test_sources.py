@@ -55,3 +55,22 @@ def test_reference_csv_to_features(spark, tmp_path):
     write_scored(back.select("commentID", F.lit(3.0).alias("pred_recs")), str(tmp_path / "sub"))  # S6
     sub = spark.read.option("header", True).csv(str(tmp_path / "sub")).collect()
     assert sub[0].commentID == "5" and sub[0].pred_recs == "3.0"
+
+
+def test_written_table_is_built_once_per_session_and_source(spark):
+    """Derived tables shared by many queries are written once per (application, source
+    folder, name) and read back; another source folder gets its own table."""
+    from recspark.operators import features
+    calls = []
+
+    def build(n):
+        def make():
+            calls.append(n)
+            return spark.range(n).withColumnRenamed("id", "x")
+        return make
+
+    a1 = features.written_table(spark, "/src/a", "t_cache_test", build(3))
+    a2 = features.written_table(spark, "/src/a", "t_cache_test", build(5))
+    b1 = features.written_table(spark, "/src/b", "t_cache_test", build(5))
+    assert calls == [3, 5]
+    assert a1.count() == 3 and a2.count() == 3 and b1.count() == 5
