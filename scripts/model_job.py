@@ -82,7 +82,8 @@ def main() -> None:
     w = E.weight_trials(spark, args.trials, n_models=len(names))
     best = E.best_trials(E.search_weights(holdout, w, LABEL, models=names, clamp=["pred_glm"]))
     write_table(best, f"{args.out}/ensemble_best")
-    print("best ensemble weights:", [tuple(r) for r in best.collect()])
+    top = spark.read.parquet(f"{args.out}/ensemble_best").orderBy("trial").take(5)  # ties are all kept
+    print(f"best ensemble trials written to {args.out}/ensemble_best; first:", [tuple(r) for r in top])
     spark.stop()
 
 
