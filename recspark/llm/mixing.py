@@ -100,8 +100,9 @@ def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int =
     cut = inside.withColumn("run", run).where((F.col("run") - F.col("size") < F.col("rest")) & (F.col("rest") <= F.col("run")))
     cut = cut.select(F.col("source").alias("s2"), F.col("key").alias("cut_key"), F.col("size").alias("cut_size"),
                      (F.col("rest") - F.col("run") + F.col("size")).alias("cut_words"))
-    return t.join(cut, F.col("source").eqNullSafe(F.col("s2")), "left").select(
-        "source", "source_size", "target", "epochs", "cut_key", "cut_size", "cut_words")
+    # written, so that Spark knows its size (one row per source) and broadcasts it only if it is small
+    return materialize(t.join(cut, F.col("source").eqNullSafe(F.col("s2")), "left").select(
+        "source", "source_size", "target", "epochs", "cut_key", "cut_size", "cut_words"), "mix-cuts")
 
 
 def _last_epoch(size, key):

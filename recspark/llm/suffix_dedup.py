@@ -14,12 +14,12 @@ bucket is refined by what stands at later offsets, the refined buckets being use
    all documents share is one entry per block and not one per document.
 3. Second refinement, by the bucket of the half before and of the half after the q-gram:
    a shared 50-byte string covers one of them, so runs alone in both are done.
-4. Third refinement, by whole strings, only for what is left: grouped minimum of the document
-   ids (combined before the shuffle), joined back.
+4. Third refinement, by whole strings, only for what is left, shipped and merged in the same
+   way.
 
-Buckets are hashes (40 bits of the q-gram beyond its partition and 40 of the context; 96 bits
-of whole strings).  The shipped entries are packed per block and partition.  A document
-longer than a block is read in overlapping parts.
+Buckets are hashes (40 bits of the q-gram beyond its partition and 40 of the context; 64 bits
+of whole strings beyond theirs).  The shipped entries are packed per block and partition.  A
+document longer than a block is read in overlapping parts.
 
 Defined results: a null text is the empty text; strings are judged on the input, and the
 earliest document keeps them; repeats inside one document stay, as do rows with a null id;
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +44,10 @@ from .common import shuffle_partitions
 from .rolling import Rolling, mix, sliding_min
 
 LENGTH = 50
-Q = 16
+Q = 12
 SIDE = (LENGTH - Q) // 2          # a shared string goes this far beyond the q-gram on one side
-BLOCK = 6_000_000                 # bytes; positions in a block have 24 bits
+BLOCK = 1_500_000                 # bytes; positions in a block have 24 bits
+STRINGS = 400_000                 # whole strings that are shipped as one block
 _LOW24 = np.uint64((1 << 24) - 1)
 _TOP40 = ~_LOW24
 _WHOLE = 1 << 7                   # flag of a run that is removed as a whole
@@ -62,24 +64,26 @@ def _unplane(raw: memoryview, n: int, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-_WIDTHS = {"q": 5, "c": 5, "left": 1, "right": 1, "back": 1, "more": 1, "lo": 4, "doc": 4}
+#: Bytes of each column of shipped runs, and of shipped strings.
+_WIDTHS = {"q": 5, "c": 5, "left": 2, "right": 2, "back": 1, "more": 1, "lo": 4, "doc": 4}
+_STRING_WIDTHS = {"w": 8, "lo": 4, "doc": 4}
 
 
-def _pack(ids: np.ndarray, cols: dict[str, np.ndarray]) -> bytes:
+def _pack(ids: np.ndarray, cols: dict[str, np.ndarray], widths: dict[str, int] = _WIDTHS) -> bytes:
     """Entries of one block and partition: number of documents and entries, the documents'
     ids, and the columns; ``doc`` is the place among the ids."""
     used, doc = np.unique(cols["doc"], return_inverse=True)
     step = np.diff(doc, prepend=0)            # entries are in document order
     head = np.array([len(used), len(doc)], "<u8").tobytes() + ids[used].astype("<i8").tobytes()
-    return head + b"".join(_planes(step if k == "doc" else cols[k], w) for k, w in _WIDTHS.items())
+    return head + b"".join(_planes(step if k == "doc" else cols[k], w) for k, w in widths.items())
 
 
-def _unpack(raw: bytes) -> dict[str, np.ndarray]:
+def _unpack(raw: bytes, widths: dict[str, int] = _WIDTHS) -> dict[str, np.ndarray]:
     view = memoryview(raw)
     docs, n = (int(x) for x in np.frombuffer(view[:16], "<u8"))
     ids = np.frombuffer(view[16:16 + 8 * docs], "<i8")
     at, out = 16 + 8 * docs, {}
-    for k, w in _WIDTHS.items():
+    for k, w in widths.items():
         out[k] = _unplane(view[at:at + n * w], n, w)
         at += n * w
     out["doc"] = ids[np.cumsum(out["doc"].astype(np.int64))] if n else np.zeros(0, np.int64)
@@ -111,8 +115,8 @@ def runs_of(parts: list[tuple[int, bytes, int]]) -> dict[str, np.ndarray]:
     context = mix((whole[lo] * odd + whole[hi]) * odd + shape)
     offset = np.array([x[2] for x in parts], np.int64) - start
     return {"doc": np.array([x[0] for x in parts], np.int64)[part], "lo": lo + offset[part], "more": hi - lo, "back": a - lo,
-            "code": code, "c": context >> np.uint64(24), "left": side[np.maximum(a - SIDE, 0)] & np.uint64(255),
-            "right": side[np.minimum(a, len(side) - 1)] & np.uint64(255)}
+            "code": code, "c": context >> np.uint64(24), "left": side[np.maximum(a - SIDE, 0)] & np.uint64(0xFFFF),
+            "right": side[np.minimum(a, len(side) - 1)] & np.uint64(0xFFFF)}
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes, int]]]:
@@ -139,6 +143,31 @@ def _as_run(lo: np.ndarray, more: np.ndarray, flag: int) -> np.ndarray:
     return lo.astype(np.int64) << 8 | more.astype(np.int64) | flag
 
 
+def _shipped(ids: np.ndarray, cols: dict[str, np.ndarray], same: np.ndarray, part: np.ndarray, n_parts: int,
+             widths: dict[str, int]) -> pa.RecordBatch:
+    """A block's entries, packed per partition.  Entries with equal ``same`` have one content:
+    if an earlier document of the block has it, an entry is decided here (as a run that goes,
+    packed under a negative partition)."""
+    order = np.argsort(same, kind="stable")
+    new = np.append(True, same[order][1:] != same[order][:-1])
+    lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    done = np.zeros(len(order), bool)
+    done[order] = cols["doc"][lead] < cols["doc"][order]
+    out_part, out = [], []
+    if done.any():
+        out_part.append(-1 - int(ids[0]) % n_parts)
+        run = _as_run(cols["lo"][done], cols["more"][done], _WHOLE)
+        out.append(np.column_stack([ids[cols["doc"][done]], run]).astype("<i8").tobytes())
+    live = np.flatnonzero(~done)
+    live = live[np.argsort(part[live], kind="stable")]
+    cut = np.searchsorted(part[live], np.arange(n_parts + 1))
+    for k in np.flatnonzero(np.diff(cut)):
+        at = live[cut[k]:cut[k + 1]]
+        out_part.append(int(k))
+        out.append(_pack(ids, {c: cols[c][at] for c in widths}, widths))
+    return pa.RecordBatch.from_arrays([pa.array(out_part, pa.int32()), pa.array(out, pa.binary())], ["part", "entries"])
+
+
 def _ship(n_parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
@@ -146,30 +175,10 @@ def _ship(n_parts: int):
             block.sort(key=lambda b: (b[0], b[2]))
             place = np.searchsorted(ids, [b[0] for b in block])
             e = runs_of([(int(k), raw, at) for k, (_, raw, at) in zip(place, block)])
-            if not e:
-                continue
-            # runs whose context an earlier document of the block has are decided here
-            both = mix(e["code"] ^ e["c"] * np.uint64(0xC2B2AE3D27D4EB4F))
-            order = np.argsort(both, kind="stable")
-            new = np.append(True, both[order][1:] != both[order][:-1])
-            lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-            done = np.zeros(len(order), bool)
-            done[order] = e["doc"][lead] < e["doc"][order]
-            part = (e["code"] % np.uint64(n_parts)).astype(np.int64)
-            e["q"] = e.pop("code") >> np.uint64(24)
-            out_part, out = [], []
-            if done.any():
-                out_part.append(-1 - int(ids[0]) % n_parts)
-                run = _as_run(e["lo"][done], e["more"][done], _WHOLE)
-                out.append(np.column_stack([ids[e["doc"][done]], run]).astype("<i8").tobytes())
-            live = np.flatnonzero(~done)
-            live = live[np.argsort(part[live], kind="stable")]
-            cut = np.searchsorted(part[live], np.arange(n_parts + 1))
-            for k in np.flatnonzero(np.diff(cut)):
-                at = live[cut[k]:cut[k + 1]]
-                out_part.append(int(k))
-                out.append(_pack(ids, {c: e[c][at] for c in _WIDTHS}))
-            yield pa.RecordBatch.from_arrays([pa.array(out_part, pa.int32()), pa.array(out, pa.binary())], ["part", "entries"])
+            if e:
+                code = e.pop("code")
+                e["q"] = code >> np.uint64(24)
+                yield _shipped(ids, e, mix(code ^ e["c"] * np.uint64(0xC2B2AE3D27D4EB4F)), (code % np.uint64(n_parts)).astype(np.int64), n_parts, _WIDTHS)
     return run
 
 
@@ -198,45 +207,91 @@ def refine(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     whole = e["doc"] > earliest
     n_contexts = np.bincount(b[np.flatnonzero(context)])
     rest = np.flatnonzero(~whole & (n_contexts[b] > 1))
+    lo, more = e["lo"].astype(np.int64), e["more"].astype(np.int64)
     if len(rest):
-        doc, side = e["doc"][rest], b[rest].astype(np.int64) * 256
-        rest = rest[_spread(side + e["left"][rest].astype(np.int64), doc) | _spread(side + e["right"][rest].astype(np.int64), doc)]
+        doc, side = e["doc"][rest], b[rest].astype(np.int64) << 16
+        left, right = _spread(side | e["left"][rest].astype(np.int64), doc), _spread(side | e["right"][rest].astype(np.int64), doc)
+        # strings that reach SIDE bytes before the q-gram start at `edge` or earlier, those
+        # that reach as far behind it start there or later
+        hi, edge = lo[rest] + more[rest], lo[rest] + e["back"][rest].astype(np.int64) - SIDE
+        hi = np.where(right, hi, np.minimum(hi, edge))
+        lo[rest] = np.where(left, lo[rest], np.maximum(lo[rest], edge))
+        more[rest] = hi - lo[rest]
+        rest = rest[(left | right) & (hi >= lo[rest])]
     at = np.concatenate([np.flatnonzero(whole), rest])
-    run = _as_run(e["lo"][at], e["more"][at], 0)
+    run = _as_run(lo[at], more[at], 0)
     run[:int(whole.sum())] |= _WHOLE
     return e["doc"][at], run
 
 
+def _decided(group: pd.DataFrame) -> pd.DataFrame:
+    pairs = np.frombuffer(b"".join(group["entries"]), "<i8").reshape(-1, 2)
+    return pd.DataFrame({"doc_id": pairs[:, 0], "run": pairs[:, 1]})
+
+
 def _refine(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     if key[0] < 0:
-        pairs = np.frombuffer(b"".join(group["entries"]), "<i8").reshape(-1, 2)
-        return pd.DataFrame({"doc_id": pairs[:, 0], "run": pairs[:, 1]})
+        return _decided(group)
     doc, run = refine(list(group["entries"]))
     return pd.DataFrame({"doc_id": doc, "run": run})
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the whole strings of runs that are not decided."""
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed bytes of the texts, which are shuffled by id twice."""
+    press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        docs, text, runs = (batch.column(k).to_pylist() for k in range(3))
-        for k in range(0, len(docs), 200):
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for doc, t, mine in zip(docs[k:k + 200], text[k:k + 200], runs[k:k + 200]):
-                buf = np.frombuffer((t or "").encode(), np.uint8)
-                run = np.unique(np.asarray(mine, np.int64))
-                more = run & 127
-                at = np.repeat(run >> 8, more + 1) + np.arange(int(more.sum()) + len(run)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
-                first, second = Rolling(buf).of(LENGTH), Rolling(buf, second=True).of(LENGTH)
-                for col, x in zip(out, (first[at].view(np.int64), (second[at] & np.uint64(0x7FFFFFFF)).astype(np.int64), np.full(len(at), doc), at)):
-                    col.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["w1", "w2", "doc_id", "at"])
+        raw = [press.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["doc_id", "raw"])
+
+
+def _strings(n_parts: int):
+    """Ships the whole strings of runs that are not decided."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
+
+        def shipped(held: list[tuple]) -> pa.RecordBatch:
+            held.sort(key=lambda x: x[0])
+            ids, place = np.unique(np.array([x[0] for x in held], np.int64), return_inverse=True)
+            first, w, at = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
+            cols = {"w": w, "lo": at, "more": np.zeros(len(at), np.int64), "doc": np.repeat(place, [len(x[3]) for x in held])}
+            return _shipped(ids, cols, w, (first % np.uint64(n_parts)).astype(np.int64), n_parts, _STRING_WIDTHS)
+
+        held, n = [], 0
+        for batch in batches:
+            for doc, raw, mine in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                buf = np.frombuffer(press.decompress(raw), np.uint8)
+                runs = np.unique(np.asarray(mine, np.int64))
+                more = (runs & 127) + 1
+                at = np.repeat(runs >> 8, more) + np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)
+                held.append((doc, Rolling(buf).of(LENGTH)[at], Rolling(buf, second=True).of(LENGTH)[at], at))
+                n += len(at)
+                if n > STRINGS:
+                    yield shipped(held)
+                    held, n = [], 0
+        if held:
+            yield shipped(held)
+    return run
+
+
+def _late(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    """Strings of one partition that an earlier document has, as runs that go."""
+    if key[0] < 0:
+        return _decided(group)
+    got = [_unpack(x, _STRING_WIDTHS) for x in group["entries"]]
+    w, doc, at = (np.concatenate([g[k] for g in got]) for k in ("w", "doc", "lo"))
+    order = np.lexsort((doc, w))
+    w, doc, at = w[order], doc[order], at[order].astype(np.int64)
+    new = np.append(True, w[1:] != w[:-1])
+    gone = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return pd.DataFrame({"doc_id": doc[gone], "run": _as_run(at[gone], 0 * at[gone], _WHOLE)})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdDecompressor()
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
         for doc, text, runs in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            buf = np.frombuffer((text or "").encode(), np.uint8)
+            buf = np.frombuffer(press.decompress(text), np.uint8)
             edge = np.zeros(len(buf) + 1, np.int64)
             if runs:
                 run = np.asarray(runs, np.int64)
@@ -251,6 +306,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _by_id(docs: DataFrame) -> DataFrame:
+    squeezed = docs.select("doc_id", "text").mapInArrow(_squeezed, "doc_id long, raw binary")
+    return squeezed.repartition(shuffle_partitions(docs.sparkSession), "doc_id")
+
+
 def removed_runs(docs: DataFrame) -> DataFrame:
     """``(doc_id, run)`` for documents with ``doc_id`` and ``text``: runs of strings to be
     removed, as ``first position << 8 | further strings``."""
@@ -259,19 +319,15 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     shipped = known.select("doc_id", "text").mapInArrow(_ship(n), "part int, entries binary")
     runs = materialize(shipped.groupBy("part").applyInPandas(_refine, "doc_id long, run long"), "passages")
     open_runs = runs.where(F.col("run").bitwiseAND(_WHOLE) == 0).groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
-    strings = known.select("doc_id", "text").repartition(n, "doc_id").join(open_runs, "doc_id").select("doc_id", "text", "runs").mapInArrow(
-        _strings, "w1 long, w2 long, doc_id long, at long")
-    strings = materialize(strings, "passage-strings")
-    first = strings.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    late = strings.join(first, ["w1", "w2"]).where(F.col("doc_id") > F.col("low"))
-    whole = runs.where(F.col("run").bitwiseAND(_WHOLE) != 0).select("doc_id", (F.col("run") - _WHOLE).alias("run"))
-    return whole.union(late.select("doc_id", F.shiftleft("at", 8).alias("run")))
+    strings = _by_id(known).join(open_runs, "doc_id").select("doc_id", "raw", "runs").mapInArrow(_strings(n), "part int, entries binary")
+    late = strings.groupBy("part").applyInPandas(_late, "doc_id long, run long")
+    whole = runs.where(F.col("run").bitwiseAND(_WHOLE) != 0)
+    return whole.union(late).select("doc_id", (F.col("run") - _WHOLE).alias("run"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     runs = removed_runs(rows).groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
-    n = shuffle_partitions(docs.sparkSession)
-    return rows.repartition(n, "doc_id").join(runs, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(
+    return _by_id(rows).join(runs, "doc_id", "left").select("doc_id", "raw", "runs").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
