@@ -33,11 +33,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,37 +52,64 @@ DEALS = 8
 SIDE = 256
 FEATURES = 1 << 18
 _SLICE = 4096
-_MEMORY = 400_000
 
 
-class _Hashes(dict):
-    """Word hashes, computed when first asked for."""
+_BASE = 0x9E3779B97F4A7C15
+_BATCH = 2_000_000               # bytes of text that are hashed at once
 
-    def __missing__(self, word: str) -> int:
-        got = self[word] = xxhash.xxh64_intdigest(word)
-        return got
 
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    one = np.ones(1, np.uint64)
+    return tuple(np.concatenate([one, np.multiply.accumulate(np.full(n, b, np.uint64))]) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
 
-_words = _Hashes()
 
+def word_hashes(raw: list[bytes]) -> list[np.ndarray]:
+    """Hashes of the words (runs of bytes other than ASCII white space) of each text, by prefix
+    sums of a polynomial over all bytes."""
+    x = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    n = len(x)
+    up, down = _powers(1 << max(21, (n - 1).bit_length()))
+    inside = np.concatenate([[False], (x != 32) & ((x < 9) | (x > 13)), [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up[:n], dtype=np.uint64)])
+    h = mix((run[end] - run[start]) * down[start] + (end - start).astype(np.uint64))
+    length = np.array([len(r) + 1 for r in raw])
+    first = np.searchsorted(start, np.cumsum(length) - length)
+    return np.split(h, first[1:])
 
-def _shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes (ascending) and their counts."""
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+
+def _shingles(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes (ascending) and their counts, from word hashes."""
     k = min(WORDS, len(h))
     n = len(h) - k + 1
     s = h[:n].copy()
     for j in range(1, k):
-        s = s * np.uint64(0x9E3779B97F4A7C15) + h[j:j + n]
-    return np.unique(mix(s), return_counts=True)
+        s = s * np.uint64(_BASE) + h[j:j + n]
+    s = mix(s)
+    s.sort()
+    first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+    return s[first], np.diff(np.append(first, n))
 
 
-def shingled(text: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+def hashed(text: list[str | None]) -> Iterator[np.ndarray]:
+    """Word hashes of each text, worked out in batches of bounded size."""
+    held, size = [], 0
     for t in text:
-        if len(_words) > _MEMORY:      # it only saves work: emptying it changes no result
-            _words.clear()
-        words = (t or "").split()
-        yield _shingles(words) if words else None
+        held.append((t or "").encode())
+        size += len(held[-1])
+        if size > _BATCH:
+            yield from word_hashes(held)
+            held, size = [], 0
+    if held:
+        yield from word_hashes(held)
+
+
+def shingled(text: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+    for h in hashed(text):
+        yield _shingles(h) if len(h) else None
 
 
 def _feature(shingles: np.ndarray) -> np.ndarray:
@@ -160,7 +187,10 @@ class Sampler:
             to = (mix(shingles ^ seed) % np.uint64(self.n)).astype(np.int64)
             use = np.flatnonzero(empty[to])
             a, t = self._draw(mix(shingles[use] + seed), log_w[use])
-            order = np.lexsort((a, to[use]))
+            # by sample, then by value (a float's bits, made to sort like the float)
+            bits = a.view(np.int32).astype(np.int64)
+            bits = np.where(bits < 0, -(bits & 0x7FFFFFFF), bits)
+            order = np.argsort(to[use] * (1 << 33) + bits, kind="stable")
             place = to[use][order]
             first = order[np.append(True, place[1:] != place[:-1])] if len(order) else order
             code[to[use[first]]] = codes(use[first], t[first])
@@ -190,10 +220,11 @@ def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> Da
         for batch in batches:
             ids, exact, keys = [], [], []
             text = batch.column(1).to_pylist()
-            for doc, t, got in zip(batch.column(0).to_pylist(), text, shingled(text)):
-                if got:
+            for doc, h in zip(batch.column(0).to_pylist(), hashed(text)):
+                if len(h):
+                    got = _shingles(h)
                     ids.append(doc)
-                    exact.append(hashlib.md5(" ".join(t.split()).encode()).digest())
+                    exact.append(hashlib.md5(h.tobytes()).digest())
                     keys.append(sampler.bands(got[0], got[1] * idf.value[_feature(got[0])], bands))
             x = np.frombuffer(b"".join(exact), "<i8").reshape(-1, 2)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
@@ -332,7 +363,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     # members of buckets that hold several texts, and how many such buckets a text is in
     placed = first.select("rep", F.posexplode("bands").alias("band", "key")).select(
         F.xxhash64("band", "key").alias("bucket"), F.col("rep").alias("doc"))
-    several = placed.groupBy("bucket").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("bucket")
+    several = placed.groupBy("bucket").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count(F.lit(1)).alias("n"),
+                                           F.bit_xor(F.xxhash64("doc")).alias("x"), F.sum(F.hash("doc").cast("long")).alias("y")).where("low < high")
+    # of buckets with the same members one is enough
+    several = several.groupBy("low", "high", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
     met = materialize(placed.join(several, "bucket", "left_semi").distinct(), "near-buckets")
     degree = met.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
     sets = materialize(_sets(docs.join(degree.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-sets")
