@@ -369,7 +369,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     several = several.groupBy("low", "high", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
     met = materialize(placed.join(several, "bucket", "left_semi").distinct(), "near-buckets")
     degree = met.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
-    sets = materialize(_sets(docs.join(degree.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-sets")
+    sets = materialize(_sets(docs.join(degree.select(F.col("doc").alias("doc_id")).hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-sets")
     lead = met.join(degree, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("n", -F.col("doc"))).alias("lead"))
     pairs = met.join(lead, "bucket").where(F.col("doc") != F.col("lead")).select(
         F.least("lead", "doc").alias("a"), F.greatest("lead", "doc").alias("b")).distinct()
