@@ -13,9 +13,9 @@ A task packs its own partition in one pass (`mapInArrow`, no shuffle): it holds
 at once), and what waits is carried over batches, so a task has one unfilled sequence at its
 end.  Sequence ids are (partition, number), so a repeated task gives the same ids.
 
-Token ids come from the vocabulary file; texts are cut at ASCII blanks, which no piece of
-this vocabulary crosses, and the ids of a word are remembered per worker (emptied when full,
-which changes no result).
+Token ids come from the vocabulary file.  Usual texts are cut into the vocabulary's pieces, all
+others at blanks, which no piece crosses; the ids of a part are remembered per worker (emptied
+when full, which changes no result).
 
 Defined results: a null text is the empty text and consists of the end id alone; repeated
 rows are packed each on its own; an empty table gives no rows; other columns are ignored and
@@ -24,6 +24,7 @@ may have any name.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -41,8 +42,12 @@ MAX_SEGMENTS = 512
 MAX_LOSS = 2048
 END_ID = 1
 WAITING = 256
-MEMORY = 500_000
-_CLOSING = ".,!?;:|$%&*#)"
+MEMORY = 1_000_000
+#: Letters that need no composition and whose lower case is one letter: texts of these, ASCII
+#: and common blanks fall into the vocabulary's pieces by one pattern.
+_LOWER = "a-zß-öø-ÿā-įı-ſ"
+_UNUSUAL = re.compile(f"[^\t\n\r -~À-ÖØ-öø-įı-ſ]")
+_PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LOWER}]+|[0-9]|[^\t\n\r 0-9{_LOWER}]+")
 _WORD_END = "</w>"
 
 
@@ -56,8 +61,7 @@ class WordIds:
         vocab = self.library.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(_WORD_END)]] = True
-        self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
@@ -66,49 +70,36 @@ class WordIds:
         """Purely alphabetic words, each one piece: encoded as one text, cut at word ends."""
         for k in range(0, len(cores), 2000):
             part = cores[k:k + 2000]
-            ids = np.asarray(self.library.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.asarray(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(part):
                 raw, at = ids.tobytes(), 0
                 for word, e in zip(part, (ends * 4).tolist()):
-                    self.cores[word] = raw[at:e]
+                    self.parts[word] = raw[at:e]
                     at = e
             else:
-                self.cores.update(zip(part, self._encode(part)))
-
-    def _learn(self, words: list[str]) -> None:
-        plain, other, cores, tails = [], [], set(), set()
-        for w in words:
-            core = w.rstrip(_CLOSING)
-            if core.isalpha() and (core.isascii() or core.lower().isalpha() and unicodedata.is_normalized("NFC", core)):
-                if core.isascii():
-                    core, tail = core.lower(), w[len(core):]
-                else:
-                    tail = w[len(core):]
-                plain.append((w, core, tail))
-                cores.add(core)
-                if tail:
-                    tails.add(tail)
-            else:
-                other.append(w)
-        if len(self.cores) >= MEMORY:
-            self.cores.clear()
-        self._learn_cores(list(cores.difference(self.cores)))
-        new = list(tails.difference(self.cores))
-        self.cores.update(zip(new, self._encode(new)))
-        got = self.cores
-        for w, core, tail in plain:
-            self.words[w] = got[core] + got[tail] if tail else got[core]
-        self.words.update(zip(other, self._encode(other)))
+                self.parts.update(zip(part, self._encode(part)))
+
+    def _known(self, parts: set[str]) -> None:
+        """Learns the ids of the parts that are not known yet."""
+        if len(self.parts) >= MEMORY:
+            self.parts.clear()
+        new = parts.difference(self.parts)
+        # a purely alphabetic part is one piece, if lower case and composition leave it so
+        plain = [w for w in new if w.isalpha() and (w.isascii() or w.lower().isalpha() and unicodedata.is_normalized("NFC", w))]
+        self._learn_cores(plain)
+        other = list(new.difference(plain))
+        self.parts.update(zip(other, self._encode(other)))
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
-        cut = [t.replace("\n", " ").split(" ") for t in batch]
-        if len(self.words) >= MEMORY:
-            self.words.clear()
-        new = set(chain.from_iterable(cut)).difference(self.words)
-        if new:
-            self._learn(list(new))
-        get = self.words.__getitem__
+        cut = []
+        for t in batch:
+            if _UNUSUAL.search(t) or "<|" in t:
+                cut.append(t.replace("\n", " ").split(" "))
+            else:
+                cut.append(_PIECE.findall(t.lower()))
+        self._known(set(chain.from_iterable(cut)))
+        get = self.parts.__getitem__
         return [np.frombuffer(b"".join(map(get, c)), "<u4") for c in cut]
 
 
