@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 PER_LANGUAGE = 400
 ORDER = 3
 FOLDS = 5
@@ -43,7 +45,8 @@ def held_out(id_col: Column) -> Column:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != ""))
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), per_language / F.count(F.lit(1))).alias("share"))
+    # written, so that Spark knows its size (one row per language) and need not move the texts
+    share = materialize(rows.groupBy("lang").agg(F.least(F.lit(1.0), per_language / F.count(F.lit(1))).alias("share")), "language-shares")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
     return rows.join(share, "lang").where(place < F.col("share")).select("lang", "text")
 
