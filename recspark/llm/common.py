@@ -74,7 +74,8 @@ def components(edges: DataFrame, a: str, b: str, name: str = "components") -> Da
         cur = materialize(small.union(low).where(F.col("u") != F.col("v")).distinct(), name)
 
 
-def texts(batches: Iterator, id_at: int = 0, text_at: int = 1) -> Iterator[tuple[list, list]]:
-    """Ids and texts of Arrow record batches; a null text is the empty text."""
+def slices(batches: Iterator, rows: int = 512) -> Iterator:
+    """Arrow record batches in small parts, so that few texts are Python objects at once."""
     for batch in batches:
-        yield batch.column(id_at).to_pylist(), [t or "" for t in batch.column(text_at).to_pylist()]
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import slices
 
 PER_LANGUAGE = 400
 ORDER = 3
@@ -67,7 +68,7 @@ def counts(rows: DataFrame) -> DataFrame:
     """``(lang, code, n)``: how often each four-byte string occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             by: dict[str, list[bytes]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by.setdefault(lang, []).append(text.encode())
@@ -158,7 +159,7 @@ def predict(docs: DataFrame, trees: Trees | None, id_col: str = "doc_id", text_c
         return [(frozen.value.langs[i], s) for i, s in zip(k, (1 / np.exp2(-more).sum(axis=1)).tolist())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out, block, held = [("und", 0.0)] * len(batch), [], 0
             where: list[int] = []
             for k, text in enumerate(batch.column(2).to_pylist()):

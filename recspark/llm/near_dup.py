@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import components
+from .common import components, slices
 from .rolling import mix
 
 WORDS = 5
@@ -121,7 +121,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, docs_held = np.zeros(FEATURES, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for got in shingled(batch.column(0).to_pylist()):
                 if got:
                     held[np.unique(_feature(got[0]))] += 1
@@ -217,7 +217,7 @@ def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(bands * rows)
-        for batch in batches:
+        for batch in slices(batches):
             ids, exact, keys = [], [], []
             text = batch.column(1).to_pylist()
             for doc, h in zip(batch.column(0).to_pylist(), hashed(text)):
@@ -250,11 +250,9 @@ def _sets(docs: DataFrame) -> DataFrame:
     """``(doc_id, s)``: the shingles of whole texts, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for k in range(0, len(ids), 512):
-                got = [as_set(*g).tobytes() if g else b"" for g in shingled(batch.column(1).slice(k, 512).to_pylist())]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[k:k + 512], pa.int64()), pa.array(got, pa.binary())], ["doc_id", "s"])
+        for batch in slices(batches):
+            got = [as_set(*g).tobytes() if g else b"" for g in shingled(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], ["doc_id", "s"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s binary")
 

@@ -37,12 +37,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 512
 MAX_LOSS = 2048
 END_ID = 1
 WAITING = 256
-MEMORY = 1_000_000
+MEMORY = 500_000
 #: Letters that need no composition and whose lower case is one letter: texts of these, ASCII
 #: and common blanks fall into the vocabulary's pieces by one pattern.
 _LOWER = "a-zß-öø-ÿā-įı-ſ"
@@ -203,14 +205,12 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
         words = _word_ids(vocabulary)
         packer = Packer(TaskContext.get().partitionId() << 40, max_tokens, max_segments, max_loss)
         end = np.array([end_id], "<u4")
-        for batch in batches:
-            ids, bears = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            text = [t or "" for t in batch.column(1).to_pylist()]
-            for k in range(0, len(ids), 256):
-                for doc_id, got, b in zip(ids[k:k + 256], words.encode(text[k:k + 256]), bears[k:k + 256]):
-                    packer.add(doc_id, np.concatenate([got, end]), bool(b))
-                if packer.out:
-                    yield rows(packer)
+        for batch in slices(batches, 256):
+            ids, text, bears = (c.to_pylist() for c in batch.columns)
+            for doc_id, got, b in zip(ids, words.encode([t or "" for t in text]), bears):
+                packer.add(doc_id, np.concatenate([got, end]), b)
+            if packer.out:
+                yield rows(packer)
         packer.fill(0)
         if packer.out:
             yield rows(packer)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import shuffle_partitions
+from .common import shuffle_partitions, slices
 from .rolling import Rolling, mix, sliding_min
 
 LENGTH = 50
@@ -123,7 +123,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes
     """Blocks of ``(id, bytes, offset)``; a document beyond a block comes in parts that
     overlap by one string less a byte."""
     block, held = [], 0
-    for batch in batches:
+    for batch in slices(batches):
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             raw = (text or "").encode()
             for at in range(0, max(1, len(raw) - LENGTH + 1), BLOCK):
@@ -239,7 +239,7 @@ def _refine(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
 def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compressed bytes of the texts, which are shuffled by id twice."""
     press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
+    for batch in slices(batches):
         raw = [press.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["doc_id", "raw"])
 
@@ -257,7 +257,7 @@ def _strings(n_parts: int):
             return _shipped(ids, cols, w, (first % np.uint64(n_parts)).astype(np.int64), n_parts, _STRING_WIDTHS)
 
         held, n = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for doc, raw, mine in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 buf = np.frombuffer(press.decompress(raw), np.uint8)
                 runs = np.unique(np.asarray(mine, np.int64))
@@ -288,7 +288,7 @@ def _late(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in slices(batches):
         out: list[list] = [[], [], [], [], []]
         for doc, text, runs in zip(*(batch.column(k).to_pylist() for k in range(3))):
             buf = np.frombuffer(press.decompress(text), np.uint8)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import slices
 
 LIMIT = 512
 MEMORY = 600_000
@@ -258,15 +258,14 @@ def prefix_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(vocabulary)
-        for ids, batch in texts(batches):
-            for k in range(0, len(ids), 512):
-                tables = counter.prefixes(batch[k:k + 512])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[k:k + 512], pa.int64()),
-                    pa.array([len(t.encode()) for t in batch[k:k + 512]], pa.int64()),
-                    pa.array([_changes_sum(p) for p in tables], pa.int64()),
-                    pa.array([len(p) if len(p) <= budget else longest_prefix(p, budget) for p in tables], pa.int64()),
-                    pa.array(tables, pa.binary())], ["doc_id", "n_bytes", "n_tokens", "n_fit", "prefix_tokens"])
+        for batch in slices(batches):
+            text = [t or "" for t in batch.column(1).to_pylist()]
+            tables = counter.prefixes(text)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([len(t.encode()) for t in text], pa.int64()),
+                pa.array([_changes_sum(p) for p in tables], pa.int64()),
+                pa.array([len(p) if len(p) <= budget else longest_prefix(p, budget) for p in tables], pa.int64()),
+                pa.array(tables, pa.binary())], ["doc_id", "n_bytes", "n_tokens", "n_fit", "prefix_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, n_fit long, prefix_tokens binary")
