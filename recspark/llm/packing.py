@@ -14,8 +14,8 @@ at once), and what waits is carried over batches, so a task has one unfilled seq
 end.  Sequence ids are (partition, number), so a repeated task gives the same ids.
 
 Token ids come from the vocabulary file.  Usual texts are cut into the vocabulary's pieces, all
-others at blanks, which no piece crosses; the ids of a part are remembered per worker (emptied
-when full, which changes no result).
+others at blanks, which no piece crosses; the ids of a part are remembered within a task
+(emptied when full, which changes no result).
 
 Defined results: a null text is the empty text and consists of the end id alone; repeated
 rows are packed each on its own; an empty table gives no rows; other columns are ignored and
@@ -211,6 +211,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
                 packer.add(doc_id, np.concatenate([got, end]), b)
             if packer.out:
                 yield rows(packer)
+        words.parts.clear()      # a worker waits for its next task without them
         packer.fill(0)
         if packer.out:
             yield rows(packer)

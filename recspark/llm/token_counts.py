@@ -10,7 +10,7 @@ answered from it without encoding again (`tokens_at`, `longest_prefix`, `truncat
 
 The work runs in `mapInArrow` on the scan's own partitions: no shuffle, one Arrow batch in
 memory.  Texts are cut where no piece can cross (from a non-blank to a blank
-character), and the changes of a chunk are remembered per worker; the memory of chunks is
+character), and the changes of a chunk are remembered within a task; the memory of chunks is
 emptied when it is full, which changes no result.
 
 Defined results: a null text is the empty text (0 tokens, an empty table); repeated rows
@@ -266,6 +266,8 @@ def prefix_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
                 pa.array([_changes_sum(p) for p in tables], pa.int64()),
                 pa.array([len(p) if len(p) <= budget else longest_prefix(p, budget) for p in tables], pa.int64()),
                 pa.array(tables, pa.binary())], ["doc_id", "n_bytes", "n_tokens", "n_fit", "prefix_tokens"])
+        counter.chunks.clear()   # a worker waits for its next task without them
+        counter.pieces.clear()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, n_fit long, prefix_tokens binary")
