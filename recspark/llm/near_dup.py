@@ -55,7 +55,7 @@ _SLICE = 4096
 
 
 _BASE = 0x9E3779B97F4A7C15
-_BATCH = 2_000_000               # bytes of text that are hashed at once
+_BATCH = 400_000               # bytes of text that are hashed at once
 
 
 @lru_cache(maxsize=1)
@@ -70,7 +70,7 @@ def word_hashes(raw: list[bytes]) -> list[np.ndarray]:
     sums of a polynomial over all bytes."""
     x = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     n = len(x)
-    up, down = _powers(1 << max(21, (n - 1).bit_length()))
+    up, down = _powers(1 << max(19, (n - 1).bit_length()))
     inside = np.concatenate([[False], (x != 32) & ((x < 9) | (x > 13)), [False]])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]

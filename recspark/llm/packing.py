@@ -44,7 +44,7 @@ MAX_SEGMENTS = 512
 MAX_LOSS = 2048
 END_ID = 1
 WAITING = 256
-MEMORY = 500_000
+MEMORY = 200_000
 #: Letters that need no composition and whose lower case is one letter: texts of these, ASCII
 #: and common blanks fall into the vocabulary's pieces by one pattern.
 _LOWER = "a-zß-öø-ÿā-įı-ſ"
