@@ -10,7 +10,6 @@ Sub-packages:
 * ``ml``        — Spark ML estimators and search (GLM, RF, Poisson boosting, MLP,
   cross-validation, stacking, LIME-style explanation)
 * ``plans``     — the registered queries and their DuckDB oracle SQL
-* ``streaming`` — notes only: the reference has no streaming behaviour
 """
 
 __version__ = "0.1.0"

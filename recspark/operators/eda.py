@@ -5,7 +5,7 @@ Each graph of the reference becomes a DataFrame with the numbers behind the char
 Scale notes
 * ``summary`` is a partial/final hash aggregation: one small shuffle.
 * ``num_com`` is ``n_distinct(commentID)``.  When the id is the table key
-  (``id_is_key=True``, checked by ``assert_unique_key``) it equals the row count,
+  (``id_is_key=True``, to be checked first by ``assert_unique_key``) it equals the row count,
   and Spark avoids the extra full-data exchange that a distinct aggregate needs.
 * z-scores (W5) run on summary tables bounded by the fixed category lists, so a
   whole-table window over a few dozen rows is the simplest exact plan.
@@ -42,7 +42,7 @@ def assert_unique_key(df: DataFrame, key: str = ID) -> None:
         raise AssertionError(f"{key} is not a unique non-null key: {row}")
 
 
-def summary(df: DataFrame, by: Sequence[str], id_is_key: bool = True,
+def summary(df: DataFrame, by: Sequence[str], id_is_key: bool = False,
             extra: Sequence[F.Column] = ()) -> DataFrame:
     """A8 shape: recs = Σ recommendations (0 when none), num_com = n_distinct(id),
     avg_recs = recs / num_com."""
@@ -81,7 +81,7 @@ def g01(trn: DataFrame) -> DataFrame:
         [es_key, -F.col("recs"), F.substring(ID, 1, 4)], out="plot_order")
 
 
-def g02(trn: DataFrame, id_is_key: bool = True) -> DataFrame:
+def g02(trn: DataFrame, id_is_key: bool = False) -> DataFrame:
     """A8 + W4: number of editor-selection groups per article -> description."""
     t = summary(trn, ["articleID", "editorsSelection"], id_is_key)
     t = t.withColumn("maxord", F.count(F.lit(1)).over(Window.partitionBy("articleID")).cast("long"))
@@ -90,7 +90,7 @@ def g02(trn: DataFrame, id_is_key: bool = True) -> DataFrame:
                                          "The Article does not have Editor Selected Comments"))
 
 
-def g03_points(trn: DataFrame, id_is_key: bool = True, xlim=(-100.0, 3000.0),
+def g03_points(trn: DataFrame, id_is_key: bool = False, xlim=(-100.0, 3000.0),
                ylim=(-100.0, 500.0)) -> DataFrame:
     """A9 + P16: per (article, editorsSelection) points inside the axis limits."""
     t = summary(trn, ["articleID", "editorsSelection"], id_is_key, [F.max("kwr").alias("kwr")])
@@ -125,6 +125,9 @@ def g03_density(trn: DataFrame, grid: int = 100, xlim=(-100.0, 3000.0),
     # write it once to the checkpoint folder instead of re-deriving it from raw data
     pts = materialize(pts, "g03pts")
     bw = ns_join(_nrd(pts, "g", "x"), _nrd(pts, "g", "y").drop("__n"), ["g"])
+    flat = [r["g"] for r in bw.collect() if not ((r["h_x"] or 0) > 0 and (r["h_y"] or 0) > 0)]
+    if flat:  # one row per group
+        raise ValueError(f"no positive bandwidth for group(s) {flat}: the middle half of the values is equal")
     data = ns_join(pts, F.broadcast(bw), ["g"])  # one row per group: bounded
     gx = np.linspace(xlim[0], xlim[1], grid)
     gy = np.linspace(ylim[0], ylim[1], grid)
@@ -156,19 +159,24 @@ def g03_density(trn: DataFrame, grid: int = 100, xlim=(-100.0, 3000.0),
                       "density")
 
 
-def g_topic(trn: DataFrame, by: str, id_is_key: bool = True) -> DataFrame:
+def g_topic(trn: DataFrame, by: str, id_is_key: bool = False) -> DataFrame:
     """A10/A11 -> letters only (F2, after grouping) -> drop null."""
     t = summary(trn, [by], id_is_key).withColumn(by, letters_only(by))
     return t.filter(F.col(by).isNotNull())
 
 
-def g_top_keyword(trn: DataFrame, by: str, k: int = 10, id_is_key: bool = True) -> DataFrame:
-    """A12 ordered by (−avg_recs, keyword), first ten rows (O3)."""
+def g_keyword(trn: DataFrame, by: str, id_is_key: bool = False) -> DataFrame:
+    """A12 of every non-null keyword (P15); the chart orders them by avg_recs."""
+    return summary(trn.filter(F.col(by).isNotNull()), [by], id_is_key)
+
+
+def g_top_keyword(trn: DataFrame, by: str, k: int = 10, id_is_key: bool = False) -> DataFrame:
+    """O3: the first rows of A12 ordered by (−avg_recs, keyword)."""
     t = summary(trn, [by], id_is_key)
     return t.orderBy(F.col("avg_recs").desc(), F.col(by).asc_nulls_last()).limit(k)
 
 
-def g_heat(trn: DataFrame, by: Sequence[str], z_on: str, id_is_key: bool = True,
+def g_heat(trn: DataFrame, by: Sequence[str], z_on: str, id_is_key: bool = False,
            where: F.Column | None = None, orders: dict | None = None) -> DataFrame:
     """Summary -> z-score of ``z_on`` -> fixed level order."""
     src = trn.filter(where) if where is not None else trn
@@ -183,12 +191,12 @@ def read_filter() -> F.Column:
     return (F.col("readCL") > 0) & (F.col("readCL") <= 16)
 
 
-def g09(trn, id_is_key=True):
+def g09(trn, id_is_key=False):
     return g_heat(trn, ["timeofday", "dow"], "avg_recs", id_is_key,
                   orders={"dow": (WEEKDAYS, "dow_ord"), "timeofday": (TIME_OF_DAY, "timeofday_ord")})
 
 
-def g10(trn, id_is_key=True):
+def g10(trn, id_is_key=False):
     return g_heat(trn, ["timeofday", "dow"], "recs", id_is_key,
                   orders={"dow": (WEEKDAYS, "dow_ord"), "timeofday": (TIME_OF_DAY, "timeofday_ord")})
 
@@ -198,27 +206,27 @@ def g11(trn):
     return trn.filter(read_filter()).select("readCL", RECS, "com_cat")
 
 
-def g12(trn, id_is_key=True):
+def g12(trn, id_is_key=False):
     return summary(trn.filter(read_filter()), ["readCL", "com_cat"], id_is_key)
 
 
-def g13(trn, id_is_key=True):
+def g13(trn, id_is_key=False):
     return g_heat(trn, ["readCL", "com_cat"], "recs", id_is_key, where=read_filter())
 
 
-def g14(trn, id_is_key=True):
+def g14(trn, id_is_key=False):
     return g_heat(trn, ["timeofday", "time_to_post_cat"], "recs", id_is_key,
                   orders={"time_to_post_cat": (TIME_TO_POST, "ttp_ord"),
                           "timeofday": (TIME_OF_DAY, "timeofday_ord")})
 
 
-def g15(trn, id_is_key=True):
+def g15(trn, id_is_key=False):
     return g_heat(trn, ["timeofday", "time_to_post_cat"], "avg_recs", id_is_key,
                   orders={"time_to_post_cat": (TIME_TO_POST, "ttp_ord"),
                           "timeofday": (TIME_OF_DAY, "timeofday_ord")})
 
 
-def g16(trn, id_is_key=True):
+def g16(trn, id_is_key=False):
     """A16 + A19: box statistics of avg_recs per comment-position category."""
     t = materialize(summary(trn, ["com_pos_cat", "articleID"], id_is_key), "g16")
     box = boxplot_stats(t, ["com_pos_cat"], "avg_recs")

@@ -99,13 +99,16 @@ def q_g05(spark, sf):
 
 
 for _i, _kw in ((6, "kw1"), (7, "kw2"), (8, "kw3")):
-    def _mk(kw):
+    def _mk(kw, graph):
         def fn(spark, sf):
-            return eda.g_top_keyword(_trn(spark, sf), kw)
+            return graph(_trn(spark, sf), kw)
         return fn
     register(f"g{_i:02d}", FEAT + f"""
+SELECT * FROM ({_sum_sql(_kw)}) WHERE {_kw} IS NOT NULL
+""", f"G{_i} A12 P15")(_mk(_kw, eda.g_keyword))
+    register(f"g{_i:02d}_top", FEAT + f"""
 SELECT * FROM ({_sum_sql(_kw)}) ORDER BY avg_recs DESC, {_kw} ASC NULLS LAST LIMIT 10
-""", f"G{_i} A12 O1 O3")(_mk(_kw))
+""", "A12 O1 O3")(_mk(_kw, eda.g_top_keyword))
 
 
 _TOD = _order_sql("timeofday", TIME_OF_DAY, "timeofday_ord")
