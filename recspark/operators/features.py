@@ -38,6 +38,10 @@ ARTICLE_FEATURES = ["type", "articleID", "byline", "kw1", "kw2", "kw3", "kwr1",
                     "snip_sent", "snip_cat", "pubDate_dt"]
 
 
+#: Names of computed columns; input columns of these names are dropped.
+ADDED = ["hr", "time_to_post", "time_to_post_cat", "com_sent", "com_cat", "comment_length", "readFR", "readCL"]
+
+
 def time_features(df: DataFrame, ts_col: str = "pubDate_dt") -> DataFrame:
     """D-6 + D-7: hr, timeofday, dow, wkdy."""
     return (df.withColumn("hr", hour_of(ts_col))
@@ -130,15 +134,17 @@ def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame,
     """The same feature build from inputs in the reference's own shape (S1/S2 output):
     articles (articleID, keywords text, pubDate ISO text, snippet, byline, type) and
     comments (commentID, articleID, userID, commentSequence, approveDate epoch seconds,
-    commentBody, editorsSelection text, recommendations, type).  D30: the
+    commentBody, editorsSelection text, recommendations, type).  Every other column of
+    the inputs is kept, so that models may use it (``ml.prep.feature_columns`` excludes by
+    name); an input column named like a computed one gives way to it.  D30: the
     editor-selection text is normalised for both sources."""
-    art = art_raw.select("articleID", parse_iso("pubDate").alias("pubDate_dt"), "byline", "type")
+    computed = [c for c in ARTICLE_FEATURES if c not in ("type", "articleID", "byline", "pubDate_dt")]
+    art = art_raw.drop(*computed, *ADDED).withColumn("pubDate_dt", parse_iso("pubDate")).drop("pubDate", "keywords", "snippet")
     pairs = explode_keywords(art_raw, "articleID", "keywords")
     snippets = art_raw.select("articleID", "snippet")
-    com = com_raw.select("commentID", "articleID", "commentSequence", "userID",
-                         epoch_seconds_ts("approveDate").alias("approveDate_ts"),
-                         r_bool("editorsSelection").alias("editorsSelection"),
-                         "recommendations", "type")
+    com = (com_raw.withColumn("approveDate_ts", epoch_seconds_ts("approveDate"))
+                  .withColumn("editorsSelection", r_bool("editorsSelection"))
+                  .drop("commentBody", "byline", "pubDate_dt", "com_ord", "com_pos_cat", *computed, *ADDED))
     bodies = com_raw.select("commentID", "commentBody")
     art_feat = article_features(art, pairs, snippets)
     return FeatureTables(art_feat, comment_features(com, art_feat, bodies, no_article_label,

@@ -6,7 +6,9 @@ over the input at scale and guesses types per file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,16 +79,57 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(n) if have < n else df
 
 
+#: Types of columns that the CSV files may have besides the declared ones (others stay text).
+OPTIONAL_CSV_TYPES = {"replyCount": T.LongType(), "articleWordCount": T.LongType()}
+
+
+def _typed(c: str, to: T.DataType) -> tuple[Column, Column]:
+    """The text column ``c`` as type ``to``, and whether it holds something else.  Empty text
+    and ``NA`` are null; ``12.0`` is a whole number."""
+    text = F.trim(F.col(c))
+    empty = text.isNull() | text.isin("", "NA")
+    if isinstance(to, T.StringType):
+        return F.col(c), F.lit(False)
+    whole = F.regexp_replace(text, r"\.0+$", "") if isinstance(to, (T.LongType, T.IntegerType)) else text
+    value = F.when(~empty, whole.try_cast(to))
+    return value, ~empty & value.isNull()
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
-                   tag: str | None = None) -> DataFrame:
-    """S1 + S2: header CSV with quoted multi-line fields, explicit schema, optional
-    constant source tag column ``type``."""
-    df = (spark.read.schema(schema)
-          .option("header", True).option("multiLine", True)
-          .option("quote", '"').option("escape", '"')
-          .option("mode", "PERMISSIVE")
-          .csv(path))
-    return df.withColumn("type", F.lit(tag)) if tag is not None else df
+                   tag: str | None = None, bad_row: str | None = None) -> DataFrame:
+    """S1 + S2: header CSV with quoted multi-line fields, optional constant source tag
+    column ``type``.
+
+    Columns are bound by their header name: those of ``schema`` come first with their
+    types (null where the file lacks them, as labels of a scoring set), all other columns
+    of the file follow, as text unless `OPTIONAL_CSV_TYPES` names them.  All files of a
+    folder must share one header order (Spark raises otherwise).  ``bad_row`` adds a
+    boolean column of that name: the record has too few or too many fields, or a field
+    that is not of its type (such a field is null).  Multi-line records make a file one
+    task: read the CSV once and write it as Parquet (``scripts/feature_job.py``)."""
+    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    header = spark.read.options(**options).csv(path).columns       # reads the first record only
+    if not set(header) & set(schema.fieldNames()):
+        raise ValueError(f"{path}: none of the columns {schema.fieldNames()} in the header {header}")
+    corrupt = "_corrupt_record"
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, corrupt]])
+    df = (spark.read.options(**options).schema(text).option("enforceSchema", False)
+          .option("columnNameOfCorruptRecord", corrupt).csv(path))
+    kept, bad = [], [F.col(corrupt).isNotNull()]
+    extra = [T.StructField(c, OPTIONAL_CSV_TYPES.get(c, T.StringType()))
+             for c in header if c not in schema.fieldNames()]
+    for f in [*schema.fields, *extra]:
+        if f.name not in header:
+            kept.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        value, wrong = _typed(f.name, f.dataType)
+        kept.append(value.alias(f.name))
+        bad.append(wrong)
+    if bad_row is not None:
+        kept.append(reduce(Column.__or__, bad).alias(bad_row))
+    if tag is not None:
+        kept.append(F.lit(tag).alias("type"))
+    return df.select(*kept)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -18,8 +18,10 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from recspark.operators import features  # noqa: E402
+from recspark.operators.indexing import check_invariants  # noqa: E402
 from recspark.session import DEFAULT_CONF, ensure_checkpoint_dir  # noqa: E402
 from recspark.sources.tables import (ARTICLE_CSV_SCHEMA, COMMENT_CSV_SCHEMA, read_delimited,  # noqa: E402
                                      write_table)
@@ -45,15 +47,22 @@ def main() -> None:
         ft = features.build_features(spark, args.sf_dir)
     else:
         def both(kind, schema):
-            trn = read_delimited(spark, f"{args.csv_dir}/train_{kind}.csv", schema, "trn")
-            tst = read_delimited(spark, f"{args.csv_dir}/test_{kind}.csv", schema, "tst")
-            return trn.unionByName(tst, allowMissingColumns=True)
-        ft = features.features_from_reference_inputs(both("articles", ARTICLE_CSV_SCHEMA),
-                                                     both("comments", COMMENT_CSV_SCHEMA))
+            """Both files, ingested once to Parquet; records that do not fit are counted and reported."""
+            for part, tag in (("train", "trn"), ("test", "tst")):
+                write_table(read_delimited(spark, f"{args.csv_dir}/{part}_{kind}.csv", schema, tag, bad_row="_bad"),
+                            f"{args.out}/raw_{kind}_{tag}")
+            raw = [spark.read.parquet(f"{args.out}/raw_{kind}_{tag}") for tag in ("trn", "tst")]
+            both_raw = raw[0].unionByName(raw[1], allowMissingColumns=True)
+            print(f"{kind}: bad_rows={both_raw.filter('_bad').count()} of {both_raw.count()}")
+            return both_raw.drop("_bad")
+        com_raw = both("comments", COMMENT_CSV_SCHEMA)
+        ft = features.features_from_reference_inputs(both("articles", ARTICLE_CSV_SCHEMA), com_raw)
 
     write_table(ft.art, f"{args.out}/art")
     write_table(ft.com_final, f"{args.out}/com_final", partition_by=["type"])
     com = spark.read.parquet(f"{args.out}/com_final")
+    if args.csv_dir:  # X3: the joins neither lose nor repeat a comment
+        check_invariants({"comments_kept": F.count(F.lit(1)) == com_raw.count()}, com)
     trn, tst = features.train_split(com, args.fraction, args.seed, materialize_input=False)
     write_table(trn, f"{args.out}/trn")
     write_table(tst, f"{args.out}/tst")

@@ -74,3 +74,33 @@ def test_written_table_is_built_once_per_session_and_source(spark):
     b1 = features.written_table(spark, "/src/b", "t_cache_test", build(5))
     assert calls == [3, 5]
     assert a1.count() == 3 and a2.count() == 3 and b1.count() == 5
+
+
+def test_csv_columns_are_bound_by_header_name(spark, tmp_path):
+    """Shuffled and extra columns, a missing label, and records that do not fit."""
+    head = ["replyCount", "commentBody", "commentID", "newDesk", "articleID", "articleWordCount", "commentSequence",
+            "approveDate", "createDate", "userID", "editorsSelection"]
+    _write(tmp_path / "test_comments.csv", head, [
+        [2, "two\nlines", 7, "OpEd", "a1", 900, 1, 1515158955, 1515158055, "10.0", "False"],
+        ["NA", "x", 8, "", "a1", "many", 2, 1515158955, 1515158055, 11, "1"],
+        [3, "y", 9, "Sports"]])
+    df = read_delimited(spark, str(tmp_path / "test_comments.csv"), COMMENT_CSV_SCHEMA, "tst", bad_row="bad")
+    rows = {r.commentID: r for r in df.collect()}
+    assert rows[7].commentBody == "two\nlines" and rows[7].articleID == "a1" and rows[7].userID == 10
+    assert rows[7].replyCount == 2 and rows[7].newDesk == "OpEd" and rows[7].articleWordCount == 900
+    assert rows[7].recommendations is None and rows[7].type == "tst"
+    assert [rows[k].bad for k in (7, 8, 9)] == [False, True, True]
+    assert rows[8].replyCount is None and rows[8].articleWordCount is None
+    assert df.filter("bad").count() == 2
+
+    art_head = ["snippet", "abstract", "articleID", "keywords", "byline", "pubDate"]
+    _write(tmp_path / "articles.csv", art_head, [["Plain.", "long abstract", "a1", "['Music']", "By X", "2018-01-05T13:14:15Z"]])
+    art = read_delimited(spark, str(tmp_path / "articles.csv"), ARTICLE_CSV_SCHEMA, "tst")
+    assert art.first().byline == "By X" and art.first().snippet == "Plain."
+    ft = features.features_from_reference_inputs(art, df.drop("bad"))
+    from recspark.ml.prep import feature_columns
+    assert {"replyCount", "newDesk", "articleWordCount"} <= set(feature_columns(ft.com_final))
+    assert ft.com_final.count() == 3
+    got = ft.com_final.filter("commentID = 7").first()
+    assert got.replyCount == 2 and got.byline == "By X" and got.kw1 == "Music"
+    assert "abstract" in ft.art.columns
