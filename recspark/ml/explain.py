@@ -1,12 +1,13 @@
 """Local explanation of single predictions (L1-L4, A21), LIME-style.
 
 L1 explainer: per numeric feature the quartile bin edges (``approxQuantile``, one
-   pass) and per categorical feature the level frequencies (one aggregation each;
-   at most ``max_levels`` rows reach the driver).
+   pass) and per categorical feature the frequencies of ALL levels, a table of cumulative
+   count intervals that stays distributed.
 L2 explain: for each case, ``n_permutations`` perturbed rows are generated inside
    the case row (``explode(sequence)`` — bounded by the parameter, no join): every
    feature draws a bin (numeric, then a uniform value inside it) or a level
-   (categorical) by its training frequency; row 0 is the case itself.  The model
+   (categorical) by its training frequency — a hashed training-row number, joined to the
+   level whose interval holds it by equality on interval blocks; row 0 is the case itself.  The model
    scores all rows in one ``transform``.  Each row is then coded 1/0 per feature
    ("same bin/level as the case"), weighted by the kernel
    sqrt(exp(−d²/width²)) with d = share of differing features, and ONE weighted ridge
@@ -25,30 +26,55 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 
 @dataclass
 class Explainer:
     numeric: dict[str, list[float]]          # bin edges incl. min and max
-    categorical: dict[str, list[tuple[str, float]]]  # (level, probability)
+    categorical: dict[str, Levels]
+
+
+@dataclass
+class Levels:
+    table: DataFrame    # (block, lo, hi, level): the level takes the training rows lo <= k < hi
+    rows: int           # training rows
+    step: int           # rows of a block; block = floor(k / step)
+
+
+def level_intervals(train: DataFrame, c: str, groups: int = 1024) -> Levels:
+    """All levels of ``c`` (null too) with their cumulative counts.
+
+    The running sum is taken inside hashed groups of levels and over the groups' totals (one
+    row a group, ``groups`` at most), so no task sees all levels.  Every interval is repeated
+    for the blocks it reaches; with as many blocks as levels the table has at most two rows
+    a level."""
+    group = F.pmod(F.xxhash64("level"), F.lit(groups))
+    counts = train.groupBy(F.col(c).cast("string").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts.withColumn("g", group), "levels")
+    size = counts.agg(F.count(F.lit(1)).alias("levels"), F.sum("n").alias("rows")).first()
+    rows = int(size["rows"] or 0)
+    step = max(1, -(-rows // max(1, size["levels"])))
+    offsets = counts.groupBy("g").agg(F.sum("n").alias("m")).select(
+        "g", F.coalesce(F.sum("m").over(Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("g").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    table = counts.withColumn("in", inside).join(offsets, "g").withColumn("lo", F.col("off") + F.col("in"))
+    table = table.withColumn("hi", F.col("lo") + F.col("n")).withColumn(
+        "block", F.explode(F.sequence(F.floor(F.col("lo") / step), F.floor((F.col("hi") - 1) / step))))
+    return Levels(materialize(table.select("block", "lo", "hi", "level"), "levels"), rows, step)
 
 
 def build_explainer(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                    n_bins: int = 4, max_levels: int = 64, rel_error: float = 1e-3) -> Explainer:
+                    n_bins: int = 4, rel_error: float = 1e-3) -> Explainer:
     """L1."""
     probs = [i / n_bins for i in range(n_bins + 1)]
     edges = train.approxQuantile(list(numeric), probs, rel_error) if numeric else []
     num = {c: sorted(set(e)) if len(set(e)) > 1 else [e[0], e[0] + 1.0] for c, e in zip(numeric, edges)}
-    cat = {}
-    for c in categorical:
-        rows = (train.groupBy(F.col(c).cast("string").alias("v")).count()
-                     .orderBy(F.col("count").desc(), F.col("v")).limit(max_levels).collect())
-        tot = sum(r["count"] for r in rows) or 1
-        cat[c] = [(r.v, r["count"] / tot) for r in rows]
-    return Explainer(num, cat)
+    return Explainer(num, {c: level_intervals(train, c) for c in categorical})
 
 
 def _bin_of(c: str, edges: list[float]) -> F.Column:
@@ -70,13 +96,16 @@ def perturb(cases: DataFrame, ex: Explainer, case_col: str, n_permutations: int
         val = lo + (hi - lo) * F.rand(seed + 31 * i + 1)
         x = x.withColumn(c, F.when(F.col("perm") == 0, F.col(c).cast("double")).otherwise(val))
     for i, (c, levels) in enumerate(ex.categorical.items()):
-        u = F.rand(seed + 7919 + 31 * i)
-        cum, expr = 0.0, None
-        for lv, p in levels:
-            cum += p
-            expr = F.when(u < cum, F.lit(lv)) if expr is None else expr.when(u < cum, F.lit(lv))
-        expr = expr.otherwise(F.lit(levels[-1][0])) if expr is not None else F.lit(None)
-        x = x.withColumn(c, F.when(F.col("perm") == 0, F.col(c).cast("string")).otherwise(expr))
+        if not levels.rows:
+            x = x.withColumn(c, F.when(F.col("perm") == 0, F.col(c).cast("string")))
+            continue
+        # drawn by hashing, so that a task that runs again draws the same
+        k = F.pmod(F.xxhash64(F.lit(seed + 7919 + 31 * i), F.col(case_col), F.col("perm")), F.lit(levels.rows))
+        x = x.withColumn("__k", k).withColumn("__block", F.floor(F.col("__k") / levels.step))
+        t = levels.table.select(*[F.col(n).alias(f"__t_{n}") for n in levels.table.columns])
+        x = x.join(t, (F.col("__block") == F.col("__t_block")) & (F.col("__k") >= F.col("__t_lo")) & (F.col("__k") < F.col("__t_hi")))
+        x = x.withColumn(c, F.when(F.col("perm") == 0, F.col(c).cast("string")).otherwise(F.col("__t_level"))).drop(
+            "__k", "__block", *t.columns)
     return x
 
 

@@ -136,7 +136,7 @@ def _explain(spark, sf):
     cases = raw_train.orderBy(F.col("recommendations").desc(), F.col(KEY)).limit(3) \
                      .select(KEY, *prep.numeric, *prep.categorical)
     return X.explain(cases, ex, lambda d: m.transform(prep.transform(d)), KEY,
-                     n_features=20, kernel_width=0.5, n_permutations=500)
+                     n_features=20, kernel_width=0.5)
 
 
 @register("ml_lime", None, "L1 L2 L4 P14")
