@@ -71,6 +71,21 @@ def write_registry(spark: SparkSession, rows: list[tuple[str, str, str, dict, fl
     return spark.read.parquet(path)
 
 
+def chain(df: DataFrame, models: dict[str, object]) -> DataFrame:
+    """Predictions of all models as columns of the same rows: one narrow pass, no join."""
+    for name, m in models.items():
+        df = m.transform(df).withColumnRenamed(PRED, name)
+    return df
+
+
+def score_with(spark: SparkSession, df: DataFrame, registry: DataFrame, names: list[str]) -> DataFrame:
+    """S7 + S8: load the named models through the registry table and score ``df``."""
+    paths = {r.model_name: r.path for r in registry.filter(F.col("model_name").isin(*names)).collect()}
+    if missing := [n for n in names if n not in paths]:
+        raise KeyError(f"not in the registry: {missing}")
+    return chain(df, {n: load_model(spark, paths[n]) for n in names})
+
+
 def submission(pred: DataFrame, id_col: str = "commentID", clamp: bool = True) -> DataFrame:
     """Id + round(prediction), clamped at 0; the id stays integral/text."""
     p = rint0(PRED)

@@ -151,21 +151,22 @@ def q_ml_lime_rollup(spark, sf):
 
 @register("ml_submission", None, "M14 S6 E0 S7 S8")
 def q_ml_submission(spark, sf):
-    """Fit two models, save them and the registry, reload, score the submission set,
+    """Cross-validate and fit two models, save them, write the registry with their errors,
+    find and reload them through it, score the submission set in one chain,
     average (E0) and return the scored rows (also written as a header CSV)."""
     prep, trn, _, sub = _data(spark, sf)
     mb = max_bins_for(prep)
-    rf = L.random_forest(ntrees=10, max_depth=6, max_bins=mb).fit(trn)
-    gbm = L.PoissonGBT(ntrees=5, max_depth=3, learn_rate=0.3, max_bins=mb).fit(trn, _nf(prep))
+    folds = S.with_folds(trn, KEY)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
-    RG.save_model(spark, rf, f"{base}/rf2")
-    RG.save_model(spark, gbm, f"{base}/gbm2")
-    RG.write_registry(spark, [("rf2", "rf", f"{base}/rf2", {}, 0.0), ("gbm2", "gbm", f"{base}/gbm2", {}, 0.0)],
-                      f"{base}/registry")
-    rf_l, gbm_l = RG.load_model(spark, f"{base}/rf2"), RG.load_model(spark, f"{base}/gbm2")
-    a = rf_l.transform(sub).select(KEY, F.col("prediction").alias("rf2"))
-    b = gbm_l.transform(sub).select(KEY, F.col("prediction").alias("gbm2"))
-    out = E.mean_of_two(a.join(b, KEY), "gbm2", "rf2").select(KEY, "pred_recs")
+    entries = []
+    for name, algo, params in (("rf2", "rf", {"ntrees": 10, "max_depth": 6, "max_bins": mb}),
+                               ("gbm2", "gbm", {"ntrees": 5, "max_depth": 3, "learn_rate": 0.3, "max_bins": mb})):
+        fitted = S.cross_validate(folds, S.ALGOS[algo], params, _nf(prep), KEY)
+        RG.save_model(spark, fitted.model, f"{base}/{name}")
+        entries.append((name, algo, f"{base}/{name}", params, fitted.cv_mae))
+    registry = RG.write_registry(spark, entries, f"{base}/registry")
+    scored = RG.score_with(spark, sub, registry, ["rf2", "gbm2"])
+    out = E.mean_of_two(scored, "gbm2", "rf2").select(KEY, "pred_recs")
     write_scored(out, f"{base}/submission_ens")
     return spark.read.schema("commentID long, pred_recs double").option("header", True) \
                 .csv(f"{base}/submission_ens")
@@ -179,11 +180,9 @@ def q_ml_ensemble_models(spark, sf):
     models = {"pred_rf2": L.random_forest(ntrees=10, max_depth=6, max_bins=mb).fit(trn),
               "pred_glm2": L.glm(alpha=0.5).fit(trn),
               "pred_gbm2": L.PoissonGBT(ntrees=5, max_depth=3, learn_rate=0.3, max_bins=mb).fit(trn, _nf(prep))}
-    preds = tst.select(KEY, "recommendations")
-    for name, m in models.items():
-        preds = preds.join(m.transform(tst).select(KEY, F.col("prediction").alias(name)), KEY)
+    preds = RG.chain(tst, models).select(KEY, "recommendations", *models)
     names = list(models)
-    w = E.weight_trials(spark, 200, n_models=len(names), seed=3)
+    w = E.weight_trials(spark, 10_000, n_models=len(names), seed=3)
     return E.best_trials(E.search_weights(preds, w, "recommendations", models=names, clamp=["pred_glm2"]))
 
 
