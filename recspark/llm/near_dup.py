@@ -7,8 +7,13 @@ samples of a text each choose a shingle together with its quantised weight by im
 consistent weighted sampling; two texts agree in a sample with the probability of their
 weighted Jaccard similarity.  A sample draws from the shingles that a hash deals to it; what
 stays empty is dealt again, and after ``DEALS`` deals draws from all shingles.  Texts that
-agree in all rows of a band meet in a bucket, and are verified by their exact weighted Jaccard
-similarity.
+agree in all rows of a band meet in a bucket.
+
+A frequency counts every copy, so the shingles that a large group shares become light while
+the edits of each copy stay heavy, and near copies of a large group have a low weighted
+similarity.  So as many bands again come from samples in which every occurrence weighs one
+(the shingle with the smallest hash of those dealt to a sample), and a pair of a bucket is
+near if its exact weighted or its exact plain Jaccard similarity reaches the threshold.
 
 No bucket is expanded into pairs, however large it is:
 
@@ -203,8 +208,29 @@ class Sampler:
             code[k] = codes(at, t[at])[0]
         return code
 
-    def bands(self, shingles: np.ndarray, weights: np.ndarray, bands: int) -> np.ndarray:
-        code = self.sample(shingles, weights).reshape(bands, -1)
+    def plain(self, shingles: np.ndarray) -> np.ndarray:
+        """One code per sample, every shingle weighing one: the smallest hash of those dealt to it."""
+        code, empty = np.zeros(self.n, np.uint64), np.ones(self.n, bool)
+        for seed in self.seeds[self.n:]:
+            h = mix(shingles + seed)
+            h.sort()
+            to = (mix(h) % np.uint64(self.n)).astype(np.int64)
+            least = np.zeros(self.n, np.uint64)
+            least[to[::-1]] = h[::-1]           # of several the last one assigned, the smallest, stays
+            now = np.zeros(self.n, bool)
+            now[to] = True
+            now &= empty
+            code[now] = least[now]
+            empty &= ~now
+            if not empty.any():
+                return code
+        for k in np.flatnonzero(empty):
+            code[k] = mix(shingles ^ self.seeds[k]).min()
+        return code
+
+    def bands(self, shingles: np.ndarray, counts: np.ndarray, idf: np.ndarray, bands: int) -> np.ndarray:
+        """Keys of the weighted bands, then of the plain ones."""
+        code = np.concatenate([self.sample(shingles, counts * idf[_feature(shingles)]), self.plain(as_set(shingles, counts))]).reshape(2 * bands, -1)
         key = code[:, 0].copy()
         for j in range(1, code.shape[1]):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + code[:, j])
@@ -225,10 +251,10 @@ def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> Da
                     got = _shingles(h)
                     ids.append(doc)
                     exact.append(hashlib.md5(h.tobytes()).digest())
-                    keys.append(sampler.bands(got[0], got[1] * idf.value[_feature(got[0])], bands))
+                    keys.append(sampler.bands(*got, idf.value, bands))
             x = np.frombuffer(b"".join(exact), "<i8").reshape(-1, 2)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * bands, pa.int32()), pa.array(flat, pa.int64()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * (2 * bands), pa.int32()), pa.array(flat, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(x[:, 0]), pa.array(x[:, 1]), lists], ["doc_id", "x1", "x2", "bands"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, x1 long, x2 long, bands array<long>")
@@ -266,13 +292,25 @@ def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
     return both / (total - both)
 
 
+def plain_jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Shared occurrences over all occurrences of two sets of `as_set`."""
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    both = int((b[at] == a).sum())
+    return both / (len(a) + len(b) - both)
+
+
+def near(a: np.ndarray, b: np.ndarray, idf: np.ndarray, threshold: float) -> bool:
+    return plain_jaccard(a, b) >= threshold or weighted_jaccard(a, b, idf) >= threshold
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, idf, threshold: float) -> DataFrame:
     """The pairs ``(a, b)`` of document ids that are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sa, sb = batch.column(2), batch.column(3)
-            good = [weighted_jaccard(np.frombuffer(sa[k].as_py(), "<u8"), np.frombuffer(sb[k].as_py(), "<u8"), idf.value) >= threshold
+            good = [near(np.frombuffer(sa[k].as_py(), "<u8"), np.frombuffer(sb[k].as_py(), "<u8"), idf.value, threshold)
                     for k in range(len(batch))]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
@@ -302,11 +340,15 @@ def connecting(ids: np.ndarray, component: np.ndarray, rows: np.ndarray, cols: n
             out[i, c[(c >= lo) & (c < hi)] - lo] = 1
         return out
 
-    both = np.zeros((len(rows), len(cols)))
+    size = np.array([len(s) for s in sets])
+    both, shared_n = np.zeros((len(rows), len(cols))), np.zeros((len(rows), len(cols)))
     for lo in range(0, n, 8192):          # bounded blocks of shared shingles
         hi = min(n, lo + 8192)
-        both += (dense(rows, lo, hi) * w[lo:hi]) @ dense(cols, lo, hi).T
+        r, c = dense(rows, lo, hi), dense(cols, lo, hi).T
+        both += (r * w[lo:hi]) @ c
+        shared_n += r @ c
     similar = both >= threshold * (weight[rows][:, None] + weight[cols][None, :] - both)
+    similar |= shared_n >= threshold * (size[rows][:, None] + size[cols][None, :] - shared_n)
     similar &= component[rows][:, None] != component[cols][None, :]
     root = {int(c): int(c) for c in component}
 

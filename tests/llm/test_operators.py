@@ -344,6 +344,48 @@ def test_near_classes_equal_brute_force(spark, docs, rows):
     assert sum(got[i] != want[i] for i in want) <= 2
 
 
+def plain_classes(rows):
+    sets = {i: collections.Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) for i, t in rows if (w := t.split())}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and (low := (sets[i] & sets[j]).total()) >= 0.8 * (sets[i].total() + sets[j].total() - low):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in root}
+
+
+def test_near_copies_of_a_large_group_by_plain_jaccard(spark):
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(100)]
+    made = []
+    for i in range(450):     # a third are copies of one text, each with a changed word of its own
+        w = list(base) if i % 3 == 0 else [f"u{rng.randrange(10 ** 7)}" for _ in range(100)]
+        w[rng.randrange(100)] = f"e{i}"
+        made.append((i, " ".join(w)))
+    want = plain_classes(made)
+    assert {want[i] for i in range(0, 450, 3)} == {0}
+    assert near_classes(made) != want             # by weight alone most copies are too far apart
+    assert dict(map(tuple, near_dup.classes(table(spark, [(i, t, "en", "a") for i, t in made])).collect())) == want
+
+
+def test_plain_samples_agree_like_plain_jaccard():
+    sampler, rng = near_dup.Sampler(100), np.random.default_rng(3)
+    for n in (12, 60, 900):
+        agree = []
+        for _ in range(200):
+            x = rng.integers(0, 2 ** 63, n * 10 // 8, dtype=np.uint64)
+            a, b = np.sort(x[:n]), np.sort(x[-n:])
+            agree.append((sampler.plain(a) == sampler.plain(b)).mean() - near_dup.plain_jaccard(a, b))
+        assert abs(np.mean(agree)) < 0.02
+
+
 def test_near_odd_rows(odd):
     got = {r.doc_id: r.class_id for r in near_dup.classes(odd).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8, 9: 9}
