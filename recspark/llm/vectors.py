@@ -4,10 +4,12 @@ Vectors are dealt to shards by a hash of their id; each shard builds one hierarc
 navigable small-world graph (layers of geometrically fewer nodes, links chosen for
 diversity, inserted in batches).  Every vector queries every shard: blocks of queries and
 a shard's graph meet in one task, which searches with a beam of ``BEAM``.  A query whose beam is
-full of links gets a beam four times as wide until it is not, and an audit compares a
-part of the block with brute force over the shard: while its recall is below ``RECALL``, the
-block's beam is doubled and all its queries run again, in the end over the whole
-shard.  Found vectors count only if their cosine in double precision reaches the threshold.
+full of links gets a beam four times as wide until it is not, and an audit answers queries
+of the block, in random order, by brute force over the shard until ``AUDIT_LINKS`` links to
+other vectors are known: while the search's recall on these is below ``RECALL``, the beam is
+doubled, in the end to the whole shard, and then the rest of the block is searched.  Audited
+queries keep their exact answers; where links are rare that is the whole block.  Found
+vectors count only if their cosine in double precision reaches the threshold.
 
 Vectors that are equal in all components are one vector with a count from the start, so a
 common vector is one query and one node.  A task returns, per query, the number of linked
@@ -40,7 +42,8 @@ LINKS = 8                # of a node per upper layer; twice as many in the lowes
 BUILD_BEAM = 32
 BEAM = 48
 RECALL = 0.98
-AUDIT = 64
+AUDIT = 64               # queries answered by brute force at a time
+AUDIT_LINKS = 500        # links to other vectors that an audit needs
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -187,18 +190,26 @@ class Graph:
         return out
 
 
-def linked(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float, beam: int = BEAM) -> list[np.ndarray]:
-    """Per query the shard's vectors with cosine >= threshold, audited and verified."""
-    audit = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
-    truth = [np.flatnonzero(row) for row in q[audit] @ x.T >= threshold]
-    want = sum(map(len, truth))
-    while True:
-        rough = graph.search(q, beam, threshold - 1e-4)
-        got = [c[(x[c] @ v) >= threshold] if len(c) else c for c, v in zip(rough, q)]
-        found = sum(len(np.intersect1d(got[k], t)) for k, t in zip(audit, truth))
-        if found >= RECALL * want or beam >= len(x):
-            return got
+def linked(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float, own: np.ndarray, beam: int = BEAM) -> list[np.ndarray]:
+    """Per query the shard's other vectors with cosine >= threshold, audited and verified;
+    ``own`` is the query's own place in the shard (-1: none)."""
+    def near(at: np.ndarray, beam: int) -> list[np.ndarray]:
+        rough = graph.search(q[at], beam, threshold - 1e-4)
+        return [c[(x[c] @ q[k] >= threshold) & (c != own[k])] for k, c in zip(at, rough)]
+
+    got: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
+    order, seen, want = np.random.default_rng(5).permutation(len(q)), 0, 0
+    while seen < len(q) and want < AUDIT_LINKS:
+        at = order[seen:seen + AUDIT]
+        for k, c in zip(at, near(at, len(x))):          # a beam of the whole shard is brute force
+            got[k], want = c, want + len(c)
+        seen += len(at)
+    audit, rest = order[:seen], order[seen:]
+    while len(rest) and beam < len(x) and sum(map(len, near(audit, beam))) < RECALL * want:
         beam *= 2
+    for k, c in zip(rest, near(rest, beam)):
+        got[k] = c
+    return got
 
 
 def _build(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
@@ -216,7 +227,8 @@ def _search_task(threshold: float):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
         graph, x, ids, count = pickle.loads(shard["graph"].iloc[0])
         q_ids, q = queries["rep"].to_numpy(), _unit(np.stack(queries["v"].to_list()).astype(np.float64))
-        got = linked(graph, x, q, threshold)
+        place = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)      # ids ascend
+        got = linked(graph, x, q, threshold, np.where(ids[place] == q_ids, place, -1))
         root: dict[int, int] = {}
 
         def find(a: int) -> int:

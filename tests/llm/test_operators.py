@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -408,3 +409,23 @@ def test_vectors_equal_brute_force(spark):
         assert got[i].n_links <= near[i].sum() - 1 and got[i].kept == (got[i].component_id == i)
     assert all(got[i].n_links == 0 and got[i].kept and got[i].component_id == i for i, _ in bad)
     assert got[345].component_id == got[7].component_id == min(7, got[7].component_id)
+
+
+@pytest.mark.parametrize("groups", [1394, 3])     # rare links, and more than an audit needs
+def test_vectors_audit_sees_a_search_that_finds_only_itself(monkeypatch, groups):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(groups, 32))[np.roll(np.arange(1400) % groups, 10)] + rng.normal(size=(1400, 32)) * 0.05
+    shard = pd.DataFrame({"rep": np.arange(1400) * 3, "copies": 1, "v": list(x)})
+    built = vectors._build((32, 0), shard)
+    whole = vectors.Graph.search
+
+    def poor(self, q, beam, enough):
+        if beam >= len(self.x):
+            return whole(self, q, beam, enough)
+        return [self.order[[k]] for k in (q.astype(np.float32) @ self.x.T).argmax(axis=1)]
+
+    monkeypatch.setattr(vectors.Graph, "search", poor)
+    out = vectors._search_task(0.95)((32, 0, 0), shard[["rep", "v"]], built)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    n = (u @ u.T >= 0.95).sum(axis=1) - 1
+    assert out.loc[out["kind"] == 0].set_index("id")["value"].to_dict() == {3 * i: k for i, k in enumerate(n) if k}
