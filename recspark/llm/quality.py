@@ -11,6 +11,12 @@
 3. A document's posterior log odds are its evidence plus the log odds of its path's posterior
    mean, taken without the document itself.
 
+The registered query and the pipeline pass source as the host and lang as the path, because
+`documents` has no address: the second level is then a prior for a language within its source.
+A language with few documents in a source shrinks towards the source's mean, so these are judged by
+their evidence and their source; a language that is mostly bad in a source lowers all its documents
+there.
+
 Only (host, path, sums) rows are shuffled; the path table is written and joined back, and
 Spark broadcasts it only if it is small.
 
