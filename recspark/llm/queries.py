@@ -8,7 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, lines, mixing, near_dup, packing, quality, suffix_dedup, token_counts, vectors
+from . import (fingerprints, language, lines, mixing, near_dup, packing, quality, runs, sharding, spelling, suffix_dedup, token_counts,
+               vectors)
 
 
 def vocabulary(name: str) -> str:
@@ -72,9 +73,21 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_suffix_dedup, op4_language_id, op5_line_dedup, op6_fingerprints,
-                                   op7_quality, op8_near_dup, op9_token_counts, op10_near_vectors)}
-SQL = {"op1_mixing": mixing.OP1_SQL, "op5_line_dedup": lines.OP5_SQL}
+                                   op7_quality, op8_near_dup, op9_token_counts, op10_near_vectors, op11_sharding, op12_spelling, op13_runs)}
+SQL = {"op1_mixing": mixing.OP1_SQL, "op5_line_dedup": lines.OP5_SQL, "op12_spelling": spelling.OP12_SQL}
 
 
 def with_pipeline() -> dict:
