@@ -211,7 +211,7 @@ WITH RECURSIVE crc AS (
 ), counted AS (
   SELECT doc_id, w, count(*) AS k FROM runs WHERE length(w) >= {LEAST_LENGTH} GROUP BY ALL
 ), hashed AS (
-  SELECT w, k, xor(4294967295, {_CRC.format(bytes=_BYTES.format(s="doc_id || ':' || w"), table="(SELECT t FROM crc)")}) AS h FROM counted
+  SELECT w, k, xor(4294967295, {_CRC.format(bytes=_BYTES.format(s="doc_id || ':' || w"), table="t")}) AS h FROM counted, crc
 ), vocabulary AS (
   SELECT word, sum(k)::BIGINT AS n FROM (
     SELECT k, CASE WHEN h % {TYPO_EVERY} = 0 THEN left(w, (h % length(w))::INT) || substr(w, 2 + (h % length(w))::INT) ELSE w END AS word FROM hashed)
