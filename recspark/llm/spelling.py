@@ -35,7 +35,7 @@ from .rolling import mix
 RUN = "[A-Za-zÀ-ÿ]+"
 LEAST_LENGTH, LEAST_COUNT, RATIO, TYPO_EVERY = 7, 2, 10, 31
 #: Letters are hashed to so many symbols.
-SYMBOLS = 4
+SYMBOLS = 10
 #: Keys made at once.
 KEYS = 1 << 20
 
@@ -132,29 +132,27 @@ def _generated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The vocabulary under its two keys: the rows with the key and the side in place of the id."""
     for batch in batches:
-        for ids, block in _blocks(batch):
+        for at, block in _blocks(batch.set_column(0, "id", pa.array(range(batch.num_rows), pa.int64()))):
+            words_, counts = (batch.column(k).take(pa.array(at)) for k in (1, 2))
             for side, key in enumerate(block.own()):
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key.view(np.int64)), pa.array(np.full(len(ids), side, np.int8))],
-                                                 ["other", "key", "side"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(at), side, np.int8)), words_, counts],
+                                                 ["key", "side", "other", "other_n"])
 
 
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
-    """``id, word, n, other_id, other, other_n``: every unordered pair of words at edit distance
-    one, once.  ``vocabulary``: ``id, word, n``, stable between reads."""
-    pairs = vocabulary.select("id", "word")
-    made = pairs.mapInArrow(_generated, "id long, key long")
-    own = pairs.mapInArrow(_own_keys, "other long, key long, side byte")
-    found = made.join(own, "key").where(F.col("id") != F.col("other")).select("id", "other", "side")
-    found = found.join(vocabulary, "id")
-    found = found.join(vocabulary.select(F.col("id").alias("other"), F.col("word").alias("other_word"), F.col("n").alias("other_n")), "other")
-    half = "cast(length(other_word) / 2 as int)"
-    once = F.when(F.length("word") == F.length("other_word"), (F.col("word") != F.col("other_word"))).otherwise(
-        (F.col("side") == 0) | F.expr(f"left(word, {half}) != left(other_word, {half})"))
-    # two words of one reduced form find each other: the smaller id counts
-    one = (F.col("id") < F.col("other")) | (_reduced("word") != _reduced("other_word"))
-    return found.where(once & one & (F.levenshtein("word", "other_word", 1) == 1)).select(
-        "id", "word", "n", F.col("other").alias("other_id"), F.col("other_word").alias("other"), "other_n")
+    """``word, n, other, other_n``: every unordered pair of words at edit distance one, once.
+    ``vocabulary``: ``id, word, n``, stable between reads."""
+    made = vocabulary.select("id", "word").mapInArrow(_generated, "id long, key long")
+    own = vocabulary.select("id", "word", "n").mapInArrow(_own_keys, "key long, side byte, other string, other_n long")
+    found = made.join(own, "key").drop("key").join(vocabulary, "id")
+    half = "cast(length(other) / 2 as int)"
+    # a letter left out at the border of the halves is found by both: it counts by the first
+    once = (F.length("word") == F.length("other")) | (F.col("side") == 0) | F.expr(f"left(word, {half}) != left(other, {half})")
+    # two words of one reduced form find each other: it counts for the smaller word
+    one = (F.col("word") < F.col("other")) | (_reduced("word") != _reduced("other"))
+    return found.where((F.levenshtein("word", "other", 1) == 1) & once & one).select("word", "n", "other", "other_n")
 
 
 def _reduced(col: str):
@@ -162,7 +160,7 @@ def _reduced(col: str):
     letters = _LOWER + _UPPER + "".join(map(chr, range(0xC0, 0x100)))
     codes = np.frombuffer(letters.encode("utf-32-le"), np.uint32).astype(np.uint64)
     symbols = (mix(codes + np.uint64(1)) >> np.uint64(20)) % np.uint64(SYMBOLS)
-    return F.translate(F.col(col), letters, "".join(map(str, symbols.tolist())))
+    return F.translate(F.col(col), letters, "".join(chr(48 + x) for x in symbols.tolist()))
 
 
 def follow(links: DataFrame, name: str = "spelling-roots") -> DataFrame:
@@ -184,11 +182,11 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.monotonically_increasing_id().alias("id"), "word", "n"), "spelling-words")
     near = near_pairs(vocabulary)
     both = near.select(F.explode(F.array(
-        F.struct("id", "n", F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("form")).alias("best")),
-        F.struct(F.col("other_id").alias("id"), F.col("other_n").alias("n"),
+        F.struct("word", "n", F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("form")).alias("best")),
+        F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"),
                  F.struct((-F.col("n")).alias("less"), F.col("word").alias("form")).alias("best")))).alias("p")).select("p.*")
-    best = both.groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), F.min("best").alias("best"))
-    known = materialize(vocabulary.join(best, "id", "left").select(
+    best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min("best").alias("best"))
+    known = materialize(vocabulary.join(best, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(-F.col("best.less") >= RATIO * F.col("n"), F.col("best")).alias("best")), "spelling-forms")
     roots = follow(known.where(F.col("best").isNotNull()).select("word", F.col("best.form").alias("form")))
