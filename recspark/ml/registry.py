@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.core import clamp0, rint0
-from .learners import PRED, PoissonGBTModel, PoissonMLPModel
+from .learners import PRED, AtBudget, PoissonGBTModel, PoissonMLPModel
+from .linear import LinearModel
 
 _SPARK_MODELS = {"LinearRegressionModel": LinearRegressionModel,
                  "RandomForestRegressionModel": RandomForestRegressionModel}
@@ -36,8 +37,14 @@ def save_model(spark: SparkSession, model, path: str) -> str:
                           for _, idx, leaves, lr in model.trees]}
     elif isinstance(model, PoissonMLPModel):
         meta = {"kind": "PoissonMLPModel", "activation": model.activation,
-                "mean": model.mean.tolist(), "std": model.std.tolist(),
+                "mean": model.mean.tolist(), "std": model.std.tolist(), "width": model.width,
                 "weights": [w.tolist() for w in model.weights]}
+    elif isinstance(model, AtBudget):
+        save_model(spark, model.model, f"{path}/inner")
+        meta = {"kind": kind, "nbins_cats": model.nbins_cats}
+    elif isinstance(model, LinearModel):
+        meta = {"kind": "LinearModel", "coef": model.coef.tolist(), "n_numbers": model.n_numbers, "width": model.width,
+                "alpha": model.alpha, "lambda": model.lam}
     else:
         raise TypeError(f"cannot save {kind}")
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
@@ -58,7 +65,11 @@ def load_model(spark: SparkSession, path: str):
         return m
     if kind == "PoissonMLPModel":
         return PoissonMLPModel([np.array(w) for w in meta["weights"]], np.array(meta["mean"]),
-                               np.array(meta["std"]), meta["activation"])
+                               np.array(meta["std"]), meta["activation"], meta.get("width", 0))
+    if kind == "AtBudget":
+        return AtBudget(load_model(spark, f"{path}/inner"), meta["nbins_cats"])
+    if kind == "LinearModel":
+        return LinearModel(np.array(meta["coef"]), meta["n_numbers"], meta["width"], meta["alpha"], meta["lambda"])
     raise TypeError(kind)
 
 

@@ -16,7 +16,8 @@ from ..ml import explain as X
 from ..ml import learners as L
 from ..ml import registry as RG
 from ..ml import search as S
-from ..ml.prep import feature_columns, fit_prep, max_bins_for
+from ..ml import linear
+from ..ml.prep import PREPARED, feature_columns, fit_prep, max_bins_for
 from ..operators import ensemble as E
 from ..operators.indexing import exact_split
 from ..session import ensure_checkpoint_dir
@@ -48,12 +49,12 @@ def _prepare(spark, sf):
     sub = lf.filter(F.pmod(F.col(KEY), F.lit(10)) >= 7).drop("recommendations")
     s = exact_split(labelled, KEY, 0.70, 19790324, flag="__s")
     feats = feature_columns(lf)
-    prep = fit_prep(s.filter("__s"), feats, max_levels=64)
-    cols = [KEY, "recommendations", "features"]
+    prep = fit_prep(s.filter("__s"), feats)
+    cols = [KEY, "recommendations", *PREPARED]
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recspark-ml-{uuid.uuid4().hex}"
     parts = {"trn": prep.transform(s.filter("__s")).select(*cols),
              "tst": prep.transform(s.filter(~F.col("__s"))).select(*cols),
-             "sub": prep.transform(sub).select(KEY, "features")}
+             "sub": prep.transform(sub).select(KEY, *PREPARED)}
     for name, df in parts.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}")
     return prep, [f"{base}/{n}" for n in parts]
@@ -65,10 +66,36 @@ def _nf(prep):
 
 @register("ml_glm_search", None, "M2 M9 M11 M12 O5 X4")
 def q_ml_glm_search(spark, sf):
-    prep, trn, _, _ = _data(spark, sf)
-    board, _ = S.grid_search(spark, S.with_folds(trn, KEY), S.ALGOS["glm"], S.GLM_GRID, _nf(prep), KEY,
-                             max_models=2, seed=1, fixed={"lambda_search": True, "lambda_path": (1.0, 0.01)})
-    return board
+    """All 11 alphas of the grid, each with its whole path of 100 lambdas."""
+    _, trn, _, _ = _data(spark, sf)
+    return S.glm_search(spark, S.with_folds(trn, KEY), KEY)[0]
+
+
+_LS_SQL = """
+WITH e AS (
+  SELECT round_even(value, 0) AS y, CAST(hour(CAST(ts AS TIMESTAMP)) AS DOUBLE) AS hr,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, CAST(dayofweek(CAST(ts AS TIMESTAMP)) + 1 AS DOUBLE) AS dow_num
+  FROM events WHERE event_id % 10 < 7
+), f AS (SELECT y, hr - avg(hr) OVER () AS a, coalesce(k - avg(k) OVER (), 0) AS b, dow_num - avg(dow_num) OVER () AS c FROM e WHERE y IS NOT NULL),
+m AS (SELECT sum(a*a) AS aa, sum(a*b) AS ab, sum(a*c) AS ac, sum(b*b) AS bb, sum(b*c) AS bc, sum(c*c) AS cc,
+             sum(a*y) AS ay, sum(b*y) AS by_, sum(c*y) AS cy FROM f),
+d AS (SELECT *, aa*(bb*cc - bc*bc) - ab*(ab*cc - bc*ac) + ac*(ab*bc - bb*ac) AS det FROM m),
+r AS (SELECT 'hr' AS term, (ay*(bb*cc - bc*bc) - ab*(by_*cc - bc*cy) + ac*(by_*bc - bb*cy)) / det AS x FROM d
+      UNION ALL SELECT 'k', (aa*(by_*cc - bc*cy) - ay*(ab*cc - bc*ac) + ac*(ab*cy - by_*ac)) / det FROM d
+      UNION ALL SELECT 'dow_num', (aa*(bb*cy - by_*bc) - ab*(ab*cy - by_*ac) + ay*(ab*bc - bb*ac)) / det FROM d)
+SELECT term, round_even(x, 6) + 0.0 AS coefficient FROM r
+"""
+
+
+@register("ml_glm_unpenalised", _LS_SQL, "M2 (lambda 0: least squares)")
+def q_ml_glm_unpenalised(spark, sf):
+    """The solver without a penalty on all labelled rows against the closed form."""
+    lf = adapters.learning_frame(spark, sf).filter(F.pmod(F.col(KEY), F.lit(10)) < 7)
+    prep = fit_prep(lf, ["hr", "k", "dow_num"])
+    m = linear.fit(prep.transform(lf), 1.0, 0.0)
+    rows = [(n, float(b)) for n, b in zip(prep.numeric, m.coef[1:])]
+    return spark.createDataFrame(rows, "term string, coefficient double").withColumn(
+        "coefficient", F.bround("coefficient", 6) + F.lit(0.0))
 
 
 @register("ml_rf_search", None, "M5 M6 M9 M11 O5")
@@ -178,7 +205,7 @@ def q_ml_ensemble_models(spark, sf):
     prep, trn, tst, _ = _data(spark, sf)
     mb = max_bins_for(prep)
     models = {"pred_rf2": L.random_forest(ntrees=10, max_depth=6, max_bins=mb).fit(trn),
-              "pred_glm2": L.glm(alpha=0.5).fit(trn),
+              "pred_glm2": S.ALGOS["glm"].fit(trn, {"alpha": 0.5}, _nf(prep)),
               "pred_gbm2": L.PoissonGBT(ntrees=5, max_depth=3, learn_rate=0.3, max_bins=mb).fit(trn, _nf(prep))}
     preds = RG.chain(tst, models).select(KEY, "recommendations", *models)
     names = list(models)

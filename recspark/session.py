@@ -68,4 +68,15 @@ def materialize(df: DataFrame, name: str = "tmp") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/recspark-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Remove the files of a frame that ``materialize`` returned, once nothing reads them any more."""
+    path = None if df is None else df.__dict__.get("written_to")
+    if path:
+        sc = df.sparkSession.sparkContext
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

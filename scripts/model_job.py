@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from recspark.ml import registry as RG  # noqa: E402
 from recspark.ml import search as S  # noqa: E402
-from recspark.ml.prep import feature_columns, fit_prep, max_bins_for, modelling_rows  # noqa: E402
+from recspark.ml.prep import PREPARED, feature_columns, fit_prep, max_bins_for, modelling_rows  # noqa: E402
 from recspark.operators import ensemble as E  # noqa: E402
 from recspark.session import DEFAULT_CONF, ensure_checkpoint_dir, materialize  # noqa: E402
 from recspark.sources.tables import write_scored, write_table  # noqa: E402
@@ -54,21 +54,24 @@ def main() -> None:
     feats = [c for c in feature_columns(trn) if c in sub.columns]
     prep = fit_prep(trn, feats)
     nf, mb = len(prep.feature_names()), max_bins_for(prep)
-    cols = [KEY, LABEL, "features"]
+    cols = [KEY, LABEL, *PREPARED]
     T = S.with_folds(prep.transform(trn).select(*cols), KEY)
     V = materialize(prep.transform(tst).select(*cols), "holdout")
-    U = materialize(prep.transform(sub).select(KEY, "features"), "submission")
+    U = materialize(prep.transform(sub).select(KEY, *PREPARED), "submission")
 
     grids = SMALL if args.grids == "small" else REFERENCE
-    fixed = {"glm": {"lambda_search": True}, "rf": {"max_bins": mb}, "gbm": {"max_bins": mb}}
+    fixed = {"rf": {"max_bins": mb}, "gbm": {"max_bins": mb}}
     registry_rows, holdout = [], V.select(KEY, LABEL)
     for algo in ("glm", "rf", "gbm"):
-        board, results = S.grid_search(spark, T, S.ALGOS[algo], grids[algo], nf, KEY,
-                                       max_models=args.max_models, max_runtime_secs=args.max_runtime_secs,
-                                       fixed=fixed[algo])
+        if algo == "glm":   # the whole grid costs two passes
+            board, results = S.glm_search(spark, T, KEY, grids[algo])
+        else:
+            board, results = S.grid_search(spark, T, S.ALGOS[algo], grids[algo], nf, KEY,
+                                           max_models=args.max_models, max_runtime_secs=args.max_runtime_secs,
+                                           fixed=fixed[algo])
         best = min(results, key=lambda r: r.cv_mae)
         write_table(board, f"{args.out}/leaderboard_{algo}")
-        model = S.ALGOS[algo].fit(T, best.params, nf)
+        model = best.model or S.ALGOS[algo].fit(T, best.params, nf)
         pred = model.transform(V)
         mae = E.mae(pred, "prediction", LABEL).collect()[0][0]              # rounded predictions
         print(f"{algo}: cv_mae={best.cv_mae:.4f} holdout_mae={mae:.4f} params={best.params}")
