@@ -9,10 +9,9 @@ Scale notes
   and Spark avoids the extra full-data exchange that a distinct aggregate needs.
 * z-scores (W5) run on summary tables bounded by the fixed category lists, so a
   whole-table window over a few dozen rows is the simplest exact plan.
-* quantiles (A19) are exact (type 7) and computed from ranks: values are bucketed by
-  approximate per-group quantile bounds (order preserving), ranked with the
-  bucketed row number, and only the ≤2 rows around each target rank are kept.  No
-  group is ever collected into one task.
+* quantiles (A19) are exact (type 7), by rank selection over counted values: running totals over
+  key ranges of (group, value) give every value its ranks, and only the ≤2 values around each
+  target rank are kept.  No group is ever collected into one task, ties are one row.
 """
 
 from __future__ import annotations
@@ -228,11 +227,15 @@ def g15(trn, id_is_key=False):
 
 def g16(trn, id_is_key=False):
     """A16 + A19: box statistics of avg_recs per comment-position category."""
-    t = materialize(summary(trn, ["com_pos_cat", "articleID"], id_is_key), "g16")
-    box = boxplot_stats(t, ["com_pos_cat"], "avg_recs")
+    box = boxplot_stats(summary(trn, ["com_pos_cat", "articleID"], id_is_key), ["com_pos_cat"], "avg_recs")
     return box.withColumn("pos_ord", fixed_order("com_pos_cat", COMMENT_POSITION, "pos_ord"))
 
 
+def g16_outliers(trn, id_is_key=False):
+    """The points that graph 16 draws outside the whiskers."""
+    return boxplot_outliers(summary(trn, ["com_pos_cat", "articleID"], id_is_key), ["com_pos_cat"], "avg_recs")
+
+
 # ------------------------------------------------------------------ quantiles / boxplot
 def ns_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Null-safe equi-join on ``keys`` keeping one copy of the key columns (NULL
@@ -246,73 +249,72 @@ def ns_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return j if how in ("left_semi", "left_anti") else j.drop(*[f"__r_{k}" for k in keys])
 
 
-def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], n_buckets: int | None = None,
-                    rows_per_bucket: int = 2_000_000, in_memory_rows: int = 1_000_000) -> DataFrame:
-    """R ``quantile(x, p, type=7)`` per group, exact and distributed.
-
-    Values are bucketed by approximate per-group bounds (``percentile_approx``; they
-    only balance the work — any order-preserving bucket gives the same answer),
-    ranked by :func:`bucketed_row_number`, and only the rows at ranks
-    floor/ceil((n−1)p+1) are kept and interpolated.  Output: group cols, p, q.
-    Nulls and NaN are dropped (``na.rm``).  Unless given, the number of buckets follows
-    the largest group (≥256, ≤65,536, about ``rows_per_bucket`` rows each) and the
-    sketch accuracy follows the bucket count, so one window task stays bounded even
-    when a group holds a third of the rows.  When every group has at most
-    ``in_memory_rows`` values (and ``n_buckets`` is not forced), Spark's exact
-    ``percentile`` aggregate (same interpolation) does it in one pass; its per-group
-    buffer is then bounded by that limit."""
-    g = list(group_cols) or ["__all"]   # ungrouped: one constant group, same keyed plan
-    src = df if group_cols else df.withColumn("__all", F.lit(0))
-    x = src.select(*g, F.col(value_col).cast("double").alias("__v")) \
-           .filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    if n_buckets is None:
-        largest = x.groupBy(*g).count().agg(F.max("count")).collect()[0][0] or 0
-        if largest <= in_memory_rows:
-            pa = F.array(*[F.lit(float(p)) for p in probs])
-            qv = x.groupBy(*g).agg(F.percentile("__v", pa).alias("__q"))
-            out = qv.select(*g, F.posexplode("__q").alias("__i", "q")) \
-                    .withColumn("p", F.element_at(pa, F.col("__i") + 1))
-            return out.select(*list(group_cols), "p", "q")
-        n_buckets = int(min(65_536, max(256, -(-largest // rows_per_bucket))))
-    accuracy = max(10_000, 4 * n_buckets)
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = x.groupBy(*g).agg(F.percentile_approx("__v", qs, accuracy).alias("__bounds"),
-                               F.count(F.lit(1)).alias("__n"))
-    xb = ns_join(x, bounds.drop("__n"), g) \
-        .withColumn("__bk", F.size(F.filter("__bounds", lambda b: b < F.col("__v")))) \
-        .drop("__bounds")
-    ranked = bucketed_row_number(xb, g, ["__v"], [F.col("__bk")], out="__rn").drop("__bk")
-    tg = bounds.select(*g, "__n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p")) \
-               .withColumn("__h", (F.col("__n") - 1) * F.col("p") + 1) \
-               .withColumn("__lo", F.floor("__h").cast("long")) \
-               .withColumn("__hi", F.ceil("__h").cast("long"))
-    need = tg.select(*g, F.explode(F.array("__lo", "__hi")).alias("__rn")).distinct()
-    picked = ns_join(ranked, need, [*g, "__rn"], how="left_semi")
-    lo = picked.select(*g, F.col("__rn").alias("__lo"), F.col("__v").alias("__vlo"))
-    hi = picked.select(*g, F.col("__rn").alias("__hi"), F.col("__v").alias("__vhi"))
-    j = ns_join(ns_join(tg, lo, [*g, "__lo"]), hi, [*g, "__hi"])
-    q = F.col("__vlo") + (F.col("__h") - F.col("__lo")) * (F.col("__vhi") - F.col("__vlo"))
-    return j.select(*list(group_cols), "p", q.alias("q"))
+def value_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """``group, v, n, before, total``: how often each value occurs in its group, the rows of the
+    group below it and the rows of the group.  Null and NaN values are dropped (``na.rm``).
+
+    Equal values are counted before the shuffle, so ties (however many) are one row.  The counts are
+    cut into key ranges over (group, value) and written; a group of any size spans many ranges, and
+    running totals are taken within a range, those of the ranges before it (one row per group and
+    range) are added.  One plan for all sizes."""
+    x = df.select(F.struct(*[F.col(c) for c in group_cols], F.lit(0).alias("one")).alias("group"),
+                  F.col(value_col).cast("double").alias("v"))
+    counts = x.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("group", "v").agg(F.count(F.lit(1)).alias("n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = materialize(counts.repartitionByRange(parts, "group", "v").withColumn("part", F.spark_partition_id()), "ranks")
+    sums = counts.groupBy("group", "part").agg(F.sum("n").alias("m"))
+    whole = Window.partitionBy("group")
+    offsets = sums.select("group", "part", F.sum("m").over(whole).alias("total"), F.coalesce(F.sum("m").over(
+        whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    within = Window.partitionBy("group", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    out = counts.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0))).join(offsets, ["group", "part"])
+    return out.select("group", "v", "n", (F.col("off") + F.col("inside")).alias("before"), "total")
+
+
+def _groups(df: DataFrame, group_cols: Sequence[str], *cols: str) -> DataFrame:
+    return df.select(*[F.col("group")[c].alias(c) for c in group_cols], *cols)
+
+
+def _quantiles(ranks: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """``group, p, q`` (type 7) from ranks: at most two values a group and probability are kept."""
+    h = [(F.col("total") - 1) * F.lit(float(p)) + 1 for p in probs]
+    hits = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.floor(x).cast("long").alias("lo"), F.ceil(x).cast("long").alias("hi"), x.alias("h"))
+                     for p, x in zip(probs, h)])
+    holds = lambda k: (k > F.col("before")) & (k <= F.col("before") + F.col("n"))
+    near = ranks.select("group", "v", "n", "before", F.explode(F.filter(hits, lambda t: holds(t["lo"]) | holds(t["hi"]))).alias("t"))
+    ends = near.groupBy("group", F.col("t.p").alias("p")).agg(
+        F.max(F.when(holds(F.col("t.lo")), F.col("v"))).alias("a"), F.max(F.when(holds(F.col("t.hi")), F.col("v"))).alias("b"),
+        F.max(F.col("t.h") - F.col("t.lo")).alias("w"))
+    return ends.select("group", "p", (F.col("a") + F.col("w") * (F.col("b") - F.col("a"))).alias("q"))
+
+
+def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float]) -> DataFrame:
+    """R ``quantile(x, p, type=7)`` per group, exact and distributed (:func:`value_ranks`): group
+    cols, p, q.  Null group values are groups; a group without a value does not appear."""
+    return _groups(_quantiles(value_ranks(df, group_cols, value_col), probs), group_cols, "p", "q")
+
+
+def _fenced(df: DataFrame, group_cols: Sequence[str], value_col: str) -> tuple[DataFrame, DataFrame]:
+    """(hinges and fences per group, counted values with ``inside``)."""
+    ranks = materialize(value_ranks(df, group_cols, value_col), "boxplot")
+    at = lambda p: F.max(F.when(F.col("p") == p, F.col("q")))
+    box = _quantiles(ranks, [0.25, 0.5, 0.75]).groupBy("group").agg(at(0.25).alias("lower"), at(0.5).alias("middle"), at(0.75).alias("upper"))
+    reach = 1.5 * (F.col("upper") - F.col("lower"))
+    inside = (F.col("v") >= F.col("lower") - reach) & (F.col("v") <= F.col("upper") + reach)
+    return box, ranks.join(box, "group").withColumn("inside", inside)
 
 
 def boxplot_stats(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
-    """A19 (ggplot ``stat_boxplot``): lower/middle/upper hinges (type 7), whiskers =
-    most extreme values within 1.5·IQR of the hinges, number of outliers, n."""
-    g = list(group_cols)
-    q = exact_quantiles(df, g, value_col, [0.25, 0.5, 0.75])
-    wide = q.groupBy(*g).agg(
-        F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("lower"),
-        F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("middle"),
-        F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("upper"))
-    fences = wide.select(*g, (F.col("lower") - 1.5 * (F.col("upper") - F.col("lower"))).alias("__lf"),
-                         (F.col("upper") + 1.5 * (F.col("upper") - F.col("lower"))).alias("__uf"))
-    d = df.select(*g, F.col(value_col).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    j = ns_join(d, fences, g)
-    inside = (F.col("__v") >= F.col("__lf")) & (F.col("__v") <= F.col("__uf"))
-    agg = j.groupBy(*g).agg(
-        F.min(F.when(inside, F.col("__v"))).alias("ymin"),
-        F.max(F.when(inside, F.col("__v"))).alias("ymax"),
-        F.sum(F.when(~inside, 1).otherwise(0)).cast("long").alias("n_outliers"),
-        F.count(F.lit(1)).cast("long").alias("n"))
-    return ns_join(wide, agg, g)
+    """A19 (ggplot ``stat_boxplot``): lower/middle/upper hinges (type 7), whiskers = most extreme
+    values within 1.5·IQR of the hinges, number of outliers, n (null and NaN values dropped)."""
+    _, values = _fenced(df, group_cols, value_col)
+    out = values.groupBy("group", "lower", "middle", "upper").agg(
+        F.min(F.when(F.col("inside"), F.col("v"))).alias("ymin"), F.max(F.when(F.col("inside"), F.col("v"))).alias("ymax"),
+        F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("n_outliers"), F.sum("n").alias("n"))
+    return _groups(out, group_cols, "lower", "middle", "upper", "ymin", "ymax", "n_outliers", "n")
+
+
+def boxplot_outliers(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """The points drawn outside the whiskers, equal ones counted: group cols, value, n."""
+    _, values = _fenced(df, group_cols, value_col)
+    return _groups(values.where(~F.col("inside")).withColumnRenamed("v", value_col), group_cols, value_col, "n")

@@ -77,9 +77,26 @@ def q_g03_points(spark, sf):
     return eda.g03_points(_trn(spark, sf))
 
 
-@register("g03_density", None, "G3 A20 (rows-only: numpy partial grids)")
+@register("g03_density", FEAT + f"""
+, p AS (SELECT CAST(editorsSelection AS VARCHAR) AS g, CAST(kwr AS DOUBLE) AS x, avg_recs AS y, row_number() OVER () AS id
+        FROM ({_sum_sql('articleID, editorsSelection', ', max(kwr) AS kwr')})
+        WHERE kwr BETWEEN -100 AND 3000 AND avg_recs BETWEEN -100 AND 500),
+b AS (SELECT g, count(*) AS n,
+             1.06 * least(stddev_samp(x), (quantile_cont(x, 0.75) - quantile_cont(x, 0.25)) / 1.34) * pow(count(*), -0.2) AS hx,
+             1.06 * least(stddev_samp(y), (quantile_cont(y, 0.75) - quantile_cont(y, 0.25)) / 1.34) * pow(count(*), -0.2) AS hy
+      FROM p GROUP BY g),
+k AS (SELECT unnest(range(100)) AS i),
+ax AS (SELECT id, p.g, i AS ix, exp(-0.5 * pow((-100 + i * (3100 / 99.0::DOUBLE) - x) / hx, 2)) / sqrt(2 * pi()) / hx / n AS u
+       FROM p JOIN b ON p.g IS NOT DISTINCT FROM b.g, k),
+ay AS (SELECT id, i AS iy, exp(-0.5 * pow((-100 + i * (600 / 99.0::DOUBLE) - y) / hy, 2)) / sqrt(2 * pi()) / hy AS v
+       FROM p JOIN b ON p.g IS NOT DISTINCT FROM b.g, k),
+z AS (SELECT g, ix, iy, sum(u * v) AS z FROM (SELECT * FROM ax WHERE u > 1e-30) ax JOIN (SELECT * FROM ay WHERE v > 1e-30) ay USING (id) GROUP BY ALL)
+SELECT b.g AS editorsSelection, -100 + kx.i * (3100 / 99.0::DOUBLE) AS kwr, -100 + ky.i * (600 / 99.0::DOUBLE) AS avg_recs,
+       round_even(coalesce(z, 0), 12) + 0.0 AS density
+FROM b CROSS JOIN k kx CROSS JOIN k ky LEFT JOIN z ON z.g IS NOT DISTINCT FROM b.g AND ix = kx.i AND iy = ky.i
+""", "G3 A20")
 def q_g03_density(spark, sf):
-    return eda.g03_density(_trn(spark, sf))
+    return eda.g03_density(_trn(spark, sf)).withColumn("density", round_half_even("density", 12))
 
 
 @register("g04", FEAT + f"""
@@ -155,11 +172,15 @@ def q_g15(spark, sf):
     return _z(eda.g15(_trn(spark, sf)))
 
 
-@register("g16", FEAT + f"""
+_BOX_SQL = FEAT + f"""
 , s AS ({_sum_sql('com_pos_cat, articleID')}),
 q AS (SELECT com_pos_cat, quantile_cont(avg_recs, 0.25) AS lower, quantile_cont(avg_recs, 0.5) AS middle,
              quantile_cont(avg_recs, 0.75) AS upper FROM s GROUP BY com_pos_cat),
 f AS (SELECT *, lower - 1.5 * (upper - lower) AS lf, upper + 1.5 * (upper - lower) AS uf FROM q)
+"""
+
+
+@register("g16", _BOX_SQL + f"""
 SELECT f.com_pos_cat, {_r6('f.lower')} AS lower, {_r6('f.middle')} AS middle, {_r6('f.upper')} AS upper,
        min(CASE WHEN s.avg_recs >= lf AND s.avg_recs <= uf THEN s.avg_recs END) AS ymin,
        max(CASE WHEN s.avg_recs >= lf AND s.avg_recs <= uf THEN s.avg_recs END) AS ymax,
@@ -174,6 +195,14 @@ def q_g16(spark, sf):
                       R6("upper").alias("upper"), "ymin", "ymax", "n_outliers", "n", "pos_ord")
 
 
+@register("g16_outliers", _BOX_SQL + """
+SELECT f.com_pos_cat, s.avg_recs, count(*) AS n FROM f JOIN s ON f.com_pos_cat IS NOT DISTINCT FROM s.com_pos_cat
+WHERE s.avg_recs < lf OR s.avg_recs > uf GROUP BY ALL
+""", "G16 A16 A19 (outlier points)")
+def q_g16_outliers(spark, sf):
+    return eda.g16_outliers(_trn(spark, sf))
+
+
 # ------------------------------------------------------------------ feature table, split, audit
 _FEATURE_COLS = ["commentID", "articleID", "type", "com_ord", "com_pos_cat", "com_cat", "readFR", "readCL",
                  "byline", "kw1", "kw2", "kw3", "timeofday", "wkdy", "dow", "topic", "specific", "snip_cat",

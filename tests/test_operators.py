@@ -130,7 +130,7 @@ def test_exact_quantiles_type7(spark):
     import numpy as np
     vals = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0, 5.0, 3.0, 5.0]
     df = spark.createDataFrame([("g", v) for v in vals] + [("h", 7.0)], "grp string, v double")
-    q = {(r.grp, r.p): r.q for r in eda.exact_quantiles(df, ["grp"], "v", [0.25, 0.5, 0.75], n_buckets=4).collect()}
+    q = {(r.grp, r.p): r.q for r in eda.exact_quantiles(df, ["grp"], "v", [0.25, 0.5, 0.75]).collect()}
     for p in (0.25, 0.5, 0.75):
         assert abs(q[("g", p)] - np.quantile(vals, p)) < 1e-12   # numpy default = type 7
         assert q[("h", p)] == 7.0
@@ -141,6 +141,28 @@ def test_exact_quantiles_type7(spark):
     assert box.n == len(vals) and box.ymin == 1.0 and box.ymax == 6.0 and box.n_outliers == 1
 
 
+def test_quantiles_of_one_hot_group_with_nine_tenths_equal_values(spark):
+    """90 % of the rows one value, one group two thirds of the rows, null group, NaN and null values."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    v = np.where(rng.random(6000) < 0.9, 5.0, rng.normal(size=6000) * 40)
+    g = [None if i % 9 == 0 else "hot" if i % 3 else f"g{i % 5}" for i in range(6000)]
+    rows = [(a, float(b)) for a, b in zip(g, v)] + [("hot", float("nan")), ("hot", None), (None, None), ("none", None)]
+    df = spark.createDataFrame(rows, "grp string, v double")
+    got = {(r.grp, r.p): r.q for r in eda.exact_quantiles(df, ["grp"], "v", [0.0, 0.03, 0.5, 0.97, 1.0]).collect()}
+    box = {r.grp: r for r in eda.boxplot_stats(df, ["grp"], "v").collect()}
+    out = eda.boxplot_outliers(df, ["grp"], "v").collect()
+    assert {k for k, _ in got} == set(g) == set(box)
+    for name in set(g):
+        mine = np.array([b for a, b in zip(g, v) if a == name])
+        for p in (0.0, 0.03, 0.5, 0.97, 1.0):
+            assert abs(got[name, p] - np.quantile(mine, p)) < 1e-12
+        lo, hi = np.quantile(mine, [0.25, 0.75])
+        far = mine[(mine < lo - 1.5 * (hi - lo)) | (mine > hi + 1.5 * (hi - lo))]
+        assert box[name].n == len(mine) and box[name].n_outliers == len(far) > 50
+        assert sorted(x for r in out if r.grp == name for x in [r.v] * r.n) == sorted(far)
+
+
 # ------------------------------------------------------------------ ensembles / MAE
 def test_mae_null_and_negative(spark):
     df = spark.createDataFrame([(1.0, 1.0), (None, 3.0), (2.0, None), (-1.4, 0.0)], "p double, y double")

@@ -52,7 +52,7 @@ def test_every_query_has_oracle_or_is_rows_only():
     assert set(SQL) <= set(QUERIES)
     # only model / iterative / numpy-grid operators are allowed without SQL
     # (and the training-data operators, which have tests of their own)
-    assert all(n.startswith(("ml_", "g03_density", "op", "pipeline")) for n in rows_only), rows_only
+    assert all(n.startswith(("ml_", "op", "pipeline")) for n in rows_only), rows_only
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
