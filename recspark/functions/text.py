@@ -1,10 +1,10 @@
 """Text measures computed inside the row.
 
 Design: a text is one row; its sentences / clauses / tokens are arrays built with
-``split`` and scored with higher-order functions (``transform`` / ``filter`` /
-``aggregate``).  Nothing is exploded and regrouped, so scoring a text costs no
-shuffle and the work is spread over the scan partitions.  The same definitions are
-written in DuckDB list functions for the oracle (``plans/oracle.py``).
+``split`` and measured with higher-order functions (``transform`` / ``filter`` /
+``aggregate``): readability costs no shuffle.  The sentiment operator (``operators.textops``)
+explodes the same arrays.  The same definitions are written in DuckDB list functions for the
+oracle (``plans/oracle_sql.py``).
 
 Definitions (parameters in brackets):
 
@@ -17,8 +17,6 @@ Definitions (parameters in brackets):
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,82 +96,3 @@ def sentiment_bucket(c: str | Column) -> Column:
                    ((x > -0.1) & (x < 0.1), SENTIMENT_CLASSES[2]),
                    ((x >= 0.1) & (x < 0.5), SENTIMENT_CLASSES[3]),
                    (x >= 0.5, SENTIMENT_CLASSES[4])])
-
-
-def _polarity(t: Column, lexicon: Mapping[str, float]) -> Column:
-    """Lexicon lookup as a CASE over one IN-list per distinct polarity value:
-    Catalyst turns long literal IN-lists into hash sets (``InSet``), so the lookup
-    is O(1) per token instead of a linear scan of a map literal."""
-    by_value: dict[float, list[str]] = {}
-    for w, v in lexicon.items():
-        by_value.setdefault(float(v), []).append(w)
-    expr = None
-    for v, words in sorted(by_value.items()):
-        cond = t.isin(*sorted(words))
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return expr.otherwise(F.lit(0.0)) if expr is not None else F.lit(0.0)
-
-
-def _in_lexicon(t: Column, lexicon: Mapping[str, float]) -> Column:
-    """One membership test over the whole lexicon gates the per-value CASE: most
-    tokens carry no polarity and pay a single hash lookup."""
-    return t.isin(*sorted(lexicon))
-
-
-def _count_in(arr: Column, words: Sequence[str]) -> Column:
-    if not words:
-        return F.lit(0)
-    return F.size(F.filter(arr, lambda w: w.isin(*sorted(words))))
-
-
-def _is_in(t: Column, words: Sequence[str]) -> Column:
-    if not words:
-        return F.lit(0)
-    return F.when(t.isin(*sorted(words)), F.lit(1)).otherwise(F.lit(0))
-
-
-def clause_score(toks: Column, lexicon: Mapping[str, float], negators: Sequence[str],
-                 amplifiers: Sequence[str], deamplifiers: Sequence[str],
-                 before: int = 5, after: int = 2, amp_weight: float = 0.8) -> Column:
-    """Σ over polarized tokens of
-    ``polarity · (−1)^neg · max(0, 1 + amp_weight·(amp·(−1)^neg − deamp))``,
-    shifters counted in the token window [i−before, i+after] of the same clause
-    (the token itself excluded)."""
-    n = F.size(toks)
-
-    def contrib(t: Column, i: Column) -> Column:
-        pos = i + 1
-        lo = F.greatest(F.lit(1), pos - before)
-        hi = F.least(n, pos + after)
-        win = F.slice(toks, lo, hi - lo + 1)
-        neg = _count_in(win, negators) - _is_in(t, negators)
-        amp = _count_in(win, amplifiers) - _is_in(t, amplifiers)
-        deamp = _count_in(win, deamplifiers) - _is_in(t, deamplifiers)
-        sign = F.when(F.pmod(neg, F.lit(2)) == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
-        p = _polarity(t, lexicon)
-        return F.when(~_in_lexicon(t, lexicon), F.lit(0.0)).when(p == 0.0, F.lit(0.0)).otherwise(
-            p * sign * F.greatest(F.lit(0.0), F.lit(1.0) + F.lit(amp_weight) * (amp * sign - deamp)))
-
-    return F.aggregate(F.transform(toks, contrib), F.lit(0.0), lambda a, b: a + b)
-
-
-def text_sentiment(c: str | Column, lexicon: Mapping[str, float], negators: Sequence[str] = (),
-                   amplifiers: Sequence[str] = (), deamplifiers: Sequence[str] = (),
-                   before: int = 5, after: int = 2, amp_weight: float = 0.8) -> Column:
-    """T4 + A5: Σ over sentences of (Σ clause scores / √words).  Null text -> null;
-    a text without words -> 0.0 (``sum(na.rm=TRUE)`` of nothing)."""
-    if not lexicon:
-        raise ValueError("lexicon must not be empty")
-
-    def sent_score(s: Column) -> Column:
-        cls = clause_tokens(s)
-        words = F.aggregate(F.transform(cls, lambda x: F.size(x)), F.lit(0), lambda a, b: a + b)
-        total = F.aggregate(
-            F.transform(cls, lambda x: clause_score(x, lexicon, negators, amplifiers, deamplifiers,
-                                                    before, after, amp_weight)),
-            F.lit(0.0), lambda a, b: a + b)
-        return total / F.sqrt(words.cast("double"))
-
-    x = col(c)
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-        F.aggregate(F.transform(sentences(x), sent_score), F.lit(0.0), lambda a, b: a + b))

@@ -80,14 +80,14 @@ def distinct_posters(com: DataFrame, group: str = "articleID", user: str = "user
 def text_scores(texts: DataFrame, keys: list[str], text_col: str, sent_col: str, cat_col: str,
                 readability: bool = False, sentiment_kwargs: dict | None = None) -> DataFrame:
     """T3-T7 on the table that holds the text; only keys + scores are joined back
-    (J6, J8, J9 — the reference joins them on a row surrogate, here on the key)."""
+    (J6, J8, J9 — the reference joins them on a row surrogate, here on the key).  The other measures
+    are taken before the sentiment join, which then moves no text."""
     t = spread(texts)
-    t = add_sentiment(t, text_col, sent_col, cat_col, **(sentiment_kwargs or {}))
     out = [*keys, sent_col, cat_col]
     if readability:
         t = add_length(add_readability(t, text_col), text_col)
         out += ["comment_length", "readFR", "readCL"]
-    return t.select(*out)
+    return add_sentiment(t, text_col, sent_col, cat_col, **(sentiment_kwargs or {})).select(*out)
 
 
 def article_features(art: DataFrame, pairs: DataFrame, snippets: DataFrame,
@@ -121,16 +121,17 @@ class FeatureTables:
     com_final: DataFrame
 
 
-def build_features(spark: SparkSession, sf_dir: str, no_article_label: bool = False) -> FeatureTables:
+def build_features(spark: SparkSession, sf_dir: str, no_article_label: bool = False,
+                   sentiment_kwargs: dict | None = None) -> FeatureTables:
     art = article_features(adapters.articles(spark, sf_dir), adapters.keyword_pairs(spark, sf_dir),
-                           adapters.article_snippets(spark, sf_dir))
+                           adapters.article_snippets(spark, sf_dir), sentiment_kwargs)
     com = comment_features(adapters.comments(spark, sf_dir), art, adapters.comment_bodies(spark, sf_dir),
-                           no_article_label)
+                           no_article_label, sentiment_kwargs)
     return FeatureTables(art, com)
 
 
-def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame,
-                                   no_article_label: bool = False) -> FeatureTables:
+def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame, no_article_label: bool = False,
+                                   sentiment_kwargs: dict | None = None) -> FeatureTables:
     """The same feature build from inputs in the reference's own shape (S1/S2 output):
     articles (articleID, keywords text, pubDate ISO text, snippet, byline, type) and
     comments (commentID, articleID, userID, commentSequence, approveDate epoch seconds,
@@ -146,8 +147,8 @@ def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame,
                   .withColumn("editorsSelection", r_bool("editorsSelection"))
                   .drop("commentBody", "byline", "pubDate_dt", "com_ord", "com_pos_cat", *computed, *ADDED))
     bodies = com_raw.select("commentID", "commentBody")
-    art_feat = article_features(art, pairs, snippets)
-    return FeatureTables(art_feat, comment_features(com, art_feat, bodies, no_article_label,
+    art_feat = article_features(art, pairs, snippets, sentiment_kwargs)
+    return FeatureTables(art_feat, comment_features(com, art_feat, bodies, no_article_label, sentiment_kwargs,
                                                     body_keys=("commentID",)))
 
 

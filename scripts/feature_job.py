@@ -22,6 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from recspark.operators import features  # noqa: E402
 from recspark.operators.indexing import check_invariants  # noqa: E402
+from recspark.operators.textops import read_lexicon  # noqa: E402
 from recspark.session import DEFAULT_CONF, ensure_checkpoint_dir  # noqa: E402
 from recspark.sources.tables import (ARTICLE_CSV_SCHEMA, COMMENT_CSV_SCHEMA, read_delimited,  # noqa: E402
                                      write_table)
@@ -33,6 +34,8 @@ def main() -> None:
     src.add_argument("--sf-dir", help="folder with the driver Parquet tables")
     src.add_argument("--csv-dir", help="folder with the four reference-format CSV files")
     ap.add_argument("--out", required=True)
+    ap.add_argument("--lexicon", help="sentiment lexicon: Parquet table or CSV file with word, polarity and optionally role "
+                                      "(polar, negator, amplifier, deamplifier); the small test lexicon if absent")
     ap.add_argument("--fraction", type=float, default=0.70)
     ap.add_argument("--seed", type=int, default=19790324)
     args = ap.parse_args()
@@ -43,8 +46,9 @@ def main() -> None:
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
 
+    sentiment = {"lexicon": read_lexicon(spark, args.lexicon)} if args.lexicon else None
     if args.sf_dir:
-        ft = features.build_features(spark, args.sf_dir)
+        ft = features.build_features(spark, args.sf_dir, sentiment_kwargs=sentiment)
     else:
         def both(kind, schema):
             """Both files, ingested once to Parquet; records that do not fit are counted and reported."""
@@ -56,7 +60,7 @@ def main() -> None:
             print(f"{kind}: bad_rows={both_raw.filter('_bad').count()} of {both_raw.count()}")
             return both_raw.drop("_bad")
         com_raw = both("comments", COMMENT_CSV_SCHEMA)
-        ft = features.features_from_reference_inputs(both("articles", ARTICLE_CSV_SCHEMA), com_raw)
+        ft = features.features_from_reference_inputs(both("articles", ARTICLE_CSV_SCHEMA), com_raw, sentiment_kwargs=sentiment)
 
     write_table(ft.art, f"{args.out}/art")
     write_table(ft.com_final, f"{args.out}/com_final", partition_by=["type"])
