@@ -17,13 +17,13 @@ bucket is refined by what stands at later offsets, the refined buckets being use
 4. Third refinement, by whole strings, only for what is left, shipped and merged in the same
    way.
 
-Buckets are hashes (40 bits of the q-gram beyond its partition and 40 of the context; 64 bits
+Buckets are hashes (40 bits of the q-gram beyond its partition and 64 of the context; 64 bits
 of whole strings beyond theirs).  The shipped entries are packed per block and partition.  A
 document longer than a block is read in overlapping parts.
 
 Defined results: a null text is the empty text; strings are judged on the input, and the
 earliest document keeps them; repeats inside one document stay, as do rows with a null id;
-rows that repeat an id must repeat its text and get the same result; an empty table gives no rows;
+rows that repeat an id are judged each by its own text, none of them earlier than the other; an empty table gives no rows;
 other columns are ignored and may have any name.
 """
 
@@ -65,28 +65,29 @@ def _unplane(raw: memoryview, n: int, width: int) -> np.ndarray:
 
 
 #: Bytes of each column of shipped runs, and of shipped strings.
-_WIDTHS = {"q": 5, "c": 5, "left": 2, "right": 2, "back": 1, "more": 1, "lo": 4, "doc": 4}
+_WIDTHS = {"q": 5, "c": 8, "left": 2, "right": 2, "back": 1, "more": 1, "lo": 4, "doc": 4}
 _STRING_WIDTHS = {"w": 8, "lo": 4, "doc": 4}
 
 
-def _pack(ids: np.ndarray, cols: dict[str, np.ndarray], widths: dict[str, int] = _WIDTHS) -> bytes:
+def _pack(ids: np.ndarray, keys: np.ndarray, cols: dict[str, np.ndarray], widths: dict[str, int] = _WIDTHS) -> bytes:
     """Entries of one block and partition: number of documents and entries, the documents'
-    ids, and the columns; ``doc`` is the place among the ids."""
+    ids and the hashes of their texts, and the columns; ``doc`` is the place among the ids."""
     used, doc = np.unique(cols["doc"], return_inverse=True)
     step = np.diff(doc, prepend=0)            # entries are in document order
-    head = np.array([len(used), len(doc)], "<u8").tobytes() + ids[used].astype("<i8").tobytes()
+    head = np.array([len(used), len(doc)], "<u8").tobytes() + ids[used].astype("<i8").tobytes() + keys[used].astype("<i8").tobytes()
     return head + b"".join(_planes(step if k == "doc" else cols[k], w) for k, w in widths.items())
 
 
 def _unpack(raw: bytes, widths: dict[str, int] = _WIDTHS) -> dict[str, np.ndarray]:
     view = memoryview(raw)
     docs, n = (int(x) for x in np.frombuffer(view[:16], "<u8"))
-    ids = np.frombuffer(view[16:16 + 8 * docs], "<i8")
-    at, out = 16 + 8 * docs, {}
+    ids, keys = np.frombuffer(view[16:16 + 16 * docs], "<i8").reshape(2, docs)
+    at, out = 16 + 16 * docs, {}
     for k, w in widths.items():
         out[k] = _unplane(view[at:at + n * w], n, w)
         at += n * w
-    out["doc"] = ids[np.cumsum(out["doc"].astype(np.int64))] if n else np.zeros(0, np.int64)
+    place = np.cumsum(out["doc"].astype(np.int64))
+    out["doc"], out["key"] = (ids[place], keys[place]) if n else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     return out
 
 
@@ -115,16 +116,16 @@ def runs_of(parts: list[tuple[int, bytes, int]]) -> dict[str, np.ndarray]:
     context = mix((whole[lo] * odd + whole[hi]) * odd + shape)
     offset = np.array([x[2] for x in parts], np.int64) - start
     return {"doc": np.array([x[0] for x in parts], np.int64)[part], "lo": lo + offset[part], "more": hi - lo, "back": a - lo,
-            "code": code, "c": context >> np.uint64(24), "left": side[np.maximum(a - SIDE, 0)] & np.uint64(0xFFFF),
+            "code": code, "c": context, "left": side[np.maximum(a - SIDE, 0)] & np.uint64(0xFFFF),
             "right": side[np.minimum(a, len(side) - 1)] & np.uint64(0xFFFF)}
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes, int]]]:
-    """Blocks of ``(id, bytes, offset)``; a document beyond a block comes in parts that
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[tuple[int, int], bytes, int]]]:
+    """Blocks of ``((id, hash of the text), bytes, offset)``; a document beyond a block comes in parts that
     overlap by one string less a byte."""
     block, held = [], 0
     for batch in slices(batches):
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for doc, text, key in zip(*(batch.column(k).to_pylist() for k in range(3))):
             raw = (text or "").encode()
             for at in range(0, max(1, len(raw) - LENGTH + 1), BLOCK):
                 piece = raw[at:at + BLOCK + LENGTH - 1]
@@ -133,7 +134,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes
                 if held and held + len(piece) > BLOCK + LENGTH:
                     yield block
                     block, held = [], 0
-                block.append((doc, piece, at))
+                block.append(((doc, key), piece, at))
                 held += len(piece)
     if block:
         yield block
@@ -143,7 +144,7 @@ def _as_run(lo: np.ndarray, more: np.ndarray, flag: int) -> np.ndarray:
     return lo.astype(np.int64) << 8 | more.astype(np.int64) | flag
 
 
-def _shipped(ids: np.ndarray, cols: dict[str, np.ndarray], same: np.ndarray, part: np.ndarray, n_parts: int,
+def _shipped(ids: np.ndarray, keys: np.ndarray, cols: dict[str, np.ndarray], same: np.ndarray, part: np.ndarray, n_parts: int,
              widths: dict[str, int]) -> pa.RecordBatch:
     """A block's entries, packed per partition.  Entries with equal ``same`` have one content:
     if an earlier document of the block has it, an entry is decided here (as a run that goes,
@@ -152,33 +153,34 @@ def _shipped(ids: np.ndarray, cols: dict[str, np.ndarray], same: np.ndarray, par
     new = np.append(True, same[order][1:] != same[order][:-1])
     lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
     done = np.zeros(len(order), bool)
-    done[order] = cols["doc"][lead] < cols["doc"][order]
+    done[order] = ids[cols["doc"][lead]] < ids[cols["doc"][order]]
     out_part, out = [], []
     if done.any():
         out_part.append(-1 - int(ids[0]) % n_parts)
         run = _as_run(cols["lo"][done], cols["more"][done], _WHOLE)
-        out.append(np.column_stack([ids[cols["doc"][done]], run]).astype("<i8").tobytes())
+        out.append(np.column_stack([ids[cols["doc"][done]], keys[cols["doc"][done]], run]).astype("<i8").tobytes())
     live = np.flatnonzero(~done)
     live = live[np.argsort(part[live], kind="stable")]
     cut = np.searchsorted(part[live], np.arange(n_parts + 1))
     for k in np.flatnonzero(np.diff(cut)):
         at = live[cut[k]:cut[k + 1]]
         out_part.append(int(k))
-        out.append(_pack(ids, {c: cols[c][at] for c in widths}, widths))
+        out.append(_pack(ids, keys, {c: cols[c][at] for c in widths}, widths))
     return pa.RecordBatch.from_arrays([pa.array(out_part, pa.int32()), pa.array(out, pa.binary())], ["part", "entries"])
 
 
 def _ship(n_parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            ids = np.unique(np.array([b[0] for b in block], np.int64))
+            names = sorted({b[0] for b in block})
+            place = {d: k for k, d in enumerate(names)}
+            ids, keys = np.array(names, np.int64).reshape(-1, 2).T
             block.sort(key=lambda b: (b[0], b[2]))
-            place = np.searchsorted(ids, [b[0] for b in block])
-            e = runs_of([(int(k), raw, at) for k, (_, raw, at) in zip(place, block)])
+            e = runs_of([(place[d], raw, at) for d, raw, at in block])
             if e:
                 code = e.pop("code")
                 e["q"] = code >> np.uint64(24)
-                yield _shipped(ids, e, mix(code ^ e["c"] * np.uint64(0xC2B2AE3D27D4EB4F)), (code % np.uint64(n_parts)).astype(np.int64), n_parts, _WIDTHS)
+                yield _shipped(ids, keys, e, mix(code ^ e["c"] * np.uint64(0xC2B2AE3D27D4EB4F)), (code % np.uint64(n_parts)).astype(np.int64), n_parts, _WIDTHS)
     return run
 
 
@@ -191,13 +193,13 @@ def _spread(group: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return (low < high)[at]
 
 
-def refine(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and runs of one partition of buckets that are removed as a whole or must
+def refine(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents (ids, hashes of texts) and runs of one partition of buckets that are removed as a whole or must
     be looked at string by string."""
     got = [_unpack(x) for x in packed]
-    e = {k: np.concatenate([g[k] for g in got]) for k in _WIDTHS}
+    e = {k: np.concatenate([g[k] for g in got]) for k in (*_WIDTHS, "key")}
     if not len(e["q"]):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     order = np.lexsort((e["doc"], e["c"], e["q"]))
     e = {k: v[order] for k, v in e.items()}
     bucket = np.append(True, e["q"][1:] != e["q"][:-1])
@@ -221,19 +223,19 @@ def refine(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     at = np.concatenate([np.flatnonzero(whole), rest])
     run = _as_run(lo[at], more[at], 0)
     run[:int(whole.sum())] |= _WHOLE
-    return e["doc"][at], run
+    return e["doc"][at], e["key"][at], run
 
 
 def _decided(group: pd.DataFrame) -> pd.DataFrame:
-    pairs = np.frombuffer(b"".join(group["entries"]), "<i8").reshape(-1, 2)
-    return pd.DataFrame({"doc_id": pairs[:, 0], "run": pairs[:, 1]})
+    pairs = np.frombuffer(b"".join(group["entries"]), "<i8").reshape(-1, 3)
+    return pd.DataFrame({"doc_id": pairs[:, 0], "key": pairs[:, 1], "run": pairs[:, 2]})
 
 
 def _refine(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     if key[0] < 0:
         return _decided(group)
-    doc, run = refine(list(group["entries"]))
-    return pd.DataFrame({"doc_id": doc, "run": run})
+    doc, text, run = refine(list(group["entries"]))
+    return pd.DataFrame({"doc_id": doc, "key": text, "run": run})
 
 
 def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +243,7 @@ def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3)
     for batch in slices(batches):
         raw = [press.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["doc_id", "raw"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(raw, pa.binary())], ["doc_id", "key", "raw"])
 
 
 def _strings(n_parts: int):
@@ -251,19 +253,22 @@ def _strings(n_parts: int):
 
         def shipped(held: list[tuple]) -> pa.RecordBatch:
             held.sort(key=lambda x: x[0])
-            ids, place = np.unique(np.array([x[0] for x in held], np.int64), return_inverse=True)
+            names = sorted({x[0] for x in held})
+            at_name = {d: k for k, d in enumerate(names)}
+            ids, keys = np.array(names, np.int64).reshape(-1, 2).T
+            place = np.array([at_name[x[0]] for x in held])
             first, w, at = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
             cols = {"w": w, "lo": at, "more": np.zeros(len(at), np.int64), "doc": np.repeat(place, [len(x[3]) for x in held])}
-            return _shipped(ids, cols, w, (first % np.uint64(n_parts)).astype(np.int64), n_parts, _STRING_WIDTHS)
+            return _shipped(ids, keys, cols, w, (first % np.uint64(n_parts)).astype(np.int64), n_parts, _STRING_WIDTHS)
 
         held, n = [], 0
         for batch in slices(batches):
-            for doc, raw, mine in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for doc, key, raw, mine in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 buf = np.frombuffer(press.decompress(raw), np.uint8)
                 runs = np.unique(np.asarray(mine, np.int64))
                 more = (runs & 127) + 1
                 at = np.repeat(runs >> 8, more) + np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)
-                held.append((doc, Rolling(buf).of(LENGTH)[at], Rolling(buf, second=True).of(LENGTH)[at], at))
+                held.append(((doc, key), Rolling(buf).of(LENGTH)[at], Rolling(buf, second=True).of(LENGTH)[at], at))
                 n += len(at)
                 if n > STRINGS:
                     yield shipped(held)
@@ -278,12 +283,12 @@ def _late(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     if key[0] < 0:
         return _decided(group)
     got = [_unpack(x, _STRING_WIDTHS) for x in group["entries"]]
-    w, doc, at = (np.concatenate([g[k] for g in got]) for k in ("w", "doc", "lo"))
+    w, doc, text, at = (np.concatenate([g[k] for g in got]) for k in ("w", "doc", "key", "lo"))
     order = np.lexsort((doc, w))
-    w, doc, at = w[order], doc[order], at[order].astype(np.int64)
+    w, doc, text, at = w[order], doc[order], text[order], at[order].astype(np.int64)
     new = np.append(True, w[1:] != w[:-1])
     gone = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-    return pd.DataFrame({"doc_id": doc[gone], "run": _as_run(at[gone], 0 * at[gone], _WHOLE)})
+    return pd.DataFrame({"doc_id": doc[gone], "key": text[gone], "run": _as_run(at[gone], 0 * at[gone], _WHOLE)})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,27 +312,27 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _by_id(docs: DataFrame) -> DataFrame:
-    squeezed = docs.select("doc_id", "text").mapInArrow(_squeezed, "doc_id long, raw binary")
-    return squeezed.repartition(shuffle_partitions(docs.sparkSession), "doc_id")
+    squeezed = docs.select("doc_id", "text", "key").mapInArrow(_squeezed, "doc_id long, key long, raw binary")
+    return squeezed.repartition(shuffle_partitions(docs.sparkSession), "doc_id", "key")
 
 
 def removed_runs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, run)`` for documents with ``doc_id`` and ``text``: runs of strings to be
-    removed, as ``first position << 8 | further strings``."""
+    """``(doc_id, key, run)`` for documents with ``doc_id``, ``text`` and its hash ``key``: runs of
+    strings to be removed, as ``first position << 8 | further strings``."""
     n = shuffle_partitions(docs.sparkSession)
     known = docs.where(F.col("doc_id").isNotNull())
-    shipped = known.select("doc_id", "text").mapInArrow(_ship(n), "part int, entries binary")
-    runs = materialize(shipped.groupBy("part").applyInPandas(_refine, "doc_id long, run long"), "passages")
-    open_runs = runs.where(F.col("run").bitwiseAND(_WHOLE) == 0).groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
-    strings = _by_id(known).join(open_runs, "doc_id").select("doc_id", "raw", "runs").mapInArrow(_strings(n), "part int, entries binary")
-    late = strings.groupBy("part").applyInPandas(_late, "doc_id long, run long")
+    shipped = known.select("doc_id", "text", "key").mapInArrow(_ship(n), "part int, entries binary")
+    runs = materialize(shipped.groupBy("part").applyInPandas(_refine, "doc_id long, key long, run long"), "passages")
+    open_runs = runs.where(F.col("run").bitwiseAND(_WHOLE) == 0).groupBy("doc_id", "key").agg(F.collect_list("run").alias("runs"))
+    strings = _by_id(known).join(open_runs, ["doc_id", "key"]).select("doc_id", "key", "raw", "runs").mapInArrow(_strings(n), "part int, entries binary")
+    late = strings.groupBy("part").applyInPandas(_late, "doc_id long, key long, run long")
     whole = runs.where(F.col("run").bitwiseAND(_WHOLE) != 0)
-    return whole.union(late).select("doc_id", (F.col("run") - _WHOLE).alias("run"))
+    return whole.union(late).select("doc_id", "key", (F.col("run") - _WHOLE).alias("run"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    runs = removed_runs(rows).groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
-    return _by_id(rows).join(runs, "doc_id", "left").select("doc_id", "raw", "runs").mapInArrow(
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
+    runs = removed_runs(rows).groupBy("doc_id", "key").agg(F.collect_list("run").alias("runs"))
+    return _by_id(rows).join(runs, ["doc_id", "key"], "left").select("doc_id", "raw", "runs").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
