@@ -74,6 +74,23 @@ def components(edges: DataFrame, a: str, b: str, name: str = "components") -> Da
         cur = materialize(small.union(low).where(F.col("u") != F.col("v")).distinct(), name)
 
 
+#: Components with over 1 / HOT of the rows are joined by broadcast: at most so many.
+HOT = 1024
+
+
+def least_label(joined: DataFrame, labels: DataFrame, name: str = "labels") -> DataFrame:
+    """``(id, component, least)``: the smallest label in the component of each id of ``joined`` (id,
+    component); ``labels`` holds (id, label).  A component of any size is split: its rows
+    meet its label by broadcast, which holds at most HOT rows."""
+    x = materialize(joined.join(labels, "id"), name)
+    total = x.count()
+    per = x.groupBy("component").agg(F.min("label").alias("least"), F.count(F.lit(1)).alias("n"))
+    hot = per.where(F.col("n") * HOT > total).select("component", F.col("least").alias("hot"))
+    x = x.join(F.broadcast(hot), "component", "left")
+    rest = x.where(F.col("hot").isNull()).join(per.where(F.col("n") * HOT <= total), "component")
+    return x.where(F.col("hot").isNotNull()).select("id", "component", F.col("hot").alias("least")).union(rest.select("id", "component", "least"))
+
+
 def slices(batches: Iterator, rows: int = 512) -> Iterator:
     """Arrow record batches in small parts, so that few texts are Python objects at once."""
     for batch in batches:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import components
+from .common import components, least_label
 
 THRESHOLD = 0.95
 SHARD_ROWS = 50_000
@@ -263,7 +263,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     rows = materialize(vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                                       F.when(usable, F.transform(v, lambda x: x + F.lit(0.0))).alias("v")), "vectors")
     texts = rows.where(F.col("v").isNotNull())
-    one = materialize(texts.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vectors-distinct")
+    one = materialize(texts.groupBy("v").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+                      .withColumn("rep", F.monotonically_increasing_id()), "vectors-distinct")
     n = one.count()
     shards = max(SHARDS, -(-n // shard_rows))
     blocks = max(1, -(-n // QUERY_ROWS))
@@ -279,9 +280,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         _search_task(threshold), "kind int, id long, value long"), "vectors-links")
     links = found.where("kind = 0").groupBy("id").agg(F.sum("value").alias("n"))
     joined = components(found.where("kind = 1").select("id", "value"), "id", "value", "vectors-components")
-    per = one.select("v", "rep", "copies").join(links.withColumnRenamed("id", "rep"), "rep", "left").join(
-        joined.withColumnRenamed("id", "rep"), "rep", "left").select(
-        F.col("v").alias("v2"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    least = least_label(joined, one.select(F.col("rep").alias("id"), F.col("low").alias("label")), "vectors-least")
+    per = one.select("v", "rep", "low", "copies").join(links.withColumnRenamed("id", "rep"), "rep", "left").join(
+        least.select(F.col("id").alias("rep"), "least"), "rep", "left").select(
+        F.col("v").alias("v2"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "low").alias("component_id"))
     out = rows.join(per, F.col("v") == F.col("v2"), "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
