@@ -29,9 +29,10 @@ So every pair of a bucket is verified unless it is connected already, and classe
 connected components of all links.  Intermediate tables are written to the shared folder.
 
 Defined results: texts without a word (null and empty too) resemble nothing and are classes
-of their own; a row with a null id has a null class and always stays; repeated rows with one
-id are one document; an empty table gives no rows; other columns are kept by `drop_near` and may have
-any name without a leading ``_nd_``.
+of their own; a row with a null id has a null class and always stays; a document is an id with a text, so rows
+that repeat both are one document and an id with several texts is several (each with the
+smallest id of its own class); an empty table gives no rows; other columns are kept by `drop_near` and
+may have any name.
 """
 
 from __future__ import annotations
@@ -43,11 +44,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import components, slices
+from .common import components, least_label, slices
 from .rolling import mix
 
 WORDS = 5
@@ -238,26 +239,28 @@ class Sampler:
 
 
 def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, x1, x2, bands)``: a 128-bit hash of the word sequence and the band keys;
-    documents without words are left out."""
+    """``(doc_id, raw, x1, x2, bands)``: a hash of the text, a 128-bit hash of the word sequence and the
+    band keys; documents without words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(bands * rows)
         for batch in slices(batches):
-            ids, exact, keys = [], [], []
+            ids, raws, exact, keys = [], [], [], []
             text = batch.column(1).to_pylist()
-            for doc, h in zip(batch.column(0).to_pylist(), hashed(text)):
+            for doc, raw, h in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), hashed(text)):
                 if len(h):
                     got = _shingles(h)
                     ids.append(doc)
+                    raws.append(raw)
                     exact.append(hashlib.md5(h.tobytes()).digest())
                     keys.append(sampler.bands(*got, idf.value, bands))
             x = np.frombuffer(b"".join(exact), "<i8").reshape(-1, 2)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * (2 * bands), pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(x[:, 0]), pa.array(x[:, 1]), lists], ["doc_id", "x1", "x2", "bands"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raws, pa.string()), pa.array(x[:, 0]), pa.array(x[:, 1]), lists],
+                                              ["doc_id", "raw", "x1", "x2", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, x1 long, x2 long, bands array<long>")
+    return docs.select("doc_id", "text", "raw").mapInArrow(run, "doc_id long, raw string, x1 long, x2 long, bands array<long>")
 
 
 def as_set(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -273,14 +276,20 @@ def as_set(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, s)``: the shingles of whole texts, packed."""
+    """``(doc_id, s)``: the shingles of whole texts, packed, by the number of the text; of the rows
+    with a text's smallest id those with its word sequence (x1, x2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            got = [as_set(*g).tobytes() if g else b"" for g in shingled(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], ["doc_id", "s"])
+            ids, got = [], []
+            cols = (batch.column(k).to_pylist() for k in (0, 2, 3))
+            for rep, x1, x2, h in zip(*cols, hashed(batch.column(1).to_pylist())):
+                if len(h) and tuple(np.frombuffer(hashlib.md5(h.tobytes()).digest(), "<i8").tolist()) == (x1, x2):
+                    ids.append(rep)
+                    got.append(as_set(*_shingles(h)).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(got, pa.binary())], ["doc_id", "s"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s binary")
+    return docs.select("rep", "text", "x1", "x2").mapInArrow(run, "doc_id long, s binary")
 
 
 def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
@@ -390,15 +399,16 @@ def _block_links(met: DataFrame, sets: DataFrame, idf, threshold: float) -> Data
     return placed.groupBy("bucket", "i", "j").applyInPandas(links, "a long, b long")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-            bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, class_id)`` for every non-null id: the smallest id of the document's class."""
+def _found(docs: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
+    """``(doc_id, raw, component, class_id)`` of every row with words: a number of its class, and the
+    smallest id in it.  ``docs`` holds ``doc_id`` (not null), ``text`` and ``raw``."""
     spark = docs.sparkSession
-    docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))          # FEATURES numbers
     sig = materialize(signatures(docs, idf, bands, rows), "near-signatures")
-    first = materialize(sig.groupBy("x1", "x2").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("rep")), "near-texts")
-    member = sig.select("doc_id", "x1", "x2").join(first.select("x1", "x2", "rep"), ["x1", "x2"]).select("doc_id", "rep")
+    # a number of its own for every text: ids may repeat
+    first = materialize(sig.groupBy("x1", "x2").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("low"))
+                        .withColumn("rep", F.monotonically_increasing_id()), "near-texts")
+    member = sig.select("doc_id", "raw", "x1", "x2").join(first.select("x1", "x2", "rep", "low"), ["x1", "x2"]).select("doc_id", "raw", "rep", "low")
 
     # members of buckets that hold several texts, and how many such buckets a text is in
     placed = first.select("rep", F.posexplode("bands").alias("band", "key")).select(
@@ -409,7 +419,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     several = several.groupBy("low", "high", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
     met = materialize(placed.join(several, "bucket", "left_semi").distinct(), "near-buckets")
     degree = met.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
-    sets = materialize(_sets(docs.join(degree.select(F.col("doc").alias("doc_id")).hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])), "near-sets")
+    wanted = degree.select(F.col("doc").alias("rep")).join(first.select("rep", F.col("low").alias("doc_id"), "x1", "x2"), "rep")
+    sets = materialize(_sets(docs.join(wanted.hint("merge"), "doc_id").select("rep", "text", "x1", "x2")).dropDuplicates(["doc_id"]), "near-sets")
     lead = met.join(degree, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("n", -F.col("doc"))).alias("lead"))
     pairs = met.join(lead, "bucket").where(F.col("doc") != F.col("lead")).select(
         F.least("lead", "doc").alias("a"), F.greatest("lead", "doc").alias("b")).distinct()
@@ -419,16 +430,40 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     known = met.join(joined.withColumnRenamed("id", "doc"), "doc", "left").select("bucket", "doc", F.coalesce("component", "doc").alias("component"))
     more = materialize(_block_links(known, sets, idf, threshold), "near-more")
     joined = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "a", "b", "near-components")
-    found = member.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select(
-        F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("class")).groupBy("id").agg(F.min("class").alias("class"))
-    return docs.select("doc_id").distinct().join(found, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", F.coalesce("class", "doc_id").alias("class_id"))
-
-
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One document of each class (that with the smallest id), with all columns."""
-    gone = classes(docs, id_col, text_col, **how).where("doc_id <> class_id").select(F.col("doc_id").alias("_nd_id"))
-    kept = docs.join(gone, F.col(id_col).cast("long") == F.col("_nd_id"), "left_anti")
-    once = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
-    return kept.withColumn("_nd_row", F.when(F.col(id_col).isNotNull(), once)).where(
-        F.col("_nd_row").isNull() | (F.col("_nd_row") == 1)).select(*docs.columns)
+    least = least_label(joined, first.select(F.col("rep").alias("id"), F.col("low").alias("label")), "near-least")
+    return member.join(least.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "doc_id", "raw", F.coalesce("component", "rep").alias("component"), F.coalesce("least", "low").alias("class_id"))
+
+
+def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                                                        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("raw"))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+            bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(doc_id, class_id)`` for every document with an id: the smallest id of its class."""
+    docs = _identified(docs, id_col, text_col)
+    found = _found(docs, threshold, bands, rows).groupBy("doc_id", "raw").agg(F.min("class_id").alias("class_id"))
+    return docs.select("doc_id", "raw").distinct().join(found, ["doc_id", "raw"], "left").select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+              bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One document of each class (that with the smallest id), with all columns; rows without an id
+    or without words stay."""
+    found = materialize(_found(_identified(docs, id_col, text_col), threshold, bands, rows), "near-found")
+    lead = found.groupBy("component").agg(F.min(F.struct("doc_id", "raw")).alias("k")).select("k.doc_id", "k.raw", F.lit(True).alias("keep"))
+    per = found.groupBy("doc_id", "raw").agg(F.count(F.lit(1)).alias("n"))
+    per = materialize(per.join(lead, ["doc_id", "raw"], "left"), "near-kept")
+    # the row as one column: its columns may have any name
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("raw"))
+    named = whole.where(F.col("doc_id").isNotNull()).join(per, ["doc_id", "raw"], "left")
+    out = whole.where(F.col("doc_id").isNull()).select("row").union(
+        named.where(F.col("n").isNull() | (F.col("keep") & (F.col("n") == 1))).select("row"))
+    if per.where("keep and n > 1").limit(1).count():      # rows that repeat id and text: one of them
+        again = whole.join(per.where("keep and n > 1"), ["doc_id", "raw"])
+        out = out.union(again.groupBy("doc_id", "raw").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row"))
+    return out.select("row.*")
