@@ -129,13 +129,14 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mix does not take goes."""
     rows = materialize(sized(docs, id_col, text_col, source_col), "mix-rows")
     c = cuts(rows, weights, max_repeat)
-    c = c.select(F.col("source").alias("_mix_source"), F.struct(*[x for x in c.columns if x != "source"]).alias("_mix"))
-    size, key = word_count(F.col(text_col)), _key(F.col(id_col))
-    last = (F.col("_mix.cut_key").isNotNull() & (size > 0) & (key <= F.col("_mix.cut_key"))).cast("int")
-    copies = F.when(size > 0, F.col("_mix.epochs") + last).otherwise(F.col("_mix.epochs")).cast("int")
-    out = docs.join(c, F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source")))
-    out = out.withColumn("_copies", copies).where(F.col("_copies") > 0)
-    return out.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    c = c.select(F.col("source").alias("of"), F.struct(*[x for x in c.columns if x != "source"]).alias("cut"))
+    # the row as one column: its columns may have any name
+    whole = docs.select(F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row"), word_count(F.col(text_col)).alias("size"),
+                        _key(F.col(id_col)).alias("key"), F.col(source_col).cast("string").alias("source"))
+    last = (F.col("cut.cut_key").isNotNull() & (F.col("size") > 0) & (F.col("key") <= F.col("cut.cut_key"))).cast("int")
+    copies = F.when(F.col("size") > 0, F.col("cut.epochs") + last).otherwise(F.col("cut.epochs")).cast("int")
+    out = whole.join(c, F.col("source").eqNullSafe(F.col("of"))).select("row", copies.alias("copies")).where(F.col("copies") > 0)
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 OP1_SQL = """
