@@ -66,10 +66,11 @@ def _powers(base: int, n: int) -> np.ndarray:
 class _Block:
     """Words of one length as numbers: reduced letters, and hashes of them and of the halves."""
 
-    def __init__(self, some: list[str]):
+    def __init__(self, some: list[str], n_symbols: int):
+        self.n_symbols = n_symbols
         self.length = length = len(some[0])
         letters = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).reshape(-1, length).astype(np.uint64)
-        self.symbols = (mix(letters + np.uint64(1)) >> np.uint64(20)) % np.uint64(SYMBOLS)
+        self.symbols = (mix(letters + np.uint64(1)) >> np.uint64(20)) % np.uint64(n_symbols)
         self.powers = _powers(_BASE, length + 1)
         terms = (self.symbols + np.uint64(1)) * self.powers[:length]
         zero = np.zeros((len(some), 1), np.uint64)
@@ -102,64 +103,68 @@ class _Block:
         h = n // 2
         for i in range(n):                       # letter i by a smaller symbol
             half = self.first[:, h] if i >= h else self.last[:, h]
-            for s in range(SYMBOLS - 1):
+            for s in range(self.n_symbols - 1):
                 some = np.flatnonzero(c[:, i] > s)
                 reduced = self.whole[some] + (np.uint64(s) - c[some, i]) * self.powers[i]
                 yield some, self.key(reduced, half[some], int(i < h))
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, _Block]]:
+def _blocks(batch: pa.RecordBatch, n_symbols: int) -> Iterator[tuple[np.ndarray, _Block]]:
     """The batch's words by length, in parts of bounded size, with their ids."""
     rows = sorted(zip(batch.column(1).to_pylist(), batch.column(0).to_pylist()), key=lambda r: len(r[0]))
     for length, some in groupby(rows, lambda r: len(r[0])):
-        some, step = list(some), max(1, KEYS // (length * SYMBOLS))
+        some, step = list(some), max(1, KEYS // (length * n_symbols))
         for k in range(0, len(some), step):
-            yield np.array([i for _, i in some[k:k + step]], np.int64), _Block([w for w, _ in some[k:k + step]])
-
-
-def _generated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for ids, block in _blocks(batch):
-            held, size = [], 0
-            for some, key in block.neighbours():
-                held.append((ids[some], key.view(np.int64)))
-                size += len(some)
-                if size >= KEYS:
+            yield np.array([i for _, i in some[k:k + step]], np.int64), _Block([w for w, _ in some[k:k + step]], n_symbols)
+
+
+def _generated(n_symbols: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, block in _blocks(batch, n_symbols):
+                held, size = [], 0
+                for some, key in block.neighbours():
+                    held.append((ids[some], key.view(np.int64)))
+                    size += len(some)
+                    if size >= KEYS:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], ["id", "key"])
+                        held, size = [], 0
+                if size:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], ["id", "key"])
-                    held, size = [], 0
-            if size:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], ["id", "key"])
+    return run
 
 
-def _own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _own_keys(n_symbols: int):
     """The vocabulary under its two keys: the rows with the key and the side in place of the id."""
-    for batch in batches:
-        for at, block in _blocks(batch.set_column(0, "id", pa.array(range(batch.num_rows), pa.int64()))):
-            words_, counts = (batch.column(k).take(pa.array(at)) for k in (1, 2))
-            for side, key in enumerate(block.own()):
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(at), side, np.int8)), words_, counts],
-                                                 ["key", "side", "other", "other_n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, block in _blocks(batch.set_column(0, "id", pa.array(range(batch.num_rows), pa.int64())), n_symbols):
+                words_, counts = (batch.column(k).take(pa.array(at)) for k in (1, 2))
+                for side, key in enumerate(block.own()):
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(at), side, np.int8)), words_, counts],
+                                                     ["key", "side", "other", "other_n"])
+    return run
 
 
-def near_pairs(vocabulary: DataFrame) -> DataFrame:
+def near_pairs(vocabulary: DataFrame, n_symbols: int = SYMBOLS) -> DataFrame:
     """``word, n, other, other_n``: every unordered pair of words at edit distance one, once.
     ``vocabulary``: ``id, word, n``, stable between reads."""
-    made = vocabulary.select("id", "word").mapInArrow(_generated, "id long, key long")
-    own = vocabulary.select("id", "word", "n").mapInArrow(_own_keys, "key long, side byte, other string, other_n long")
+    made = vocabulary.select("id", "word").mapInArrow(_generated(n_symbols), "id long, key long")
+    own = vocabulary.select("id", "word", "n").mapInArrow(_own_keys(n_symbols), "key long, side byte, other string, other_n long")
     found = made.join(own, "key").drop("key").join(vocabulary, "id")
     half = "cast(length(other) / 2 as int)"
     # a letter left out at the border of the halves is found by both: it counts by the first
     once = (F.length("word") == F.length("other")) | (F.col("side") == 0) | F.expr(f"left(word, {half}) != left(other, {half})")
     # two words of one reduced form find each other: it counts for the smaller word
-    one = (F.col("word") < F.col("other")) | (_reduced("word") != _reduced("other"))
+    one = (F.col("word") < F.col("other")) | (_reduced("word", n_symbols) != _reduced("other", n_symbols))
     return found.where((F.levenshtein("word", "other", 1) == 1) & once & one).select("word", "n", "other", "other_n")
 
 
-def _reduced(col: str):
+def _reduced(col: str, n_symbols: int):
     """The reduced form as text, by the table of the letters' symbols."""
     letters = _LOWER + _UPPER + "".join(map(chr, range(0xC0, 0x100)))
     codes = np.frombuffer(letters.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    symbols = (mix(codes + np.uint64(1)) >> np.uint64(20)) % np.uint64(SYMBOLS)
+    symbols = (mix(codes + np.uint64(1)) >> np.uint64(20)) % np.uint64(n_symbols)
     return F.translate(F.col(col), letters, "".join(chr(48 + x) for x in symbols.tolist()))
 
 
@@ -176,11 +181,11 @@ def follow(links: DataFrame, name: str = "spelling-roots") -> DataFrame:
         cur = nxt.select("word", "root")
 
 
-def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_symbols: int = SYMBOLS) -> DataFrame:
     """``word, form, root, n, n_near, form_n`` of every word."""
     vocabulary = materialize(words(docs, id_col, text_col).select(
         F.monotonically_increasing_id().alias("id"), "word", "n"), "spelling-words")
-    near = near_pairs(vocabulary)
+    near = near_pairs(vocabulary, n_symbols)
     both = near.select(F.explode(F.array(
         F.struct("word", "n", F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("form")).alias("best")),
         F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"),

@@ -206,7 +206,7 @@ def test_repeats_equal_brute_force(spark, docs, rows, odd, monkeypatch):
     # a document in several overlapping parts
     import pyarrow as pa
     monkeypatch.setattr(suffix_dedup, "BLOCK", 100)
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["x" * 1000])], ["a", "b"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["x" * 1000]), pa.array([5])], ["a", "b", "c"])
     parts = [p for b in suffix_dedup._blocks([batch]) for p in b]
     assert sum(len(p[1]) - 49 for p in parts) == 951 and [p[2] for p in parts] == list(range(0, 951, 100))
 
@@ -429,3 +429,34 @@ def test_vectors_audit_sees_a_search_that_finds_only_itself(monkeypatch, groups)
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     n = (u @ u.T >= 0.95).sum(axis=1) - 1
     assert out.loc[out["kind"] == 0].set_index("id")["value"].to_dict() == {3 * i: k for i, k in enumerate(n) if k}
+
+
+# ---- rows that repeat an id with another text or vector, and columns named like the operators' own
+def test_repeated_ids_with_other_texts_keep_every_text(spark):
+    a, b, c = ("".join(chr(97 + (i * i * k) % 26) for i in range(900)) for k in (3, 7, 11))
+    spaced = [" ".join(x[i:i + 6] for i in range(0, 900, 6)) for x in (a, b, c)]
+    rows = [(1, spaced[0]), (1, spaced[1]), (2, spaced[0]), (3, spaced[1]), (4, spaced[2]), (4, spaced[2]), (None, spaced[2]), (None, None)]
+    d = table(spark, [(i, t, "en", "s") for i, t in rows])
+    kept = sorted((r.doc_id or 0, r.text or "") for r in near_dup.drop_near(d).collect())
+    assert kept == sorted([(1, spaced[0]), (1, spaced[1]), (4, spaced[2]), (0, spaced[2]), (0, "")])
+    assert sorted(map(tuple, near_dup.classes(d).collect())) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    z = "z" * 404
+    more = rows + [(5, z), (5, z.replace("z", "y")), (6, spaced[1][:400] + "!" + z), (6, "short")]
+    got = sorted((-1 if r[0] is None else r[0], *r[1:]) for r in suffix_dedup.remove_repeats(table(spark, [(i, t, "en", "s") for i, t in more])).collect())
+    assert got == removed(more)
+
+
+def test_repeated_ids_with_other_vectors(spark):
+    e = np.eye(4)
+    data = [(1, e[0]), (1, e[1]), (2, e[0]), (3, e[1]), (4, e[2]), (4, e[2]), (5, e[2] * 2)]
+    got = vectors.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in data], "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 2, 4), (4, 2, 4), (5, 2, 4)]
+
+
+def test_pipeline_rows_keep_columns_of_any_name(spark):
+    names = ["_copies", "_epoch", "_mix", "_mix_source", "_nd_id", "_nd_row", "size", "key", "of", "cut", "row", "raw", "n", "keep", "copies", "s2"]
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(30)), f"s{i % 3}", *range(len(names))) for i in range(1, 40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    for out in (mixing.mixed_rows(d), near_dup.drop_near(d)):
+        got = out.collect()
+        assert out.columns == d.columns and got and {tuple(r) for r in got} <= {tuple(r) for r in rows}
