@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.core import clamp0, rint0
-from .learners import PRED, AtBudget, PoissonGBTModel, PoissonMLPModel
+from .learners import PRED, AtBudget, PoissonGBTModel, PoissonMLPModel, StackModel
 from .linear import LinearModel
 
 _SPARK_MODELS = {"LinearRegressionModel": LinearRegressionModel,
@@ -39,6 +39,10 @@ def save_model(spark: SparkSession, model, path: str) -> str:
         meta = {"kind": "PoissonMLPModel", "activation": model.activation,
                 "mean": model.mean.tolist(), "std": model.std.tolist(), "width": model.width,
                 "weights": [w.tolist() for w in model.weights]}
+    elif isinstance(model, StackModel):
+        for i, m in enumerate(model.models.values()):
+            save_model(spark, m, f"{path}/base_{i}")
+        meta = {"kind": kind, "names": list(model.models), "coef": model.coef}
     elif isinstance(model, AtBudget):
         save_model(spark, model.model, f"{path}/inner")
         meta = {"kind": kind, "nbins_cats": model.nbins_cats}
@@ -66,6 +70,8 @@ def load_model(spark: SparkSession, path: str):
     if kind == "PoissonMLPModel":
         return PoissonMLPModel([np.array(w) for w in meta["weights"]], np.array(meta["mean"]),
                                np.array(meta["std"]), meta["activation"], meta.get("width", 0))
+    if kind == "StackModel":
+        return StackModel({n: load_model(spark, f"{path}/base_{i}") for i, n in enumerate(meta["names"])}, meta["coef"])
     if kind == "AtBudget":
         return AtBudget(load_model(spark, f"{path}/inner"), meta["nbins_cats"])
     if kind == "LinearModel":

@@ -134,16 +134,27 @@ def q_ml_mlp(spark, sf):
     return m.transform(tst).select(KEY, "recommendations", "prediction")
 
 
-@register("ml_automl", None, "M8 M13 O5")
-def q_ml_automl(spark, sf):
-    prep, trn, _, _ = _data(spark, sf)
+def _automl(spark, sf):
+    prep, trn, _, sub = _data(spark, sf)
     mb = max_bins_for(prep)
     cands = {"drf": ("rf", {"ntrees": 10, "max_depth": 8, "max_bins": mb}),
              "xrt": ("rf", {"ntrees": 10, "max_depth": 12, "mtries": 1, "max_bins": mb}),
              "gbm": ("gbm", {"ntrees": 5, "max_depth": 3, "learn_rate": 0.3, "max_bins": mb}),
+             "deeplearning": ("nn", {"hidden": (16, 16), "activation": "Tanh", "epochs": 2, "batches_per_epoch": 2, "rho": 0.95}),
              "glm": ("glm", {"alpha": 0.5})}
-    res = S.automl(spark, S.with_folds(trn, KEY), _nf(prep), KEY, cands, exclude=("glm",))
-    return res.leaderboard
+    return S.automl(spark, S.with_folds(trn, KEY), _nf(prep), KEY, cands, exclude=("glm",)), sub
+
+
+@register("ml_automl", None, "M8 M13 O5")
+def q_ml_automl(spark, sf):
+    return _automl(spark, sf)[0].leaderboard
+
+
+@register("ml_automl_leader", None, "M8 M13 M14 S7 (the leader, refitted, saved, loaded, scores the submission set)")
+def q_ml_automl_leader(spark, sf):
+    found, sub = _automl(spark, sf)
+    path = RG.save_model(spark, found.model, f"{ensure_checkpoint_dir(spark).rstrip('/')}/leader-{uuid.uuid4().hex}")
+    return RG.submission(RG.load_model(spark, path).transform(sub))
 
 
 @register("ml_importance", None, "M16")
