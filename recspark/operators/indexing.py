@@ -9,8 +9,8 @@ task with an order-preserving *bucket* column:
 2. ``offsets`` = running sum of counts before a bucket — window over the small counts table
 3. join the offsets back on (group, bucket) and number rows inside (group, bucket).
 
-The join output is hash-partitioned on (group, bucket), which is exactly the
-window's required distribution, so step 3 adds no second exchange of the data.
+Where the offsets are broadcast the data is exchanged once, for the window of step 3; a
+sort-merge join on the null-safe keys exchanges it a second time.
 """
 
 from __future__ import annotations
