@@ -1,20 +1,23 @@
 """Operator 10: near-duplicate embeddings by sharded HNSW graphs.
 
-Vectors are dealt to shards by a hash of their id; each shard builds one hierarchical
+Vectors are dealt to shards by a hash of their number; each shard builds one hierarchical
 navigable small-world graph (layers of geometrically fewer nodes, links chosen for
-diversity, inserted in batches).  Every vector queries every shard: blocks of queries and
-a shard's graph meet in one task, which searches with a beam of ``BEAM``.  A query whose beam is
-full of links gets a beam four times as wide until it is not, and an audit answers queries
-of the block, in random order, by brute force over the shard until ``AUDIT_LINKS`` links to
-other vectors are known: while the search's recall on these is below ``RECALL``, the beam is
-doubled, in the end to the whole shard, and then the rest of the block is searched.  Audited
-queries keep their exact answers; where links are rare that is the whole block.  Found
-vectors count only if their cosine in double precision reaches the threshold.
+diversity, inserted in batches).  Every vector queries every shard: a task reads a shard's graph
+once and the queries stream past it, so a graph is copied only as often as tasks are needed.
+A query whose beam is full of links gets a beam four times as wide until it is not.
+
+The graphs answer, and an audit of bounded size sets their beam: ``AUDIT`` vectors of a shard get a
+planted twin each, at a cosine between the threshold and 1, that is a node like any other.
+Then these vectors are searched and also compared with the whole shard.  Recall is
+measured for the links to twins and for the links to real vectors; while one is below
+``RECALL``, the beam is doubled, in the end to the whole shard.  So an audit sees at least
+``AUDIT`` links however rare they are in the table, and brute force answers nothing but the audit.
+Found vectors count only if their cosine in double precision reaches the threshold.
 
 Vectors that are equal in all components are one vector with a count from the start, so a
 common vector is one query and one node.  A task returns, per query, the number of linked
-vectors, and of its links only those that connect components (a spanning forest), so groups of any
-size never become lists of pairs.  The components are united over all tasks.
+vectors, and of the links of a batch only those that connect components (a spanning forest), so groups
+of any size never become lists of pairs.  The components are united over all tasks.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component,
 and rows with a null id, link with nothing and are kept; vectors of different lengths do
@@ -25,9 +28,11 @@ are ignored and may have any name.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +42,13 @@ from .common import components, least_label
 THRESHOLD = 0.95
 SHARD_ROWS = 50_000
 SHARDS = 8               # at least, so that small tables use several tasks too
-QUERY_ROWS = 8192        # queries of one task
+SHARD_BYTES = 1 << 27    # of a shard's vectors, about
+QUERY_ROWS = 1 << 20     # queries of one task, at most about
 LINKS = 8                # of a node per upper layer; twice as many in the lowest
 BUILD_BEAM = 32
 BEAM = 48
 RECALL = 0.98
-AUDIT = 64               # queries answered by brute force at a time
-AUDIT_LINKS = 500        # links to other vectors that an audit needs
+AUDIT = 256              # vectors of a shard with a twin, at most a quarter of it
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -77,6 +82,17 @@ class Graph:
                 self._insert(k, batch, todo[:done], build_beam)
                 done += len(batch)
 
+    def packed(self) -> tuple:
+        """All but the vectors."""
+        return self.links, self.order, self.sizes, self.near
+
+    @classmethod
+    def unpacked(cls, packed: tuple, x: np.ndarray) -> Graph:
+        graph = cls.__new__(cls)
+        graph.links, graph.order, graph.sizes, graph.near = packed
+        graph.x = x[graph.order].astype(np.float32)
+        return graph
+
     def _insert(self, layer: int, batch: np.ndarray, before: np.ndarray, beam: int) -> None:
         width = self.near[layer].shape[1]
         q = self.x[batch]
@@ -190,66 +206,104 @@ class Graph:
         return out
 
 
-def linked(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float, own: np.ndarray, beam: int = BEAM) -> list[np.ndarray]:
-    """Per query the shard's other vectors with cosine >= threshold, audited and verified;
-    ``own`` is the query's own place in the shard (-1: none)."""
-    def near(at: np.ndarray, beam: int) -> list[np.ndarray]:
-        rough = graph.search(q[at], beam, threshold - 1e-4)
-        return [c[(x[c] @ q[k] >= threshold) & (c != own[k])] for k, c in zip(at, rough)]
-
-    got: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
-    order, seen, want = np.random.default_rng(5).permutation(len(q)), 0, 0
-    while seen < len(q) and want < AUDIT_LINKS:
-        at = order[seen:seen + AUDIT]
-        for k, c in zip(at, near(at, len(x))):          # a beam of the whole shard is brute force
-            got[k], want = c, want + len(c)
-        seen += len(at)
-    audit, rest = order[:seen], order[seen:]
-    while len(rest) and beam < len(x) and sum(map(len, near(audit, beam))) < RECALL * want:
+def linked(graph: Graph, x: np.ndarray, q: np.ndarray, threshold: float, own: np.ndarray, beam: int) -> list[np.ndarray]:
+    """Per query the shard's other vectors with cosine >= threshold, verified; ``own`` is the
+    query's own place in the shard (-1: none).  Places from ``len(x)`` on are twins, left out."""
+    out = []
+    for k, c in enumerate(graph.search(q, beam, threshold - 1e-4)):
+        c = c[(c < len(x)) & (c != own[k])]
+        out.append(c[x[c] @ q[k] >= threshold])
+    return out
+
+
+def twins(x: np.ndarray, threshold: float, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the audited vectors, and a vector near each of them."""
+    rng = np.random.default_rng(seed)
+    at = np.sort(rng.permutation(len(x))[:min(AUDIT, -(-len(x) // 4))])
+    off = rng.normal(size=(len(at), x.shape[1]))
+    off -= (off * x[at]).sum(axis=1, keepdims=True) * x[at]
+    size = np.linalg.norm(off, axis=1, keepdims=True)
+    off = np.where(size > 1e-9, off / np.maximum(size, 1e-9), 0)
+    cos = threshold + (1 - threshold) * rng.uniform(0.02, 1, size=(len(at), 1))
+    return at, _unit(cos * x[at] + np.sqrt(1 - cos * cos) * off)
+
+
+def audited_beam(graph: Graph, x: np.ndarray, at: np.ndarray, twin: np.ndarray, threshold: float) -> int:
+    """The narrowest of the beams ``BEAM``, twice that and so on that finds ``RECALL`` of the audited
+    vectors' links to twins, and to other vectors."""
+    every, place = np.concatenate([x, twin]), np.arange(len(x) + len(twin))
+    truth = [np.flatnonzero((every @ x[k] >= threshold) & (place != k)) for k in at]
+    beam = BEAM
+    while beam < len(every):
+        hit, want = np.zeros(2), np.zeros(2)
+        for true, got in zip(truth, graph.search(x[at], beam, threshold - 1e-4)):
+            found = np.isin(true, got)
+            for side, part in enumerate((true < len(x), true >= len(x))):
+                hit[side] += found[part].sum()
+                want[side] += part.sum()
+        if (hit >= RECALL * want).all():
+            return beam
         beam *= 2
-    for k, c in zip(rest, near(rest, beam)):
-        got[k] = c
-    return got
-
-
-def _build(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
-    """A shard's graph with its vectors, ids and counts, as one row."""
-    shard = shard.sort_values("rep", kind="stable")
-    x = _unit(np.stack(shard["v"].to_list()).astype(np.float64))
-    held = pickle.dumps((Graph(x), x, shard["rep"].to_numpy(), shard["copies"].to_numpy()), protocol=5)
-    return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "graph": [held]})
-
-
-def _search_task(threshold: float):
-    def run(key: tuple, queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        names = ["kind", "id", "value"]
-        if not len(queries) or not len(shard):
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
-        graph, x, ids, count = pickle.loads(shard["graph"].iloc[0])
-        q_ids, q = queries["rep"].to_numpy(), _unit(np.stack(queries["v"].to_list()).astype(np.float64))
-        place = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)      # ids ascend
-        got = linked(graph, x, q, threshold, np.where(ids[place] == q_ids, place, -1))
-        root: dict[int, int] = {}
-
-        def find(a: int) -> int:
-            while (b := root.setdefault(a, a)) != a:
-                root[a] = a = root.setdefault(b, b)
-            return a
-
-        rows = []
-        for me, near in zip(q_ids.tolist(), got):
-            n = 0
-            for k in near:
-                other = int(ids[k])
-                if other != me:
-                    n += int(count[k])
-                    a, b = find(me), find(other)
-                    if a != b:
-                        root[max(a, b)] = min(a, b)
-                        rows.append((1, me, other))
-            if n:
-                rows.append((0, me, n))
-        return pd.DataFrame(rows, columns=names, dtype="int64")
+    return len(every)
+
+
+def _build(threshold: float):
+    """A shard's graph with its vectors, numbers, counts and beam, as one row."""
+    def run(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
+        shard = shard.sort_values("rep", kind="stable")
+        x = _unit(np.stack(shard["v"].to_list()).astype(np.float64))
+        at, twin = twins(x, threshold)
+        graph = Graph(np.concatenate([x, twin]))
+        beam = audited_beam(graph, x, at, twin, threshold)
+        held = pickle.dumps((graph.packed(), x, twin, shard["rep"].to_numpy(), shard["copies"].to_numpy(), beam), protocol=5)
+        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "graph": [held]})
+    return run
+
+
+def _answers(shard: tuple, q_ids: np.ndarray, q: np.ndarray, threshold: float) -> pa.RecordBatch:
+    """``(kind, id, value)``: 0 for a query's number of links, 1 for a link of the spanning forest."""
+    graph, x, ids, count, beam = shard
+    place = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)      # ids ascend
+    got = linked(graph, x, _unit(q), threshold, np.where(ids[place] == q_ids, place, -1), beam)
+    root: dict[int, int] = {}
+
+    def find(a: int) -> int:
+        while (b := root.setdefault(a, a)) != a:
+            root[a] = a = root.setdefault(b, b)
+        return a
+
+    rows = []
+    for me, near in zip(q_ids.tolist(), got):
+        if len(near):
+            rows.append((0, me, int(count[near].sum())))
+        for other in ids[near].tolist():
+            a, b = find(me), find(other)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                rows.append((1, me, other))
+    cols = np.array(rows, np.int64).reshape(-1, 3).T
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1]), pa.array(cols[2])], ["kind", "id", "value"])
+
+
+def _search(threshold: float):
+    """Rows ``(graph, rep, v, dim, shard)``: queries stream past the graph that stands before them; a
+    length that a shard lacks has no graph there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, of = None, None
+        for batch in batches:
+            held = batch.column(0)
+            where = np.column_stack([batch.column(k).to_numpy() for k in (3, 4)])
+            heads = np.flatnonzero(held.is_valid().to_numpy(zero_copy_only=False))
+            edges = [-1, *heads.tolist(), batch.num_rows]
+            for lo, hi in zip(edges, edges[1:]):
+                if lo >= 0:
+                    packed, x, twin, names, count, beam = pickle.loads(held[lo].as_py())
+                    shard, of = (Graph.unpacked(packed, np.concatenate([x, twin])), x, names, count, beam), where[lo]
+                mine = np.flatnonzero((where[lo + 1:hi] == of).all(axis=1)) + lo + 1 if shard else []
+                if len(mine):
+                    part = batch.take(pa.array(mine))
+                    q = part.column(2).flatten().to_numpy(zero_copy_only=False)
+                    yield _answers(shard, part.column(1).to_numpy(), q.reshape(len(mine), -1), threshold)
     return run
 
 
@@ -265,19 +319,22 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     texts = rows.where(F.col("v").isNotNull())
     one = materialize(texts.groupBy("v").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("copies"))
                       .withColumn("rep", F.monotonically_increasing_id()), "vectors-distinct")
-    n = one.count()
-    shards = max(SHARDS, -(-n // shard_rows))
-    blocks = max(1, -(-n // QUERY_ROWS))
     one = one.withColumn("dim", F.size("v"))
+    n, numbers = one.agg(F.count(F.lit(1)), F.coalesce(F.sum("dim"), F.lit(0))).first()
+    shards = max(SHARDS, -(-n // shard_rows), -(-8 * numbers // SHARD_BYTES))
+    # a shard's queries are cut into blocks only as far as there are cores without a shard
+    blocks = max(-(-2 * vectors.sparkSession.sparkContext.defaultParallelism // shards), -(-n // QUERY_ROWS))
     shard = F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int")
     block = F.pmod(F.hash("rep"), F.lit(blocks)).cast("int")
-    # the stated queries (all rows, in blocks) go to every shard, every shard to every block
-    queries = one.select("dim", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "rep", "v")
+    # the stated queries (all rows, in blocks) go to every shard
+    queries = one.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"),
+                         F.lit(None).cast("binary").alias("graph"), "rep", "v")
     graphs = materialize(one.select("dim", shard.alias("shard"), "rep", "copies", "v").groupBy("dim", "shard").applyInPandas(
-        _build, "dim int, shard int, graph binary"), "vectors-graphs")
-    held = graphs.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "graph")
-    found = materialize(queries.groupBy("dim", "shard", "block").cogroup(held.groupBy("dim", "shard", "block")).applyInPandas(
-        _search_task(threshold), "kind int, id long, value long"), "vectors-links")
+        _build(threshold), "dim int, shard int, graph binary"), "vectors-graphs")
+    held = graphs.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "graph",
+                         F.lit(-1).cast("long").alias("rep"), F.lit(None).cast("array<double>").alias("v"))
+    met = held.union(queries).repartition(2 * shards * blocks, "dim", "shard", "block").sortWithinPartitions("dim", "shard", "block", "rep")
+    found = materialize(met.select("graph", "rep", "v", "dim", "shard").mapInArrow(_search(threshold), "kind int, id long, value long"), "vectors-links")
     links = found.where("kind = 0").groupBy("id").agg(F.sum("value").alias("n"))
     joined = components(found.where("kind = 1").select("id", "value"), "id", "value", "vectors-components")
     least = least_label(joined, one.select(F.col("rep").alias("id"), F.col("low").alias("label")), "vectors-least")

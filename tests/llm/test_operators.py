@@ -411,13 +411,14 @@ def test_vectors_equal_brute_force(spark):
     assert got[345].component_id == got[7].component_id == min(7, got[7].component_id)
 
 
-@pytest.mark.parametrize("groups", [1394, 3])     # rare links, and more than an audit needs
+@pytest.mark.parametrize("groups", [1394, 3])     # rare links, and many
 def test_vectors_audit_sees_a_search_that_finds_only_itself(monkeypatch, groups):
     rng = np.random.default_rng(6)
-    x = rng.normal(size=(groups, 32))[np.roll(np.arange(1400) % groups, 10)] + rng.normal(size=(1400, 32)) * 0.05
-    shard = pd.DataFrame({"rep": np.arange(1400) * 3, "copies": 1, "v": list(x)})
-    built = vectors._build((32, 0), shard)
-    whole = vectors.Graph.search
+    x = vectors._unit(rng.normal(size=(groups, 32))[np.roll(np.arange(1400) % groups, 10)] + rng.normal(size=(1400, 32)) * 0.05)
+    at, twin = vectors.twins(x, 0.95)
+    assert ((x[at] * twin).sum(axis=1) >= 0.95).all() and len(at) == 256
+    graph, whole = vectors.Graph(np.concatenate([x, twin])), vectors.Graph.search
+    assert vectors.audited_beam(graph, x, at, twin, 0.95) < 400
 
     def poor(self, q, beam, enough):
         if beam >= len(self.x):
@@ -425,10 +426,39 @@ def test_vectors_audit_sees_a_search_that_finds_only_itself(monkeypatch, groups)
         return [self.order[[k]] for k in (q.astype(np.float32) @ self.x.T).argmax(axis=1)]
 
     monkeypatch.setattr(vectors.Graph, "search", poor)
-    out = vectors._search_task(0.95)((32, 0, 0), shard[["rep", "v"]], built)
+    assert vectors.audited_beam(graph, x, at, twin, 0.95) == len(x) + len(twin)
+    got = vectors.linked(graph, x, x, 0.95, np.arange(len(x)), len(x) + len(twin))
+    assert [len(g) for g in got] == ((x @ x.T >= 0.95).sum(axis=1) - 1).tolist()
+
+
+def test_vectors_answered_by_graphs(spark, monkeypatch):
+    """20,000 vectors in 8 shards with rare links and groups: the graphs answer, not brute force."""
+    rng = np.random.default_rng(8)
+    n = 20_000
+    x = rng.normal(size=(n, 24))
+    x[18_000:19_500] = x[:1500] + rng.normal(size=(1500, 24)) * 0.2          # pairs
+    x[19_500:] = x[77] + rng.normal(size=(500, 24)) * 0.15                   # one group
+    x = x[rng.permutation(n)]
+    got = vectors.near_vectors(spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": list(x)})), shard_rows=2500).toPandas()
+    got = got.sort_values("vec_id")
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    n = (u @ u.T >= 0.95).sum(axis=1) - 1
-    assert out.loc[out["kind"] == 0].set_index("id")["value"].to_dict() == {3 * i: k for i, k in enumerate(n) if k}
+    want = np.concatenate([(u[k:k + 1000] @ u.T >= 0.95).sum(axis=1) - 1 for k in range(0, n, 1000)])
+    assert (got["n_links"].to_numpy() <= want).all() and got["n_links"].sum() >= 0.98 * want.sum()
+    rare = (want > 0) & (want < 5)
+    assert rare.sum() > 1000 and got["n_links"].to_numpy()[rare].sum() >= 0.98 * want[rare].sum()
+    part = vectors._unit(x[::8].copy())
+    at, twin = vectors.twins(part, 0.95)
+    graph = vectors.Graph(np.concatenate([part, twin]))
+    assert vectors.audited_beam(graph, part, at, twin, 0.95) <= 384 and len(at) <= 0.02 * n
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(2)
+    data = [(i, rng.normal(size=1 + i % 5).tolist()) for i in range(60)]
+    got = vectors.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in data}
+    want = {i: sum(j != i and len(v) == len(u) and u @ v >= 0.95 for j, v in unit.items()) for i, u in unit.items()}
+    assert {r.vec_id: r.n_links for r in got} == want
 
 
 # ---- rows that repeat an id with another text or vector, and columns named like the operators' own
