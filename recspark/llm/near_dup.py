@@ -1,8 +1,11 @@
 """Operator 8: near duplicates by improved consistent weighted sampling.
 
 A text is the weighted set of its five-word shingles; a shingle's weight is its count in the
-text times its inverse document frequency over all documents (frequencies are kept per
-hashed feature, 2**18 of them, so this table has a fixed size).  ``BANDS * ROWS`` consistent
+text times its inverse document frequency ``ln((1 + n) / (1 + max(df, floor))) + 1`` over all
+``n`` documents with words.  Document frequencies are exact grouped counts of shingle hashes;
+``floor`` is the total of all documents' distinct shingles over ``TABLE``, at least 1, so at most
+``TABLE`` shingles lie above it: only these are kept with their frequency (a table of at most
+8 MB of hashes and 4 MB of weights whatever the corpus), and all others weigh alike.  ``BANDS * ROWS`` consistent
 samples of a text each choose a shingle together with its quantised weight by improved
 consistent weighted sampling; two texts agree in a sample with the probability of their
 weighted Jaccard similarity.  A sample draws from the shingles that a hash deals to it; what
@@ -44,11 +47,12 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import components, least_label, slices
+from .common import components, least_label, shuffle_partitions, slices
 from .rolling import mix
 
 WORDS = 5
@@ -56,8 +60,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
 DEALS = 8
 SIDE = 256
-FEATURES = 1 << 18
-_SLICE = 4096
+TABLE = 1 << 20                # shingles that have a weight of their own, at most
+_KEY = np.uint64(24)           # a shingle is counted by its hash without these low bits
+_HELD = 2_000_000              # shingles that a counting task holds at once
+_PART = 1 << 25                # code points whose shingles are counted in one group, about
 
 
 _BASE = 0x9E3779B97F4A7C15
@@ -118,40 +124,112 @@ def shingled(text: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] |
         yield _shingles(h) if len(h) else None
 
 
-def _feature(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - 18)).astype(np.int64)
+class Weights:
+    """Inverse document frequencies: those of the shingles in the table, and the one of all others."""
 
+    def __init__(self, n: int, floor: int, keys: np.ndarray, df: np.ndarray):
+        order = np.argsort(keys)
+        self.n, self.floor, self.keys = n, floor, keys[order]
+        self.idf = (np.log((1 + n) / (1 + df[order])) + 1).astype(np.float32)
+        self.rare = np.float32(np.log((1 + n) / (1 + floor)) + 1)
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        out = np.full(len(shingles), self.rare, np.float32)
+        if len(self.keys):
+            key = shingles >> _KEY
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            known = self.keys[at] == key
+            out[known] = self.idf[at[known]]
+        return out
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending 40-bit keys as compressed byte planes of their steps, and their counts."""
+    step = np.diff(keys, prepend=np.uint64(0))
+    planes = [np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :w].T).tobytes() for x, w in ((step, 5), (counts, 5))]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(2, 5, -1)
+    out = np.zeros((2, planes.shape[2], 8), np.uint8)
+    out[:, :, :5] = planes.transpose(0, 2, 1)
+    step, counts = out.reshape(2, -1).view("<u8")
+    return np.cumsum(step, dtype=np.uint64), counts.astype(np.int64)
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of every hashed feature, over all documents with words."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, docs_held = np.zeros(FEATURES, np.int64), 0
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (ascending) with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+_COUNTS = "docs long, total long, packed binary"
+
+
+def _count(parts: int):
+    """Counts of shingles, added up within a task as far as it can hold them, per range of keys."""
+    def shipped(held: list[np.ndarray], docs: int) -> pa.RecordBatch:
+        key = np.concatenate(held)
+        keys, counts = _added(key, np.ones(len(key), np.int64))
+        part = (keys * np.uint64(parts) >> np.uint64(40)).astype(np.int64)
+        cut = np.searchsorted(part, np.arange(parts + 1))
+        used = np.flatnonzero(np.diff(cut))
+        packed = [_packed(keys[cut[k]:cut[k + 1]], counts[cut[k]:cut[k + 1]]) for k in used]
+        n_docs = np.zeros(len(used), np.int64)
+        n_docs[0] = docs
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(n_docs), pa.array(packed, pa.binary())], ["part", "docs", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, docs = [], 0, 0
         for batch in slices(batches):
             for got in shingled(batch.column(0).to_pylist()):
                 if got:
-                    held[np.unique(_feature(got[0]))] += 1
-                    docs_held += 1
-        if docs_held:
-            parts = [held[k:k + _SLICE].astype("<i8").tobytes() for k in range(0, FEATURES, _SLICE)]
-            parts.append(np.array([docs_held], "<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+                    # a document counts once for a key
+                    key = got[0] >> _KEY
+                    held.append(key[np.append(True, key[1:] != key[:-1])])
+                    n, docs = n + len(held[-1]), docs + 1
+                    if n > _HELD:
+                        yield shipped(held, docs)
+                        held, n, docs = [], 0, 0
+        if held:
+            yield shipped(held, docs)
+    return run
+
+
+def _add(group: pd.DataFrame) -> pd.DataFrame:
+    """Document frequencies of one range of keys; those of 1 are only counted."""
+    got = [_unpacked(raw) for raw in group["packed"]]
+    keys, df = _added(*(np.concatenate([g[k] for g in got]) for k in (0, 1)))
+    more = df > 1
+    return pd.DataFrame({"docs": [int(group["docs"].sum())], "total": [int(df.sum())], "packed": [_packed(keys[more], df[more])]})
+
+
+def inverse_frequencies(docs: DataFrame) -> Weights:
+    """Inverse document frequencies over all documents with words.  The hashes' low bits are left
+    out (40 bits stay), so a shingle outside the table takes the weight of one within it with a
+    chance of at most ``TABLE / 2**40``, one in a million."""
+    size = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
+    parts = max(shuffle_partitions(docs.sparkSession), -(-size // _PART))
+    counted = docs.select("text").mapInArrow(_count(parts), "part int, docs long, packed binary").groupBy("part").applyInPandas(_add, _COUNTS)
+    counted = materialize(counted, "near-frequencies")
+    n, total = counted.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
+    floor = max(1, -(-total // TABLE))
+
+    def above(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[k] = total.get(k, 0) + np.frombuffer(raw, "<i8")
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["slice", "counts"])
+            for raw in batch.column(0).to_pylist():
+                keys, df = _unpacked(raw)
+                keys, df = keys[df > floor], df[df > floor]
+                if len(keys):
+                    yield pa.RecordBatch.from_arrays([pa.array([_packed(keys, df)], pa.binary())], ["packed"])
 
-    parts = docs.select("text").mapInArrow(count, "slice int, counts binary").repartition("slice").mapInArrow(add, "slice int, counts binary")
-    held = {r[0]: np.frombuffer(r[1], "<i8") for r in parts.collect()}     # FEATURES + 1 numbers
-    if not held:
-        return np.ones(FEATURES, np.float32)
-    n = int(held.pop(FEATURES // _SLICE)[0])
-    found = np.concatenate([held[k] for k in range(FEATURES // _SLICE)])
-    return (np.log((1 + n) / (1 + found)) + 1).astype(np.float32)
+    # frequencies above total / TABLE: at most TABLE shingles
+    got = [_unpacked(r[0]) for r in counted.select("packed").mapInArrow(above, "packed binary").collect()]
+    keys, df = (np.concatenate([g[k] for g in got]) if got else np.zeros(0, t) for k, t in ((0, np.uint64), (1, np.int64)))
+    return Weights(n, floor, keys, df)
 
 
 def _gamma2() -> np.ndarray:
@@ -229,9 +307,9 @@ class Sampler:
             code[k] = mix(shingles ^ self.seeds[k]).min()
         return code
 
-    def bands(self, shingles: np.ndarray, counts: np.ndarray, idf: np.ndarray, bands: int) -> np.ndarray:
+    def bands(self, shingles: np.ndarray, counts: np.ndarray, idf: Weights, bands: int) -> np.ndarray:
         """Keys of the weighted bands, then of the plain ones."""
-        code = np.concatenate([self.sample(shingles, counts * idf[_feature(shingles)]), self.plain(as_set(shingles, counts))]).reshape(2 * bands, -1)
+        code = np.concatenate([self.sample(shingles, counts * idf.of(shingles)), self.plain(as_set(shingles, counts))]).reshape(2 * bands, -1)
         key = code[:, 0].copy()
         for j in range(1, code.shape[1]):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + code[:, j])
@@ -265,14 +343,13 @@ def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> Da
 
 def as_set(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """A multiset as an ascending set: the second and later occurrences of a shingle get codes
-    of their own, with the shingle's feature (its leading bits)."""
+    of their own, with the bits by which the shingle's weight is found."""
     if (counts == 1).all():
         return shingles
     again = np.repeat(shingles, counts - 1)
     place = np.arange(len(again)) - np.repeat(np.cumsum(counts - 1) - (counts - 1), counts - 1) + 1
-    low = np.uint64((1 << (64 - 18)) - 1)
-    other = mix(again + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return np.sort(np.concatenate([shingles, (again & ~low) | (other & low)]))
+    low = (np.uint64(1) << _KEY) - np.uint64(1)
+    return np.sort(np.concatenate([shingles, (again & ~low) | ((again + place.astype(np.uint64)) & low)]))
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -292,12 +369,12 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("rep", "text", "x1", "x2").mapInArrow(run, "doc_id long, s binary")
 
 
-def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> float:
+def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: Weights) -> float:
     """Sum of smaller weights over sum of larger weights of two sets of `as_set`."""
     at = np.searchsorted(b, a)
     at[at == len(b)] = 0
-    both = float(idf[_feature(a[b[at] == a])].sum(dtype=np.float64))
-    total = float(idf[_feature(a)].sum(dtype=np.float64) + idf[_feature(b)].sum(dtype=np.float64))
+    both = float(idf.of(a[b[at] == a]).sum(dtype=np.float64))
+    total = float(idf.of(a).sum(dtype=np.float64) + idf.of(b).sum(dtype=np.float64))
     return both / (total - both)
 
 
@@ -309,7 +386,7 @@ def plain_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def near(a: np.ndarray, b: np.ndarray, idf: np.ndarray, threshold: float) -> bool:
+def near(a: np.ndarray, b: np.ndarray, idf: Weights, threshold: float) -> bool:
     return plain_jaccard(a, b) >= threshold or weighted_jaccard(a, b, idf) >= threshold
 
 
@@ -329,16 +406,16 @@ def _verify(pairs: DataFrame, sets: DataFrame, idf, threshold: float) -> DataFra
 
 
 def connecting(ids: np.ndarray, component: np.ndarray, rows: np.ndarray, cols: np.ndarray, sets: list[np.ndarray],
-               idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+               idf: Weights, threshold: float) -> list[tuple[int, int]]:
     """Links between texts at ``rows`` and at ``cols`` that connect different components."""
     used = np.unique(np.concatenate([rows, cols]))
     weight = np.zeros(len(ids))
     for k in used:
-        weight[k] = idf[_feature(sets[k])].sum(dtype=np.float64)
+        weight[k] = idf.of(sets[k]).sum(dtype=np.float64)
     shared, at = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True)
     seen = np.bincount(at) > 1
     column = np.cumsum(seen) - 1
-    n, w = int(seen.sum()), idf[_feature(shared[seen])].astype(np.float64)
+    n, w = int(seen.sum()), idf.of(shared[seen]).astype(np.float64)
     start = dict(zip(used.tolist(), np.cumsum([0] + [len(sets[k]) for k in used])[:-1].tolist()))
 
     def dense(which: np.ndarray, lo: int, hi: int) -> np.ndarray:
@@ -403,7 +480,7 @@ def _found(docs: DataFrame, threshold: float, bands: int, rows: int) -> DataFram
     """``(doc_id, raw, component, class_id)`` of every row with words: a number of its class, and the
     smallest id in it.  ``docs`` holds ``doc_id`` (not null), ``text`` and ``raw``."""
     spark = docs.sparkSession
-    idf = spark.sparkContext.broadcast(inverse_frequencies(docs))          # FEATURES numbers
+    idf = spark.sparkContext.broadcast(inverse_frequencies(docs))          # at most TABLE shingles
     sig = materialize(signatures(docs, idf, bands, rows), "near-signatures")
     # a number of its own for every text: ids may repeat
     first = materialize(sig.groupBy("x1", "x2").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("low"))

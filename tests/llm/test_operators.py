@@ -345,6 +345,23 @@ def test_near_classes_equal_brute_force(spark, docs, rows):
     assert sum(got[i] != want[i] for i in want) <= 2
 
 
+@pytest.mark.parametrize("table_size", [1 << 20, 300])
+def test_weights_equal_brute_force(spark, docs, rows, monkeypatch, table_size):
+    monkeypatch.setattr(near_dup, "TABLE", table_size)
+    sets = [got[0] for got in near_dup.shingled([t for _, t in rows]) if got]
+    df = collections.Counter(x for s in sets for x in s.tolist())
+    floor = max(1, -(-df.total() // table_size))
+    weights = near_dup.inverse_frequencies(docs)
+    assert weights.n == len(sets) and weights.floor == floor and len(weights.keys) == sum(n > floor for n in df.values()) <= table_size
+    want = [math.log((1 + len(sets)) / (1 + max(floor, n))) + 1 for n in df.values()]
+    assert np.allclose(weights.of(np.array(list(df), np.uint64)), want, rtol=1e-6)
+    some = np.array(list(df)[:50], np.uint64)
+    some.sort()
+    again = near_dup.as_set(some, np.arange(1, 51))          # repeats weigh what the shingle weighs
+    assert len(again) == 50 * 51 // 2 == len(np.unique(again))
+    assert math.isclose(weights.of(again).sum(), (weights.of(some) * np.arange(1, 51)).sum(), rel_tol=1e-5)
+
+
 def plain_classes(rows):
     sets = {i: collections.Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) for i, t in rows if (w := t.split())}
     root = {i: i for i in sets}
