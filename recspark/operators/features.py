@@ -25,7 +25,7 @@ from ..functions.timefn import (epoch_seconds_ts, hour_of, parse_iso, time_of_da
 from ..session import ensure_checkpoint_dir
 from ..sources import adapters
 from ..sources.tables import spread
-from .indexing import bucketed_row_number, exact_split, range_row_number
+from .indexing import KeptRows, bucketed_row_number, exact_split, range_row_number
 from .keywords import article_keyword_features, explode_keywords, rank_keywords
 from .textops import add_length, add_readability, add_sentiment
 
@@ -59,16 +59,19 @@ def comment_position(c: str = "com_ord") -> F.Column:
 
 def comment_order(com: DataFrame, group: str = "articleID", seq: str = "commentSequence",
                   tiebreak: str = "commentID", bucket_width: int = 4096,
-                  strategy: str = "bucket") -> DataFrame:
+                  strategy: str = "bucket", kept: KeptRows | None = None) -> DataFrame:
     """D-9: com_ord = row number by (sequence, id) inside the article + its bucket.
     ``strategy="bucket"`` splits hot articles by sequence bucket (one hash shuffle);
     ``"range"`` splits any hot article, even one whose sequence never changes (range
-    shuffle + one write)."""
+    shuffle + one write).  ``kept`` counts the comments that enter."""
     if strategy == "range":
+        if kept is not None:
+            raise ValueError("the range strategy writes the comments on its way: count them there")
         out = range_row_number(com, [group], [seq, tiebreak], out="com_ord")
     else:
         out = bucketed_row_number(com, [group], [seq, tiebreak],
-                                  [F.floor(F.col(seq) / bucket_width)], out="com_ord")
+                                  [F.floor(F.col(seq) / bucket_width)], out="com_ord",
+                                  seen=kept and kept.before)
     return out.withColumn("com_pos_cat", comment_position("com_ord"))
 
 
@@ -102,17 +105,20 @@ def article_features(art: DataFrame, pairs: DataFrame, snippets: DataFrame,
 
 def comment_features(com: DataFrame, art_feat: DataFrame, bodies: DataFrame,
                      no_article_label: bool = False, sentiment_kwargs: dict | None = None,
-                     body_keys: tuple[str, ...] = ("articleID", "commentSequence")) -> DataFrame:
-    """Comment features joined with the reduced article features (D-13)."""
+                     body_keys: tuple[str, ...] = ("articleID", "commentSequence"),
+                     kept: KeptRows | None = None) -> DataFrame:
+    """Comment features joined with the reduced article features (D-13).  ``kept`` counts the
+    comments that enter and leave the joins (X3)."""
     body = text_scores(bodies, list(body_keys), "commentBody", "com_sent", "com_cat",
                        readability=True, sentiment_kwargs=sentiment_kwargs)
-    c = comment_order(com)
+    c = comment_order(com, kept=kept)
     c = c.join(body, on=list(body_keys), how="left")
     red = art_feat.select(*ARTICLE_FEATURES)
     c = c.join(red, on=["articleID", "type"], how="left")
     c = c.withColumn("time_to_post", time_to_post("approveDate_ts", "pubDate_dt"))
-    return c.withColumn("time_to_post_cat",
-                        time_to_post_category("time_to_post", "pubDate_dt", no_article_label))
+    c = c.withColumn("time_to_post_cat",
+                     time_to_post_category("time_to_post", "pubDate_dt", no_article_label))
+    return c if kept is None else kept.leave(c)
 
 
 @dataclass
@@ -122,16 +128,16 @@ class FeatureTables:
 
 
 def build_features(spark: SparkSession, sf_dir: str, no_article_label: bool = False,
-                   sentiment_kwargs: dict | None = None) -> FeatureTables:
+                   sentiment_kwargs: dict | None = None, kept: KeptRows | None = None) -> FeatureTables:
     art = article_features(adapters.articles(spark, sf_dir), adapters.keyword_pairs(spark, sf_dir),
                            adapters.article_snippets(spark, sf_dir), sentiment_kwargs)
     com = comment_features(adapters.comments(spark, sf_dir), art, adapters.comment_bodies(spark, sf_dir),
-                           no_article_label, sentiment_kwargs)
+                           no_article_label, sentiment_kwargs, kept=kept)
     return FeatureTables(art, com)
 
 
 def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame, no_article_label: bool = False,
-                                   sentiment_kwargs: dict | None = None) -> FeatureTables:
+                                   sentiment_kwargs: dict | None = None, kept: KeptRows | None = None) -> FeatureTables:
     """The same feature build from inputs in the reference's own shape (S1/S2 output):
     articles (articleID, keywords text, pubDate ISO text, snippet, byline, type) and
     comments (commentID, articleID, userID, commentSequence, approveDate epoch seconds,
@@ -149,7 +155,7 @@ def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame, no_ar
     bodies = com_raw.select("commentID", "commentBody")
     art_feat = article_features(art, pairs, snippets, sentiment_kwargs)
     return FeatureTables(art_feat, comment_features(com, art_feat, bodies, no_article_label, sentiment_kwargs,
-                                                    body_keys=("commentID",)))
+                                                    body_keys=("commentID",), kept=kept))
 
 
 def train_split(com_final: DataFrame, fraction: float = 0.70, seed: int = 19790324,
@@ -164,22 +170,28 @@ def train_split(com_final: DataFrame, fraction: float = 0.70, seed: int = 197903
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def written_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def written_table(spark: SparkSession, sf_dir: str, name: str, build, check=None) -> DataFrame:
     """Build a derived table once per application and source folder, write it to the
     checkpoint folder and read it back afterwards (the reference saves its feature
-    tables the same way and every later step reads them)."""
+    tables the same way and every later step reads them).  ``check`` is called with the
+    written table before anything reads it."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
         df = build()
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recspark-{name}-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
+        if check is not None:
+            check(spark.read.parquet(path))
         _WRITTEN[key] = path
     return spark.read.parquet(_WRITTEN[key])
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``com_final`` of the driver tables, written once."""
-    return written_table(spark, sf_dir, "com_final", lambda: build_features(spark, sf_dir).com_final)
+    """``com_final`` of the driver tables, written once (S3/S4); raises if a join has lost or
+    repeated a comment (X3)."""
+    kept = KeptRows()
+    return written_table(spark, sf_dir, "com_final", lambda: build_features(spark, sf_dir, kept=kept).com_final,
+                         lambda written: kept.check(adapters.comments(spark, sf_dir), written))
 
 
 def training_comments(spark: SparkSession, sf_dir: str) -> DataFrame:

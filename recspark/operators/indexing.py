@@ -9,15 +9,16 @@ task with an order-preserving *bucket* column:
 2. ``offsets`` = running sum of counts before a bucket — window over the small counts table
 3. join the offsets back on (group, bucket) and number rows inside (group, bucket).
 
-Where the offsets are broadcast the data is exchanged once, for the window of step 3; a
-sort-merge join on the null-safe keys exchanges it a second time.
+The keys of step 3 are one struct column (equal structs may hold nulls), so the sort-merge
+join and the window ask for the same partitioning: the data is exchanged once, with or
+without a broadcast of the offsets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -29,27 +30,28 @@ def _c(x: str | Column) -> Column:
 
 def bucketed_row_number(df: DataFrame, partition_cols: Sequence[str],
                         order_cols: Sequence[str | Column],
-                        bucket_cols: Sequence[Column], out: str = "rn") -> DataFrame:
+                        bucket_cols: Sequence[Column], out: str = "rn",
+                        seen: Observation | None = None) -> DataFrame:
     """``row_number() over (partition by P order by O)`` with bounded tasks.
 
     ``bucket_cols`` must be non-decreasing along ``order_cols`` inside each
     partition group (e.g. ``floor(seq / 4096)`` for ``order by seq``), so that the
     order of (bucket, order) equals the order of ``order_cols``.  Null keys are
-    matched null-safely.
+    matched null-safely.  ``seen`` counts (as ``n``) the rows that enter the join.
     """
-    bnames = [f"__b{i}" for i in range(len(bucket_cols))]
-    x = df.select("*", *[b.alias(n) for b, n in zip(bucket_cols, bnames)])
-    keys = [*partition_cols, *bnames]
-    counts = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
-    w = (Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()) \
-        .orderBy(*bnames).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
-                            F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
-    cond = [x[k].eqNullSafe(offsets[f"__o_{k}"]) for k in keys]
-    joined = x.join(offsets, on=cond, how="inner").drop(*[f"__o_{k}" for k in keys])
-    w2 = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order_cols])
+    keys = [F.col(c).alias(f"p{i}") for i, c in enumerate(partition_cols)] + \
+           [b.alias(f"b{i}") for i, b in enumerate(bucket_cols)]
+    x = df.select("*", F.struct(*keys).alias("__k"))
+    counts = x.groupBy("__k").agg(F.count(F.lit(1)).alias("__cnt"))
+    w = Window.partitionBy(*[f"__k.p{i}" for i in range(len(partition_cols))]) \
+        .orderBy(*[f"__k.b{i}" for i in range(len(bucket_cols))]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__k").alias("__o_k"), F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
+    if seen is not None:
+        x = x.observe(seen, F.count(F.lit(1)).alias("n"))
+    joined = x.join(offsets, on=F.col("__k") == F.col("__o_k"), how="inner")
+    w2 = Window.partitionBy("__k").orderBy(*[_c(o) for o in order_cols])
     return (joined.withColumn(out, (F.col("__off") + F.row_number().over(w2)).cast("long"))
-                  .drop("__off", *bnames))
+                  .drop("__off", "__k", "__o_k"))
 
 
 def range_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
@@ -146,6 +148,31 @@ def modulo_folds(df: DataFrame, key: str, nfolds: int = 5, seed: int = 1,
               .drop("__h", "__idx")
 
 
+class KeptRows:
+    """X3 inside a build: as many rows leave its joins as enter them.
+
+    The rows are counted as observed metrics of the one job that writes the result, with
+    no extra pass.  A task that runs again after a lost executor may count its rows twice,
+    and an empty table may have no metric, so a difference is counted anew before it is
+    believed.  Serves one build and one write."""
+
+    def __init__(self) -> None:
+        self.before, self.after = Observation(), Observation()
+
+    def leave(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.after, F.count(F.lit(1)).alias("n"))
+
+    def check(self, source: DataFrame, written: DataFrame) -> int:
+        """Number of rows, once the result is written; raises if ``written`` has lost or
+        repeated rows of ``source``."""
+        n, kept = (x.get.get("n") for x in (self.before, self.after))
+        if n is None or n != kept:
+            n, kept = source.count(), written.count()
+        if n != kept:
+            raise AssertionError(f"{n} rows entered the joins, {kept} left them")
+        return n
+
+
 def check_invariants(checks: dict[str, Column], df: DataFrame) -> dict[str, object]:
     """Evaluate boolean/scalar aggregate checks in ONE pass and raise on failure.
     ``checks`` maps a name to an aggregate Column that must be true."""

@@ -357,3 +357,48 @@ def test_range_row_number_splits_constant_hot_key(spark):
     parts = (df.repartitionByRange(8, "articleID", "commentSequence", "commentID")
                .filter("articleID = 0").select(F.spark_partition_id()).distinct().count())
     assert parts > 1                       # the hot article spans several range partitions
+
+
+def test_row_number_exchanges_the_data_once(spark):
+    """Sort-merge join on null-safe keys and window share one partitioning of the rows."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(old, ("-1", "false")):
+            spark.conf.set(k, v)
+        df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("g"),
+                                      F.when(F.col("id") % 7 > 0, F.col("id") % 400).alias("v"), "id", F.lit("x").alias("body"))
+        got = bucketed_row_number(df, ["g"], ["v", "id"], [F.floor(F.col("v") / 37)], out="rn")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        at, join = (next(i for i, x in enumerate(lines) if w in x) for w in ("Window [row_number()", "SortMergeJoin"))
+        assert at < join and not any("Exchange" in x for x in lines[at:join])
+        want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("long"))
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_build_raises_on_lost_or_repeated_comments(spark):
+    from recspark.operators.indexing import KeptRows
+    com = spark.range(200).select((F.col("id") % 9).alias("articleID"), "id")
+
+    def run(other, how):
+        kept = KeptRows()
+        x = bucketed_row_number(com, ["articleID"], ["id"], [F.floor(F.col("id") / 16)], seen=kept.before)
+        out = kept.leave(x.join(other, "articleID", how))
+        rows = out.collect()
+        return kept, spark.createDataFrame(rows, out.schema)
+
+    arts = spark.range(9).select(F.col("id").alias("articleID"), F.lit(1).alias("a"))
+    kept, out = run(arts, "left")
+    assert kept.check(com, out) == 200 and kept.before.get["n"] == kept.after.get["n"] == 200
+    for other, how in ((arts.union(arts.limit(1)), "left"), (arts.where("articleID > 2"), "inner")):
+        kept, out = run(other, how)
+        with pytest.raises(AssertionError):
+            kept.check(com, out)
+    # an over-counted metric (a task that ran again) is counted anew
+    kept, out = run(arts, "left")
+    assert kept.check(com, out) == 200
+    wrong, _ = run(arts.union(arts), "left")
+    assert wrong.check(com, out) == 200
