@@ -1,11 +1,12 @@
 """Prediction error and ensembles.
 
 E2 scale note: the reference re-scans all predictions once per trial (10,000 passes).
-Here there is ONE pass: every partition multiplies its prediction block (m×7) with
-the broadcast weight matrix (7×T, T = number of trials, a parameter — so its size is
-bounded by construction) in numpy, and emits one partial (trial, Σ|err|, n) per trial;
-``groupBy(trial).sum`` adds the partials.  No trial × row pairs are ever materialised
-as Spark rows.
+Here one pass serves up to ``TRIALS_A_PASS`` trials: every task multiplies its prediction
+blocks (m×7) with the weight matrix (7×T) in numpy, and emits one partial (trial, Σ|err|, n)
+per trial; ``groupBy(trial).sum`` adds the partials.  No trial × row pairs are ever
+materialised as Spark rows.  The scan's partitions are first drawn together to a few for each
+core, so the partials number cores × trials whatever the data; more trials take more passes,
+each with a matrix of bounded size.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.core import clamp0, rint0
+from ..session import materialize
 from ..sources.tables import spread
 from .indexing import sample_hash
 
@@ -67,6 +69,10 @@ def weighted(df: DataFrame, weights: Sequence[float], models: Sequence[str] = MO
     return df.withColumn(out, rint0(num / F.lit(float(sum(weights)))))
 
 
+#: Trials whose weights are shipped with one pass over the predictions (7 weights: 7 MB).
+TRIALS_A_PASS = 100_000
+
+
 def weight_trials(spark: SparkSession, n_trials: int = 10_000, n_models: int = 7,
                   seed: int = 2018, max_weight: int = 10) -> DataFrame:
     """F19 + D21: trial weights ``round(U(0, max_weight))`` (half-even), one hash
@@ -84,19 +90,33 @@ def weight_trials(spark: SparkSession, n_trials: int = 10_000, n_models: int = 7
 
 def search_weights(preds: DataFrame, weights: DataFrame, label: str,
                    models: Sequence[str] = MODELS, clamp: Sequence[str] = CLAMPED,
-                   trial_chunk: int = 512) -> DataFrame:
+                   trial_chunk: int = 512, trials_a_pass: int = TRIALS_A_PASS) -> DataFrame:
     """MAE (mean over non-null errors) of the rounded weighted mean for every
-    trial.  ``weights`` must be small (≤ a few 100k trials): it is collected once
-    and shipped with the task closure; its size is checked."""
-    n_w = weights.count()
-    if n_w > 500_000:
-        raise ValueError(f"{n_w} trials exceed the broadcast bound of 500,000")
-    wpd = weights.select("trial", *[f"w{j}" for j in range(1, len(models) + 1)]).toPandas()
-    trials = wpd["trial"].to_numpy(dtype=np.int64)
-    W = wpd[[f"w{j}" for j in range(1, len(models) + 1)]].to_numpy(dtype=np.float64)  # T×7
-    tot = W.sum(axis=1)
+    trial, of any number: about ``trials_a_pass`` of them are shipped with the tasks of one
+    pass over the predictions; further passes write their sums to the shared folder."""
     x = spread(preds.select(*[(clamp0(m) if m in clamp else F.col(m)).cast("double").alias(m)
                               for m in models], F.col(label).cast("double").alias("__y")))
+    spark = preds.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    x = x.coalesce(tasks)
+    passes = -(-weights.count() // trials_a_pass)
+    if passes <= 1:
+        return weights.join(_errors(x, weights, models, trial_chunk), "trial")
+    res = None
+    for k in range(passes):
+        mine = weights.where(F.pmod(F.xxhash64("trial"), F.lit(passes)) == k)
+        errors = materialize(_errors(x, mine, models, trial_chunk), "trials")
+        res = errors if res is None else res.union(errors)
+    return weights.join(res, "trial")
+
+
+def _errors(x: DataFrame, weights: DataFrame, models: Sequence[str], trial_chunk: int) -> DataFrame:
+    """``(trial, mae)`` of the trials of one pass."""
+    names = [f"w{j}" for j in range(1, len(models) + 1)]
+    wpd = weights.select("trial", *names).toPandas()
+    trials = wpd["trial"].to_numpy(dtype=np.int64)
+    W = wpd[names].to_numpy(dtype=np.float64)  # T×7
+    tot = W.sum(axis=1)
     schema = T.StructType([T.StructField("trial", T.LongType()), T.StructField("sae", T.DoubleType()),
                            T.StructField("n", T.LongType())])
 
@@ -116,8 +136,7 @@ def search_weights(preds: DataFrame, weights: DataFrame, label: str,
         yield pd.DataFrame({"trial": trials, "sae": sae, "n": cnt})
 
     part = x.mapInPandas(block, schema)
-    res = part.groupBy("trial").agg((F.sum("sae") / F.sum("n")).alias("mae"))
-    return weights.join(res, "trial")
+    return part.groupBy("trial").agg((F.sum("sae") / F.sum("n")).alias("mae"))
 
 
 def best_trials(results: DataFrame) -> DataFrame:

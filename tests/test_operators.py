@@ -186,6 +186,22 @@ def test_weight_search(spark):
     assert best == {2, 3}                                 # tie kept
 
 
+def test_weight_search_in_passes_and_with_bounded_partials(spark):
+    names = ["a", "b"]
+    preds = spark.range(0, 500, 1, 40).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5 * 2).cast("double").alias("b"),
+                                              F.when(F.col("id") % 11 > 0, F.col("id") % 6).cast("double").alias("y"))
+    w = ensemble.weight_trials(spark, 300, n_models=2)
+    one = {r.trial: r.mae for r in ensemble.search_weights(preds, w, "y", names, ["b"]).collect()}
+    many = {r.trial: r.mae for r in ensemble.search_weights(preds, w, "y", names, ["b"], trials_a_pass=41).collect()}
+    assert len(one) == w.count() and one == many
+    rows = [(r.a, r.b, r.y) for r in preds.where("y is not null").collect()]
+    for r in w.limit(5).collect():
+        want = sum(abs(round((r.w1 * a + r.w2 * b) / r.tot) - y) for a, b, y in rows) / len(rows)
+        assert math.isclose(one[r.trial], want, rel_tol=1e-12)
+    plan = ensemble.search_weights(preds, w, "y", names, ["b"])._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" in plan                             # 40 partitions do not send 40 partials a trial
+
+
 # ------------------------------------------------------------------ text measures
 def _sentiment_model(text, polarity, neg, amp, deamp):
     import re
