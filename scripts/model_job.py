@@ -61,7 +61,7 @@ def main() -> None:
 
     grids = SMALL if args.grids == "small" else REFERENCE
     fixed = {"rf": {"max_bins": mb}, "gbm": {"max_bins": mb}}
-    registry_rows, holdout = [], V.select(KEY, LABEL)
+    registry_rows, models = [], {}
     for algo in ("glm", "rf", "gbm"):
         if algo == "glm":   # the whole grid costs two passes
             board, results = S.glm_search(spark, T, KEY, grids[algo])
@@ -77,11 +77,12 @@ def main() -> None:
         print(f"{algo}: cv_mae={best.cv_mae:.4f} holdout_mae={mae:.4f} params={best.params}")
         path = RG.save_model(spark, model, f"{args.out}/{algo}")
         registry_rows.append((algo, algo, path, best.params, best.cv_mae))
-        holdout = holdout.join(pred.select(KEY, F.col("prediction").alias(f"pred_{algo}")), KEY)
+        models[f"pred_{algo}"] = model
         write_scored(RG.submission(model.transform(U)), f"{args.out}/submission_{algo}")
     RG.write_registry(spark, registry_rows, f"{args.out}/registry")
 
-    names = ["pred_glm", "pred_rf", "pred_gbm"]
+    names = list(models)
+    holdout = RG.chain(V, models).select(KEY, LABEL, *names)   # all predictions on the same rows, no join
     w = E.weight_trials(spark, args.trials, n_models=len(names))
     best = E.best_trials(E.search_weights(holdout, w, LABEL, models=names, clamp=["pred_glm"]))
     write_table(best, f"{args.out}/ensemble_best")
