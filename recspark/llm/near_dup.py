@@ -1,11 +1,12 @@
 """Operator 8: near duplicates by improved consistent weighted sampling.
 
 A text is the weighted set of its five-word shingles; a shingle's weight is its count in the
-text times its inverse document frequency ``ln((1 + n) / (1 + max(df, floor))) + 1`` over all
-``n`` documents with words.  Document frequencies are exact grouped counts of shingle hashes;
-``floor`` is the total of all documents' distinct shingles over ``TABLE``, at least 1, so at most
-``TABLE`` shingles lie above it: only these are kept with their frequency (a table of at most
-8 MB of hashes and 4 MB of weights whatever the corpus), and all others weigh alike.  ``BANDS * ROWS`` consistent
+text times its inverse document frequency ``ln((1 + n) / (1 + df)) + 1`` over all ``n`` documents
+with words.  Document frequencies are exact grouped counts of shingle hashes, of every shingle
+however many there are: documents are numbered in blocks of about ``_BLOCK`` bytes, a block
+sends its distinct shingles to be counted and gets back the frequencies of those that lie in
+several documents (all others lie in one), and its documents are sampled beside them.  No
+table of shingles is held whole anywhere.  ``BANDS * ROWS`` consistent
 samples of a text each choose a shingle together with its quantised weight by improved
 consistent weighted sampling; two texts agree in a sample with the probability of their
 weighted Jaccard similarity.  A sample draws from the shingles that a hash deals to it; what
@@ -47,7 +48,9 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,10 +63,11 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
 DEALS = 8
 SIDE = 256
-TABLE = 1 << 20                # shingles that have a weight of their own, at most
+TABLE = 1 << 20                # entries of the table of `inverse_frequencies`, at most
 _KEY = np.uint64(24)           # a shingle is counted by its hash without these low bits
 _HELD = 2_000_000              # shingles that a counting task holds at once
 _PART = 1 << 25                # code points whose shingles are counted in one group, about
+_BLOCK = 1 << 22               # bytes of text whose shingles are looked up together, about
 
 
 _BASE = 0x9E3779B97F4A7C15
@@ -167,11 +171,13 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 _COUNTS = "docs long, total long, packed binary"
+_ASKED = "part int, block long, docs long, packed binary"
 
 
 def _count(parts: int):
-    """Counts of shingles, added up within a task as far as it can hold them, per range of keys."""
-    def shipped(held: list[np.ndarray], docs: int) -> pa.RecordBatch:
+    """Counts of the shingles of ``(text, block)``, added up within a block as far as a task can hold
+    them, per range of keys."""
+    def shipped(held: list[np.ndarray], block: int) -> pa.RecordBatch:
         key = np.concatenate(held)
         keys, counts = _added(key, np.ones(len(key), np.int64))
         part = (keys * np.uint64(parts) >> np.uint64(40)).astype(np.int64)
@@ -179,26 +185,36 @@ def _count(parts: int):
         used = np.flatnonzero(np.diff(cut))
         packed = [_packed(keys[cut[k]:cut[k + 1]], counts[cut[k]:cut[k + 1]]) for k in used]
         n_docs = np.zeros(len(used), np.int64)
-        n_docs[0] = docs
-        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(n_docs), pa.array(packed, pa.binary())], ["part", "docs", "packed"])
+        n_docs[0] = len(held)
+        blocks = np.full(len(used), block, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(blocks), pa.array(n_docs), pa.array(packed, pa.binary())],
+                                          ["part", "block", "docs", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, docs = [], 0, 0
+        held, n, now = [], 0, 0
         for batch in slices(batches):
-            for got in shingled(batch.column(0).to_pylist()):
+            for block, got in zip(batch.column(1).to_pylist(), shingled(batch.column(0).to_pylist())):
+                if held and (block != now or n > _HELD):
+                    yield shipped(held, now)
+                    held, n = [], 0
+                now = block
                 if got:
                     # a document counts once for a key
                     key = got[0] >> _KEY
                     held.append(key[np.append(True, key[1:] != key[:-1])])
-                    n, docs = n + len(held[-1]), docs + 1
-                    if n > _HELD:
-                        yield shipped(held, docs)
-                        held, n, docs = [], 0, 0
+                    n += len(held[-1])
         if held:
-            yield shipped(held, docs)
+            yield shipped(held, now)
     return run
 
 
+def _asked(docs: DataFrame) -> DataFrame:
+    """The distinct shingles of ``(text, block)``, packed, per block and range of keys."""
+    size = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
+    parts = max(shuffle_partitions(docs.sparkSession), -(-size // _PART))
+    return docs.select("text", "block").mapInArrow(_count(parts), _ASKED)
+
+
 def _add(group: pd.DataFrame) -> pd.DataFrame:
     """Document frequencies of one range of keys; those of 1 are only counted."""
     got = [_unpacked(raw) for raw in group["packed"]]
@@ -207,14 +223,58 @@ def _add(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"docs": [int(group["docs"].sum())], "total": [int(df.sum())], "packed": [_packed(keys[more], df[more])]})
 
 
+def _answer(group: pa.Table) -> pa.Table:
+    """For every block that asks: the document frequencies over 1 of its shingles in one range of keys."""
+    asked = [_unpacked(raw) for raw in group["packed"].to_pylist()]
+    keys, df = _added(*(np.concatenate([a[k] for a in asked]) for k in (0, 1)))
+    keys, df = keys[df > 1], df[df > 1]
+    out = []
+    for mine, _ in asked:
+        at = np.searchsorted(keys, mine)
+        hit = at < len(keys)
+        hit[hit] = keys[at[hit]] == mine[hit]
+        out.append(_packed(mine[hit], df[at[hit]]) if hit.any() else None)
+    return pa.table([group["block"], group["docs"], pa.array(out, pa.binary())], ["block", "docs", "packed"])
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, raw)`` with the number of its block, written once: neighbouring rows of about
+    ``_BLOCK`` bytes of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, at = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            size = at + np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            at = int(size[-1]) if len(size) else at
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + size // _BLOCK, pa.int64())], ["doc_id", "text", "raw", "block"])
+
+    return materialize(docs.select("doc_id", "text", "raw").mapInArrow(run, "doc_id long, text string, raw string, block long"), "near-documents")
+
+
+def frequencies(docs: DataFrame) -> tuple[int, DataFrame]:
+    """Number of documents with words, and ``(block, packed)``: the exact document frequencies of a
+    block's shingles that lie in several documents.  The hashes' low bits are left out (40 bits
+    stay): two shingles count as one with a chance of one in 2**40 for each pair."""
+    got = materialize(_asked(docs).groupBy("part").applyInArrow(_answer, "block long, docs long, packed binary"), "near-answers")
+    return got.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0], got.where(F.col("packed").isNotNull()).select("block", "packed")
+
+
+def block_weights(n: int, answers: list[bytes]) -> Weights:
+    """Weights of a block's shingles from the answers to it."""
+    got = [_unpacked(raw) for raw in answers]
+    keys, df = (np.concatenate([g[k] for g in got]) if got else np.zeros(0, t) for k, t in ((0, np.uint64), (1, np.int64)))
+    keys, first = np.unique(keys, return_index=True)        # a block that was read in two tasks asked twice
+    return Weights(n, 1, keys, df[first])
+
+
 def inverse_frequencies(docs: DataFrame) -> Weights:
-    """Inverse document frequencies over all documents with words.  The hashes' low bits are left
-    out (40 bits stay), so a shingle outside the table takes the weight of one within it with a
-    chance of at most ``TABLE / 2**40``, one in a million."""
-    size = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
-    parts = max(shuffle_partitions(docs.sparkSession), -(-size // _PART))
-    counted = docs.select("text").mapInArrow(_count(parts), "part int, docs long, packed binary").groupBy("part").applyInPandas(_add, _COUNTS)
-    counted = materialize(counted, "near-frequencies")
+    """A bounded table of inverse document frequencies over all documents with words, for use apart
+    from `classes`, which looks up every shingle: frequencies above ``floor``, the total of all
+    documents' distinct shingles over ``TABLE`` (at least 1), all others weighing alike.  The
+    hashes' low bits are left out (40 bits stay), so a shingle outside the table takes the weight
+    of one within it with a chance of at most ``TABLE / 2**40``, one in a million."""
+    asked = _asked(docs.select("text", F.lit(0).cast("long").alias("block")))
+    counted = materialize(asked.select("part", "docs", "packed").groupBy("part").applyInPandas(_add, _COUNTS), "near-frequencies")
     n, total = counted.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
     floor = max(1, -(-total // TABLE))
 
@@ -316,29 +376,36 @@ class Sampler:
         return key.view(np.int64)
 
 
-def signatures(docs: DataFrame, idf, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, raw, x1, x2, bands)``: a hash of the text, a 128-bit hash of the word sequence and the
-    band keys; documents without words are left out."""
+@lru_cache(maxsize=1)
+def _sampler(samples: int) -> Sampler:
+    return Sampler(samples)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(bands * rows)
-        for batch in slices(batches):
-            ids, raws, exact, keys = [], [], [], []
-            text = batch.column(1).to_pylist()
-            for doc, raw, h in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), hashed(text)):
+
+def signatures(docs: DataFrame, n: int, answers: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(doc_id, raw, block, x1, x2, bands)``: a hash of the text, its block, a 128-bit hash of the word
+    sequence and the band keys; documents without words are left out."""
+
+    def run(mine: pa.Table, answered: pa.Table) -> pa.Table:
+        sampler, idf = _sampler(bands * rows), block_weights(n, answered["packed"].to_pylist())
+        ids, raws, blocks, exact, keys = [], [], [], [], []
+        for batch in slices(mine.to_batches()):
+            cols = (batch.column(c).to_pylist() for c in ("doc_id", "raw", "block"))
+            for doc, raw, block, h in zip(*cols, hashed(batch.column("text").to_pylist())):
                 if len(h):
                     got = _shingles(h)
                     ids.append(doc)
                     raws.append(raw)
+                    blocks.append(block)
                     exact.append(hashlib.md5(h.tobytes()).digest())
-                    keys.append(sampler.bands(*got, idf.value, bands))
-            x = np.frombuffer(b"".join(exact), "<i8").reshape(-1, 2)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * (2 * bands), pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raws, pa.string()), pa.array(x[:, 0]), pa.array(x[:, 1]), lists],
-                                              ["doc_id", "raw", "x1", "x2", "bands"])
+                    keys.append(sampler.bands(*got, idf, bands))
+        x = np.frombuffer(b"".join(exact), "<i8").reshape(-1, 2)
+        flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * (2 * bands), pa.int32()), pa.array(flat, pa.int64()))
+        return pa.table([pa.array(ids, pa.int64()), pa.array(raws, pa.string()), pa.array(blocks, pa.int64()), pa.array(x[:, 0]), pa.array(x[:, 1]), lists],
+                        ["doc_id", "raw", "block", "x1", "x2", "bands"])
 
-    return docs.select("doc_id", "text", "raw").mapInArrow(run, "doc_id long, raw string, x1 long, x2 long, bands array<long>")
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        run, "doc_id long, raw string, block long, x1 long, x2 long, bands array<long>")
 
 
 def as_set(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -352,29 +419,37 @@ def as_set(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate([shingles, (again & ~low) | ((again + place.astype(np.uint64)) & low)]))
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, s)``: the shingles of whole texts, packed, by the number of the text; of the rows
-    with a text's smallest id those with its word sequence (x1, x2)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            ids, got = [], []
-            cols = (batch.column(k).to_pylist() for k in (0, 2, 3))
-            for rep, x1, x2, h in zip(*cols, hashed(batch.column(1).to_pylist())):
-                if len(h) and tuple(np.frombuffer(hashlib.md5(h.tobytes()).digest(), "<i8").tolist()) == (x1, x2):
-                    ids.append(rep)
-                    got.append(as_set(*_shingles(h)).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(got, pa.binary())], ["doc_id", "s"])
-
-    return docs.select("rep", "text", "x1", "x2").mapInArrow(run, "doc_id long, s binary")
-
-
-def weighted_jaccard(a: np.ndarray, b: np.ndarray, idf: Weights) -> float:
-    """Sum of smaller weights over sum of larger weights of two sets of `as_set`."""
+def _sets(docs: DataFrame, wanted: DataFrame, n: int, answers: DataFrame) -> DataFrame:
+    """``(doc_id, s, w)``: the shingles of whole texts and their weights, packed, by the number of the
+    text.  ``wanted`` (block, doc_id, x1, x2, rep) says which: the one with that word sequence
+    (x1, x2) among a block's rows with a text's smallest id."""
+
+    def run(mine: pa.Table, right: pa.Table) -> pa.Table:
+        out = {}
+        asked = right.filter(pc.is_valid(right["rep"]))
+        reps = {(d, a, b): r for d, a, b, r in zip(*(asked[c].to_pylist() for c in ("doc_id", "x1", "x2", "rep")))}
+        if reps:
+            idf = block_weights(n, right["packed"].drop_null().to_pylist())
+            mine = mine.filter(pc.is_in(mine["doc_id"], value_set=pc.unique(asked["doc_id"].combine_chunks())))
+            for batch in slices(mine.to_batches()):
+                for doc, h in zip(batch.column("doc_id").to_pylist(), hashed(batch.column("text").to_pylist())):
+                    if len(h):
+                        rep = reps.get((doc, *np.frombuffer(hashlib.md5(h.tobytes()).digest(), "<i8").tolist()))
+                        if rep is not None and rep not in out:
+                            got = as_set(*_shingles(h))
+                            out[rep] = got.tobytes(), idf.of(got).astype("<f4").tobytes()
+        return pa.table([pa.array(out, pa.int64()), *(pa.array([v[k] for v in out.values()], pa.binary()) for k in (0, 1))], ["doc_id", "s", "w"])
+
+    right = answers.unionByName(wanted.select("block", "doc_id", "x1", "x2", "rep"), allowMissingColumns=True)
+    return docs.select("block", "doc_id", "text").groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, "doc_id long, s binary, w binary")
+
+
+def weighted_jaccard(a: np.ndarray, b: np.ndarray, wa: np.ndarray, wb: np.ndarray) -> float:
+    """Sum of smaller weights over sum of larger weights of two sets of `as_set` and their weights."""
     at = np.searchsorted(b, a)
     at[at == len(b)] = 0
-    both = float(idf.of(a[b[at] == a]).sum(dtype=np.float64))
-    total = float(idf.of(a).sum(dtype=np.float64) + idf.of(b).sum(dtype=np.float64))
+    both = float(wa[b[at] == a].sum(dtype=np.float64))
+    total = float(wa.sum(dtype=np.float64) + wb.sum(dtype=np.float64))
     return both / (total - both)
 
 
@@ -386,36 +461,35 @@ def plain_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def near(a: np.ndarray, b: np.ndarray, idf: Weights, threshold: float) -> bool:
-    return plain_jaccard(a, b) >= threshold or weighted_jaccard(a, b, idf) >= threshold
+def near(a: np.ndarray, b: np.ndarray, wa: np.ndarray, wb: np.ndarray, threshold: float) -> bool:
+    return plain_jaccard(a, b) >= threshold or weighted_jaccard(a, b, wa, wb) >= threshold
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, idf, threshold: float) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``(a, b)`` of document ids that are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sa, sb = batch.column(2), batch.column(3)
-            good = [near(np.frombuffer(sa[k].as_py(), "<u8"), np.frombuffer(sb[k].as_py(), "<u8"), idf.value, threshold)
+            good = [near(*(np.frombuffer(batch.column(c)[k].as_py(), kind) for c, kind in ((2, "<u8"), (3, "<u8"), (4, "<f4"), (5, "<f4"))), threshold)
                     for k in range(len(batch))]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    j = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
-    j = j.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
-    return j.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    j = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"), F.col("w").alias("wa")), "a")
+    j = j.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"), F.col("w").alias("wb")), "b")
+    return j.select("a", "b", "sa", "sb", "wa", "wb").mapInArrow(run, "a long, b long")
 
 
 def connecting(ids: np.ndarray, component: np.ndarray, rows: np.ndarray, cols: np.ndarray, sets: list[np.ndarray],
-               idf: Weights, threshold: float) -> list[tuple[int, int]]:
+               weights: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     """Links between texts at ``rows`` and at ``cols`` that connect different components."""
     used = np.unique(np.concatenate([rows, cols]))
     weight = np.zeros(len(ids))
     for k in used:
-        weight[k] = idf.of(sets[k]).sum(dtype=np.float64)
-    shared, at = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True)
+        weight[k] = weights[k].sum(dtype=np.float64)
+    _, first, at = np.unique(np.concatenate([sets[k] for k in used]), return_index=True, return_inverse=True)
     seen = np.bincount(at) > 1
     column = np.cumsum(seen) - 1
-    n, w = int(seen.sum()), idf.of(shared[seen]).astype(np.float64)
+    n, w = int(seen.sum()), np.concatenate([weights[k] for k in used])[first[seen]].astype(np.float64)
     start = dict(zip(used.tolist(), np.cumsum([0] + [len(sets[k]) for k in used])[:-1].tolist()))
 
     def dense(which: np.ndarray, lo: int, hi: int) -> np.ndarray:
@@ -452,7 +526,7 @@ def connecting(ids: np.ndarray, component: np.ndarray, rows: np.ndarray, cols: n
     return out
 
 
-def _block_links(met: DataFrame, sets: DataFrame, idf, threshold: float) -> DataFrame:
+def _block_links(met: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links that connect components, of members ``(bucket, doc, component)``."""
     size = met.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
         F.max_by("component", F.struct("n", -F.col("component"))).alias("most"), F.max("n").alias("n_most"), F.sum("n").alias("n"))
@@ -470,7 +544,7 @@ def _block_links(met: DataFrame, sets: DataFrame, idf, threshold: float) -> Data
 
     def links(block: pd.DataFrame) -> pd.DataFrame:
         got = connecting(block["doc"].to_numpy(), block["component"].to_numpy(), np.flatnonzero(block["as_row"]), np.flatnonzero(block["as_col"]),
-                         [np.frombuffer(s, "<u8") for s in block["s"]], idf.value, threshold) if block["as_row"].any() else []
+                         [np.frombuffer(s, "<u8") for s in block["s"]], [np.frombuffer(w, "<f4") for w in block["w"]], threshold) if block["as_row"].any() else []
         return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
 
     return placed.groupBy("bucket", "i", "j").applyInPandas(links, "a long, b long")
@@ -479,12 +553,12 @@ def _block_links(met: DataFrame, sets: DataFrame, idf, threshold: float) -> Data
 def _found(docs: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
     """``(doc_id, raw, component, class_id)`` of every row with words: a number of its class, and the
     smallest id in it.  ``docs`` holds ``doc_id`` (not null), ``text`` and ``raw``."""
-    spark = docs.sparkSession
-    idf = spark.sparkContext.broadcast(inverse_frequencies(docs))          # at most TABLE shingles
-    sig = materialize(signatures(docs, idf, bands, rows), "near-signatures")
+    docs = blocks(docs)
+    n, answers = frequencies(docs)
+    sig = materialize(signatures(docs, n, answers, bands, rows), "near-signatures")
     # a number of its own for every text: ids may repeat
-    first = materialize(sig.groupBy("x1", "x2").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("low"))
-                        .withColumn("rep", F.monotonically_increasing_id()), "near-texts")
+    first = sig.groupBy("x1", "x2").agg(F.min_by(F.struct("bands", "block"), "doc_id").alias("of"), F.min("doc_id").alias("low"))
+    first = materialize(first.select("x1", "x2", "of.*", "low").withColumn("rep", F.monotonically_increasing_id()), "near-texts")
     member = sig.select("doc_id", "raw", "x1", "x2").join(first.select("x1", "x2", "rep", "low"), ["x1", "x2"]).select("doc_id", "raw", "rep", "low")
 
     # members of buckets that hold several texts, and how many such buckets a text is in
@@ -496,16 +570,16 @@ def _found(docs: DataFrame, threshold: float, bands: int, rows: int) -> DataFram
     several = several.groupBy("low", "high", "n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
     met = materialize(placed.join(several, "bucket", "left_semi").distinct(), "near-buckets")
     degree = met.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
-    wanted = degree.select(F.col("doc").alias("rep")).join(first.select("rep", F.col("low").alias("doc_id"), "x1", "x2"), "rep")
-    sets = materialize(_sets(docs.join(wanted.hint("merge"), "doc_id").select("rep", "text", "x1", "x2")).dropDuplicates(["doc_id"]), "near-sets")
+    wanted = degree.select(F.col("doc").alias("rep")).join(first.select("rep", F.col("low").alias("doc_id"), "block", "x1", "x2"), "rep")
+    sets = materialize(_sets(docs, wanted, n, answers), "near-sets")
     lead = met.join(degree, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("n", -F.col("doc"))).alias("lead"))
     pairs = met.join(lead, "bucket").where(F.col("doc") != F.col("lead")).select(
         F.least("lead", "doc").alias("a"), F.greatest("lead", "doc").alias("b")).distinct()
-    links = materialize(_verify(pairs, sets, idf, threshold), "near-links")
+    links = materialize(_verify(pairs, sets, threshold), "near-links")
     joined = components(links, "a", "b", "near-components")
 
     known = met.join(joined.withColumnRenamed("id", "doc"), "doc", "left").select("bucket", "doc", F.coalesce("component", "doc").alias("component"))
-    more = materialize(_block_links(known, sets, idf, threshold), "near-more")
+    more = materialize(_block_links(known, sets, threshold), "near-more")
     joined = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "a", "b", "near-components")
     least = least_label(joined, first.select(F.col("rep").alias("id"), F.col("low").alias("label")), "near-least")
     return member.join(least.withColumnRenamed("id", "rep"), "rep", "left").select(

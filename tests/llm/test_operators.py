@@ -362,6 +362,36 @@ def test_weights_equal_brute_force(spark, docs, rows, monkeypatch, table_size):
     assert math.isclose(weights.of(again).sum(), (weights.of(some) * np.arange(1, 51)).sum(), rel_tol=1e-5)
 
 
+def test_frequencies_below_the_table_count_too(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "TABLE", 64)
+    rng = random.Random(13)
+    common = [[f"c{p}x{k}" for k in range(20)] for p in range(2)]      # passages in 120 texts each
+    own = [f"s{k}" for k in range(130)]
+    made = [(i, " ".join(own + common[i])) for i in range(2)]
+    made += [(2 + i, " ".join([f"u{rng.randrange(10 ** 7)}" for _ in range(30)] + common[i % 2])) for i in range(238)]
+    made += [(240 + i, " ".join(f"v{rng.randrange(10 ** 7)}" for _ in range(30))) for i in range(80)]
+    sets = [got[0] for got in near_dup.shingled([t for _, t in made])]
+    assert -(-sum(map(len, sets)) // 64) > 120                         # all would weigh alike
+    want = near_classes(made)
+    assert want[1] == 0 and plain_classes(made)[1] == 1                # near by exact weights only
+    docs = table(spark, [(i, t, "en", "a") for i, t in made])
+    assert dict(map(tuple, near_dup.classes(docs).collect())) == want
+
+
+def test_weights_of_a_block_equal_brute_force(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(near_dup, "_BLOCK", 1 << 16)
+    sets = [got[0] for got in near_dup.shingled([t for _, t in rows]) if got]
+    df = collections.Counter(x for s in sets for x in s.tolist())
+    held = near_dup.blocks(near_dup._identified(docs, "doc_id", "text"))
+    n, answers = near_dup.frequencies(held)
+    assert n == len(sets) and held.select("block").distinct().count() > 3
+    packed = {r.block: r.p for r in answers.groupBy("block").agg(F.collect_list("packed").alias("p")).collect()}
+    for r in held.groupBy("block").agg(F.collect_list("text").alias("t")).collect():
+        weights = near_dup.block_weights(n, packed.get(r.block, []))
+        for got in filter(None, near_dup.shingled(r.t)):
+            assert np.allclose(weights.of(got[0]), [math.log((1 + n) / (1 + df[x])) + 1 for x in got[0].tolist()], rtol=1e-6)
+
+
 def plain_classes(rows):
     sets = {i: collections.Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) for i, t in rows if (w := t.split())}
     root = {i: i for i in sets}
