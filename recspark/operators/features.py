@@ -4,9 +4,9 @@ Plan shape at scale
 * article keyword features: one aggregation per article (see ``keywords``)
 * article table ⟕ keyword features: one join on articleID
 * comment order: bucketed row number (hot articles are split by sequence bucket)
-* comments ⟕ article features: ONE join on (articleID, type) — it also carries
-  ``pubDate_dt`` for time-to-post, so J7 and J10 share a shuffle (D7: both keys).
-  A hot article is handled by AQE's skew-join split.
+* comments ⟕ article features (D7: by articleID and type): the features travel with the
+  bucket offsets, one row per (article, bucket), so the comments are exchanged and sorted
+  once for their order and for this join.  It also carries ``pubDate_dt`` for time-to-post.
 * text features: row-local projections on the table that holds the text (spread over
   the cluster when the scan has too few partitions); only keys + scores are joined.
 """
@@ -25,7 +25,7 @@ from ..functions.timefn import (epoch_seconds_ts, hour_of, parse_iso, time_of_da
 from ..session import ensure_checkpoint_dir
 from ..sources import adapters
 from ..sources.tables import spread
-from .indexing import KeptRows, bucketed_row_number, exact_split, range_row_number
+from .indexing import KeptRows, bucketed_row_number, exact_split, range_row_number, tasks_for
 from .keywords import article_keyword_features, explode_keywords, rank_keywords
 from .textops import add_length, add_readability, add_sentiment
 
@@ -59,19 +59,21 @@ def comment_position(c: str = "com_ord") -> F.Column:
 
 def comment_order(com: DataFrame, group: str = "articleID", seq: str = "commentSequence",
                   tiebreak: str = "commentID", bucket_width: int = 4096,
-                  strategy: str = "bucket", kept: KeptRows | None = None) -> DataFrame:
+                  strategy: str = "bucket", kept: KeptRows | None = None,
+                  articles: DataFrame | None = None, n_partitions: int | None = None) -> DataFrame:
     """D-9: com_ord = row number by (sequence, id) inside the article + its bucket.
     ``strategy="bucket"`` splits hot articles by sequence bucket (one hash shuffle);
     ``"range"`` splits any hot article, even one whose sequence never changes (range
-    shuffle + one write).  ``kept`` counts the comments that enter."""
+    shuffle + one write).  ``kept`` counts the comments that enter; ``articles`` (one row per
+    article) joins its columns on the way (bucket strategy)."""
     if strategy == "range":
-        if kept is not None:
-            raise ValueError("the range strategy writes the comments on its way: count them there")
+        if kept is not None or articles is not None:
+            raise ValueError("the range strategy writes the comments on its way: count and join them there")
         out = range_row_number(com, [group], [seq, tiebreak], out="com_ord")
     else:
         out = bucketed_row_number(com, [group], [seq, tiebreak],
                                   [F.floor(F.col(seq) / bucket_width)], out="com_ord",
-                                  seen=kept and kept.before)
+                                  seen=kept and kept.before, groups=articles, n_partitions=n_partitions)
     return out.withColumn("com_pos_cat", comment_position("com_ord"))
 
 
@@ -106,15 +108,20 @@ def article_features(art: DataFrame, pairs: DataFrame, snippets: DataFrame,
 def comment_features(com: DataFrame, art_feat: DataFrame, bodies: DataFrame,
                      no_article_label: bool = False, sentiment_kwargs: dict | None = None,
                      body_keys: tuple[str, ...] = ("articleID", "commentSequence"),
-                     kept: KeptRows | None = None) -> DataFrame:
+                     kept: KeptRows | None = None, n_partitions: int | None = None) -> DataFrame:
     """Comment features joined with the reduced article features (D-13).  ``kept`` counts the
     comments that enter and leave the joins (X3)."""
     body = text_scores(bodies, list(body_keys), "commentBody", "com_sent", "com_cat",
                        readability=True, sentiment_kwargs=sentiment_kwargs)
-    c = comment_order(com, kept=kept)
+    # an article's rows (one per type, usually one) as one: a comment takes those of its type
+    red = art_feat.select("articleID", F.struct(*[c for c in ARTICLE_FEATURES if c != "articleID"]).alias("__a"))
+    red = red.groupBy("articleID").agg(F.collect_list("__a").alias("__arts"))
+    c = comment_order(com, kept=kept, articles=red, n_partitions=n_partitions)
+    c = c.withColumn("__arts", F.filter("__arts", lambda a: a["type"] == F.col("type")))
+    added = [a for a in ARTICLE_FEATURES if a not in ("articleID", "type")]
+    c = c.select("*", F.explode_outer("__arts").alias("__a")).select(
+        *[x for x in c.columns if x != "__arts"], *[F.col("__a")[a].alias(a) for a in added])
     c = c.join(body, on=list(body_keys), how="left")
-    red = art_feat.select(*ARTICLE_FEATURES)
-    c = c.join(red, on=["articleID", "type"], how="left")
     c = c.withColumn("time_to_post", time_to_post("approveDate_ts", "pubDate_dt"))
     c = c.withColumn("time_to_post_cat",
                      time_to_post_category("time_to_post", "pubDate_dt", no_article_label))
@@ -132,7 +139,7 @@ def build_features(spark: SparkSession, sf_dir: str, no_article_label: bool = Fa
     art = article_features(adapters.articles(spark, sf_dir), adapters.keyword_pairs(spark, sf_dir),
                            adapters.article_snippets(spark, sf_dir), sentiment_kwargs)
     com = comment_features(adapters.comments(spark, sf_dir), art, adapters.comment_bodies(spark, sf_dir),
-                           no_article_label, sentiment_kwargs, kept=kept)
+                           no_article_label, sentiment_kwargs, kept=kept, n_partitions=tasks_for(adapters.comments(spark, sf_dir)))
     return FeatureTables(art, com)
 
 

@@ -28,16 +28,30 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Rows that one task sorts or groups, about.
+ROWS_A_TASK = 1_000_000
+
+
+def tasks_for(df: DataFrame) -> int:
+    """Shuffle partitions that hold about ``ROWS_A_TASK`` rows each, not fewer than the session's.
+    Counts the rows: for plain table scans, where that reads the files' footers only."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
+
+
 def bucketed_row_number(df: DataFrame, partition_cols: Sequence[str],
                         order_cols: Sequence[str | Column],
                         bucket_cols: Sequence[Column], out: str = "rn",
-                        seen: Observation | None = None) -> DataFrame:
+                        seen: Observation | None = None, groups: DataFrame | None = None,
+                        n_partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by P order by O)`` with bounded tasks.
 
     ``bucket_cols`` must be non-decreasing along ``order_cols`` inside each
     partition group (e.g. ``floor(seq / 4096)`` for ``order by seq``), so that the
     order of (bucket, order) equals the order of ``order_cols``.  Null keys are
     matched null-safely.  ``seen`` counts (as ``n``) the rows that enter the join.
+    ``groups`` (of one partition column, a row each at most) joins its other columns to the
+    rows of the group, through the offsets: without another exchange of the rows.
+    ``n_partitions`` is that of the exchange (the session's number if not given).
     """
     keys = [F.col(c).alias(f"p{i}") for i, c in enumerate(partition_cols)] + \
            [b.alias(f"b{i}") for i, b in enumerate(bucket_cols)]
@@ -46,12 +60,20 @@ def bucketed_row_number(df: DataFrame, partition_cols: Sequence[str],
     w = Window.partitionBy(*[f"__k.p{i}" for i in range(len(partition_cols))]) \
         .orderBy(*[f"__k.b{i}" for i in range(len(bucket_cols))]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("__k").alias("__o_k"), F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
+    if groups is not None:
+        (c,) = partition_cols
+        offsets = offsets.join(groups.withColumnRenamed(c, "__g"), F.col("__o_k.p0") == F.col("__g"), "left").drop("__g")
     if seen is not None:
         x = x.observe(seen, F.count(F.lit(1)).alias("n"))
-    joined = x.join(offsets, on=F.col("__k") == F.col("__o_k"), how="inner")
+    if n_partitions is not None:
+        x = x.repartition(n_partitions, "__k")
     w2 = Window.partitionBy("__k").orderBy(*[_c(o) for o in order_cols])
-    return (joined.withColumn(out, (F.col("__off") + F.row_number().over(w2)).cast("long"))
-                  .drop("__off", "__k", "__o_k"))
+    same = F.col("__k") == F.col("__o_k")
+    if groups is None:
+        joined = x.join(offsets, on=same, how="inner").withColumn("__in", F.row_number().over(w2))
+    else:                      # numbered first: the sort moves no columns of the groups, and the join needs no other
+        joined = x.withColumn("__in", F.row_number().over(w2)).join(offsets, on=same, how="inner")
+    return joined.withColumn(out, (F.col("__off") + F.col("__in")).cast("long")).drop("__off", "__in", "__k", "__o_k")
 
 
 def range_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],

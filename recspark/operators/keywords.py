@@ -80,11 +80,11 @@ def rank_keywords(pairs: DataFrame, id_col: str = "articleID", kw_col: str = "ne
 
 
 def keyword_ordinals(ranked: DataFrame, id_col: str = "articleID",
-                     bucket_width: int = 4096) -> DataFrame:
+                     bucket_width: int = 4096, n_partitions: int | None = None) -> DataFrame:
     """ord2 = position of a keyword inside its article by (N desc, rank asc) ==
     rank asc.  Bucketed by rank so a huge article is numbered by many tasks."""
     return bucketed_row_number(ranked, [id_col], ["keyword_rank"],
-                               [F.floor(F.col("keyword_rank") / bucket_width)], out="ord2")
+                               [F.floor(F.col("keyword_rank") / bucket_width)], out="ord2", n_partitions=n_partitions)
 
 
 def article_keyword_features(ranked: DataFrame, id_col: str = "articleID",

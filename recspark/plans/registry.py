@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.timefn import as_timestamp, time_to_post_category
 from ..functions.topics import topic_of, topic_sql
 from ..operators import features, keywords
-from ..operators.indexing import bucketed_row_number
+from ..operators.indexing import bucketed_row_number, tasks_for
 from ..operators.text_to_columns import text_to_columns
 from ..operators.textops import add_length, add_readability, add_sentiment
 from ..sources import adapters
@@ -138,7 +138,8 @@ SELECT articleID, new, N, keyword_rank, topic,
        row_number() OVER (PARTITION BY articleID ORDER BY keyword_rank) AS ord2 FROM ranked
 """, "D-1 A2 J1 W1 W2 W6 W7 O1 T8")
 def q_keyword_rank(spark, sf):
-    return keywords.keyword_ordinals(_ranked(spark, sf))
+    ranked = _ranked(spark, sf)
+    return keywords.keyword_ordinals(ranked, n_partitions=tasks_for(ranked))
 
 
 def _kw_sql(select: str) -> str:

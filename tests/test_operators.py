@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from recspark.operators import eda, ensemble, keywords
+from recspark.operators import eda, ensemble, features, keywords
 from recspark.operators.indexing import bucketed_row_number, exact_split, modulo_folds
 from recspark.operators.text_to_columns import text_to_columns
 from recspark.operators.textops import add_readability, add_sentiment
@@ -272,6 +272,31 @@ def test_readability_counts(spark):
     assert r[2].readFR is None and r[3].readCL is None
 
 
+def test_order_and_article_join_exchange_and_sort_the_comments_once(spark, monkeypatch):
+    com = spark.createDataFrame([(f"c{i}", i % 5, i // 5, "trn" if i % 5 < 3 else "tst") for i in range(60)],
+                                "commentID string, articleID long, commentSequence long, type string")
+    art = spark.createDataFrame([(0, "trn", "a"), (1, "tst", "b"), (3, "tst", "c"), (3, "trn", "d")], "articleID long, type string, byline string")
+    for c in features.ARTICLE_FEATURES:
+        if c not in art.columns:
+            art = art.withColumn(c, F.lit(None).cast("timestamp" if c == "pubDate_dt" else "string"))
+    bodies = spark.createDataFrame([], "articleID long, commentSequence long, commentBody string")
+    com = com.withColumn("approveDate_ts", F.lit(None).cast("timestamp"))
+    got = features.comment_features(com, art, bodies, n_partitions=3)
+    # both keys: an article of the other type gives no features
+    assert {(r.articleID, r.byline) for r in got.collect()} == {(0, "a"), (1, None), (2, None), (3, "c"), (4, None)}
+    assert sorted(r.com_ord for r in got.where("articleID = 3").collect()) == list(range(1, 13))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        x = features.comment_order(com, articles=art.groupBy("articleID").agg(F.collect_list("byline").alias("__arts")), n_partitions=7)
+        plan = x._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    join, at = (next(i for i, x in enumerate(lines) if w in x) for w in ("SortMergeJoin [__k", "Window [row_number()"))
+    assert join < at and not any("Exchange" in x or " Sort " in x for x in lines[join:at]), plan
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "hashpartitioning(__o_k" not in plan.split("SortMergeJoin [__k")[0], plan
+
+
 def test_hot_key_is_split_across_buckets(spark):
     """One article holds a third of all comments: numbering stays exact and the hot
     article is spread over many (article, bucket) groups instead of one task."""
