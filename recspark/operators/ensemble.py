@@ -110,6 +110,33 @@ def search_weights(preds: DataFrame, weights: DataFrame, label: str,
     return weights.join(res, "trial")
 
 
+#: Rows that meet a chunk of trials at once: with 512 trials 1 MB of errors, which a core's cache holds.
+ROWS_A_BLOCK = 256
+#: Predictions below this size give numbers for every trial (no sum of seven times ten overflows).
+_PLAIN = 1e290
+
+
+def add_errors(P: np.ndarray, y: np.ndarray, W: np.ndarray, tot: np.ndarray, chunk: int, sae: np.ndarray, cnt: np.ndarray) -> None:
+    """Adds the absolute errors of some rows, and the number of those that are numbers, to every trial's."""
+    if not len(P):
+        return
+    plain = bool(np.abs(P).max() < _PLAIN and np.abs(y).max() < _PLAIN)     # no null, NaN or infinity among them
+    for s in range(0, len(W), chunk):
+        e = slice(s, s + chunk)
+        err = P @ W[e].T
+        err /= tot[e]
+        np.rint(err, out=err)
+        err -= y[:, None]
+        np.abs(err, out=err)
+        if plain:
+            cnt[e] += len(P)
+        else:
+            ok = ~np.isnan(err)
+            cnt[e] += ok.sum(axis=0)
+            err[~ok] = 0.0
+        sae[e] += err.sum(axis=0)
+
+
 def _errors(x: DataFrame, weights: DataFrame, models: Sequence[str], trial_chunk: int) -> DataFrame:
     """``(trial, mae)`` of the trials of one pass."""
     names = [f"w{j}" for j in range(1, len(models) + 1)]
@@ -124,15 +151,9 @@ def _errors(x: DataFrame, weights: DataFrame, models: Sequence[str], trial_chunk
         sae = np.zeros(len(trials))
         cnt = np.zeros(len(trials), dtype=np.int64)
         for b in batches:
-            P = b[list(models)].to_numpy(dtype=np.float64)
-            y = b["__y"].to_numpy(dtype=np.float64)
-            for s in range(0, len(trials), trial_chunk):
-                e = slice(s, s + trial_chunk)
-                pred = np.rint((P @ W[e].T) / tot[e][None, :])
-                err = np.abs(pred - y[:, None])
-                ok = ~np.isnan(err)
-                sae[e] += np.where(ok, err, 0.0).sum(axis=0)
-                cnt[e] += ok.sum(axis=0)
+            rows, ys = b[list(models)].to_numpy(dtype=np.float64), b["__y"].to_numpy(dtype=np.float64)
+            for r in range(0, len(rows), ROWS_A_BLOCK):
+                add_errors(rows[r:r + ROWS_A_BLOCK], ys[r:r + ROWS_A_BLOCK], W, tot, trial_chunk, sae, cnt)
         yield pd.DataFrame({"trial": trials, "sae": sae, "n": cnt})
 
     part = x.mapInPandas(block, schema)

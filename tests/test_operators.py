@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -186,6 +187,23 @@ def test_weight_search(spark):
     assert best == {2, 3}                                 # tie kept
 
 
+@pytest.mark.parametrize("odd", [False, True])
+def test_weight_search_errors_of_blocks(odd):
+    rng = np.random.default_rng(4)
+    P, y, W = rng.integers(-5, 400, (700, 7)).astype(float), rng.integers(0, 400, 700).astype(float), rng.integers(0, 11, (900, 7)).astype(float)
+    W[:, 0] += 1
+    if odd:
+        P[3, 2], P[500, 0], P[699, 6], y[10] = np.nan, np.inf, -np.inf, np.nan
+    tot, sae, cnt = W.sum(axis=1), np.zeros(900), np.zeros(900, np.int64)
+    for r in range(0, 700, ensemble.ROWS_A_BLOCK):
+        ensemble.add_errors(P[r:r + ensemble.ROWS_A_BLOCK], y[r:r + ensemble.ROWS_A_BLOCK], W, tot, 128, sae, cnt)
+    with np.errstate(invalid="ignore"):
+        err = np.abs(np.rint((P @ W.T) / tot) - y[:, None])
+    assert (cnt == (~np.isnan(err)).sum(axis=0)).all() and np.array_equal(sae, np.nansum(err, axis=0))
+    # what one step holds is bounded whatever the batch
+    assert ensemble.ROWS_A_BLOCK * 512 * 8 <= 1 << 20
+
+
 def test_weight_search_in_passes_and_with_bounded_partials(spark):
     names = ["a", "b"]
     preds = spark.range(0, 500, 1, 40).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5 * 2).cast("double").alias("b"),
