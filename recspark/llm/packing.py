@@ -24,6 +24,7 @@ may have any name.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -50,9 +51,63 @@ MEMORY = 200_000
 _LOWER = "a-zß-öø-ÿā-įı-ſ"
 _UNUSUAL = re.compile(f"[^\t\n\r -~À-ÖØ-öø-įı-ſ]")
 _PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LOWER}]+|[0-9]|[^\t\n\r 0-9{_LOWER}]+")
+_CORE = re.compile(f"[{_LOWER}]{{1,32}}")      # longer words would take many rounds of merges
 _WORD_END = "</w>"
 
 
+class Merges:
+    """The byte-pair merges of many words at once: in a round every word makes its merge of lowest
+    rank, the leftmost of equal ones, until no word has any."""
+
+    def __init__(self, model: dict):
+        vocab = model["vocab"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        key = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
+        self.none = len(key)
+        self.rank = np.append(np.argsort(key, kind="stable"), self.none)
+        self.key = np.append(key[self.rank[:-1]], np.iinfo(np.int64).max)
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        # a byte's letter: itself if it is visible in Latin-1, else one from 256 on
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letter = {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in seen)}
+        self.inner, self.last = (np.array([vocab[letter[b] + end] for b in range(256)], np.int64) for end in ("", _WORD_END))
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 32 | b
+        at = np.searchsorted(self.key, key)
+        return np.where(self.key[at] == key, self.rank[at], self.none)
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words (none empty) in their order, and where each word's begin."""
+        raw = [w.encode() for w in words]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        start = np.cumsum(size) - size
+        symbol = np.frombuffer(b"".join(raw), np.uint8)
+        end = start + size - 1
+        symbol, tail = self.inner[symbol], self.last[symbol[end]]
+        symbol[end] = tail
+        word = np.repeat(np.arange(len(raw)), size)
+        rank = np.append(self._ranks(symbol[:-1], symbol[1:]), self.none)
+        rank[end] = self.none
+        while True:
+            best = np.minimum.reduceat(rank, start)
+            at = np.flatnonzero((rank == best[word]) & (rank < self.none))
+            if not len(at):
+                return symbol, start
+            at = at[np.append(True, word[at[1:]] != word[at[:-1]])]
+            symbol[at] = self.made[rank[at]]
+            ends = np.append(word[1:] != word[:-1], True)[at + 1]
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            symbol, word, rank = symbol[keep], word[keep], rank[keep]
+            start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            at -= np.arange(len(at))
+            rank[at] = self.none
+            right, left = at[~ends], at[(at > 0) & (word[at] == word[at - 1])]
+            rank[right] = self._ranks(symbol[right], symbol[right + 1])
+            rank[left - 1] = self._ranks(symbol[left - 1], symbol[left])
+
+
 class WordIds:
     """Ids of texts under a vocabulary whose pieces never hold white space."""
 
@@ -63,6 +118,7 @@ class WordIds:
         vocab = self.library.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith(_WORD_END)]] = True
+        self.merges = Merges(json.loads(self.library.to_str())["model"])
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
@@ -82,11 +138,23 @@ class WordIds:
             else:
                 self.parts.update(zip(part, self._encode(part)))
 
+    def _merge_cores(self, cores: list[str]) -> None:
+        """Short words of lower-case letters that need no composition, as many at once as a core's cache holds."""
+        for k in range(0, len(cores), 2000):
+            part = cores[k:k + 2000]
+            ids, start = self.merges.of(part)
+            raw, cut = ids.astype("<u4").tobytes(), [*(start * 4).tolist(), len(ids) * 4]
+            self.parts.update(zip(part, [raw[a:b] for a, b in zip(cut, cut[1:])]))
+
     def _known(self, parts: set[str]) -> None:
         """Learns the ids of the parts that are not known yet."""
         if len(self.parts) >= MEMORY:
             self.parts.clear()
         new = parts.difference(self.parts)
+        core = list(filter(_CORE.fullmatch, new))
+        if core:
+            self._merge_cores(core)
+            new.difference_update(core)
         # a purely alphabetic part is one piece, if lower case and composition leave it so
         plain = [w for w in new if w.isalpha() and (w.isascii() or w.lower().isalpha() and unicodedata.is_normalized("NFC", w))]
         self._learn_cores(plain)

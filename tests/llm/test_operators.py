@@ -178,6 +178,21 @@ def test_token_counts(docs, rows, odd):
         assert got == sorted((i or 0, len(t.encode()), k, k > 512) for (i, t), k in zip(want, n))
 
 
+def test_merges_of_many_words_give_the_librarys_ids():
+    words = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    rng = random.Random(5)
+    some = sorted({"a", "aa", "the", "straße", "a" * 32, *("".join(rng.choice("abehinrstxäßğſ") for _ in range(rng.randint(1, 32))) for _ in range(4000))})
+    ids, start = words.merges.of(some)
+    got = np.split(ids, start[1:])
+    assert all(g.tolist() == e.ids for g, e in zip(got, words.library.encode_batch_fast(some, add_special_tokens=False)))
+    # no lower-case word of a usual text goes through the library one by one
+    sent = []
+    words._encode = lambda parts: sent.extend(parts) or [b"" for _ in parts]
+    words._learn_cores = lambda parts: sent.extend(parts)
+    words.encode([" ".join(some)])
+    assert not sent and all(words.parts[w] == g.astype("<u4").tobytes() for w, g in zip(some, got))
+
+
 # ---- 3
 def removed(rows):
     first, out = {}, []
