@@ -3,7 +3,8 @@
 A text is the weighted set of its five-word shingles; a shingle's weight is its count in the
 text times its inverse document frequency ``ln((1 + n) / (1 + df)) + 1`` over all ``n`` documents
 with words.  Document frequencies are exact grouped counts of shingle hashes, of every shingle
-however many there are: documents are numbered in blocks of about ``_BLOCK`` bytes, a block
+however many there are: documents are written in blocks of about ``_BLOCK`` bytes, each one
+compressed value, which all later steps read and exchange; a block
 sends its distinct shingles to be counted and gets back the frequencies of those that lie in
 several documents (all others lie in one), and its documents are sampled beside them.  No
 table of shingles is held whole anywhere.  ``BANDS * ROWS`` consistent
@@ -30,7 +31,8 @@ No bucket is expanded into pairs, however large it is:
   components.
 
 So every pair of a bucket is verified unless it is connected already, and classes are the
-connected components of all links.  Intermediate tables are written to the shared folder.
+connected components of all links.  Intermediate tables are written to the shared folder;
+texts, frequencies and shingles go from there as soon as the next table is written.
 
 Defined results: texts without a word (null and empty too) resemble nothing and are classes
 of their own; a row with a null id has a null class and always stays; a document is an id with a text, so rows
@@ -44,6 +46,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -54,7 +58,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .common import components, least_label, shuffle_partitions, slices
 from .rolling import mix
 
@@ -110,11 +114,11 @@ def _shingles(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[first], np.diff(np.append(first, n))
 
 
-def hashed(text: list[str | None]) -> Iterator[np.ndarray]:
-    """Word hashes of each text, worked out in batches of bounded size."""
+def hashed(text: list[str | bytes | None]) -> Iterator[np.ndarray]:
+    """Word hashes of each text (bytes: its UTF-8), worked out in batches of bounded size."""
     held, size = [], 0
     for t in text:
-        held.append((t or "").encode())
+        held.append(t.encode() if isinstance(t, str) else t or b"")
         size += len(held[-1])
         if size > _BATCH:
             yield from word_hashes(held)
@@ -123,7 +127,7 @@ def hashed(text: list[str | None]) -> Iterator[np.ndarray]:
         yield from word_hashes(held)
 
 
-def shingled(text: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+def shingled(text: list[str | bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
     for h in hashed(text):
         yield _shingles(h) if len(h) else None
 
@@ -175,7 +179,7 @@ _ASKED = "part int, block long, docs long, packed binary"
 
 
 def _count(parts: int):
-    """Counts of the shingles of ``(text, block)``, added up within a block as far as a task can hold
+    """Counts of the shingles of ``(block, text)`` or ``(block, packed)``, added up within a block as far as a task can hold
     them, per range of keys."""
     def shipped(held: list[np.ndarray], block: int) -> pa.RecordBatch:
         key = np.concatenate(held)
@@ -192,8 +196,8 @@ def _count(parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, now = [], 0, 0
-        for batch in slices(batches):
-            for block, got in zip(batch.column(1).to_pylist(), shingled(batch.column(0).to_pylist())):
+        for block, text in (x for batch in batches for x in _texts(batch)):
+            for got in shingled(text):
                 if held and (block != now or n > _HELD):
                     yield shipped(held, now)
                     held, n = [], 0
@@ -209,10 +213,11 @@ def _count(parts: int):
 
 
 def _asked(docs: DataFrame) -> DataFrame:
-    """The distinct shingles of ``(text, block)``, packed, per block and range of keys."""
-    size = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
+    """The distinct shingles of `blocks` or `packed_blocks`, packed, per block and range of keys."""
+    column, each = ("packed", F.col("size")) if "packed" in docs.columns else ("text", F.char_length("text"))
+    size = docs.agg(F.coalesce(F.sum(each), F.lit(0))).first()[0]
     parts = max(shuffle_partitions(docs.sparkSession), -(-size // _PART))
-    return docs.select("text", "block").mapInArrow(_count(parts), _ASKED)
+    return docs.select("block", column).mapInArrow(_count(parts), _ASKED)
 
 
 def _add(group: pd.DataFrame) -> pd.DataFrame:
@@ -223,13 +228,29 @@ def _add(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"docs": [int(group["docs"].sum())], "total": [int(df.sum())], "packed": [_packed(keys[more], df[more])]})
 
 
+def _frequencies(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that several documents hold and how many: in few copies of the arrays, as they are a task's largest."""
+    keys, counts = [], []
+    for r in raw:
+        k, c = _unpacked(r)
+        keys.append(k)
+        counts.append(c.astype(np.int32))
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    del order
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    df = np.add.reduceat(counts, first, dtype=np.int64) if len(first) else counts.astype(np.int64)
+    return keys[first[df > 1]], df[df > 1]
+
+
 def _answer(group: pa.Table) -> pa.Table:
     """For every block that asks: the document frequencies over 1 of its shingles in one range of keys."""
-    asked = [_unpacked(raw) for raw in group["packed"].to_pylist()]
-    keys, df = _added(*(np.concatenate([a[k] for a in asked]) for k in (0, 1)))
-    keys, df = keys[df > 1], df[df > 1]
+    raw = group["packed"].to_pylist()
+    keys, df = _frequencies(raw)
     out = []
-    for mine, _ in asked:
+    for r in raw:
+        mine, _ = _unpacked(r)
         at = np.searchsorted(keys, mine)
         hit = at < len(keys)
         hit[hit] = keys[at[hit]] == mine[hit]
@@ -237,26 +258,92 @@ def _answer(group: pa.Table) -> pa.Table:
     return pa.table([group["block"], group["docs"], pa.array(out, pa.binary())], ["block", "docs", "packed"])
 
 
+_ROW = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("raw", pa.string())])
+
+
+def _closed(batches: list[pa.RecordBatch]) -> bytes:
+    """Rows of ``(doc_id, text, raw)`` as one compressed value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _ROW, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        for batch in batches:
+            out.write_batch(pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(batch.columns, _ROW.types)], schema=_ROW))
+    return sink.getvalue().to_pybytes()
+
+
+def _opened(packed: pa.Scalar) -> Iterator[pa.RecordBatch]:
+    """The rows of a block, a few at a time; texts are bytes."""
+    with pa.ipc.open_stream(packed.as_buffer()) as rows:
+        yield from rows
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str | bytes | None]]]:
+    """Texts of one block after the other, a few at a time, of rows ``(block, text)`` or ``(block, packed)``."""
+    if "packed" in batch.schema.names:
+        for block, packed in zip(batch.column("block").to_pylist(), batch.column("packed")):
+            for part in _opened(packed):
+                yield block, part.column("text").to_pylist()
+    else:
+        for mine in slices([batch]):
+            for block, text in groupby(zip(mine.column("block").to_pylist(), mine.column("text").to_pylist()), key=itemgetter(0)):
+                yield block, [t for _, t in text]
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], per: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows ``(doc_id, text, raw)`` with the number of each row's block of about ``per`` bytes."""
+    first, at = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        size = at + np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = int(size[-1]) if len(size) else at
+        yield batch, first + size // per
+
+
 def blocks(docs: DataFrame) -> DataFrame:
     """``(doc_id, text, raw)`` with the number of its block, written once: neighbouring rows of about
     ``_BLOCK`` bytes of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, at = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            size = at + np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-            at = int(size[-1]) if len(size) else at
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + size // _BLOCK, pa.int64())], ["doc_id", "text", "raw", "block"])
+        for batch, block in _numbered(batches, _BLOCK):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block, pa.int64())], ["doc_id", "text", "raw", "block"])
 
     return materialize(docs.select("doc_id", "text", "raw").mapInArrow(run, "doc_id long, text string, raw string, block long"), "near-documents")
 
 
+def packed_blocks(docs: DataFrame) -> DataFrame:
+    """The rows of `blocks`, each block as one row ``(block, size, packed)``: its bytes of text, and its
+    rows compressed.  Written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+
+        def row() -> pa.RecordBatch:
+            size = sum(pc.sum(pc.binary_length(x.column(1))).as_py() or 0 for x in held)
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([size], pa.int64()), pa.array([_closed(held)], pa.binary())],
+                                              ["block", "size", "packed"])
+
+        for batch, block in _numbered(slices(batches), _BLOCK):
+            cut = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for a, b in zip(cut, cut[1:]):
+                if held and block[a] != now:
+                    yield row()
+                    held = []
+                held.append(batch.slice(a, b - a))
+                now = int(block[a])
+        if held:
+            yield row()
+
+    return materialize(docs.select("doc_id", "text", "raw").mapInArrow(run, "block long, size long, packed binary"), "near-documents")
+
+
 def frequencies(docs: DataFrame) -> tuple[int, DataFrame]:
-    """Number of documents with words, and ``(block, packed)``: the exact document frequencies of a
-    block's shingles that lie in several documents.  The hashes' low bits are left out (40 bits
+    """Number of documents with words, and ``(block, docs, packed)``: the exact document frequencies of a
+    block's shingles that lie in several documents, null where none do.  The hashes' low bits are left out (40 bits
     stay): two shingles count as one with a chance of one in 2**40 for each pair."""
     got = materialize(_asked(docs).groupBy("part").applyInArrow(_answer, "block long, docs long, packed binary"), "near-answers")
-    return got.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0], got.where(F.col("packed").isNotNull()).select("block", "packed")
+    return got.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0], got
+
+
+def _answered(answers: DataFrame) -> DataFrame:
+    return answers.where(F.col("packed").isNotNull()).select("block", F.col("packed").alias("answer"))
 
 
 def block_weights(n: int, answers: list[bytes]) -> Weights:
@@ -386,25 +473,24 @@ def signatures(docs: DataFrame, n: int, answers: DataFrame, bands: int = BANDS,
     sequence and the band keys; documents without words are left out."""
 
     def run(mine: pa.Table, answered: pa.Table) -> pa.Table:
-        sampler, idf = _sampler(bands * rows), block_weights(n, answered["packed"].to_pylist())
-        ids, raws, blocks, exact, keys = [], [], [], [], []
-        for batch in slices(mine.to_batches()):
-            cols = (batch.column(c).to_pylist() for c in ("doc_id", "raw", "block"))
-            for doc, raw, block, h in zip(*cols, hashed(batch.column("text").to_pylist())):
+        sampler, idf = _sampler(bands * rows), block_weights(n, answered["answer"].to_pylist())
+        ids, raws, exact, keys = [], [], [], []
+        for batch in (part for packed in mine["packed"] for part in _opened(packed)):
+            for doc, raw, h in zip(batch.column("doc_id").to_pylist(), batch.column("raw").to_pylist(), hashed(batch.column("text").to_pylist())):
                 if len(h):
                     got = _shingles(h)
                     ids.append(doc)
                     raws.append(raw)
-                    blocks.append(block)
                     exact.append(hashlib.md5(h.tobytes()).digest())
                     keys.append(sampler.bands(*got, idf, bands))
         x = np.frombuffer(b"".join(exact), "<i8").reshape(-1, 2)
         flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * (2 * bands), pa.int32()), pa.array(flat, pa.int64()))
-        return pa.table([pa.array(ids, pa.int64()), pa.array(raws, pa.string()), pa.array(blocks, pa.int64()), pa.array(x[:, 0]), pa.array(x[:, 1]), lists],
+        block = np.full(len(ids), mine["block"][0].as_py() if len(mine) else 0)
+        return pa.table([pa.array(ids, pa.int64()), pa.array(raws, pa.string()), pa.array(block, pa.int64()), pa.array(x[:, 0]), pa.array(x[:, 1]), lists],
                         ["doc_id", "raw", "block", "x1", "x2", "bands"])
 
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    return docs.select("block", "packed").groupBy("block").cogroup(_answered(answers).groupBy("block")).applyInArrow(
         run, "doc_id long, raw string, block long, x1 long, x2 long, bands array<long>")
 
 
@@ -429,9 +515,10 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int, answers: DataFrame) -> Dat
         asked = right.filter(pc.is_valid(right["rep"]))
         reps = {(d, a, b): r for d, a, b, r in zip(*(asked[c].to_pylist() for c in ("doc_id", "x1", "x2", "rep")))}
         if reps:
-            idf = block_weights(n, right["packed"].drop_null().to_pylist())
-            mine = mine.filter(pc.is_in(mine["doc_id"], value_set=pc.unique(asked["doc_id"].combine_chunks())))
-            for batch in slices(mine.to_batches()):
+            idf = block_weights(n, right["answer"].drop_null().to_pylist())
+            ids = pc.unique(asked["doc_id"].combine_chunks())
+            for batch in (part for packed in mine["packed"] for part in _opened(packed)):
+                batch = batch.filter(pc.is_in(batch.column("doc_id"), value_set=ids))
                 for doc, h in zip(batch.column("doc_id").to_pylist(), hashed(batch.column("text").to_pylist())):
                     if len(h):
                         rep = reps.get((doc, *np.frombuffer(hashlib.md5(h.tobytes()).digest(), "<i8").tolist()))
@@ -440,8 +527,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int, answers: DataFrame) -> Dat
                             out[rep] = got.tobytes(), idf.of(got).astype("<f4").tobytes()
         return pa.table([pa.array(out, pa.int64()), *(pa.array([v[k] for v in out.values()], pa.binary()) for k in (0, 1))], ["doc_id", "s", "w"])
 
-    right = answers.unionByName(wanted.select("block", "doc_id", "x1", "x2", "rep"), allowMissingColumns=True)
-    return docs.select("block", "doc_id", "text").groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, "doc_id long, s binary, w binary")
+    right = _answered(answers).unionByName(wanted.select("block", "doc_id", "x1", "x2", "rep"), allowMissingColumns=True)
+    return docs.select("block", "packed").groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, "doc_id long, s binary, w binary")
 
 
 def weighted_jaccard(a: np.ndarray, b: np.ndarray, wa: np.ndarray, wb: np.ndarray) -> float:
@@ -553,7 +640,7 @@ def _block_links(met: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
 def _found(docs: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
     """``(doc_id, raw, component, class_id)`` of every row with words: a number of its class, and the
     smallest id in it.  ``docs`` holds ``doc_id`` (not null), ``text`` and ``raw``."""
-    docs = blocks(docs)
+    docs = packed_blocks(docs)
     n, answers = frequencies(docs)
     sig = materialize(signatures(docs, n, answers, bands, rows), "near-signatures")
     # a number of its own for every text: ids may repeat
@@ -572,6 +659,8 @@ def _found(docs: DataFrame, threshold: float, bands: int, rows: int) -> DataFram
     degree = met.groupBy("doc").agg(F.count(F.lit(1)).alias("n"))
     wanted = degree.select(F.col("doc").alias("rep")).join(first.select("rep", F.col("low").alias("doc_id"), "block", "x1", "x2"), "rep")
     sets = materialize(_sets(docs, wanted, n, answers), "near-sets")
+    discard(docs)
+    discard(answers)
     lead = met.join(degree, "doc").groupBy("bucket").agg(F.max_by("doc", F.struct("n", -F.col("doc"))).alias("lead"))
     pairs = met.join(lead, "bucket").where(F.col("doc") != F.col("lead")).select(
         F.least("lead", "doc").alias("a"), F.greatest("lead", "doc").alias("b")).distinct()
@@ -580,6 +669,8 @@ def _found(docs: DataFrame, threshold: float, bands: int, rows: int) -> DataFram
 
     known = met.join(joined.withColumnRenamed("id", "doc"), "doc", "left").select("bucket", "doc", F.coalesce("component", "doc").alias("component"))
     more = materialize(_block_links(known, sets, threshold), "near-more")
+    discard(sets)
+    discard(met)
     joined = components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "a", "b", "near-components")
     least = least_label(joined, first.select(F.col("rep").alias("id"), F.col("low").alias("label")), "near-least")
     return member.join(least.withColumnRenamed("id", "rep"), "rep", "left").select(

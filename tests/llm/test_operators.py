@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -407,6 +408,27 @@ def test_weights_of_a_block_equal_brute_force(spark, docs, rows, monkeypatch):
             assert np.allclose(weights.of(got[0]), [math.log((1 + n) / (1 + df[x])) + 1 for x in got[0].tolist()], rtol=1e-6)
 
 
+def test_packed_blocks_hold_every_row_and_go_again(spark, docs, odd, monkeypatch):
+    monkeypatch.setattr(near_dup, "_BLOCK", 1 << 16)
+    for d in (docs, odd):
+        d = near_dup._identified(d, "doc_id", "text")
+        held = near_dup.packed_blocks(d)
+        got = held.collect()
+        assert len(got) == len({r.block for r in got}) > 2
+        opened = [x for r in got for part in near_dup._opened(pa.scalar(bytes(r.packed), pa.binary())) for x in part.to_pylist()]
+        want = [{"doc_id": r.doc_id, "text": None if r.text is None else r.text.encode(), "raw": r.raw} for r in d.collect()]
+        assert sorted(map(str, opened)) == sorted(map(str, want))
+        assert sum(r.size for r in got) == sum(len(w["text"] or b"") for w in want)
+        rows = near_dup.frequencies(near_dup.blocks(d)), near_dup.frequencies(held)
+        assert rows[0][0] == rows[1][0] and sorted(map(str, rows[0][1].collect())) == sorted(map(str, rows[1][1].collect()))
+    # texts, their frequencies and their shingles go as soon as the next table is written
+    written, gone, keep = [], [], near_dup.materialize
+    monkeypatch.setattr(near_dup, "materialize", lambda df, name: written.append(keep(df, name)) or written[-1])
+    monkeypatch.setattr(near_dup, "discard", lambda df: gone.append(df.written_to.split("/recspark-")[1][:-33]))
+    near_dup.classes(docs)
+    assert sorted(gone) == ["near-answers", "near-buckets", "near-documents", "near-sets"]
+
+
 def plain_classes(rows):
     sets = {i: collections.Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) for i, t in rows if (w := t.split())}
     root = {i: i for i in sets}
