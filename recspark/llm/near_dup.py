@@ -72,6 +72,7 @@ _KEY = np.uint64(24)           # a shingle is counted by its hash without these
 _HELD = 2_000_000              # shingles that a counting task holds at once
 _PART = 1 << 25                # code points whose shingles are counted in one group, about
 _BLOCK = 1 << 22               # bytes of text whose shingles are looked up together, about
+_AT_ONCE = 1 << 16             # shingles that are sampled at once, about
 
 
 _BASE = 0x9E3779B97F4A7C15
@@ -406,60 +407,86 @@ class Sampler:
         t = np.floor(log_w / r + b)
         return self.log_c[(h >> np.uint64(32) & np.uint64(0xFFFF)).astype(np.int64)] - r * (t - b + np.float32(1)), t
 
-    def sample(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """One code per sample for the chosen (shingle, t)."""
-        code, empty = np.zeros(self.n, np.uint64), np.ones(self.n, bool)
-        log_w = np.log(weights).astype(np.float32)
+    def _dealt(self, shingles: np.ndarray, seed: np.uint64) -> np.ndarray:
+        h = mix(shingles ^ seed)
+        return (h - h // np.uint64(self.n) * np.uint64(self.n)).view(np.int64)
 
-        def codes(at, t):
-            return mix(shingles[at] + t.astype(np.int64).view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    @staticmethod
+    def _codes(shingles: np.ndarray, t: np.ndarray) -> np.ndarray:
+        return mix(shingles + t.astype(np.int64).view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
+    def samples(self, shingles: np.ndarray, weights: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+        """A row of codes per document, one per sample for the chosen (shingle, t); ``doc`` (ascending)
+        is the document of every shingle."""
+        code, empty = np.zeros(docs * self.n, np.uint64), np.ones(docs * self.n, bool)
+        log_w = np.log(weights).astype(np.float32)
+        s, lw, of = shingles, log_w, doc
         for seed in self.seeds[self.n:]:
-            to = (mix(shingles ^ seed) % np.uint64(self.n)).astype(np.int64)
+            to = of * self.n + self._dealt(s, seed)
             use = np.flatnonzero(empty[to])
-            a, t = self._draw(mix(shingles[use] + seed), log_w[use])
-            # by sample, then by value (a float's bits, made to sort like the float)
+            a, t = self._draw(mix(s[use] + seed), lw[use])
+            # the smallest value of a sample, then the first shingle (a float's bits, made to sort like the float)
             bits = a.view(np.int32).astype(np.int64)
             bits = np.where(bits < 0, -(bits & 0x7FFFFFFF), bits)
-            order = np.argsort(to[use] * (1 << 33) + bits, kind="stable")
-            place = to[use][order]
-            first = order[np.append(True, place[1:] != place[:-1])] if len(order) else order
-            code[to[use[first]]] = codes(use[first], t[first])
-            empty[to[use[first]]] = False
-            if not empty.any():
-                return code
-        for k in np.flatnonzero(empty):
-            a, t = self._draw(mix(shingles ^ self.seeds[k]), log_w)
-            at = np.array([a.argmin()])
-            code[k] = codes(at, t[at])[0]
+            least = np.full(docs * self.n, np.iinfo(np.int64).max)
+            np.minimum.at(least, to[use], (bits << 32) + np.arange(len(use)))
+            place = np.flatnonzero(least != np.iinfo(np.int64).max)
+            at = least[place] & 0xFFFFFFFF
+            code[place] = self._codes(s[use[at]], t[at])
+            empty[place] = False
+            stay = empty.reshape(docs, self.n).any(axis=1)[of]
+            if not stay.any():
+                break
+            s, lw, of = s[stay], lw[stay], of[stay]
+        code, empty = code.reshape(docs, self.n), empty.reshape(docs, self.n)
+        for d in np.flatnonzero(empty.any(axis=1)):
+            lo, hi = np.searchsorted(doc, (d, d + 1))
+            k = np.flatnonzero(empty[d])        # few shingles: many would have filled all samples
+            a, t = self._draw(mix(shingles[lo:hi] ^ self.seeds[k][:, None]), log_w[lo:hi])
+            at = a.argmin(axis=1)
+            code[d, k] = self._codes(shingles[lo + at], t[np.arange(len(k)), at])
         return code
 
-    def plain(self, shingles: np.ndarray) -> np.ndarray:
-        """One code per sample, every shingle weighing one: the smallest hash of those dealt to it."""
-        code, empty = np.zeros(self.n, np.uint64), np.ones(self.n, bool)
+    def plains(self, shingles: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+        """A row of codes per document, every shingle weighing one: the smallest hash of those dealt to a sample."""
+        code, empty = np.zeros(docs * self.n, np.uint64), np.ones(docs * self.n, bool)
+        s, of = shingles, doc
         for seed in self.seeds[self.n:]:
-            h = mix(shingles + seed)
-            h.sort()
-            to = (mix(h) % np.uint64(self.n)).astype(np.int64)
-            least = np.zeros(self.n, np.uint64)
-            least[to[::-1]] = h[::-1]           # of several the last one assigned, the smallest, stays
-            now = np.zeros(self.n, bool)
-            now[to] = True
-            now &= empty
-            code[now] = least[now]
-            empty &= ~now
-            if not empty.any():
-                return code
-        for k in np.flatnonzero(empty):
-            code[k] = mix(shingles ^ self.seeds[k]).min()
+            h = mix(s + seed)
+            to = of * self.n + self._dealt(h, np.uint64(0))
+            use = empty[to]
+            to, h = to[use], h[use]
+            least = np.full(docs * self.n, np.iinfo(np.uint64).max)
+            np.minimum.at(least, to, h)
+            code[to] = least[to]
+            empty[to] = False
+            stay = empty.reshape(docs, self.n).any(axis=1)[of]
+            if not stay.any():
+                break
+            s, of = s[stay], of[stay]
+        code, empty = code.reshape(docs, self.n), empty.reshape(docs, self.n)
+        for d in np.flatnonzero(empty.any(axis=1)):
+            mine = shingles[doc == d]
+            k = np.flatnonzero(empty[d])
+            code[d, k] = mix(mine ^ self.seeds[k][:, None]).min(axis=1)
         return code
 
-    def bands(self, shingles: np.ndarray, counts: np.ndarray, idf: Weights, bands: int) -> np.ndarray:
-        """Keys of the weighted bands, then of the plain ones."""
-        code = np.concatenate([self.sample(shingles, counts * idf.of(shingles)), self.plain(as_set(shingles, counts))]).reshape(2 * bands, -1)
-        key = code[:, 0].copy()
-        for j in range(1, code.shape[1]):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + code[:, j])
+    def sample(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        return self.samples(shingles, weights, np.zeros(len(shingles), np.int64), 1)[0]
+
+    def plain(self, shingles: np.ndarray) -> np.ndarray:
+        return self.plains(shingles, np.zeros(len(shingles), np.int64), 1)[0]
+
+    def bands(self, sets: list[tuple[np.ndarray, np.ndarray]], idf: Weights, bands: int) -> np.ndarray:
+        """Keys of the weighted bands, then of the plain ones: a row per document of ``sets`` (shingles, counts)."""
+        shingles, counts = (np.concatenate([x[k] for x in sets]) for k in (0, 1))
+        doc = np.repeat(np.arange(len(sets)), [len(x[0]) for x in sets])
+        code = np.concatenate([self.samples(shingles, counts * idf.of(shingles), doc, len(sets)),
+                               self.plains(np.concatenate([shingles, _again(shingles, counts)]), np.concatenate([doc, np.repeat(doc, counts - 1)]), len(sets))],
+                              axis=1).reshape(len(sets), 2 * bands, -1)
+        key = code[:, :, 0].copy()
+        for j in range(1, code.shape[2]):
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + code[:, :, j])
         return key.view(np.int64)
 
 
@@ -474,15 +501,20 @@ def signatures(docs: DataFrame, n: int, answers: DataFrame, bands: int = BANDS,
 
     def run(mine: pa.Table, answered: pa.Table) -> pa.Table:
         sampler, idf = _sampler(bands * rows), block_weights(n, answered["answer"].to_pylist())
-        ids, raws, exact, keys = [], [], [], []
+        ids, raws, exact, keys, held, n_held = [], [], [], [], [], 0
         for batch in (part for packed in mine["packed"] for part in _opened(packed)):
             for doc, raw, h in zip(batch.column("doc_id").to_pylist(), batch.column("raw").to_pylist(), hashed(batch.column("text").to_pylist())):
                 if len(h):
-                    got = _shingles(h)
                     ids.append(doc)
                     raws.append(raw)
                     exact.append(hashlib.md5(h.tobytes()).digest())
-                    keys.append(sampler.bands(*got, idf, bands))
+                    held.append(_shingles(h))
+                    n_held += len(held[-1][0])
+                    if n_held > _AT_ONCE:
+                        keys.append(sampler.bands(held, idf, bands).ravel())
+                        held, n_held = [], 0
+        if held:
+            keys.append(sampler.bands(held, idf, bands).ravel())
         x = np.frombuffer(b"".join(exact), "<i8").reshape(-1, 2)
         flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * (2 * bands), pa.int32()), pa.array(flat, pa.int64()))
@@ -494,15 +526,21 @@ def signatures(docs: DataFrame, n: int, answers: DataFrame, bands: int = BANDS,
         run, "doc_id long, raw string, block long, x1 long, x2 long, bands array<long>")
 
 
+def _again(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Codes of the second and later occurrences of the shingles, with the bits by which the
+    shingle's weight is found."""
+    again = np.repeat(shingles, counts - 1)
+    place = np.arange(len(again)) - np.repeat(np.cumsum(counts - 1) - (counts - 1), counts - 1) + 1
+    low = (np.uint64(1) << _KEY) - np.uint64(1)
+    return (again & ~low) | ((again + place.astype(np.uint64)) & low)
+
+
 def as_set(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """A multiset as an ascending set: the second and later occurrences of a shingle get codes
-    of their own, with the bits by which the shingle's weight is found."""
+    of their own."""
     if (counts == 1).all():
         return shingles
-    again = np.repeat(shingles, counts - 1)
-    place = np.arange(len(again)) - np.repeat(np.cumsum(counts - 1) - (counts - 1), counts - 1) + 1
-    low = (np.uint64(1) << _KEY) - np.uint64(1)
-    return np.sort(np.concatenate([shingles, (again & ~low) | ((again + place.astype(np.uint64)) & low)]))
+    return np.sort(np.concatenate([shingles, _again(shingles, counts)]))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, n: int, answers: DataFrame) -> DataFrame:

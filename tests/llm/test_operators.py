@@ -574,3 +574,28 @@ def test_pipeline_rows_keep_columns_of_any_name(spark):
     for out in (mixing.mixed_rows(d), near_dup.drop_near(d)):
         got = out.collect()
         assert out.columns == d.columns and got and {tuple(r) for r in got} <= {tuple(r) for r in rows}
+
+
+def test_documents_sampled_together_as_one_by_one(monkeypatch):
+    """F op8 of round 3: the band keys of many documents come from a bounded number of array operations, not
+    some a document, and are those of each document alone."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, n)) for n in rng.integers(1, 400, 60)] + ["a a a a a a a a a a", "x"]
+    sets = [got for got in near_dup.shingled(texts) if got]
+    keys = np.unique(np.concatenate([s >> near_dup._KEY for s, _ in sets]))
+    idf = near_dup.Weights(100, 1, keys[::3], np.arange(len(keys[::3])) % 50 + 2)
+    sampler, calls, mix = near_dup.Sampler(100), [], near_dup.mix
+    one = np.concatenate([sampler.bands([x], idf, 20) for x in sets])
+    monkeypatch.setattr(near_dup, "mix", lambda h: calls.append(len(h)) or mix(h))
+    assert (sampler.bands(sets, idf, 20) == one).all() and one.shape == (len(sets), 40)
+    assert len(calls) < 4 * len(sets)
+    shingles, counts = sets[0]
+    weights, seeds = counts * idf.of(shingles), sampler.seeds
+    want = {}
+    for seed in seeds[100:]:        # by the definition: a sample takes the smallest value of the first deal that reaches it
+        to = (mix(shingles ^ seed) % np.uint64(100)).astype(int)
+        value, t = sampler._draw(mix(shingles + seed), np.log(weights).astype(np.float32))
+        now = {k: min((value[i], i) for i in np.flatnonzero(to == k))[1] for k in set(to.tolist()) - set(want)}
+        want |= {k: sampler._codes(shingles[i:i + 1], t[i:i + 1])[0] for k, i in now.items()}
+    got = sampler.sample(shingles, weights)
+    assert len(want) > 50 and all(got[k] == code for k, code in want.items())
