@@ -96,9 +96,9 @@ def text_scores(texts: DataFrame, keys: list[str], text_col: str, sent_col: str,
 
 
 def article_features(art: DataFrame, pairs: DataFrame, snippets: DataFrame,
-                     sentiment_kwargs: dict | None = None) -> DataFrame:
+                     sentiment_kwargs: dict | None = None, n_partitions: int | None = None) -> DataFrame:
     """Article table + time + keyword features + snippet sentiment."""
-    kw = article_keyword_features(rank_keywords(pairs))
+    kw = article_keyword_features(rank_keywords(pairs, n_partitions=n_partitions))
     snip = text_scores(snippets, ["articleID"], "snippet", "snip_sent", "snip_cat",
                        sentiment_kwargs=sentiment_kwargs)
     a = time_features(art)
@@ -136,10 +136,11 @@ class FeatureTables:
 
 def build_features(spark: SparkSession, sf_dir: str, no_article_label: bool = False,
                    sentiment_kwargs: dict | None = None, kept: KeptRows | None = None) -> FeatureTables:
+    n = tasks_for(adapters.comments(spark, sf_dir))
     art = article_features(adapters.articles(spark, sf_dir), adapters.keyword_pairs(spark, sf_dir),
-                           adapters.article_snippets(spark, sf_dir), sentiment_kwargs)
+                           adapters.article_snippets(spark, sf_dir), sentiment_kwargs, n)
     com = comment_features(adapters.comments(spark, sf_dir), art, adapters.comment_bodies(spark, sf_dir),
-                           no_article_label, sentiment_kwargs, kept=kept, n_partitions=tasks_for(adapters.comments(spark, sf_dir)))
+                           no_article_label, sentiment_kwargs, kept=kept, n_partitions=n)
     return FeatureTables(art, com)
 
 

@@ -51,12 +51,14 @@ def bucketed_row_number(df: DataFrame, partition_cols: Sequence[str],
     matched null-safely.  ``seen`` counts (as ``n``) the rows that enter the join.
     ``groups`` (of one partition column, a row each at most) joins its other columns to the
     rows of the group, through the offsets: without another exchange of the rows.
-    ``n_partitions`` is that of the exchange (the session's number if not given).
+    ``n_partitions`` is that of the exchanges of rows and keys (the session's number if not given).
     """
     keys = [F.col(c).alias(f"p{i}") for i, c in enumerate(partition_cols)] + \
            [b.alias(f"b{i}") for i, b in enumerate(bucket_cols)]
     x = df.select("*", F.struct(*keys).alias("__k"))
-    counts = x.groupBy("__k").agg(F.count(F.lit(1)).alias("__cnt"))
+    # exchanged before they are counted: a scan split of any size may hold as many groups as rows
+    keyed = x if n_partitions is None else x.select("__k").repartition(n_partitions, "__k")
+    counts = keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*[f"__k.p{i}" for i in range(len(partition_cols))]) \
         .orderBy(*[f"__k.b{i}" for i in range(len(bucket_cols))]).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("__k").alias("__o_k"), F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))

@@ -61,13 +61,17 @@ def explode_keywords(articles: DataFrame, id_col: str = "articleID",
 
 
 def rank_keywords(pairs: DataFrame, id_col: str = "articleID", kw_col: str = "new",
-                  prefix_chars: int = 2) -> DataFrame:
+                  prefix_chars: int = 2, n_partitions: int | None = None) -> DataFrame:
     """D-1: (articleID, new) pairs -> (articleID, new, N, keyword_rank, topic).
 
     N = number of articles carrying the keyword (A2, J1); keyword_rank = dense rank
-    by (N desc, keyword asc) (W1); topic = T8 rule of the keyword."""
-    distinct_pairs = materialize(
-        pairs.select(id_col, kw_col).filter(F.col(kw_col).isNotNull()).distinct(), "kwpairs")
+    by (N desc, keyword asc) (W1); topic = T8 rule of the keyword.  With ``n_partitions`` the
+    pairs are exchanged to so many tasks before the distinct ones are taken (nearly all are: a
+    task that takes them before the exchange holds a whole scan split)."""
+    some = pairs.select(id_col, kw_col).filter(F.col(kw_col).isNotNull())
+    if n_partitions is not None:
+        some = some.repartition(n_partitions, id_col, kw_col)
+    distinct_pairs = materialize(some.distinct(), "kwpairs")
     freq = distinct_pairs.groupBy(kw_col).agg(F.count(F.lit(1)).alias("N"))
     ranked = bucketed_row_number(
         freq, [], [F.col("N").desc(), F.col(kw_col).asc()],

@@ -149,7 +149,8 @@ def _kw_sql(select: str) -> str:
 def _ranked(spark, sf):
     """The ranked (article, keyword) table — the reference's out3 — written once per session."""
     return features.written_table(spark, sf, "kwranked",
-                                  lambda: keywords.rank_keywords(adapters.keyword_pairs(spark, sf)))
+                                  lambda: keywords.rank_keywords(adapters.keyword_pairs(spark, sf),
+                                                                 n_partitions=tasks_for(read_table(spark, sf, "lineitem"))))
 
 
 def _kwf(spark, sf):
