@@ -105,7 +105,9 @@ def evidence(text: Column, model: tuple[np.ndarray, float] | None) -> Column:
         return F.lit(0.0)
     w, b = model
     score = F.pandas_udf(lambda s: pd.Series([float(np.clip(features(t) @ w + b, -50, 50)) for t in s], dtype="float64"), "double")
-    return score(text)
+    # every text has a score; were it nullable, a filter on the quality would have all texts scored once more, by a second
+    # Python worker in the same task, to leave out nulls before the join
+    return F.coalesce(score(text), F.lit(0.0))
 
 
 def _logit(p):

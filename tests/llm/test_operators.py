@@ -311,6 +311,15 @@ def test_quality_keeps_clean_rejects_junk(spark):
     assert kept[got["quality"] == 1].mean() > 0.98 and kept[got["quality"] == 0].mean() < 0.1
 
 
+def test_quality_scores_each_text_once(spark, docs):
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    got = quality.reject(docs, labels, F.col("source"), F.col("lang"))
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1      # each is a worker of its own in a task
+    want = quality.classify(docs, labels, F.col("source"), F.col("lang")).where(F.col("_q_quality") >= quality.CUT)
+    kept = sorted(r.doc_id for r in got.collect())
+    assert kept == sorted(r.doc_id for r in want.collect()) and 0 < len(kept) < docs.count()
+
+
 def test_quality_sites_shrink(spark, odd):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.reject(odd, none, F.col("source"), F.col("lang")).count() == len(ODD)
