@@ -122,7 +122,7 @@ def g03_density(trn: DataFrame, grid: int = 100, xlim=(-100.0, 3000.0),
         F.col("avg_recs").cast("double").alias("y"))
     # the point table (one row per article and group) is read five times below:
     # write it once to the checkpoint folder instead of re-deriving it from raw data
-    pts = materialize(pts, "g03pts")
+    pts = materialize(pts, "g03pts", lean=True)
     bw = ns_join(_nrd(pts, "g", "x"), _nrd(pts, "g", "y").drop("__n"), ["g"])
     flat = [r["g"] for r in bw.collect() if not ((r["h_x"] or 0) > 0 and (r["h_y"] or 0) > 0)]
     if flat:  # one row per group
@@ -261,7 +261,7 @@ def value_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str) -> Dat
                   F.col(value_col).cast("double").alias("v"))
     counts = x.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("group", "v").agg(F.count(F.lit(1)).alias("n"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = materialize(counts.repartitionByRange(parts, "group", "v").withColumn("part", F.spark_partition_id()), "ranks")
+    counts = materialize(counts.repartitionByRange(parts, "group", "v").withColumn("part", F.spark_partition_id()), "ranks", lean=True)
     sums = counts.groupBy("group", "part").agg(F.sum("n").alias("m"))
     whole = Window.partitionBy("group")
     offsets = sums.select("group", "part", F.sum("m").over(whole).alias("total"), F.coalesce(F.sum("m").over(
@@ -296,7 +296,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, pr
 
 def _fenced(df: DataFrame, group_cols: Sequence[str], value_col: str) -> tuple[DataFrame, DataFrame]:
     """(hinges and fences per group, counted values with ``inside``)."""
-    ranks = materialize(value_ranks(df, group_cols, value_col), "boxplot")
+    ranks = materialize(value_ranks(df, group_cols, value_col), "boxplot", lean=True)
     at = lambda p: F.max(F.when(F.col("p") == p, F.col("q")))
     box = _quantiles(ranks, [0.25, 0.5, 0.75]).groupBy("group").agg(at(0.25).alias("lower"), at(0.5).alias("middle"), at(0.75).alias("upper"))
     reach = 1.5 * (F.col("upper") - F.col("lower"))

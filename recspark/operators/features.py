@@ -7,6 +7,8 @@ Plan shape at scale
 * comments ⟕ article features (D7: by articleID and type): the features travel with the
   bucket offsets, one row per (article, bucket), so the comments are exchanged and sorted
   once for their order and for this join.  It also carries ``pubDate_dt`` for time-to-post.
+  The exchange moves the parts of a comment, not its id (a text of all of them), and a long
+  table goes through it in passes, each written before the next: its disk is that of a pass.
 * text features: row-local projections on the table that holds the text (spread over
   the cluster when the scan has too few partitions); only keys + scores are joined.
 """
@@ -14,7 +16,9 @@ Plan shape at scale
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +26,10 @@ from pyspark.sql import functions as F
 from ..functions.core import ladder, r_bool
 from ..functions.timefn import (epoch_seconds_ts, hour_of, parse_iso, time_of_day, time_to_post,
                                 time_to_post_category, weekday_name, weekend_flag)
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize, scratch, write_lean
 from ..sources import adapters
 from ..sources.tables import spread
-from .indexing import KeptRows, bucketed_row_number, exact_split, range_row_number, tasks_for
+from .indexing import KeptRows, bucket_offsets, bucketed_row_number, exact_split, passes_for, range_row_number, tasks_for
 from .keywords import article_keyword_features, explode_keywords, rank_keywords
 from .textops import add_length, add_readability, add_sentiment
 
@@ -57,23 +61,32 @@ def comment_position(c: str = "com_ord") -> F.Column:
                    ((x > 100) & (x <= 200), COMMENT_POSITION[3]), (x > 200, COMMENT_POSITION[4])])
 
 
+def order_bucket(seq: str, width: int = 4096) -> F.Column:
+    return F.floor(F.col(seq) / width)
+
+
 def comment_order(com: DataFrame, group: str = "articleID", seq: str = "commentSequence",
                   tiebreak: str = "commentID", bucket_width: int = 4096,
                   strategy: str = "bucket", kept: KeptRows | None = None,
-                  articles: DataFrame | None = None, n_partitions: int | None = None) -> DataFrame:
+                  articles: DataFrame | None = None, n_partitions: int | None = None,
+                  columns: Sequence[F.Column] | None = None, offsets: DataFrame | None = None,
+                  share: tuple[int, int] = (0, 1)) -> DataFrame:
     """D-9: com_ord = row number by (sequence, id) inside the article + its bucket.
     ``strategy="bucket"`` splits hot articles by sequence bucket (one hash shuffle);
     ``"range"`` splits any hot article, even one whose sequence never changes (range
     shuffle + one write).  ``kept`` counts the comments that enter; ``articles`` (one row per
-    article) joins its columns on the way (bucket strategy)."""
+    article) joins its columns on the way (bucket strategy).  ``columns`` are those of a comment, if
+    ``com`` holds the parts that they are computed from, ``share`` a part of the rows with their
+    ``offsets`` (bucket strategy; see :func:`bucketed_row_number`)."""
     if strategy == "range":
-        if kept is not None or articles is not None:
-            raise ValueError("the range strategy writes the comments on its way: count and join them there")
+        if kept is not None or articles is not None or columns is not None or offsets is not None or share != (0, 1):
+            raise ValueError("the range strategy writes the comments on its way: count, join and compute them there")
         out = range_row_number(com, [group], [seq, tiebreak], out="com_ord")
     else:
         out = bucketed_row_number(com, [group], [seq, tiebreak],
-                                  [F.floor(F.col(seq) / bucket_width)], out="com_ord",
-                                  seen=kept and kept.before, groups=articles, n_partitions=n_partitions)
+                                  [order_bucket(seq, bucket_width)], out="com_ord",
+                                  seen=kept and kept.before, groups=articles, n_partitions=n_partitions,
+                                  columns=columns, offsets=offsets, share=share)
     return out.withColumn("com_pos_cat", comment_position("com_ord"))
 
 
@@ -108,15 +121,37 @@ def article_features(art: DataFrame, pairs: DataFrame, snippets: DataFrame,
 def comment_features(com: DataFrame, art_feat: DataFrame, bodies: DataFrame,
                      no_article_label: bool = False, sentiment_kwargs: dict | None = None,
                      body_keys: tuple[str, ...] = ("articleID", "commentSequence"),
-                     kept: KeptRows | None = None, n_partitions: int | None = None) -> DataFrame:
+                     kept: KeptRows | None = None, n_partitions: int | None = None,
+                     columns: Sequence[F.Column] | None = None) -> DataFrame:
     """Comment features joined with the reduced article features (D-13).  ``kept`` counts the
-    comments that enter and leave the joins (X3)."""
+    comments that enter and leave the joins (X3); ``columns`` as in :func:`comment_order`."""
+    return comment_passes(com, art_feat, bodies, no_article_label, sentiment_kwargs, body_keys, kept, n_partitions, columns)[0]
+
+
+def comment_passes(com: DataFrame, art_feat: DataFrame, bodies: DataFrame, no_article_label: bool = False,
+                   sentiment_kwargs: dict | None = None, body_keys: tuple[str, ...] = ("articleID", "commentSequence"),
+                   kept: KeptRows | None = None, n_partitions: int | None = None,
+                   columns: Sequence[F.Column] | None = None, passes: int = 1) -> list[DataFrame]:
+    """The comment features in ``passes`` parts of the comments: written one by one, each exchanges
+    its own comments and article features only."""
     body = text_scores(bodies, list(body_keys), "commentBody", "com_sent", "com_cat",
                        readability=True, sentiment_kwargs=sentiment_kwargs)
+    if passes > 1:                                           # scored once
+        body = materialize(body, "bodies", lean=True)
     # an article's rows (one per type, usually one) as one: a comment takes those of its type
     red = art_feat.select("articleID", F.struct(*[c for c in ARTICLE_FEATURES if c != "articleID"]).alias("__a"))
     red = red.groupBy("articleID").agg(F.collect_list("__a").alias("__arts"))
-    c = comment_order(com, kept=kept, articles=red, n_partitions=n_partitions)
+    offsets = bucket_offsets(com, ["articleID"], [order_bucket("commentSequence")], red, n_partitions)
+    if n_partitions is not None:
+        n_partitions = max(int(com.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_partitions // passes))
+    return [_comment_pass(com, offsets, body, no_article_label, body_keys, kept.part() if kept and passes > 1 else kept,
+                          n_partitions, columns, (i, passes)) for i in range(passes)]
+
+
+def _comment_pass(com: DataFrame, offsets: DataFrame, body: DataFrame, no_article_label: bool, body_keys: tuple[str, ...],
+                  kept: KeptRows | None, n_partitions: int | None, columns: Sequence[F.Column] | None,
+                  share: tuple[int, int]) -> DataFrame:
+    c = comment_order(com, kept=kept, n_partitions=n_partitions, columns=columns, offsets=offsets, share=share)
     c = c.withColumn("__arts", F.filter("__arts", lambda a: a["type"] == F.col("type")))
     added = [a for a in ARTICLE_FEATURES if a not in ("articleID", "type")]
     c = c.select("*", F.explode_outer("__arts").alias("__a")).select(
@@ -131,17 +166,21 @@ def comment_features(com: DataFrame, art_feat: DataFrame, bodies: DataFrame,
 @dataclass
 class FeatureTables:
     art: DataFrame
-    com_final: DataFrame
+    passes: list[DataFrame]      # the comments in parts, to be written one by one
+
+    @property
+    def com_final(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.passes)
 
 
 def build_features(spark: SparkSession, sf_dir: str, no_article_label: bool = False,
                    sentiment_kwargs: dict | None = None, kept: KeptRows | None = None) -> FeatureTables:
-    n = tasks_for(adapters.comments(spark, sf_dir))
+    com = adapters.comment_parts(spark, sf_dir)
+    n = tasks_for(com)
     art = article_features(adapters.articles(spark, sf_dir), adapters.keyword_pairs(spark, sf_dir),
                            adapters.article_snippets(spark, sf_dir), sentiment_kwargs, n)
-    com = comment_features(adapters.comments(spark, sf_dir), art, adapters.comment_bodies(spark, sf_dir),
-                           no_article_label, sentiment_kwargs, kept=kept, n_partitions=n)
-    return FeatureTables(art, com)
+    return FeatureTables(art, comment_passes(com, art, adapters.comment_bodies(spark, sf_dir), no_article_label, sentiment_kwargs,
+                                             kept=kept, n_partitions=n, columns=adapters.comment_columns(), passes=passes_for(com)))
 
 
 def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame, no_article_label: bool = False,
@@ -162,8 +201,8 @@ def features_from_reference_inputs(art_raw: DataFrame, com_raw: DataFrame, no_ar
                   .drop("commentBody", "byline", "pubDate_dt", "com_ord", "com_pos_cat", *computed, *ADDED))
     bodies = com_raw.select("commentID", "commentBody")
     art_feat = article_features(art, pairs, snippets, sentiment_kwargs)
-    return FeatureTables(art_feat, comment_features(com, art_feat, bodies, no_article_label, sentiment_kwargs,
-                                                    body_keys=("commentID",), kept=kept))
+    return FeatureTables(art_feat, [comment_features(com, art_feat, bodies, no_article_label, sentiment_kwargs,
+                                                     body_keys=("commentID",), kept=kept)])
 
 
 def train_split(com_final: DataFrame, fraction: float = 0.70, seed: int = 19790324,
@@ -176,18 +215,22 @@ def train_split(com_final: DataFrame, fraction: float = 0.70, seed: int = 197903
 
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
+_TRAINING: dict[tuple[str, str], DataFrame] = {}
 
 
 def written_table(spark: SparkSession, sf_dir: str, name: str, build, check=None) -> DataFrame:
     """Build a derived table once per application and source folder, write it to the
     checkpoint folder and read it back afterwards (the reference saves its feature
     tables the same way and every later step reads them).  ``check`` is called with the
-    written table before anything reads it."""
+    written table before anything reads it.  ``build`` gives the table or a list of its parts, which
+    are written one by one; its own intermediates are removed."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
-        df = build()
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recspark-{name}-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
+        with scratch():
+            parts = build()
+            for i, df in enumerate(parts if isinstance(parts, list) else [parts]):
+                write_lean(df, path, "append" if i else "overwrite")
         if check is not None:
             check(spark.read.parquet(path))
         _WRITTEN[key] = path
@@ -198,13 +241,14 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``com_final`` of the driver tables, written once (S3/S4); raises if a join has lost or
     repeated a comment (X3)."""
     kept = KeptRows()
-    return written_table(spark, sf_dir, "com_final", lambda: build_features(spark, sf_dir, kept=kept).com_final,
+    return written_table(spark, sf_dir, "com_final", lambda: build_features(spark, sf_dir, kept=kept).passes,
                          lambda written: kept.check(adapters.comments(spark, sf_dir), written))
 
 
 def training_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exploration input: the 70 % training split with a matched article."""
-    def split():
-        trn, _ = train_split(feature_table(spark, sf_dir), materialize_input=False)
-        return trn
-    return written_table(spark, sf_dir, "trn", split).filter(F.col("pubDate_dt").isNotNull())
+    """The exploration input: the 70 % training split with a matched article (P1).  Rows of the feature
+    table are told by the cut of their hash, found once per application and source folder: no second copy."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINING:
+        _TRAINING[key], _ = train_split(feature_table(spark, sf_dir), materialize_input=False)
+    return _TRAINING[key].filter(F.col("pubDate_dt").isNotNull())

@@ -30,6 +30,8 @@ def _c(x: str | Column) -> Column:
 
 #: Rows that one task sorts or groups, about.
 ROWS_A_TASK = 1_000_000
+#: Rows that are exchanged at a time, about: a longer table goes through its exchange in several passes.
+ROWS_A_PASS = 40_000_000
 
 
 def tasks_for(df: DataFrame) -> int:
@@ -38,11 +40,41 @@ def tasks_for(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
 
 
+def passes_for(df: DataFrame) -> int:
+    """Passes of about ``ROWS_A_PASS`` rows each, by a count like that of ``tasks_for``."""
+    return max(1, -(-df.count() // ROWS_A_PASS))
+
+
+def _keys(partition_cols: Sequence[str], bucket_cols: Sequence[Column]) -> Column:
+    return F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(partition_cols)],
+                    *[b.alias(f"b{i}") for i, b in enumerate(bucket_cols)]).alias("__k")
+
+
+def bucket_offsets(df: DataFrame, partition_cols: Sequence[str], bucket_cols: Sequence[Column],
+                   groups: DataFrame | None = None, n_partitions: int | None = None) -> DataFrame:
+    """``__o_k, __off``: the rows of a group before each of its buckets, with the columns of ``groups``
+    (see :func:`bucketed_row_number`).  With ``groups`` they are written, so that the shuffles behind
+    them are gone when the rows are exchanged."""
+    x = df.select(_keys(partition_cols, bucket_cols))
+    # exchanged before they are counted: a scan split of any size may hold as many groups as rows
+    keyed = x if n_partitions is None else x.repartition(n_partitions, "__k")
+    counts = keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("__cnt"))
+    w = Window.partitionBy(*[f"__k.p{i}" for i in range(len(partition_cols))]) \
+        .orderBy(*[f"__k.b{i}" for i in range(len(bucket_cols))]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__k").alias("__o_k"), F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
+    if groups is None:
+        return offsets
+    (c,) = partition_cols
+    offsets = offsets.join(groups.withColumnRenamed(c, "__g"), F.col("__o_k.p0") == F.col("__g"), "left").drop("__g")
+    return materialize(offsets, "offsets", lean=True)
+
+
 def bucketed_row_number(df: DataFrame, partition_cols: Sequence[str],
                         order_cols: Sequence[str | Column],
                         bucket_cols: Sequence[Column], out: str = "rn",
                         seen: Observation | None = None, groups: DataFrame | None = None,
-                        n_partitions: int | None = None) -> DataFrame:
+                        n_partitions: int | None = None, columns: Sequence[Column] | None = None,
+                        offsets: DataFrame | None = None, share: tuple[int, int] = (0, 1)) -> DataFrame:
     """``row_number() over (partition by P order by O)`` with bounded tasks.
 
     ``bucket_cols`` must be non-decreasing along ``order_cols`` inside each
@@ -52,26 +84,27 @@ def bucketed_row_number(df: DataFrame, partition_cols: Sequence[str],
     ``groups`` (of one partition column, a row each at most) joins its other columns to the
     rows of the group, through the offsets: without another exchange of the rows.
     ``n_partitions`` is that of the exchanges of rows and keys (the session's number if not given).
+    ``columns`` are those of the result, computed from ``df`` after its exchange, ``order_cols`` from
+    them: long values that follow from short ones are not moved.
+    ``share`` (i, k) gives the i-th of k parts of the rows (from 0, by their group and bucket): passes
+    over the same ``offsets`` (from :func:`bucket_offsets`) exchange a part at a time.
     """
-    keys = [F.col(c).alias(f"p{i}") for i, c in enumerate(partition_cols)] + \
-           [b.alias(f"b{i}") for i, b in enumerate(bucket_cols)]
-    x = df.select("*", F.struct(*keys).alias("__k"))
-    # exchanged before they are counted: a scan split of any size may hold as many groups as rows
-    keyed = x if n_partitions is None else x.select("__k").repartition(n_partitions, "__k")
-    counts = keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("__cnt"))
-    w = Window.partitionBy(*[f"__k.p{i}" for i in range(len(partition_cols))]) \
-        .orderBy(*[f"__k.b{i}" for i in range(len(bucket_cols))]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("__k").alias("__o_k"), F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
-    if groups is not None:
-        (c,) = partition_cols
-        offsets = offsets.join(groups.withColumnRenamed(c, "__g"), F.col("__o_k.p0") == F.col("__g"), "left").drop("__g")
+    wide = groups is not None or offsets is not None
+    if offsets is None:
+        offsets = bucket_offsets(df, partition_cols, bucket_cols, groups, n_partitions)
+    x = df.select("*", _keys(partition_cols, bucket_cols))
+    i, k = share
+    if k > 1:      # another hash than that of the exchange
+        x, offsets = (t.filter(F.pmod(F.xxhash64(c), F.lit(k)) == i) for t, c in ((x, "__k"), (offsets, "__o_k")))
     if seen is not None:
         x = x.observe(seen, F.count(F.lit(1)).alias("n"))
     if n_partitions is not None:
         x = x.repartition(n_partitions, "__k")
+    if columns is not None:
+        x = x.select("__k", *columns)
     w2 = Window.partitionBy("__k").orderBy(*[_c(o) for o in order_cols])
     same = F.col("__k") == F.col("__o_k")
-    if groups is None:
+    if not wide:
         joined = x.join(offsets, on=same, how="inner").withColumn("__in", F.row_number().over(w2))
     else:                      # numbered first: the sort moves no columns of the groups, and the join needs no other
         joined = x.withColumn("__in", F.row_number().over(w2)).join(offsets, on=same, how="inner")
@@ -95,7 +128,7 @@ def range_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: S
     x = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
            .withColumn("__pid", F.spark_partition_id())
            .withColumn("__id", F.monotonically_increasing_id()))
-    x = materialize(x, "rangerank")
+    x = materialize(x, "rangerank", lean=True)
     grp = [*partition_cols, "__pid"]
     firsts = x.groupBy(*grp).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     w = (Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()) \
@@ -127,10 +160,12 @@ def exact_split(df: DataFrame, key: str, fraction: float = 0.70, seed: int = 197
     is uniform, so its top ``bucket_bits`` bits give equal-sized buckets.  Bucket
     counts (≤ 2**bucket_bits rows: a proven bound) locate the one bucket that the
     cut falls into; rows of lower buckets are in, higher buckets out, and only the
-    cut bucket (~n / 2**bucket_bits rows) is sorted.  No full shuffle or sort.
-    The input is read three times (counts, rows off the cut, rows at the cut); it is
-    written once to the checkpoint folder unless ``materialize_input=False`` (use
-    that when ``df`` is already a plain table scan).
+    cut bucket (~n / 2**bucket_bits rows) is sorted, to find its last sampled row: the flag
+    compares every row with that one.  No full shuffle or sort, and no shuffle at all in the result.
+    (Where rows equal in hash and key lie on both sides of the cut, it cannot tell them: the rows
+    of the cut bucket are then numbered in the result.)  The input is read three times (counts, the
+    cut, the result); it is written once to the checkpoint folder unless
+    ``materialize_input=False`` (use that when ``df`` is already a plain table scan).
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
@@ -138,7 +173,7 @@ def exact_split(df: DataFrame, key: str, fraction: float = 0.70, seed: int = 197
     x = df.withColumn("__h", sample_hash(key, seed)) \
           .withColumn("__bk", F.shiftrightunsigned(F.col("__h"), shift))
     if materialize_input:
-        x = materialize(x, "split")
+        x = materialize(x, "split", lean=True)
     counts = x.groupBy("__bk").agg(F.count(F.lit(1)).alias("n")).collect()  # ≤ 2**bucket_bits rows
     n = sum(r["n"] for r in counts)
     k = int(round(fraction * n))  # Python round is half-even, as R's round
@@ -151,8 +186,15 @@ def exact_split(df: DataFrame, key: str, fraction: float = 0.70, seed: int = 197
     if cut is None or k == 0:
         return x.withColumn(flag, F.lit(k > 0 and n > 0)).drop("__h", "__bk")
     need = k - before
-    rest = x.filter(F.col("__bk") != cut).withColumn(flag, F.col("__bk") < F.lit(cut))
     w = Window.partitionBy("__bk").orderBy("__h", key)
+    ends = x.filter(F.col("__bk") == cut).select("__bk", "__h", key).withColumn("__rn", F.row_number().over(w)) \
+            .filter(F.col("__rn").isin(need, need + 1)).orderBy("__rn").collect()   # the last row in, the first row out
+    last = ends[0]
+    if len(ends) == 1 or (ends[1]["__h"], ends[1][key]) != (last["__h"], last[key]):
+        at = F.lit(last[key]).cast(x.schema[key].dataType)
+        inside = (F.col("__h") < last["__h"]) | ((F.col("__h") == last["__h"]) & (F.col(key) <= at))
+        return x.withColumn(flag, inside).drop("__h", "__bk")
+    rest = x.filter(F.col("__bk") != cut).withColumn(flag, F.col("__bk") < F.lit(cut))
     at_cut = x.filter(F.col("__bk") == cut) \
               .withColumn(flag, F.row_number().over(w) <= F.lit(need))
     return rest.unionByName(at_cut).drop("__h", "__bk")
@@ -178,10 +220,16 @@ class KeptRows:
     The rows are counted as observed metrics of the one job that writes the result, with
     no extra pass.  A task that runs again after a lost executor may count its rows twice,
     and an empty table may have no metric, so a difference is counted anew before it is
-    believed.  Serves one build and one write."""
+    believed.  Serves one build and one write (of each of its passes)."""
 
     def __init__(self) -> None:
         self.before, self.after = Observation(), Observation()
+        self.parts: list[KeptRows] = []
+
+    def part(self) -> KeptRows:
+        """The counter of one of the passes of the build, each written by its own job."""
+        self.parts.append(KeptRows())
+        return self.parts[-1]
 
     def leave(self, df: DataFrame) -> DataFrame:
         return df.observe(self.after, F.count(F.lit(1)).alias("n"))
@@ -189,7 +237,8 @@ class KeptRows:
     def check(self, source: DataFrame, written: DataFrame) -> int:
         """Number of rows, once the result is written; raises if ``written`` has lost or
         repeated rows of ``source``."""
-        n, kept = (x.get.get("n") for x in (self.before, self.after))
+        counts = [[x.get.get("n") for x in (p.before, p.after)] for p in self.parts or [self]]
+        n, kept = (None if None in c else sum(c) for c in zip(*counts))
         if n is None or n != kept:
             n, kept = source.count(), written.count()
         if n != kept:

@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,17 +62,70 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df: DataFrame, name: str = "tmp") -> DataFrame:
+#: Whether the shuffle files of an action go when it ends (else when the driver's garbage collection finds its plan unused).
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_releasing = threading.Lock()
+_released: dict[int, list] = {}      # session -> [writes under way, its own setting]
+
+
+@contextmanager
+def release_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go as each of them ends, not at the end of the session."""
+    with _releasing:
+        under_way = _released.setdefault(id(spark), [0, None])
+        if under_way[0] == 0:
+            under_way[1] = spark.conf.get(SHUFFLES_GO, None)
+            spark.conf.set(SHUFFLES_GO, "true")
+        under_way[0] += 1
+    try:
+        yield
+    finally:
+        with _releasing:
+            under_way[0] -= 1
+            if under_way[0] == 0:
+                spark.conf.unset(SHUFFLES_GO) if under_way[1] is None else spark.conf.set(SHUFFLES_GO, under_way[1])
+
+
+def write_lean(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write a table on little disk: zstd files, and the shuffles of the write go with its end."""
+    with release_shuffles(df.sparkSession):
+        df.write.mode(mode).option("compression", "zstd").parquet(path)
+
+
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """What ``materialize`` writes inside (in this thread) is lean and goes when the block ends: for builds
+    whose result is itself written there."""
+    outer, _scopes.frames = getattr(_scopes, "frames", None), []
+    try:
+        yield
+    finally:
+        for df in _scopes.frames:
+            discard(df)
+        _scopes.frames = outer
+
+
+def materialize(df: DataFrame, name: str = "tmp", lean: bool = False) -> DataFrame:
     """Write an intermediate that is read more than once as Parquet into the shared
     checkpoint folder and read it back.  It is computed once (Spark does not always
     reuse an exchange across different branches), later reads prune columns, and the
-    lineage is cut, so a lost executor does not re-run the upstream plan."""
+    lineage is cut, so a lost executor does not re-run the upstream plan.  ``lean`` as in
+    :func:`write_lean`."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/recspark-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    inside = getattr(_scopes, "frames", None)
+    if lean or inside is not None:
+        write_lean(df, path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
     out.written_to = path
+    if inside is not None:
+        inside.append(out)
     return out
 
 

@@ -27,16 +27,13 @@ def split_tag(key: str) -> F.Column:
     return F.when(F.pmod(F.col(key), F.lit(10)) < 7, F.lit(TRAIN_TAG)).otherwise(F.lit(TEST_TAG))
 
 
-def comment_id(prefix: str = "l_") -> F.Column:
+def comment_id() -> F.Column:
     """The comment key is built from ALL line-item columns (the four key columns are
     not unique at every scale).  Numbers are written as integers (quantity, cents,
     percent) and the date as yyyyMMdd, so any engine can rebuild the same text; it is
-    never passed through double (D26)."""
-    c = lambda n: F.col(f"{prefix}{n}")
-    parts = [c("orderkey"), c("partkey"), c("suppkey"), c("linenumber"),
-             c("quantity").cast("long"), F.round(c("extendedprice") * 100).cast("long"),
-             F.round(c("discount") * 100).cast("long"), F.round(c("tax") * 100).cast("long"),
-             c("returnflag"), c("linestatus"), F.date_format(c("shipdate"), "yyyyMMdd")]
+    never passed through double (D26).  Over the columns of :func:`comment_parts`."""
+    parts = [*[F.col(c) for c in ("articleID", "partID", "userID", "commentSequence", "recommendations", "cents", "discount", "tax",
+                                  "flag", "status")], F.date_format("shipdate", "yyyyMMdd")]
     return F.concat_ws("-", *[x.cast("string") for x in parts])
 
 
@@ -64,16 +61,26 @@ def comment_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("commentBody"))
 
 
+def comment_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What :func:`comment_columns` are computed from: whole numbers and short values, to be
+    moved instead of the comments themselves, whose ids are long texts of all of them."""
+    percent = lambda c: F.round(F.col(c) * 100).cast("long")
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("articleID"), F.col("l_partkey").alias("partID"), F.col("l_suppkey").alias("userID"),
+        F.col("l_linenumber").cast("long").alias("commentSequence"), F.col("l_quantity").cast("long").alias("recommendations"),
+        percent("l_extendedprice").alias("cents"), percent("l_discount").alias("discount"), percent("l_tax").alias("tax"),
+        F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), F.col("l_shipdate").alias("shipdate"))
+
+
+def comment_columns() -> list[F.Column]:
+    """The columns of a comment, over :func:`comment_parts`."""
+    return [comment_id().alias("commentID"), F.col("articleID"), F.col("commentSequence"), F.col("userID"),
+            F.col("shipdate").cast("timestamp").alias("approveDate_ts"), (F.col("flag") == "R").alias("editorsSelection"),
+            F.col("recommendations"), split_tag("articleID").alias("type")]
+
+
 def comments(spark: SparkSession, sf_dir: str, with_body: bool = False) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    com = li.select(comment_id().alias("commentID"),
-                    F.col("l_orderkey").alias("articleID"),
-                    F.col("l_linenumber").cast("long").alias("commentSequence"),
-                    F.col("l_suppkey").alias("userID"),
-                    F.col("l_shipdate").cast("timestamp").alias("approveDate_ts"),
-                    (F.col("l_returnflag") == "R").alias("editorsSelection"),
-                    F.col("l_quantity").cast("long").alias("recommendations"),
-                    split_tag("l_orderkey").alias("type"))
+    com = comment_parts(spark, sf_dir).select(*comment_columns())
     if with_body:
         com = com.join(comment_bodies(spark, sf_dir), on=["articleID", "commentSequence"], how="left")
     return com
