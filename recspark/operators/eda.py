@@ -73,6 +73,7 @@ def g01(trn: DataFrame) -> DataFrame:
     """A7 per comment + display order by (editorsSelection, −recs)."""
     t = trn.groupBy("articleID", "editorsSelection", ID) \
            .agg(F.coalesce(F.sum(RECS), F.lit(0)).cast("long").alias("recs"))
+    t = materialize(t, "g01", lean=True)     # its shuffle is gone before the one of the numbering
     es_key = F.when(F.col("editorsSelection").isNull(), F.lit(2)) \
               .otherwise(F.col("editorsSelection").cast("int"))
     return bucketed_row_number(

@@ -98,3 +98,20 @@ def test_exact_split_counts_with_equal_keys(spark, copies):
         assert got.count() == 60 and got.filter("in_sample").count() == round(60 * fraction)
         keys = {r.k for r in got.filter("in_sample").collect()} & {r.k for r in got.filter("not in_sample").collect()}
         assert keys <= {"same"}
+
+
+def test_g01_numbers_written_rows(spark):
+    """The grouping's shuffle has gone when the numbering exchanges the rows."""
+    from recspark.operators import eda
+    trn = spark.createDataFrame([(1, True, "a", 3), (1, None, "b", None), (2, False, "c", 5), (2, False, "c", 2)],
+                                "articleID long, editorsSelection boolean, commentID string, recommendations long")
+    before = _shuffle_files(spark)
+    got = eda.g01(trn)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "sum(recommendations" not in plan, plan
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert [(r.commentID, r.recs) for r in got.orderBy("plot_order").collect()] == [("c", 7), ("a", 3), ("b", 0)]
