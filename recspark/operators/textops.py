@@ -52,10 +52,11 @@ def lexicon_table(entries: DataFrame) -> DataFrame:
 
 def lexicon_of(spark: SparkSession, lexicon: Mapping[str, float] = TEST_LEXICON, negators: Sequence[str] = TEST_NEGATORS,
                amplifiers: Sequence[str] = TEST_AMPLIFIERS, deamplifiers: Sequence[str] = TEST_DEAMPLIFIERS) -> DataFrame:
-    """A lexicon table from lists in the program."""
+    """A lexicon table from lists in the program, written: rows from the driver have no size that Spark knows, and
+    the join would exchange all tokens of all texts before it finds the table small."""
     rows = [(w, float(v), ROLES[0]) for w, v in lexicon.items()]
     rows += [(w, 0.0, r) for r, ws in zip(ROLES[1:], (negators, amplifiers, deamplifiers)) for w in ws]
-    return lexicon_table(spark.createDataFrame(rows, "word string, polarity double, role string"))
+    return materialize(lexicon_table(spark.createDataFrame(rows, "word string, polarity double, role string")), "lexicon")
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:

@@ -115,3 +115,16 @@ def test_g01_numbers_written_rows(spark):
         time.sleep(0.2)
     assert not _shuffle_files(spark) - before
     assert [(r.commentID, r.recs) for r in got.orderBy("plot_order").collect()] == [("c", 7), ("a", 3), ("b", 0)]
+
+
+def test_tokens_meet_a_small_lexicon_before_any_exchange(spark):
+    """Only the tokens found in the lexicon are exchanged: it is broadcast from the start, whatever the limit's size."""
+    from recspark.operators.textops import add_sentiment
+    df = spark.createDataFrame([(i, "plain words with this and that, not for") for i in range(20)], "id int, t string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        plan = add_sentiment(df, "t", "s", "c")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [token" in plan and "SortMergeJoin [token" not in plan, plan
+    assert "hashpartitioning(token" not in plan, plan
