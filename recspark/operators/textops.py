@@ -117,8 +117,9 @@ def add_sentiment(df: DataFrame, text_col: str, score_col: str, cat_col: str, le
         lexicon = lexicon_of(df.sparkSession, lexicon, negators, amplifiers, deamplifiers)
     rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "texts")
     scores = sentiment_scores(rows, "__row", text_col, lexicon, before, after, amp_weight).withColumnRenamed("score", "__score")
-    out = rows.join(scores, "__row", "left").drop("__row")
-    out = out.withColumn(score_col, F.when(F.col(text_col).isNotNull(), F.coalesce("__score", F.lit(0.0)))).drop("__score")
+    # whether there is a text is told before the join, which need not move it then
+    out = rows.withColumn("__said", F.col(text_col).isNotNull()).join(scores, "__row", "left").drop("__row")
+    out = out.withColumn(score_col, F.when(F.col("__said"), F.coalesce("__score", F.lit(0.0)))).drop("__score", "__said")
     out = out.withColumn(cat_col, sentiment_bucket(score_col))
     if digits is not None:
         out = out.withColumn(score_col, F.bround(F.col(score_col), digits) + F.lit(0.0))

@@ -128,3 +128,18 @@ def test_tokens_meet_a_small_lexicon_before_any_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin [token" in plan and "SortMergeJoin [token" not in plan, plan
     assert "hashpartitioning(token" not in plan, plan
+
+
+def test_sentiment_join_moves_no_text_that_nobody_reads(spark):
+    from recspark.operators.textops import add_sentiment
+    df = spark.createDataFrame([(0, "this and that"), (1, None), (2, "")], "id int, t string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = add_sentiment(df, "t", "s", "c").select("id", "s", "c")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = {r.id: (r.s, r.c is None) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [b for a, b in zip(plan.splitlines(), plan.splitlines()[1:]) if "Exchange hashpartitioning(__row" in a and "__said" in b]
+    assert moved and not any("[t#" in b or " t#" in b for b in moved), plan
+    assert rows[1] == (None, True) and rows[2] == (0.0, False) and rows[0][0] != 0
